@@ -7,7 +7,7 @@ host here.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -16,39 +16,30 @@ from pyspark.sql import functions as F
 NO_QUERY = "array<struct<key:string,value:string>>"
 
 
-def _cleaned(url: Column) -> Column:
-    blanks_off = F.regexp_replace(F.coalesce(url, F.lit("")), r"^[\x00-\x20]+", "")
-    return F.translate(blanks_off, "\t\r\n", "")
+# One pass over the address. Groups: host in brackets or plain host, path behind a
+# host or without one (up to the parameters of its last segment), query. Brackets
+# other than around the whole host match nothing.
+ADDRESS = (
+    r"^[\x00-\x20]*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?+"
+    r"(?://(?:[^\[\]/?#]*@)?(?:\[([^\]/?#]*)\](?::[^/?#]*)?|([^:\[\]/?#]*)(?::[^\[\]/?#]*)?)"
+    r"((?:/(?:[^?#]*/)?[^;/?#]*)?)"
+    r"|(?!//)((?:[^?#]*/)?[^;/?#]*))"
+    r"(?:;[^/?#]*)?(?:\?([^#]*))?(?:#.*)?$"
+)
+HOST, PATH, QUERY = 1, 2, 3
 
 
-def _pieces(url: Column) -> tuple[Column, Column, Column]:
-    """(authority, path, query), each as written."""
-    whole = F.substring_index(_cleaned(url), "#", 1)
-    front = F.substring_index(whole, "?", 1)
-    query = F.substring(whole, F.length(front) + 2, F.length(whole))
-    rest = F.regexp_replace(front, r"^[A-Za-z][A-Za-z0-9+.\-]*:", "")
-    has_authority = F.startswith(rest, F.lit("//"))
-    authority = F.when(
-        has_authority, F.substring_index(F.substring(rest, F.lit(3), F.length(rest)), "/", 1)
-    ).otherwise("")
-    path = F.when(
-        has_authority, F.substring(rest, F.length(authority) + 3, F.length(rest))
-    ).otherwise(rest)
-    return authority, path, query
+def url_pieces(url: Column) -> Column:
+    """``['', host, path, query]`` in lower case but for the query, or one item if unreadable.
 
+    Line breaks and tabs do not count in an address, so one can mark the cuts.
+    """
+    plain = F.translate(F.coalesce(url, F.lit("")), "\t\r\n", "")
+    return F.split(F.regexp_replace(plain, ADDRESS, "\n$1$2\n$3$4\n$5"), "\n")
 
-def _readable(authority: Column) -> Column:
-    return F.contains(authority, F.lit("[")) == F.contains(authority, F.lit("]"))
 
-
-def _host(authority: Column) -> Column:
-    place = F.substring_index(authority, "@", -1)
-    in_brackets = F.substring_index(F.substring_index(place, "[", -1), "]", 1)
-    return F.lower(
-        F.when(F.contains(place, F.lit("[")), in_brackets).otherwise(
-            F.substring_index(place, ":", 1)
-        )
-    )
+def _piece(pieces: Column, place: int) -> Column:
+    return F.coalesce(F.get(pieces, F.lit(place)), F.lit(""))
 
 
 def _decoded(text: Column) -> Column:
@@ -57,27 +48,34 @@ def _decoded(text: Column) -> Column:
 
 def _query_pairs(query: Column) -> Column:
     """Key and value of every ``key=value`` piece; a piece without a value is dropped."""
-    pieces = F.filter(F.split(query, "&"), lambda p: F.rlike(p, F.lit("(?s)=.")))
+    whole = F.filter(F.split(query, "&"), lambda p: F.rlike(p, F.lit("(?s)=.")))
 
     def pair(piece: Column) -> Column:
         key = F.substring_index(piece, "=", 1)
         value = F.substring(piece, F.length(key) + 2, F.length(piece))
         return F.struct(_decoded(key).alias("key"), _decoded(value).alias("value"))
 
-    return F.when(query == "", F.array().cast(NO_QUERY)).otherwise(F.transform(pieces, pair))
+    return F.when(query == "", F.array().cast(NO_QUERY)).otherwise(F.transform(whole, pair))
 
 
-def url_parts(url: Column) -> Column:
-    """``struct<host, path, query>``; host and path lower-cased, all empty if unreadable."""
-    authority, path, query = _pieces(url)
-    plain_path = F.lower(F.regexp_replace(path, r"(?s);[^/]*$", ""))
-    readable = _readable(authority)
+def url_parts(pieces: Column) -> Column:
+    """``struct<host, path, query>`` of ``url_pieces``; all empty if unreadable."""
     return F.struct(
-        F.when(readable, _host(authority)).otherwise("").alias("host"),
-        F.when(readable, plain_path).otherwise("").alias("path"),
-        F.when(readable, _query_pairs(query))
-        .otherwise(F.array().cast(NO_QUERY))
-        .alias("query"),
+        F.lower(_piece(pieces, HOST)).alias("host"),
+        F.lower(_piece(pieces, PATH)).alias("path"),
+        _query_pairs(_piece(pieces, QUERY)).alias("query"),
+    )
+
+
+def on_url(url: Column, test: Callable[[Column], Column]) -> Column:
+    """A test on the parts of an address, which is taken apart once.
+
+    A lambda variable is worked out once per row; the alias of a projection is
+    not, because a filter above it is pushed below it with the expression
+    written out at every use.
+    """
+    return F.exists(
+        F.array(url_pieces(url)), lambda pieces: F.exists(F.array(url_parts(pieces)), test)
     )
 
 
@@ -85,9 +83,15 @@ def any_of(tests: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
+def _literals(texts: Iterable[str]) -> str:
+    return "(?:" + "|".join(r"\Q" + t + r"\E" for t in texts) + ")"
+
+
 def host_test(host: Column, suffixes: Iterable[str], hosts: Iterable[str]) -> Column:
     """Ends in one of the suffixes, or is exactly one of the hosts."""
-    return any_of(F.endswith(host, F.lit(s)) for s in suffixes) | host.isin(list(hosts))
+    suffixes, hosts = list(suffixes), list(hosts)
+    listed = host.isin(hosts) if hosts else F.lit(False)
+    return (F.rlike(host, F.lit(_literals(suffixes) + r"\z")) | listed) if suffixes else listed
 
 
 def query_test(query: Column, keys: Iterable[str], value_pattern: str) -> Column:
@@ -104,5 +108,7 @@ def query_test(query: Column, keys: Iterable[str], value_pattern: str) -> Column
 
 def section_test(host: Column, path: Column, hints: Iterable[str]) -> Column:
     """Host and path together contain one of the hints."""
-    full = F.concat(host, path)
-    return any_of(F.contains(full, F.lit(h)) for h in hints)
+    hints = list(hints)
+    if not hints:
+        return F.lit(False)
+    return F.rlike(F.concat(host, path), F.lit(_literals(hints)))

@@ -17,7 +17,6 @@ from newsloom.functions.language import (
     url_mask,
 )
 from newsloom.functions.times import iso_local, iso_utc, local_day, local_wall, within_local_day
-from newsloom.functions.urls import url_parts
 
 DEFAULT_RULES = (PORTUGUESE,)
 
@@ -28,12 +27,12 @@ def today(feed: DataFrame, as_of: datetime, zone: str = FEED_ZONE) -> DataFrame:
 
 
 def with_language_hits(feed: DataFrame, rules: tuple[LanguageRule, ...]) -> DataFrame:
-    """Adds ``url_hit`` and ``translation_hit``; the URL is taken apart once."""
-    return (
-        feed.withColumn("_url", url_parts(F.col("url")))
-        .withColumn("url_hit", url_mask(F.col("_url"), rules))
-        .withColumn("translation_hit", translation_mask(F.col("translation"), rules))
-        .drop("_url")
+    """Adds ``url_hit`` and ``translation_hit``."""
+    return feed.withColumns(
+        {
+            "url_hit": url_mask(F.col("url"), rules),
+            "translation_hit": translation_mask(F.col("translation"), rules),
+        }
     )
 
 
@@ -50,10 +49,8 @@ def in_languages(
     active = active_rules(wanted, rules)
     if not active:
         return feed
-    return (
-        with_language_hits(feed, active)
-        .filter(F.col("url_hit") | F.col("translation_hit"))
-        .drop("url_hit", "translation_hit")
+    return feed.filter(
+        translation_mask(F.col("translation"), active) | url_mask(F.col("url"), active)
     )
 
 

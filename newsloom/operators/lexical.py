@@ -1,12 +1,11 @@
 """Style signals that can be counted, in the shape of an analysis.
 
-A block is at most some thousand characters, so its analysis is one projection
-without a shuffle; merging, ranking and the context then run on it unchanged.
+Merging, ranking and the context then run on it unchanged.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +19,7 @@ MARKERS = ("aí", "bom", "cara", "então", "né", "porque", "sim", "só", "tipo"
 INTERJECTIONS = ("ah", "eita", "nossa", "oh", "opa", "ué", "uau")
 LEVELS = (0.01, 0.05)
 TOPIC_CHARS = 6
+BLOCK = ["corpus_key", "block_no"]
 LONG_PAUSE = r"(?U)…|\.{3,}|(\p{L})\1{2,}"
 
 
@@ -47,42 +47,62 @@ def pause_share(text: Column) -> Column:
     return F.regexp_count(text, F.lit(LONG_PAUSE)) / F.greatest(F.size(words(text)), F.lit(1))
 
 
-def lexical_analysis(
-    text: Column,
+def _counted(blocks: DataFrame, markers, interjections, max_items: int) -> DataFrame:
+    """``(corpus_key, block_no, kind, place, word, n)``: the words of each block by use.
+
+    Counts are folded on the map side, where a block already is in one place.
+    """
+    word = F.col("word")
+    uses = F.array_compact(
+        F.array(
+            F.when(word.isin(list(markers)), "marker"),
+            F.when(word.isin(list(interjections)), "interjection"),
+            F.when((F.length(word) >= TOPIC_CHARS) & (F.col("n") > 1), "topic"),
+        )
+    )
+    counts = (
+        blocks.select(*BLOCK, F.explode(words(F.lower(F.col("text")))).alias("word"))
+        .groupBy(*BLOCK, "word")
+        .agg(F.count("*").alias("n"))
+        .select(*BLOCK, "word", "n", F.explode(uses).alias("kind"))
+    )
+    window = Window.partitionBy(*BLOCK, "kind").orderBy(F.col("n").desc(), "word")
+    return counts.withColumn("place", F.row_number().over(window)).filter(
+        F.col("place") <= max_items
+    )
+
+
+def lexical_analyses(
+    blocks: DataFrame,
     markers: Sequence[str] = MARKERS,
     interjections: Sequence[str] = INTERJECTIONS,
     max_items: int = fixed.LIST_ITEMS,
-) -> Column:
-    """An analysis struct from counts alone; what cannot be counted is null or empty."""
-    said = words(F.lower(text))
-    total = F.greatest(F.size(said), F.lit(1))
-
-    def times(word: Column) -> Column:
-        return F.size(F.filter(said, lambda w: w == word))
-
-    def most_said(candidates: Column) -> Column:
-        """The candidates that occur, most frequent first, then by word."""
-        counted = F.filter(
-            F.transform(
-                candidates, lambda w: F.struct((-times(w)).alias("rank"), w.alias("word"))
-            ),
-            lambda c: c["rank"] < 0,
-        )
-        return F.slice(F.array_sort(counted), 1, max_items)
+) -> DataFrame:
+    """``(corpus_key, block_no, analysis)`` from counts alone, without any model.
 
-    topics = F.filter(
-        most_said(F.array_distinct(F.filter(said, lambda w: F.length(w) >= TOPIC_CHARS))),
-        lambda c: c["rank"] < -1,
+    What cannot be counted is null or empty. A block gathers at most
+    ``max_items`` words of each kind.
+    """
+    row = F.struct("kind", "place", "word", "n")
+    gathered = (
+        _counted(blocks, markers, interjections, max_items)
+        .groupBy(*BLOCK)
+        .agg(F.array_sort(F.collect_list(row)).alias("said"))
     )
-    marker_list = F.transform(
-        most_said(F.array(*[F.lit(w) for w in markers])),
-        lambda c: F.struct(
-            c["word"].alias("texto"), level(-c["rank"] / total).alias("frequencia_estimada")
-        ),
+    text = F.col("text")
+    shares = blocks.select(
+        *BLOCK,
+        F.size(words(text)).alias("total"),
+        level(caps_share(text)).alias("caps"),
+        level(pause_share(text)).alias("pauses"),
     )
-    nothing = F.lit(None)
-    empty = F.array()
-    return F.struct(
+
+    def of_kind(kind: str, shape: Callable[[Column], Column]) -> Column:
+        mine = F.filter(F.col("said"), lambda r: r["kind"] == kind)
+        return F.coalesce(F.transform(mine, shape), F.array())
+
+    nothing, empty = F.lit(None), F.array()
+    analysis = F.struct(
         nothing.alias("tom"),
         nothing.alias("humor"),
         nothing.alias("ritmo"),
@@ -91,29 +111,25 @@ def lexical_analysis(
         empty.alias("gatilhos_comicos"),
         empty.alias("moldes_frasais"),
         empty.alias("vicios_expressao"),
-        marker_list.alias("marcadores_discurso"),
+        of_kind(
+            "marker",
+            lambda r: F.struct(
+                r["word"].alias("texto"),
+                level(r["n"] / F.col("total")).alias("frequencia_estimada"),
+            ),
+        ).alias("marcadores_discurso"),
         empty.alias("bordoes"),
-        F.transform(
-            most_said(F.array(*[F.lit(w) for w in interjections])),
-            lambda c: F.struct(c["word"].alias("texto")),
-        ).alias("interjeicoes"),
-        F.transform(topics, lambda c: F.struct(c["word"].alias("tema"))).alias(
+        of_kind("interjection", lambda r: F.struct(r["word"].alias("texto"))).alias(
+            "interjeicoes"
+        ),
+        of_kind("topic", lambda r: F.struct(r["word"].alias("tema"))).alias(
             "temas_recorrentes"
         ),
-        F.struct(
-            level(caps_share(text)).alias("caixa_alta"),
-            level(pause_share(text)).alias("pausas_elongadas"),
-        ).alias("pontuacoes_enfase"),
+        F.struct(F.col("caps").alias("caixa_alta"), F.col("pauses").alias("pausas_elongadas")),
         empty.alias("exemplos_representativos"),
         nothing.alias("confianca_global"),
     ).cast(ANALYSIS_TYPE)
-
-
-def lexical_analyses(blocks: DataFrame, **options) -> DataFrame:
-    """``(corpus_key, block_no, analysis)`` without any model."""
-    return blocks.select(
-        "corpus_key", "block_no", lexical_analysis(F.col("text"), **options).alias("analysis")
-    )
+    return shares.join(gathered, BLOCK, "left").select(*BLOCK, analysis.alias("analysis"))
 
 
 def recurrent_phrases(
@@ -124,13 +140,16 @@ def recurrent_phrases(
     A text sends each of its phrases once; counts are folded before both the
     shuffle by phrase and the one by corpus.
     """
-    said = words(F.lower(F.col("text")))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("_said") - (size - 1), F.lit(1)))
-    grams = F.transform(starts, lambda i: F.concat_ws(" ", F.slice("_said", i, F.lit(size))))
+    said = F.col("_said")
+    count = F.greatest(F.size(said) - (size - 1), F.lit(0))
+    phrase = F.slice(said, F.lit(1), count)
+    for place in range(2, size + 1):
+        phrase = F.zip_with(
+            phrase, F.slice(said, F.lit(place), count), lambda a, b: F.concat_ws(" ", a, b)
+        )
     phrases = (
-        texts.withColumn("_said", said)
-        .filter(F.size("_said") >= size)
-        .select("corpus_key", F.explode(F.array_distinct(grams)).alias("phrase"))
+        texts.select("corpus_key", words(F.lower(F.col("text"))).alias("_said"))
+        .select("corpus_key", F.explode(F.array_distinct(phrase)).alias("phrase"))
         .groupBy("corpus_key", "phrase")
         .agg(F.count("*").alias("texts"))
         .filter(F.col("texts") >= least_texts)

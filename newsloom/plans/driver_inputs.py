@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import os
 import zipfile
 from collections.abc import Iterator
 
@@ -26,8 +27,14 @@ SPANISH = LanguageRule(
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return utc_session(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A test table. ``spread`` is for work that is heavy per row: the one local file
+    of a small table is one task's work otherwise. A folder of files is left alone."""
+    path = f"{sf_dir}/{name}.parquet"
+    rows = utc_session(spark).read.parquet(path)
+    if spread and os.path.isfile(path):
+        return rows.repartition(spark.sparkContext.defaultParallelism)
+    return rows
 
 
 def by_value(value: Column, cases: dict[str, str], other: str = "") -> Column:
@@ -40,7 +47,7 @@ def by_value(value: Column, cases: dict[str, str], other: str = "") -> Column:
 
 def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a feed row. Addresses repeat, and many are empty."""
-    events = table(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events", spread=True)
     kind, value = F.col("event_type"), F.col("value")
     host = by_value(
         kind,
@@ -125,7 +132,7 @@ def packed_feed(feed: DataFrame) -> DataFrame:
 
 def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as corpora by source."""
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", spread=True).select(
         F.col("source").alias("corpus_key"),
         F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("file_name"),
         "text",
@@ -135,7 +142,7 @@ def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def turn_analyses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as responses: the words of a turn are markers, those that
     end a sentence are topics. One corpus per role."""
-    turns = table(spark, sf_dir, "conversations")
+    turns = table(spark, sf_dir, "conversations", spread=True)
     said = F.split("text", r"\s+")
     response = F.struct(
         F.col("role").alias("tom"),

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import pages as page_functions
 from newsloom.functions import prompts as prompt_functions
-from newsloom.functions import style, times, urls, videos
+from newsloom.functions import language, style, times, urls, videos
 from newsloom.functions.cleaning import clean_text
-from newsloom.functions.language import in_brazil, source_language, url_mask
+from newsloom.functions.language import in_brazil, source_language
 from newsloom.operators import (
     articles,
     corpus,
@@ -153,7 +153,7 @@ def local_wall_clock(spark, sf_dir):
 
 def _page_parts(spark, sf_dir):
     return table(spark, sf_dir, "pages").select(
-        "page_id", urls.url_parts(F.col("url")).alias("parts")
+        "page_id", urls.url_parts(urls.url_pieces(F.col("url"))).alias("parts")
     )
 
 
@@ -176,7 +176,12 @@ def _masked(test: Callable[[Column], Column], name: str) -> Query:
 host_mask = _masked(SPANISH.host_hit, "host_mask")
 query_mask = _masked(SPANISH.query_hit, "query_mask")
 section_mask = _masked(SPANISH.section_hit, "section_mask")
-any_mask = _masked(lambda parts: url_mask(parts, (SPANISH,)), "url_mask")
+
+
+@query
+def url_mask(spark, sf_dir):
+    hit = language.url_mask(F.col("url"), (SPANISH,))
+    return table(spark, sf_dir, "pages").select("page_id", hit.alias("hit"))
 
 
 @query
@@ -265,7 +270,7 @@ def filter_funnel_by_day(spark, sf_dir):
 
 @query
 def page_title_lang(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select(
+    return table(spark, sf_dir, "pages", spread=True).select(
         "page_id",
         page_functions.page_title(F.col("html")).alias("title"),
         page_functions.page_language(F.col("html")).alias("lang"),
@@ -274,14 +279,14 @@ def page_title_lang(spark, sf_dir):
 
 @query
 def page_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select(
+    return table(spark, sf_dir, "pages", spread=True).select(
         "page_id", page_functions.page_text(F.col("html")).alias("text")
     )
 
 
 @query
 def page_status(spark, sf_dir):
-    pages = articles.page_articles(table(spark, sf_dir, "pages"), min_chars=1000)
+    pages = articles.page_articles(table(spark, sf_dir, "pages", spread=True), min_chars=1000)
     return pages.select("page_id", "fetch_status")
 
 
@@ -447,7 +452,7 @@ def clean_texts(spark, sf_dir):
         F.col("text"),
         F.lit("\n[ __ ] [risos] 12:345 [Aplausos\n] 9:59"),
     )
-    return table(spark, sf_dir, "documents").select("doc_id", clean_text(marked).alias("text"))
+    return table(spark, sf_dir, "documents", spread=True).select("doc_id", clean_text(marked).alias("text"))
 
 
 @query
@@ -565,7 +570,7 @@ def style_context(spark, sf_dir):
 def style_score(spark, sf_dir):
     phrases = F.array(*[F.lit(p) for p in CATCHPHRASES])
     avoided = F.array(*[F.lit(w) for w in AVOIDED])
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", spread=True).select(
         "doc_id",
         style.style_score(F.col("text"), phrases, avoided, F.lit(0.5), F.lit(0.25)).alias("score"),
     )
@@ -573,7 +578,7 @@ def style_score(spark, sf_dir):
 
 def _edited(edit: Callable[[Column], Column], name: str) -> Query:
     def run(spark, sf_dir):
-        docs = table(spark, sf_dir, "documents")
+        docs = table(spark, sf_dir, "documents", spread=True)
         return docs.select("doc_id", edit(F.col("text")).alias("text"))
 
     run.__name__ = name
@@ -592,7 +597,7 @@ outline = _edited(style.outline, "outline")
 @query
 def lexical_profile(spark, sf_dir):
     text = F.col("text")
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", spread=True).select(
         "doc_id",
         F.size(lexical.words(text)).alias("n_words"),
         F.round(lexical.caps_share(text), 6).alias("caps_share"),
@@ -603,7 +608,7 @@ def lexical_profile(spark, sf_dir):
 @query
 def lexical_books(spark, sf_dir):
     """Blocks, counted signals and merging, without any model."""
-    turns = table(spark, sf_dir, "conversations").select(
+    turns = table(spark, sf_dir, "conversations", spread=True).select(
         F.col("role").alias("corpus_key"),
         (F.col("conv_id") * 100 + F.col("turn")).alias("block_no"),
         "text",
@@ -692,12 +697,12 @@ def text_sink(spark, sf_dir):
 
 @query
 def link_sink(spark, sf_dir):
-    """Link lists written per channel and kind and read back line by line."""
+    """Link lists written per kind and read back line by line."""
     path = scratch_path(spark, "links")
     links = video_operators.channel_links(_listing(spark, sf_dir), "both", 3)
-    sinks.write_links(links.withColumn("kind", F.lit("both")), path)
+    sinks.write_links(links.withColumn("kind", F.lit("both")), path, by=("kind",))
     return (
-        texts.link_lines(spark, f"{path}/*/*")
+        texts.link_lines(spark, f"{path}/*")
         .groupBy("url")
         .agg(F.count("*").alias("links"))
         .select("url", videos.video_id(F.col("url")).alias("video"), "links")

@@ -49,8 +49,12 @@ def write_json_documents(
     json_documents(table, keys, document).write.mode("overwrite").parquet(path)
 
 
-def write_links(links: DataFrame, path: str) -> None:
-    """One folder per channel and kind, one link per line."""
-    links.select("channel", "kind", "url").write.mode("overwrite").partitionBy(
-        "channel", "kind"
-    ).text(path)
+def write_links(
+    links: DataFrame, path: str, by: tuple[str, ...] = ("channel", "kind")
+) -> None:
+    """One link per line, in one folder per channel and kind.
+
+    With very many channels give ``by=("kind",)``: files then number with the
+    data, not with the channels.
+    """
+    links.select(*by, "url").write.mode("overwrite").partitionBy(*by).text(path)
