@@ -41,57 +41,36 @@ LIST_PARTS = {
     "temas_recorrentes": ["tema"],
     "exemplos_representativos": [],
 }
+KEY_MARK = "\x1f"  # between the parts of a key
 UNWEIGHTED = {"vicios_expressao", "exemplos_representativos"}
 
 
-def _same(value: Column) -> Column:
-    return F.lower(F.btrim(F.coalesce(value, F.lit(""))))
-
-
-def _items(name: str) -> Column:
-    """One list of an analysis as items of the common shape."""
-    keys, parts = LIST_KEYS[name], LIST_PARTS[name]
-    nothing = F.lit(None).cast("string")
-
-    def item(value: Column, pos: Column) -> Column:
-        bare = not parts
-        key = F.concat_ws("\x1f", *[_same(value if bare else value[k]) for k in (keys or [""])])
-        said = [
-            (value if bare and p == "exemplo" else value[p] if p in parts else nothing).alias(p)
-            for p in ITEM_PARTS
-        ]
-        marks = (
-            value["marcadores_lexicais"]
-            if "marcadores_lexicais" in parts
-            else F.lit(None).cast("array<string>")
-        )
-        return F.struct(
-            F.lit(name).alias("list"),
-            pos.alias("pos"),
-            key.alias("key"),
-            F.struct(*said, marks.alias("marcadores_lexicais")).alias("item"),
-        )
-
-    return F.transform(F.col("analysis")[name], item)
+def _items(name: str) -> str:
+    """One list of an analysis as items of the common shape (an SQL expression)."""
+    parts = LIST_PARTS[name]
+    keys = [f"x.{k}" for k in LIST_KEYS[name]] or ["x"]
+    same = ", ".join(f"lower(trim(coalesce({k}, '')))" for k in keys)
+    said = {p: f"x.{p}" if p in parts else "cast(null AS string)" for p in ITEM_PARTS}
+    if not parts:
+        said["exemplo"] = "x"
+    fields = ", ".join(f"'{p}', {value}" for p, value in said.items())
+    marks = "x.marcadores_lexicais" if "marcadores_lexicais" in parts else "null"
+    return (
+        f"transform(analysis.{name}, (x, i) -> named_struct('list', '{name}', 'pos', i, "
+        f"'key', concat_ws('{KEY_MARK}', {same}), 'item', named_struct({fields}, "
+        f"'marcadores_lexicais', cast({marks} AS array<string>))))"
+    )
 
 
 def exploded_items(analyses: DataFrame) -> DataFrame:
-    """``(corpus_key, block_no, list, pos, key, item)`` of all lists; empty keys go."""
-    every = F.flatten(
-        F.array(*[F.coalesce(_items(n), F.array().cast(_items_type())) for n in LIST_KEYS])
-    )
-    rows = analyses.filter(F.col("analysis").isNotNull()).select(
-        "corpus_key", "block_no", F.inline(every)
-    )
-    return rows.filter(F.replace(F.col("key"), F.lit("\x1f"), F.lit("")) != "")
-
+    """``(corpus_key, block_no, list, pos, key, item)`` of all lists; empty keys go.
 
-def _items_type() -> str:
-    said = ",".join(f"{p}:string" for p in ITEM_PARTS)
-    return (
-        "array<struct<list:string,pos:int,key:string,"
-        f"item:struct<{said},marcadores_lexicais:array<string>>>>"
-    )
+    There is no filter on ``analysis``: it would be pushed below its parsing
+    and parse twice. A null one has no items.
+    """
+    every = ", ".join(f"coalesce({_items(n)}, array())" for n in LIST_KEYS)
+    rows = analyses.select("corpus_key", "block_no", F.expr(f"inline(concat({every}))"))
+    return rows.filter(F.replace(F.col("key"), F.lit(KEY_MARK), F.lit("")) != "")
 
 
 def ranked_items(
@@ -128,8 +107,7 @@ def scalar_views(analyses: DataFrame) -> DataFrame:
         for n in EMPHASIS
     ]
     views = (
-        analyses.filter(F.col("analysis").isNotNull())
-        .select("corpus_key", "block_no", F.inline(F.array(*said)))
+        analyses.select("corpus_key", "block_no", F.inline(F.array(*said)))
         .filter(F.col("value").isNotNull())
         .groupBy("corpus_key", "field", "value")
         .agg(F.count("*").alias("blocks"), F.min("block_no").alias("first"))
@@ -167,12 +145,12 @@ def fused_scalars(analyses: DataFrame) -> DataFrame:
         ],
     )
     totals = (
-        analyses.filter(F.col("analysis").isNotNull())
-        .groupBy("corpus_key")
+        analyses.groupBy("corpus_key")
         .agg(
-            F.count("*").alias("partials"),
+            F.count("analysis").alias("partials"),
             F.avg("analysis.confianca_global").alias("confianca_global"),
         )
+        .filter(F.col("partials") > 0)
     )
     return totals.join(wide, "corpus_key", "left").select(
         "corpus_key",
@@ -183,26 +161,23 @@ def fused_scalars(analyses: DataFrame) -> DataFrame:
     )
 
 
-def _book_list(name: str) -> Column:
-    """One list of the book from the gathered items of a corpus."""
-    mine = F.filter(F.col("items"), lambda r: r["list"] == name)
+def _book_list(name: str) -> str:
+    """One list of the book from the gathered items of a corpus (an SQL expression)."""
     parts = LIST_PARTS[name]
-
-    def entry(row: Column) -> Column:
-        if not parts:
-            return row["item"]["exemplo"]
-        said = [row["item"][p].alias(p) for p in parts]
-        if name not in UNWEIGHTED:
-            said.append((row["recurrence"] / F.col("partials")).alias("peso"))
-        return F.struct(*said)
-
-    return F.transform(mine, entry).alias(name)
+    said = [f"'{p}', x.item.{p}" for p in parts]
+    if name not in UNWEIGHTED:
+        said.append("'peso', x.recurrence / partials")
+    entry = f"named_struct({', '.join(said)})" if parts else "x.item.exemplo"
+    return f"transform(filter(items, x -> x.list = '{name}'), x -> {entry})"
 
 
 def style_books(
     analyses: DataFrame, as_of: datetime, max_items: int = fixed.LIST_ITEMS
 ) -> DataFrame:
-    """``(corpus_key, book)``: one style book per corpus, stamped."""
+    """``(corpus_key, book)``: one style book per corpus, stamped.
+
+    Reads ``analyses`` three times; give a table that has been written.
+    """
     if as_of.tzinfo is None:
         raise ValueError("as_of needs a time zone")
     made = as_of.astimezone(timezone.utc).replace(tzinfo=None).isoformat()
@@ -212,32 +187,22 @@ def style_books(
         .groupBy("corpus_key")
         .agg(F.array_sort(F.collect_list(row)).alias("items"))
     )
-    whole = fused_scalars(analyses).join(gathered, "corpus_key", "left").withColumn(
-        "items", F.coalesce("items", F.array().cast(_ranked_type()))
-    )
+    whole = fused_scalars(analyses).join(gathered, "corpus_key", "left")
     fields = {
-        **{n: F.col(n) for n in SCALARS},
-        **{n: _book_list(n) for n in LIST_KEYS},
-        "pontuacoes_enfase": F.struct(*EMPHASIS),
-        "observacoes": F.col("observacoes"),
-        "confianca_global": F.col("confianca_global"),
-        "versao": F.lit(fixed.STYLE_VERSION),
-        "gerado_em": F.lit(made),
-        "_fonte": F.lit(fixed.STYLE_SOURCE),
+        **{n: n for n in SCALARS},
+        **{n: f"coalesce({_book_list(n)}, array())" for n in LIST_KEYS},
+        "pontuacoes_enfase": f"struct({', '.join(EMPHASIS)})",
+        "observacoes": "observacoes",
+        "confianca_global": "confianca_global",
+        "versao": f"'{fixed.STYLE_VERSION}'",
+        "gerado_em": f"'{made}'",
+        "_fonte": f"'{fixed.STYLE_SOURCE}'",
     }
     names = T.DataType.fromDDL(BOOK_TYPE).names
-    book = F.struct(*[fields[n].alias(n) for n in names])
+    book = F.expr(f"named_struct({', '.join(f'{n!r}, {fields[n]}' for n in names)})")
     return whole.select("corpus_key", book.cast(BOOK_TYPE).alias("book"))
 
 
-def _ranked_type() -> str:
-    said = ",".join(f"{p}:string" for p in ITEM_PARTS)
-    return (
-        "array<struct<list:string,place:int,recurrence:bigint,"
-        f"item:struct<{said},marcadores_lexicais:array<string>>>>"
-    )
-
-
 def stamped(books: DataFrame, as_of: datetime) -> DataFrame:
     """Stamp books that came from elsewhere: version and origin only where absent."""
     made = as_of.astimezone(timezone.utc).replace(tzinfo=None).isoformat()

@@ -534,9 +534,17 @@ def fuse_scalars(spark, sf_dir):
     return fusion.fused_scalars(document_analyses(spark, sf_dir))
 
 
+def _stored_analyses(spark, answered: DataFrame) -> DataFrame:
+    """Parsed once, as the style job does."""
+    path = scratch_path(spark, "analyses")
+    rows = responses.parsed(answered).drop("response")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 @query
 def style_books(spark, sf_dir):
-    analysed = responses.parsed(turn_analyses(spark, sf_dir))
+    analysed = _stored_analyses(spark, turn_analyses(spark, sf_dir))
     books = fusion.style_books(analysed, AS_OF)
     weights = F.transform("book.marcadores_discurso", lambda m: F.round(m["peso"], 6).cast("string"))
     return books.select(
@@ -554,7 +562,7 @@ def style_books(spark, sf_dir):
 
 @query
 def style_context(spark, sf_dir):
-    analysed = responses.parsed(turn_analyses(spark, sf_dir))
+    analysed = _stored_analyses(spark, turn_analyses(spark, sf_dir))
     books = fusion.style_books(analysed, AS_OF, max_items=40)
     context = books.select("corpus_key", style.style_context(F.col("book")).alias("c"))
     return context.select(
@@ -723,7 +731,7 @@ def document_analyses_full(spark, sf_dir):
     """Scalars of documents in the whole analysis shape."""
     rows = document_analyses(spark, sf_dir)
     body = F.to_json("analysis")
-    return responses.parsed(rows.withColumn("response", body).drop("analysis"))
+    return _stored_analyses(spark, rows.withColumn("response", body).drop("analysis"))
 
 
 # ---- streams -----------------------------------------------------------------------------------

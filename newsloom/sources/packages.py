@@ -73,16 +73,20 @@ def _read_package(path: str, content: bytes) -> Iterator[list]:
 
 def _read_packages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     csv.field_size_limit(2**31 - 1)
+    ready: list[list] = []
     for files in batches:
         for path, content in zip(files["path"], files["content"]):
-            rows: list[list] = []
             try:
-                rows.extend(_read_package(path, content))
+                rows = list(_read_package(path, content))
             except Exception as problem:  # any fault rejects the whole package
                 reason = f"{type(problem).__name__}: {problem}"
                 rows = [[path, None, None, reason, *([None] * len(POSITIONS))]]
-            for at in range(0, len(rows), ROWS_PER_BATCH):
-                yield pd.DataFrame(rows[at : at + ROWS_PER_BATCH], columns=RAW_COLUMNS)
+            ready.extend(rows)
+            while len(ready) >= ROWS_PER_BATCH:
+                yield pd.DataFrame(ready[:ROWS_PER_BATCH], columns=RAW_COLUMNS)
+                del ready[:ROWS_PER_BATCH]
+    if ready:
+        yield pd.DataFrame(ready, columns=RAW_COLUMNS)
 
 
 def read_packages(files: DataFrame) -> DataFrame:
