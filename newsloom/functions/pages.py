@@ -19,7 +19,7 @@ from newsloom.functions.cleaning import BLANK, fold_blanks, strip
 
 COMMENT = r"(?s)<!--.*?-->"
 ASIDE = (
-    r"(?is)<(script|style|noscript|template|svg|head|nav|aside|header|footer|form)\b[^>]*>"
+    r"(?is)<(script|style|noscript|template|svg|head|title|nav|aside|header|footer|form)\b[^>]*>"
     r".*?</\1\s*>"
 )
 ARTICLE = r"(?is)<article\b[^>]*>(.*)</article\s*>"

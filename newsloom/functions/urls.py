@@ -18,7 +18,8 @@ NO_QUERY = "array<struct<key:string,value:string>>"
 
 # One pass over the address. Groups: host in brackets or plain host, path behind a
 # host or without one (up to the parameters of its last segment), query. Brackets
-# other than around the whole host match nothing.
+# other than around the whole host match nothing. Parameters are cut from every
+# path, as is right for web addresses.
 ADDRESS = (
     r"^[\x00-\x20]*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?+"
     r"(?://(?:[^\[\]/?#]*@)?(?:\[([^\]/?#]*)\](?::[^/?#]*)?|([^:\[\]/?#]*)(?::[^\[\]/?#]*)?)"
@@ -30,7 +31,7 @@ HOST, PATH, QUERY = 1, 2, 3
 
 
 def url_pieces(url: Column) -> Column:
-    """``['', host, path, query]`` in lower case but for the query, or one item if unreadable.
+    """``['', host, path, query]`` as written, or one item if unreadable.
 
     Line breaks and tabs do not count in an address, so one can mark the cuts.
     """

@@ -10,11 +10,8 @@ FEED_FORMATS = ("json", "parquet", "csv")
 
 def epoch_millis(feed: DataFrame) -> DataFrame:
     """Instants as epoch milliseconds, the way the JSON lines carry them."""
-    out = feed
-    for name in ("date_utc", "date_local"):
-        if name in feed.columns:
-            out = out.withColumn(name, F.unix_millis(F.col("date_utc")))
-    return out
+    dates = [name for name in ("date_utc", "date_local") if name in feed.columns]
+    return feed.withColumns({name: F.unix_millis(F.col("date_utc")) for name in dates})
 
 
 def write_feed(feed: DataFrame, path: str, fmt: str = "parquet", by: str = "local_day") -> None:

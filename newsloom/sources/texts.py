@@ -12,24 +12,24 @@ from newsloom.operators.responses import BOOK_TYPE
 
 
 def _file_name() -> Column:
-    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    """The name of the file a row is from; Spark gives it percent-encoded."""
+    encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
+    return F.url_decode(encoded).alias("file_name")
 
 
 def text_files(spark: SparkSession, folder: str) -> DataFrame:
     """``(file_name, text)`` of every ``*.txt``; bytes that are not UTF-8 are left out."""
     files = spark.read.option("pathGlobFilter", "*.txt").text(folder, wholetext=True)
     valid = F.replace(F.make_valid_utf8(F.col("value")), F.lit("�"), F.lit(""))
-    return files.select(
-        F.col("_metadata.file_name").alias("file_name"), valid.alias("text")
-    )
+    return files.select(_file_name(), valid.alias("text"))
 
 
 def link_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(file_name, url)``, stripped, no blank lines."""
     lines = spark.read.text(path)
-    return lines.select(
-        F.col("_metadata.file_name").alias("file_name"), strip(F.col("value")).alias("url")
-    ).filter(F.col("url") != "")
+    return lines.select(_file_name(), strip(F.col("value")).alias("url")).filter(
+        F.col("url") != ""
+    )
 
 
 def channel_lines(
