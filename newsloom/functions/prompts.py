@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsloom.fixed_values import LIST_ITEMS_FLOOR, STYLE_LANGUAGE
+from newsloom.fixed_values import STYLE_LANGUAGE
 
 # {{name}}, {{name|default}}, ${name}, $name and $$.
 MARK = re.compile(r"\{\{(\w+)(?:\|([^}]+))?\}\}|\$(?:(\$)|\{(\w+)\}|([A-Za-z_]\w*))")
@@ -67,13 +67,3 @@ Campos:
 Trecho:
 {{trecho}}
 """ % STYLE_LANGUAGE
-
-MERGE_TEMPLATE = """\
-Junte as análises abaixo, todas da mesma pessoa, em um único objeto JSON em {{idioma|%s}}.
-Una itens iguais sem olhar caixa nem espaços das pontas, ponha antes o que mais se repete,
-não acrescente nada e fique em até {{max_itens|%d}} itens por lista, cada um com seu peso.
-Onde as análises discordam, fique com o consenso e anote o resto em observacoes.
-
-Análises:
-{{analises}}
-""" % (STYLE_LANGUAGE, LIST_ITEMS_FLOOR)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.fixed_values import ARTICLE_LIMIT, ARTICLE_MIN_CHARS
 from newsloom.functions.pages import page_language, page_text, page_title, text_status
-from newsloom.operators.feed import first_per_key, newest
+from newsloom.operators.feed import newest
 
 # A hint to broadcast is given only up to this many rows; the parameter bounds
 # them, not the data. Beyond it Spark picks the join by size.
@@ -37,14 +37,17 @@ def enrich_newest(
 ) -> DataFrame:
     """Text for the newest ``n`` rows, nulls for the rest; the feed has one row per URL.
 
-    The big pages table is cut by the n URLs without a shuffle, and only those
-    pages are taken apart. The feed itself meets at most n rows, so it is not
-    shuffled either. Give a feed that has been written: it is read twice, once
-    for the order columns only.
+    Of a URL stored many times the copy with the least ``page_id`` counts; it is
+    found on the two narrow columns, so no page text is sorted or shuffled.
+    The wide pages are then cut by at most n keys, and only those are taken
+    apart. Give a feed that has been written: it is read twice, once for the
+    order columns only.
     """
     urls = newest(feed, n).select("url")
-    wanted = pages.join(_small(urls, n), "url", "left_semi").select("page_id", "url", "html")
-    found = page_articles(first_per_key(wanted, ["url"], ["page_id"]), min_chars).drop("page_id")
+    copies = pages.select("url", "page_id").join(_small(urls, n), "url", "left_semi")
+    chosen = copies.groupBy("url").agg(F.min("page_id").alias("page_id"))
+    wanted = pages.select("url", "page_id", "html").join(_small(chosen, n), ["url", "page_id"])
+    found = page_articles(wanted, min_chars).drop("page_id").dropDuplicates(["url"])
     small = urls.join(found, "url", "left").withColumn(
         "fetch_status", F.coalesce("fetch_status", F.lit("fetch-failed"))
     )

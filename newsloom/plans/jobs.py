@@ -64,14 +64,14 @@ def run_feed(
     """Today's news from landed packages, with article text when ``pages`` is given.
 
     Packages are opened once: their rows are stored before the several uses.
-    Only packages whose name lies in the UTC dates of the local day are listed.
+    Only packages named after the UTC dates of the manifest are listed.
     """
     utc_session(spark)
     expected = manifest(spark, as_of, zone, window_minutes)
-    start, end = (t.astimezone(timezone.utc) for t in day_bounds(as_of, zone))
-    days = sorted({(start + timedelta(hours=h)).strftime("%Y%m%d") for h in range(0, 26)})
-    days = [d for d in days if d <= end.strftime("%Y%m%d")]
-    pattern = "{" + ",".join(days) + "}*" + fixed.PACKAGE_SUFFIX
+    first = min(day_bounds(as_of, zone)[0], as_of - timedelta(minutes=window_minutes + 15))
+    first, last = first.astimezone(timezone.utc), as_of.astimezone(timezone.utc)
+    days = [(first + timedelta(days=i)) for i in range((last.date() - first.date()).days + 1)]
+    pattern = "{" + ",".join(f"{d:%Y%m%d}" for d in days) + "}*" + fixed.PACKAGE_SUFFIX
     landed = package_files(spark, packages, pattern=pattern).withColumn(
         "slot", package_stamp(F.col("path"))
     )

@@ -54,6 +54,18 @@ def test_only_the_days_present_are_replaced(spark, feed, tmp_path):
     assert sorted(r.url for r in spark.read.parquet(path).collect()) == ["", "u2", "u2"]
 
 
+def test_newest_first_in_the_files(spark, feed, tmp_path):
+    rows = feed.filter("url = 'u1'").select("source", "date_utc", "local_day")
+    many = rows.crossJoin(spark.range(50)).select(
+        F.concat(F.lit("u"), "id").alias("url"), "source", "local_day",
+        (F.col("date_utc") - F.make_dt_interval(mins=F.pmod(F.hash("id"), F.lit(60)))).alias("date_utc"),
+    )
+    sinks.write_feed(many.repartition(4), str(tmp_path / "f"), "json")
+    parts = sorted(glob.glob(f"{tmp_path}/f/*/part-*"))
+    dates = [json.loads(line)["date_utc"] for f in parts for line in open(f, encoding="utf-8")]
+    assert len(dates) == 50 and dates == sorted(dates, reverse=True)
+
+
 def test_empty_feed(spark, feed, tmp_path):
     sinks.write_feed(feed.filter("false"), str(tmp_path / "f"), "json")
     assert read_lines(tmp_path / "f") == []
