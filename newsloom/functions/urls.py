@@ -35,7 +35,9 @@ def url_pieces(url: Column) -> Column:
 
     Line breaks and tabs do not count in an address, so one can mark the cuts.
     """
-    plain = F.translate(F.coalesce(url, F.lit("")), "\t\r\n", "")
+    given = F.coalesce(url, F.lit(""))
+    broken = any_of(F.contains(given, F.lit(mark)) for mark in "\t\r\n")
+    plain = F.when(broken, F.translate(given, "\t\r\n", "")).otherwise(given)
     return F.split(F.regexp_replace(plain, ADDRESS, "\n$1$2\n$3$4\n$5"), "\n")
 
 
