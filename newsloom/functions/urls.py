@@ -21,11 +21,11 @@ NO_QUERY = "array<struct<key:string,value:string>>"
 # other than around the whole host match nothing. Parameters are cut from every
 # path, as is right for web addresses.
 ADDRESS = (
-    r"^[\x00-\x20]*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?+"
+    r"(?s)^[\x00-\x20]*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?+"
     r"(?://(?:[^\[\]/?#]*@)?(?:\[([^\]/?#]*)\](?::[^/?#]*)?|([^:\[\]/?#]*)(?::[^\[\]/?#]*)?)"
     r"((?:/(?:[^?#]*/)?[^;/?#]*)?)"
     r"|(?!//)((?:[^?#]*/)?[^;/?#]*))"
-    r"(?:;[^/?#]*)?(?:\?([^#]*))?(?:#.*)?$"
+    r"(?:;[^/?#]*)?(?:\?([^#]*))?(?:#.*)?\z"
 )
 HOST, PATH, QUERY = 1, 2, 3
 

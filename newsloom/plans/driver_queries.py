@@ -47,7 +47,7 @@ FEED_FIELDS = ["url", "source", "slot", "row_no", "date_local_iso", "date_utc_is
 CATCHPHRASES = ["que les", "of the", "de la", "und der"]
 AVOIDED = ["tion on", "eau les", "ción", "ung"]
 NEGATIVES = ["de la", "OF THE", "eau.", "und"]
-INSERTED = ["né, cara?", "relaxa!", "sabe?"]
+INSERTED = ["né, cara?", "escuta!", "sabe?"]
 PROMPT = (
     "Idioma {{idioma|pt-BR}}, até {{max_itens|10}} itens, {{nada}}{{falta|sem nota}}.\n"
     "Trecho $$ ${max_itens}:\n{{trecho}}\nFim ${outro}"

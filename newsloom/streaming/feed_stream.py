@@ -8,8 +8,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.fixed_values import SLOT_MINUTES
+from newsloom.fixed_values import FEED_ZONE, PT_CODE, SLOT_MINUTES
+from newsloom.functions.language import PORTUGUESE, LanguageRule
 from newsloom.functions.times import slot_stamp
+from newsloom.operators.feed import about_brazil, in_languages, with_dates
 from newsloom.sources.packages import feed_rows, package_files, read_packages
 
 
@@ -76,3 +78,22 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, *by: str) -> No
         .start()
     )
     query.awaitTermination()
+
+
+def run_news(
+    spark: SparkSession,
+    packages: str,
+    out: str,
+    checkpoint: str,
+    zone: str = FEED_ZONE,
+    wanted: frozenset[str] = frozenset({PT_CODE}),
+    brazil: bool = False,
+    rules: tuple[LanguageRule, ...] = (PORTUGUESE,),
+    delay: str = "1 day",
+) -> None:
+    """Take up the packages landed since the last run: filter, one row per URL, append by day."""
+    rows = in_languages(feed_stream(spark, packages), wanted, rules)
+    if brazil:
+        rows = about_brazil(rows)
+    news = with_dates(first_arrivals(rows, delay), zone)
+    run_available(news, out, checkpoint, "local_day")

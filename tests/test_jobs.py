@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 
 import pytest
 
+from newsloom import __main__ as command
 from newsloom.plans import jobs
 
 AS_OF = datetime(2025, 8, 25, 5, 7, tzinfo=timezone.utc)
@@ -98,3 +99,27 @@ def test_transcript_and_style_jobs(spark, tmp_path):
     assert "_erro_parse_json" in partials[2] and '"tom":"leve"' in partials[1]
     context = spark.read.parquet(f"{base}/contexts").first().json
     assert '"bordoes":["oi"]' in context and '"pausas":null' in context
+
+
+def test_command_line(spark, landing, tmp_path):
+    out = str(tmp_path / "news")
+    command.run(spark, ["feed", "--packages", landing, "--out", out, "--as-of", "2025-08-25T05:07",
+                        "--languages", "--format", "csv"])
+    back = spark.read.option("header", "true").csv(out)
+    assert sorted(r.url for r in back.collect()) == ["http://a.pt/", "http://b.com/", "http://x.com/"]
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "a.txt").write_text("0:01 Oi\n\ntudo")
+    (raw / "b.txt").write_text("[risos] bem")
+    base = str(tmp_path / "style")
+    command.run(spark, ["clean", "--texts", str(raw), "--out", f"{base}/clean"])
+    assert sorted(r.text for r in spark.read.parquet(f"{base}/clean").collect()) == ["Oi tudo", "bem"]
+    command.run(spark, ["prompts", "--texts", str(raw), "--corpus", "k", "--out", base,
+                        "--clean-first", "--max-items", "9"])
+    prompt = spark.read.parquet(f"{base}/prompts").first()
+    assert prompt.corpus_key == "k" and "Oi tudo\n\nbem" in prompt.prompt and "9 itens" in prompt.prompt
+    answers = spark.createDataFrame([("k", 1, '{"tom": "x"}')], "corpus_key string, block_no long, response string")
+    answers.write.parquet(f"{base}/answers")
+    command.run(spark, ["books", "--blocks", f"{base}/blocks", "--responses", f"{base}/answers", "--out", base])
+    assert '"tom":"x"' in spark.read.parquet(f"{base}/books").first().json

@@ -72,3 +72,16 @@ def test_repeats_are_thinned_before_the_shuffle(spark):
     rows = spark.createDataFrame([("", i) for i in range(50)] + [("a", 1)], "url string, n int")
     thin = feed_stream.thin_repeats(rows.repartition(2), "url").collect()
     assert {r.url for r in thin} == {"", "a"} and len(thin) <= 4
+
+
+def test_news_are_appended_by_day(spark, landing, tmp_path):
+    out, checkpoint = str(tmp_path / "news"), str(tmp_path / "state")
+    package(landing, "20250825100000", ["http://a.pt/", "http://b.com/", "http://a.pt/"])
+    feed_stream.run_news(spark, str(landing), out, checkpoint)
+    package(landing, "20250826030000", ["http://a.pt/", "http://c.br/"])
+    package(landing, "20250826041500", ["http://d.br/"])
+    feed_stream.run_news(spark, str(landing), out, checkpoint)
+    found = sorted((str(r.local_day), r.url) for r in spark.read.parquet(out).collect())
+    assert found == [
+        ("2025-08-25", "http://a.pt/"), ("2025-08-25", "http://c.br/"), ("2025-08-26", "http://d.br/")
+    ]

@@ -23,6 +23,7 @@ ODD = [
     "http://x.pt/?", "http://x.pt/??hl=pt", "http://x/?hl=a%26b", "http://x/?%68l=pt",
     "x://y:z:1/p", "http://a[b]c/x", "?hl=pt", "#f", "http://x.com/p?x=[1]",
     "http://x.com/[a]", "http://u[x@h.br/",
+    "http://x.pt/a\u2028b?hl=p\x85t#c\u2028d", "http://x.pt/a\x85",
 ]
 
 

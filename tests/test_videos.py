@@ -23,14 +23,14 @@ def test_tab(one):
 
 def test_video_id(one):
     urls = [
-        "https://www.youtube.com/watch?v=1uymRN75vkM",
-        "https://www.youtube.com/watch?v=1uymRN75vkM&t=1s",
-        "https://youtu.be/3q3XmkpxVrk",
+        "https://www.youtube.com/watch?v=abcDEF12_-x",
+        "https://www.youtube.com/watch?v=abcDEF12_-x&t=1s",
+        "https://youtu.be/9zyXWV87_-q",
         "short",
         "watch?v=a/watch?v=b",
     ]
     assert one(urls, videos.video_id(F.col("v"))) == [
-        "1uymRN75vkM", "1uymRN75vkM", "3q3XmkpxVrk", "short", "a/"
+        "abcDEF12_-x", "abcDEF12_-x", "9zyXWV87_-q", "short", "a/"
     ]
     assert one(["x"], videos.watch_url(F.col("v"))) == ["https://www.youtube.com/watch?v=x"]
 
