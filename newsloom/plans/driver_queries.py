@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import pages as page_functions
 from newsloom.functions import prompts as prompt_functions
-from newsloom.functions import language, style, times, urls, videos
-from newsloom.functions.cleaning import clean_text
+from newsloom.functions import cleaning, language, style, times, urls, videos
 from newsloom.functions.language import in_brazil, source_language
 from newsloom.operators import (
     articles,
@@ -446,17 +445,17 @@ def links_rejected(spark, sf_dir):
 
 
 @query
-def clean_texts(spark, sf_dir):
+def clean_text(spark, sf_dir):
     marked = F.concat(
         F.lit("0:15 oi 1:02:03 [MÚSICA alta]  \t"),
         F.col("text"),
         F.lit("\n[ __ ] [risos] 12:345 [Aplausos\n] 9:59"),
     )
-    return table(spark, sf_dir, "documents", spread=True).select("doc_id", clean_text(marked).alias("text"))
+    return table(spark, sf_dir, "documents", spread=True).select("doc_id", cleaning.clean_text(marked).alias("text"))
 
 
 @query
-def corpus_lines(spark, sf_dir):
+def corpus_by_source(spark, sf_dir):
     return corpus.corpus_lines(document_texts(spark, sf_dir))
 
 

@@ -316,7 +316,7 @@ def cleaned(text: str) -> str:
     return fold(f"regexp_replace({no_codes}, '{MARK}', '', 'g')")
 
 
-SQL["clean_texts"] = f"SELECT doc_id, {cleaned(MARKED)} AS text FROM documents"
+SQL["clean_text"] = f"SELECT doc_id, {cleaned(MARKED)} AS text FROM documents"
 FILE = "lpad(CAST(doc_id AS VARCHAR), 12, '0')"
 LINES = f"""
 (SELECT corpus_key, file_name, CAST(u.i AS INTEGER) - 1 AS line_no, pieces[u.i] AS text
@@ -324,7 +324,7 @@ LINES = f"""
               string_split(text || CASE WHEN doc_id = max(doc_id) OVER (PARTITION BY source)
                                         THEN '' ELSE chr(10) END, chr(10)) AS pieces
        FROM documents), unnest(generate_series(1, len(pieces))) AS u(i))"""
-SQL["corpus_lines"] = f"SELECT * FROM {LINES}"
+SQL["corpus_by_source"] = f"SELECT * FROM {LINES}"
 
 
 def blocks(lines: str, limit: int) -> str:
