@@ -1,8 +1,8 @@
 """Text, title and language of a stored HTML page.
 
 The markup is taken apart with JVM regular expressions. Only the decoding of
-entities, which Spark has no function for, is a pandas UDF, and it is handed
-only the texts that hold an ``&``.
+entities, which Spark has no function for, is a pandas UDF. It takes every
+text: choosing those with an ``&`` would work out the text again beside it.
 """
 
 from __future__ import annotations
@@ -35,14 +35,10 @@ PAGE_LANGUAGE = r"""(?is)<html\b[^>]*?\slang=["']?([A-Za-z0-9\-]+)"""
 
 
 @F.pandas_udf(T.StringType())
-def _decode(texts: pd.Series) -> pd.Series:
+def decode_entities(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
 
-def decode_entities(text: Column) -> Column:
-    return F.coalesce(_decode(F.when(F.contains(text, F.lit("&")), text)), text)
-
-
 def page_text(page: Column) -> Column:
     """Main text, one line per block element; null when nothing is left.
 
