@@ -26,13 +26,20 @@ BLANKS = (
 )
 
 
+def _where(text: Column, mark: str, pattern: str) -> Column:
+    """Delete the pattern, which needs ``mark``; a text without the mark is only scanned."""
+    return F.when(
+        F.contains(text, F.lit(mark)), F.regexp_replace(text, pattern, "")
+    ).otherwise(text)
+
+
 def drop_time_codes(text: Column) -> Column:
-    return F.regexp_replace(text, TIME_CODE, "")
+    return _where(text, ":", TIME_CODE)
 
 
 def drop_stage_marks(text: Column) -> Column:
     """``[música ...]`` and the like, up to the next ``]`` of the same line."""
-    return F.regexp_replace(text, STAGE_MARK, "")
+    return _where(text, "[", STAGE_MARK)
 
 
 def fold_blanks(text: Column) -> Column:

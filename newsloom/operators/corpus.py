@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from newsloom.fixed_values import BLOCK_CHARS
 from newsloom.functions.cleaning import clean_text, lines, strip, strip_left, strip_right
-from newsloom.session import shared_dir
+from newsloom.operators.transcripts import clean_texts
+from newsloom.session import shared_dir, stored
 
 KEYS = ["corpus_key", "file_name"]
 
@@ -274,8 +275,14 @@ def blocks(
     partitions: int | None = None,
 ) -> DataFrame:
     """``(corpus_key, block_no, text)``: lines in order, a new block when the next line
-    would make it longer than ``max_chars``; a longer line is a block of its own."""
-    parts = corpus_texts(texts, clean_first)
+    would make it longer than ``max_chars``; a longer line is a block of its own.
+
+    ``file_name`` is unique within its corpus. Texts are read three times, so
+    they are cleaned into a table first.
+    """
+    if clean_first:
+        texts = stored(clean_texts(texts.select(*KEYS, "text")), "clean")
+    parts = corpus_texts(texts)
     cut = F.transform(
         F.col("pieces"),
         lambda p: F.struct(

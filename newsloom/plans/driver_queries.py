@@ -34,7 +34,7 @@ from newsloom.plans.driver_inputs import (
     table,
     turn_analyses,
 )
-from newsloom.session import scratch_path
+from newsloom.session import scratch_path, stored
 from newsloom.sources import packages, sinks, texts
 from newsloom.streaming import feed_stream
 
@@ -533,17 +533,14 @@ def fuse_scalars(spark, sf_dir):
     return fusion.fused_scalars(document_analyses(spark, sf_dir))
 
 
-def _stored_analyses(spark, answered: DataFrame) -> DataFrame:
+def _stored_analyses(answered: DataFrame) -> DataFrame:
     """Parsed once, as the style job does."""
-    path = scratch_path(spark, "analyses")
-    rows = responses.parsed(answered).drop("response")
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return stored(responses.parsed(answered).drop("response"), "analyses")
 
 
 @query
 def style_books(spark, sf_dir):
-    analysed = _stored_analyses(spark, turn_analyses(spark, sf_dir))
+    analysed = _stored_analyses(turn_analyses(spark, sf_dir))
     books = fusion.style_books(analysed, AS_OF)
     weights = F.transform("book.marcadores_discurso", lambda m: F.round(m["peso"], 6).cast("string"))
     return books.select(
@@ -561,7 +558,7 @@ def style_books(spark, sf_dir):
 
 @query
 def style_context(spark, sf_dir):
-    analysed = _stored_analyses(spark, turn_analyses(spark, sf_dir))
+    analysed = _stored_analyses(turn_analyses(spark, sf_dir))
     books = fusion.style_books(analysed, AS_OF, max_items=40)
     context = books.select("corpus_key", style.style_context(F.col("book")).alias("c"))
     return context.select(
@@ -730,7 +727,7 @@ def document_analyses_full(spark, sf_dir):
     """Scalars of documents in the whole analysis shape."""
     rows = document_analyses(spark, sf_dir)
     body = F.to_json("analysis")
-    return _stored_analyses(spark, rows.withColumn("response", body).drop("analysis"))
+    return _stored_analyses(rows.withColumn("response", body).drop("analysis"))
 
 
 # ---- streams -----------------------------------------------------------------------------------

@@ -25,19 +25,12 @@ from newsloom.operators.transcripts import (
     preferred_language,
     segments_to_text,
 )
-from newsloom.session import scratch_path, utc_session
+from newsloom.session import stored, utc_session
 from newsloom.sources.packages import feed_rows, package_files, read_packages, rejected_packages
 from newsloom.sources.sinks import write_feed, write_json_documents, write_texts
 from newsloom.sources.texts import style_books as read_books
 
 
-def _stored(rows: DataFrame, name: str) -> DataFrame:
-    """Write a step to the shared folder and go on from there."""
-    path = scratch_path(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 @dataclass(frozen=True)
 class FeedResult:
     news: DataFrame
@@ -76,13 +69,13 @@ def run_feed(
         "slot", package_stamp(F.col("path"))
     )
     due = landed.join(F.broadcast(expected.select("slot")), "slot", "left_semi")
-    raw = _stored(read_packages(due), "packages")
+    raw = stored(read_packages(due), "packages")
 
     rows = feed_rows(raw)
     in_day = within_local_day(F.col("date_utc"), as_of, zone)
     news = daily_news(rows, as_of, zone, wanted, brazil, rules)
     if pages is not None:
-        news = enrich_newest(_stored(news, "news"), pages, articles)
+        news = enrich_newest(stored(news, "news"), pages, articles)
     write_feed(news, out, fmt)
     arrived = raw.filter(F.col("error").isNull()).select(
         package_stamp(F.col("path")).alias("slot")
@@ -143,7 +136,7 @@ def run_style(
     """Analyses, style books and contexts below ``out``; returns the books."""
     spark = blocks.sparkSession
     base = out.rstrip("/")
-    analysed = _stored(analyses(blocks, responses), "analyses")
+    analysed = stored(analyses(blocks, responses), "analyses")
     document = F.coalesce(
         F.to_json("analysis", {"ignoreNullFields": "false"}), F.to_json("error")
     )

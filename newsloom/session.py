@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def utc_session(spark: SparkSession) -> SparkSession:
@@ -37,6 +37,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """Write a step to the shared folder and go on from there."""
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def local_session(cpus: int = 8, app: str = "newsloom") -> SparkSession:
     """Session for tests and the bench on one machine."""
     return utc_session(
