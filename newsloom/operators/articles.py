@@ -9,13 +9,13 @@ from newsloom.fixed_values import ARTICLE_LIMIT, ARTICLE_MIN_CHARS
 from newsloom.functions.pages import page_language, page_text, page_title, text_status
 from newsloom.operators.feed import newest
 
-# A hint to broadcast is given only up to this many rows; the parameter bounds
-# them, not the data. Beyond it Spark picks the join by size.
-BROADCAST_ROWS = 10_000
+# Keys of the newest rows are broadcast up to this many; the parameter bounds them,
+# not the data. Beyond it Spark picks the join by size. Page texts never are.
+BROADCAST_KEYS = 10_000
 
 
-def _small(rows: DataFrame, n: int) -> DataFrame:
-    return F.broadcast(rows) if n <= BROADCAST_ROWS else rows
+def _keys(rows: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(rows) if n <= BROADCAST_KEYS else rows
 
 
 def page_articles(pages: DataFrame, min_chars: int = ARTICLE_MIN_CHARS) -> DataFrame:
@@ -39,16 +39,16 @@ def enrich_newest(
 
     Of a URL stored many times the copy with the least ``page_id`` counts; it is
     found on the two narrow columns, so no page text is sorted or shuffled.
-    The wide pages are then cut by at most n keys, and only those are taken
-    apart. Give a feed that has been written: it is read twice, once for the
-    order columns only.
+    The wide pages are then cut by at most n keys, only those are taken apart,
+    and they meet only the n rows. Give a feed that has been written: it is
+    read three times, once for the order columns only.
     """
-    urls = newest(feed, n).select("url")
-    copies = pages.select("url", "page_id").join(_small(urls, n), "url", "left_semi")
+    urls = _keys(newest(feed, n).select("url"), n)
+    copies = pages.select("url", "page_id").join(urls, "url", "left_semi")
     chosen = copies.groupBy("url").agg(F.min("page_id").alias("page_id"))
-    wanted = pages.select("url", "page_id", "html").join(_small(chosen, n), ["url", "page_id"])
+    wanted = pages.select("url", "page_id", "html").join(_keys(chosen, n), ["url", "page_id"])
     found = page_articles(wanted, min_chars).drop("page_id").dropDuplicates(["url"])
-    small = urls.join(found, "url", "left").withColumn(
-        "fetch_status", F.coalesce("fetch_status", F.lit("fetch-failed"))
-    )
-    return feed.join(_small(small, n), "url", "left")
+    top = feed.join(urls, "url", "left_semi").join(found, "url", "left")
+    top = top.withColumn("fetch_status", F.coalesce("fetch_status", F.lit("fetch-failed")))
+    rest = feed.join(urls, "url", "left_anti")
+    return top.unionByName(rest, allowMissingColumns=True)

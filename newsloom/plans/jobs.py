@@ -68,6 +68,7 @@ def run_feed(
     landed = package_files(spark, packages, pattern=pattern).withColumn(
         "slot", package_stamp(F.col("path"))
     )
+    # The manifest has at most 100 slots a day: bounded by the arguments.
     due = landed.join(F.broadcast(expected.select("slot")), "slot", "left_semi")
     raw = stored(read_packages(due), "packages")
 
