@@ -64,8 +64,13 @@ def strip(text: Column) -> Column:
 
 
 def lines(text: Column) -> Column:
-    """The lines of a text; a break at its very end opens no further line."""
-    pieces = F.split(text, LINE_BREAK)
-    return F.when(
-        F.element_at(pieces, -1) == "", F.slice(pieces, F.lit(1), F.size(pieces) - 1)
-    ).otherwise(pieces)
+    """The lines of a text; a break at its very end opens no further line.
+
+    The lambda has the text split once, also where the expression is not compiled.
+    """
+
+    def without_last_empty(pieces: Column) -> Column:
+        shorter = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
+        return F.when(F.element_at(pieces, -1) == "", shorter).otherwise(pieces)
+
+    return F.get(F.transform(F.array(F.split(text, LINE_BREAK)), without_last_empty), F.lit(0))

@@ -17,10 +17,10 @@ is done on line lengths alone, as a prefix scan over range partitions:
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
-from itertools import accumulate
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -96,8 +96,10 @@ def _openings(prefix: list[int], size: int | None, limit: int) -> tuple[list[int
     return _openings_from(prefix, at, limit)
 
 
-def _prefix(line_lengths) -> list[int]:
-    return list(accumulate(line_lengths.tolist(), initial=0))
+def _prefix(rows: pd.DataFrame) -> list[int]:
+    """Characters before each line of the files, one after the other, and in all."""
+    lengths = np.concatenate(rows["line_lengths"].to_list()).astype(np.int64)
+    return [0, *np.cumsum(lengths).tolist()]
 
 
 class _Passage:
@@ -105,17 +107,18 @@ class _Passage:
 
     Entry sizes that break at the same line share their fate from there on, so
     it is kept per class ``[low, high, size, opened]``: few classes, and fewer
-    as they meet at the same line.
+    as they meet at the same line. Only a corpus the partition begins with can
+    be entered with an open block; of others the fresh start is kept alone.
     """
 
-    def __init__(self, limit: int):
+    def __init__(self, limit: int, entered: bool):
         self.limit = limit
+        self.entered = entered
         self.total = 0
         self.classes: list[list] = []
         self.fresh: tuple[int | None, int] = (None, 0)
 
-    def add(self, line_lengths) -> None:
-        prefix = _prefix(line_lengths)
+    def add(self, prefix: list[int]) -> None:
         walked: dict[int | None, tuple[int, int | None]] = {}
 
         def walk(size: int | None) -> tuple[int, int | None]:
@@ -130,7 +133,7 @@ class _Passage:
         # Entry sizes not broken so far: one class per line that breaks some of them.
         high = None if self.total == 0 and not self.classes else self.limit - self.total
         at = 0
-        while at < len(prefix) - 1 and (high is None or high >= 0):
+        while self.entered and at < len(prefix) - 1 and (high is None or high >= 0):
             low = max(0, self.limit - self.total - prefix[at + 1] + 1)
             if high is None or low <= high:
                 found, left = _openings_from(prefix, at, self.limit)
@@ -166,9 +169,8 @@ def _summarise(limit: int):
         for part, key, rows in _runs(batches):
             if key != tail:
                 head = key if head is None else head
-                tail, passage = key, _Passage(limit)
-            for line_lengths in rows["line_lengths"]:
-                passage.add(line_lengths)
+                tail, passage = key, _Passage(limit, key == head)
+            passage.add(_prefix(rows))
         if passage is None:
             return
         single = passage.classes if head == tail else []
@@ -218,19 +220,23 @@ def _number(limit: int):
                     size = None if pd.isna(entry) else int(entry)
                     block_no = int(rows["block_no"].iloc[0])
                 key, started = run_key, True
+            found, size = _openings(_prefix(rows), size, limit)
             out = []
+            start = 0
             for name, line_lengths in zip(rows["file_name"], rows["line_lengths"]):
-                found, size = _openings(_prefix(line_lengths), size, limit)
-                marks = found if found and found[0] == 0 else [0, *found]
-                first_no = block_no + (1 if found and found[0] == 0 else 0)
-                ends = [*marks[1:], len(line_lengths)]
+                end = start + len(line_lengths)
+                low, high = bisect_left(found, start), bisect_left(found, end)
+                # The file's first lines go on with the block open so far, if any do.
+                marks = found[low:high]
+                if end > start and (not marks or marks[0] > start):
+                    marks, low = [start, *marks], low - 1
                 pieces = [
-                    {"block_no": first_no + i, "first": a, "lines": b - a}
-                    for i, (a, b) in enumerate(zip(marks, ends))
-                    if b > a
+                    {"block_no": block_no + low + 1 + i, "first": a - start, "lines": b - a}
+                    for i, (a, b) in enumerate(zip(marks, [*marks[1:], end]))
                 ]
-                block_no += len(found)
                 out.append([run_key, name, pieces])
+                start = end
+            block_no += len(found)
             yield pd.DataFrame(out, columns=[*KEYS, "pieces"])
 
     return number
