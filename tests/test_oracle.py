@@ -17,10 +17,10 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(driver.QUERIES) == set(driver.SQL)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
 def test_same_rows(spark, con, name):
     query, sql = driver.queries()[name], driver.oracle_sql()[name]
     assert oracle.differences(spark, con, SF_DIR, query, sql) is None
