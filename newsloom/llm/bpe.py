@@ -12,16 +12,17 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.chunks import parts
-from newsloom.llm.common import texts, worker_memo
+from newsloom.llm.chunks import cut, spelled
+from newsloom.llm.common import Remembered, texts, worker_memo
 
-#: Encoded parts that a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 300_000
+#: Encoded parts that a worker remembers, twice.
+REMEMBERED = 200_000
 
 
 class Bpe:
@@ -47,7 +48,7 @@ class Bpe:
             if self.halves[i]:
                 self.merged[self.halves[i]] = i
         self.fits.clear()  # the table of merges was not complete yet
-        self.parts: dict[str, tuple[int, ...]] = {}
+        self.parts = Remembered(self._encode_cut, REMEMBERED)
 
     def _last_merge(self, s: str, rank: int) -> tuple[int, int] | None:
         """The two earlier tokens that this one is merged from."""
@@ -119,20 +120,19 @@ class Bpe:
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text, each match of the split pattern encoded alone."""
-        ids: list[int] = []
-        remembered = self.parts
-        for part in parts(text):
-            found = remembered.get(part)
-            if found is None:
-                if len(remembered) >= REMEMBERED:
-                    remembered.clear()
-                found = tuple(
-                    i for piece in self.split.findall(part) for i in self.encode_piece(piece.encode())
-                )
-                if len(part) <= 100:
-                    remembered[part] = found
-            ids.extend(found)
-        return ids
+        first, rest = cut(text)
+        found = [self._encode_part(first), *map(self.parts.__getitem__, rest)]
+        return list(chain.from_iterable(found))
+
+    def _encode_cut(self, part: str) -> tuple[int, ...]:
+        if part.isalpha():
+            return tuple(self.encode_piece(b" " + part.encode()))
+        if part[-1] in ".," and part[-2:-1].isalpha():
+            return (*self.parts[part[:-1]], self.ranks[part[-1]])
+        return self._encode_part(spelled(part))
+
+    def _encode_part(self, part: str) -> tuple[int, ...]:
+        return tuple(i for piece in self.split.findall(part) for i in self.encode_piece(piece.encode()))
 
 
 def loaded(rank_file: str, pattern: str) -> Bpe:

@@ -12,15 +12,21 @@ import re
 
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # Unicode White_Space
 UNEVEN = re.compile(f"[{SPACE}](?:[{SPACE}]|\\Z)")
-CUT = re.compile(f"(?= [^{SPACE}])")
+CUT = re.compile(f" (?=[^{SPACE}])")
 
 
-def parts(text: str) -> list[str]:
-    """Parts whose concatenation is the text; none for an empty text."""
-    if not text:
-        return []
+def cut(text: str) -> tuple[str, list[str]]:
+    """The part before the first cut, and those after it without their space.
+
+    A part that begins with a line break has no space in front; ``spelled``
+    gives any part after the first one as it stands in the text.
+    """
     if UNEVEN.search(text):
-        return [p for p in CUT.split(text) if p]
-    first, *rest = text.replace("\n", " \n").split(" ")
-    found = [p if p[0] == "\n" else " " + p for p in rest]
-    return [first, *found] if first else found
+        first, *rest = CUT.split(text)
+    else:
+        first, *rest = text.replace("\n", " \n").split(" ")
+    return first, rest
+
+
+def spelled(part: str) -> str:
+    return part if part[0] == "\n" else " " + part

@@ -27,6 +27,24 @@ def worker_memo(key: tuple, build: Callable):
     return memo[key]
 
 
+class Remembered(dict):
+    """Results of a function by key: the latest, and those of the time before."""
+
+    def __init__(self, build: Callable, size: int):
+        super().__init__()
+        self.build, self.size, self.older = build, size, {}
+
+    def __missing__(self, key):
+        found = self.older.get(key)
+        if found is None:
+            found = self.build(key)
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
 def binaries(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """UTF-8 bytes of a text column; null counts as empty."""
     return [v or b"" for v in batch.column(column).cast(pa.binary()).to_pylist()]

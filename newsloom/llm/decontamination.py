@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import binaries
+from newsloom.llm.common import Remembered, binaries
 from newsloom.session import stored
 
 WINDOW = 13
@@ -28,8 +28,8 @@ SLOP = 3
 SHARD_WORDS = 2_000_000
 #: Characters of benchmark texts that a pass over the index searches at once.
 BLOCK_CHARS = 20_000_000
-#: Hashes that a task remembers.
-REMEMBERED = 500_000
+#: Hashes that a task remembers, twice.
+REMEMBERED = 300_000
 #: Positions left free between documents, so that no match reaches the next one.
 GAP = WINDOW + 2 * SLOP
 
@@ -41,17 +41,13 @@ FOLDED = bytes(
 INDEX = "part long, shard long, doc_ids array<long>, starts binary, n_words binary, terms binary, offsets binary, positions binary"
 
 
-class Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+def hash_memory() -> Remembered:
+    import xxhash
 
-        found = xxhash.xxh64_intdigest(word)
-        if len(self) < REMEMBERED:
-            self[word] = found
-        return found
+    return Remembered(xxhash.xxh64_intdigest, REMEMBERED)
 
 
-def word_hashes(text: bytes, hashes: Hashes):
+def word_hashes(text: bytes, hashes: Remembered):
     import numpy as np
 
     words = text.translate(FOLDED).split()
@@ -65,7 +61,7 @@ def index(docs: DataFrame) -> DataFrame:
         import numpy as np
         from pyspark import TaskContext
 
-        hashes, part, number = Hashes(), TaskContext.get().partitionId(), 0
+        hashes, part, number = hash_memory(), TaskContext.get().partitionId(), 0
         doc_ids, found, size = [], [], 0
 
         def shard() -> pa.RecordBatch:
@@ -109,7 +105,7 @@ def windows(items: list[tuple]) -> tuple:
     """Distinct windows of (item_id, text) rows: hashes by length, items of each window."""
     import numpy as np
 
-    hashes, owners = Hashes(), {}
+    hashes, owners = hash_memory(), {}
     for item_id, text in items:
         words = word_hashes((text or "").encode(), hashes)
         if not len(words):

@@ -6,15 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import bpe, decontamination, token_files
+from newsloom.llm import bpe, decontamination, jaccard_join, token_files
 from newsloom.llm.common import table
 from newsloom.session import scratch_path
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    token_files.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), 2, path)
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write_tokens(docs, tokenizer, public_tokenizers.PATTERN, 2, path)
     return token_files.read_tokens(spark, path)
 
 
@@ -40,6 +45,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_token_files": op5_token_files,
     "op7_decontamination": op7_decontamination,
     "op10_bpe": op10_bpe,

@@ -19,6 +19,7 @@ that Spark writes to can hold them; ``export`` writes them as plain files.
 from __future__ import annotations
 
 import struct
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,16 +27,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from newsloom.llm.chunks import parts
-from newsloom.llm.common import texts, worker_memo
+from newsloom.llm.chunks import cut, spelled
+from newsloom.llm.common import Remembered, texts, worker_memo
 
 HEADER = "<4sBqqqq"
 MAGIC = b"NLT1"
 SAMPLE = 256
 #: Ids after which a segment ends; a longer document has a segment of its own.
 SEGMENT_IDS = 2_000_000
-#: Encoded parts that a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 300_000
+#: Encoded parts and pieces that a worker remembers, twice.
+REMEMBERED = 200_000
 
 
 class EliasFano:
@@ -154,47 +155,74 @@ class Segment:
 
 
 class Encoder:
-    """A tokenizer file behind a memory of encoded parts."""
+    """A byte-level tokenizer file, with a memory of what it gave for a part of a text.
 
-    def __init__(self, path: str):
-        import os
+    The pieces of a part, split as byte-level BPE does, go to the library's model.
+    """
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    def __init__(self, path: str, pattern: str):
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 65536 else 4
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, docs: list[str]) -> list[bytes]:
-        import numpy as np
-
-        cut = [parts(t) for t in docs]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list({p for ps in cut for p in ps if p not in self.known})
-        dtype = f"<u{self.width}"
-        for a in range(0, len(new), 10_000):
-            some = new[a : a + 10_000]
-            for p, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[p] = np.array(found.ids, dtype=dtype).tobytes()
-        known = self.known
-        return [b"".join([known[p] for p in ps]) for ps in cut]
-
-
-def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, path: str) -> None:
+        self.split = regex.compile(
+            pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
+        )
+        # Byte-level vocabularies spell a byte as itself if it prints, else as the next character from 256 up.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.spelling = {b: 256 + k for k, b in enumerate(hidden)}
+        self.space = chr(self.spelling[32])
+        self.kind = "H" if self.width == 2 else "I"
+        self.tokenize = self.tokenizer.model.tokenize
+        self.pieces = Remembered(self._encode_piece, REMEMBERED)
+        self.parts = Remembered(self._encode_cut, REMEMBERED)
+
+    def _encode_piece(self, piece: str) -> bytes:
+        from array import array
+
+        if piece.isascii() and piece.isprintable():
+            shown = piece.replace(" ", self.space)
+        else:
+            shown = piece.encode().decode("latin-1").translate(self.spelling)
+        ids = array(self.kind, [t.id for t in self.tokenize(shown)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def _encode_cut(self, part: str) -> bytes:
+        if part.isalpha():
+            return self.pieces[" " + part]
+        if part[-1] in ".," and part[-2:-1].isalpha():
+            return self.parts[part[:-1]] + self.pieces[part[-1]]
+        return self._encode_part(spelled(part))
+
+    def _encode_part(self, part: str) -> bytes:
+        return b"".join([self.pieces[piece] for piece in self.split.findall(part)])
+
+    def encode(self, text: str) -> bytes:
+        first, rest = cut(text)
+        return self._encode_part(first) + b"".join(map(self.parts.__getitem__, rest))
+
+
+def write_tokens(
+    docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int, path: str
+) -> None:
     """Write (doc_id, text) as segments below ``path``, in ascending doc_id order.
 
     Rows are dealt out by ranges of doc_id and sorted, so a segment continues
     the one before. Null texts are empty; rows with a null id come first; rows
     that share an id are ordered by their text. An empty table gives no segment.
+    Strings of special tokens in a text are ordinary text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = worker_memo(("tokenizers", tokenizer_path), lambda: Encoder(tokenizer_path))
+        encoder = worker_memo(
+            ("tokenizers", tokenizer_path, pattern), lambda: Encoder(tokenizer_path, pattern)
+        )
         end = end_id.to_bytes(encoder.width, "little")
         part, number = TaskContext.get().partitionId(), 0
         doc_ids, ids, size = [], [], 0
@@ -211,15 +239,13 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, path: str) -
             )
 
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                some = batch.slice(a, 256)
-                for doc_id, found in zip(some.column("doc_id").to_pylist(), encoder.encode(texts(some, "text"))):
-                    doc_ids.append(doc_id)
-                    ids.append(found + end)
-                    size += len(ids[-1]) // encoder.width
-                    if size >= SEGMENT_IDS:
-                        yield segment()
-                        doc_ids, ids, size, number = [], [], 0, number + 1
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch, "text")):
+                doc_ids.append(doc_id)
+                ids.append(encoder.encode(text) + end)
+                size += len(ids[-1]) // encoder.width
+                if size >= SEGMENT_IDS:
+                    yield segment()
+                    doc_ids, ids, size, number = [], [], 0, number + 1
         if doc_ids:
             yield segment()
 
