@@ -6,11 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import bpe, decontamination, jaccard_join, token_files
+from newsloom.llm import bpe, decontamination, embedding_dedup, jaccard_join, token_files
 from newsloom.llm.common import table
 from newsloom.session import scratch_path
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(
+        table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    )
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -45,6 +51,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_token_files": op5_token_files,
     "op7_decontamination": op7_decontamination,
