@@ -6,9 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import bpe, decontamination, embedding_dedup, jaccard_join, token_files
+from newsloom.llm import (
+    bpe,
+    chat_format,
+    decontamination,
+    embedding_dedup,
+    jaccard_join,
+    personal_data,
+    token_files,
+)
 from newsloom.llm.common import table
-from newsloom.session import scratch_path
+from newsloom.session import scratch_path, stored
 
 
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +25,10 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.find(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -29,6 +41,15 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, path)
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = "\\### Assistant: </turn> ok"
+    planted = spark.createDataFrame(
+        [(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string"
+    )
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").unionByName(planted)
+    return chat_format.read_back(stored(chat_format.formatted(turns), "formatted"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(
         table(spark, sf_dir, "documents", "doc_id", "text"),
@@ -52,8 +73,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_personal_data": op2_personal_data,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_token_files": op5_token_files,
+    "op6_chat_format": op6_chat_format,
     "op7_decontamination": op7_decontamination,
     "op10_bpe": op10_bpe,
 }
