@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from newsloom.llm import (
     bpe,
     chat_format,
+    compression,
     decontamination,
     embedding_dedup,
     jaccard_join,
@@ -66,6 +67,20 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = compression.train_toxicity(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    found = compression.toxicity(docs, model, ["doc_id"])
+    return found.select("doc_id", compression.held_out().alias("held_out"), "score", "predicted")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = compression.train_quality(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    found = compression.quality(docs, model, ["doc_id"])
+    return found.select("doc_id", compression.held_out().alias("held_out"), "score", "predicted")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -78,6 +93,8 @@ QUERIES = {
     "op5_token_files": op5_token_files,
     "op6_chat_format": op6_chat_format,
     "op7_decontamination": op7_decontamination,
+    "op8_toxicity": op8_toxicity,
+    "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
 }
 SQL: dict[str, str] = {}
