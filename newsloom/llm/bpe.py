@@ -180,9 +180,9 @@ def decode(rows: DataFrame, rank_file: str, pattern: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
-    """(doc_id, text) -> ids and decoded bytes beside each other, and digests of both.
+    """(doc_id, text) -> ids, and digests of the ids and of what they decode to.
 
-    Decoding starts from the encoded ids alone. Columns: doc_id, n_tokens,
+    Decoding starts from the encoded ids alone. Columns: doc_id, ids, n_tokens,
     ids_sha256 (decimal ids, one space between), decoded_sha256.
     """
 
@@ -203,10 +203,16 @@ def round_trip(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
                 hashes.append(hashlib.sha256(" ".join([words[i] for i in ids]).encode()).hexdigest())
                 back.append(hashlib.sha256(b"".join([bytes_of[i] for i in ids])).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(hashes), pa.array(back)],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                [
+                    batch.column("doc_id"),
+                    batch.column("ids"),
+                    pa.array(counts, pa.int64()),
+                    pa.array(hashes, pa.string()),
+                    pa.array(back, pa.string()),
+                ],
+                ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
     return encode(docs, rank_file, pattern).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        run, "doc_id long, ids binary, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

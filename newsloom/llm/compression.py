@@ -10,7 +10,7 @@ frequent in toxic text, in as many different contexts (so that copies of a text
 count once); the other those of ordinary text. A window that the toxic
 dictionary shortens by more than a threshold is a hit, and a calibrated
 function of the numbers of hits is the score. Characters are spelled as
-four-byte codes, so that the cost of a match is small beside what it saves.
+three-byte codes, so that the cost of a match is small beside what it saves.
 
 Quality. Dictionaries are trained on good and on bad texts. The difference of
 the compressed sizes, by the size of the text, is calibrated together with the
@@ -24,6 +24,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsloom.llm.common import Remembered, texts
 
@@ -32,7 +33,7 @@ SAMPLE = 4000
 #: Lengths of a window in characters, its blank included.
 WINDOWS = (4, 5, 6, 7, 8)
 #: Bytes by which the toxic dictionary must shorten a window, for each count of hits.
-GAINS = (5, 6, 7, 8, 9, 11)
+GAINS = (2, 3, 4, 5, 6, 7, 8, 9)
 TOXIC_SEGMENTS = 48
 ORDINARY_SEGMENTS = 6000
 DICTIONARY_BYTES = 48_000
@@ -135,10 +136,16 @@ def _segments(own: list[str], other: list[str]) -> tuple[list[str], list[str]]:
         if n >= 8 and rate > 5 * against:
             ranked.append((-n * math.log(rate / against), g))
     ranked.sort()
+    extensions: dict[str, list[str]] = {}
+    for h in mine:
+        extensions.setdefault(h[:-1], []).append(h)
     typical: list[str] = []
     for gain, g in ranked:
         if len(typical) >= TOXIC_SEGMENTS or gain > ranked[0][0] / 40:
             break
+        # The longest beginning that stands for nearly all of the contexts says most.
+        while longer := [h for h in extensions.get(g, ()) if mine[h] >= 0.8 * mine[g]]:
+            g = longer[0]
         if not any(g.startswith(h) or h.startswith(g) for h in typical):
             typical.append(g)
     common = sorted(theirs, key=lambda g: (-theirs[g], g))[:ORDINARY_SEGMENTS]
@@ -152,7 +159,7 @@ class Windows:
         import hashlib
 
         self.codes = Remembered(
-            lambda c: hashlib.blake2b(c.encode("utf-8", "replace"), digest_size=4).digest(), 20_000
+            lambda c: hashlib.blake2b(c.encode("utf-8", "replace"), digest_size=3).digest(), 20_000
         )
         self.ordinary, self.toxic = self._compressor(common), self._compressor(typical)
         self.windows = Remembered(self._gain, REMEMBERED)
@@ -268,7 +275,9 @@ def train_quality(docs: DataFrame, labels: DataFrame) -> dict:
 
 def _scored(docs: DataFrame, model: dict, measure: Callable, threshold: float, keep: list[str]) -> DataFrame:
     """The named columns, score and predicted of every row; a null text is empty."""
-    kinds = docs.select(*keep).schema
+    schema = T.StructType(
+        [*docs.select(*keep).schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -290,8 +299,7 @@ def _scored(docs: DataFrame, model: dict, measure: Callable, threshold: float, k
             )
 
     columns = docs.select(*dict.fromkeys([*keep, "text"]))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds)
-    return columns.mapInArrow(run, f"{schema}, score double, predicted int")
+    return columns.mapInArrow(run, schema)
 
 
 def _windows_of(model: dict) -> Callable:

@@ -15,6 +15,7 @@ from newsloom.llm import (
     jaccard_join,
     personal_data,
     token_files,
+    wrappers,
 )
 from newsloom.llm.common import table
 from newsloom.session import scratch_path, stored
@@ -30,6 +31,10 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -83,12 +88,14 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    found = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_personal_data": op2_personal_data,
+    "op3_wrappers": op3_wrappers,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_token_files": op5_token_files,
     "op6_chat_format": op6_chat_format,
