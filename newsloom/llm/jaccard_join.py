@@ -24,8 +24,12 @@ the last round, compare their pairs directly. Classes are brought up to date
 after each round. Only classes matter, so pairs inside one are never made: a
 group of near copies goes as soon as its pivot has been compared with each.
 
+Before two sets are compared, so are their profiles: how many shingles fall into
+each of 256 classes. The profiles differ by no more than the sets, so pairs too
+far apart by them are dropped without reading either text.
+
 Shingles, and words before them, are 64-bit hashes; sets are told apart by
-128-bit digests.
+128-bit digests, of which windows carry the first half.
 """
 
 from __future__ import annotations
@@ -50,7 +54,8 @@ BINS = 1 << 16
 #: Words whose hashes a task remembers, twice.
 REMEMBERED = 300_000
 #: For each round: the largest region whose pairs are compared directly, and its pivots.
-ROUNDS = ((2, "one"), (24, "root"), (24, "root"), (None, None))
+ROUNDS = ((2, "one"), (24, "root"), (None, None))
+CLASSES = 256
 
 
 def word_memory() -> Remembered:
@@ -90,15 +95,27 @@ def _bin(found):
     return (found >> np.uint64(48)).astype(np.int64)
 
 
+def _profile(found) -> bytes:
+    """Shingles per class, counted up to 255."""
+    import numpy as np
+
+    counts = np.bincount((found & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+MEASURED = "doc_id long, n long, high long, low long, profile binary, bin long, count long"
+
+
 def _measured(docs: DataFrame) -> DataFrame:
-    """Of each text its number of shingles and digest; after them, counts of shingles by bin."""
+    """Of each text its number of shingles, digest and profile; after them, counts of shingles by bin."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
+        names = ["doc_id", "n", "high", "low", "profile", "bin", "count"]
         memory, counts = word_memory(), np.zeros(BINS, dtype=np.int64)
         for batch in batches:
-            sizes, highs, lows = [], [], []
+            sizes, highs, lows, profiles = [], [], [], []
             for text in binaries(batch, "text"):
                 found = shingles(text, memory)
                 counts += np.bincount(_bin(found), minlength=BINS)
@@ -106,74 +123,94 @@ def _measured(docs: DataFrame) -> DataFrame:
                 sizes.append(len(found))
                 highs.append(high)
                 lows.append(low)
+                profiles.append(_profile(found))
             none = pa.nulls(len(sizes), pa.int64())
+            numbers = [pa.array(x, pa.int64()) for x in (sizes, highs, lows)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (sizes, highs, lows)), none, none],
-                ["doc_id", "n", "high", "low", "bin", "count"],
+                [batch.column("doc_id"), *numbers, pa.array(profiles, pa.binary()), none, none], names
             )
         bins = np.flatnonzero(counts)
         none = pa.nulls(len(bins), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, none, pa.array(bins, pa.int64()), pa.array(counts[bins], pa.int64())],
-            ["doc_id", "n", "high", "low", "bin", "count"],
+            [none, none, none, none, pa.nulls(len(bins), pa.binary()), pa.array(bins, pa.int64()), pa.array(counts[bins], pa.int64())],
+            names,
         )
 
-    return docs.mapInArrow(run, "doc_id long, n long, high long, low long, bin long, count long")
+    return docs.mapInArrow(run, MEASURED)
 
 
 def _windows(docs: DataFrame, order) -> DataFrame:
-    """(region, high, low, n): the first shingles of each text, rare ones first."""
+    """(region, high): the first shingles of each text, rare ones first; copies in a task once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        memory = word_memory()
+        memory, seen = word_memory(), set()
         for batch in batches:
-            regions, highs, lows, sizes = [], [], [], []
+            regions, highs = [], []
             for text in binaries(batch, "text"):
                 found = shingles(text, memory)
                 n = len(found)
-                if not n:
+                high, _ = _digest(found)
+                if not n or high in seen:
                     continue
+                seen.add(high)
                 width = n - (LINK_PERCENT * n + 99) // 100 + 1
-                first = found[np.argsort(order[_bin(found)], kind="stable")[:width]]
-                high, low = _digest(found)
-                regions.append(first.view(np.int64))
+                regions.append(found[np.argsort(order[_bin(found)], kind="stable")[:width]].view(np.int64))
                 highs.append(np.full(width, high))
-                lows.append(np.full(width, low))
-                sizes.append(np.full(width, n))
             if regions:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x), pa.int64()) for x in (regions, highs, lows, sizes)],
-                    ["region", "high", "low", "n"],
+                    [pa.array(np.concatenate(x), pa.int64()) for x in (regions, highs)], ["region", "high"]
                 )
 
-    return docs.select("text").mapInArrow(run, "region long, high long, low long, n long")
+    return docs.select("text").mapInArrow(run, "region long, high long")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, high, low, shingles) of some texts."""
+    """(doc_id, high, text) -> (doc_id, shingles) of the texts with this digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = word_memory()
         for batch in batches:
-            found = [shingles(t, memory) for t in binaries(batch, "text")]
-            digests = [_digest(f) for f in found]
+            ids, sets = [], []
+            for doc_id, high, text in zip(
+                batch.column("doc_id").to_pylist(), batch.column("high").to_pylist(), binaries(batch, "text")
+            ):
+                found = shingles(text, memory)
+                if _digest(found)[0] == high:  # an id may stand on several texts
+                    ids.append(doc_id)
+                    sets.append(found.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([d[0] for d in digests], pa.int64()),
-                    pa.array([d[1] for d in digests], pa.int64()),
-                    pa.array([f.tobytes() for f in found], pa.binary()),
-                ],
-                ["doc_id", "high", "low", "shingles"],
+                [pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["doc_id", "shingles"]
+            )
+
+    return docs.select("doc_id", "high", "text").mapInArrow(run, "doc_id long, shingles binary")
+
+
+def _possible(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs whose profiles allow the wanted similarity; both sizes come along."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        for batch in batches:
+            x, y = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CLASSES).astype(np.int16)
+                for c in ("px", "py")
             )
+            apart = np.abs(x - y).sum(axis=1).astype(np.int64)
+            percent, sizes = batch.column("percent").to_numpy(), batch.column("sizes").to_numpy()
+            kept = pa.array(apart * (100 + percent) <= (100 - percent) * sizes)
+            yield batch.select(["a", "b"]).filter(kept)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, high long, low long, shingles binary")
+    x = known.select(F.col("text").alias("a"), F.col("n").alias("nx"), F.col("profile").alias("px"))
+    y = known.select(F.col("text").alias("b"), F.col("n").alias("ny"), F.col("profile").alias("py"))
+    both = pairs.join(x, "a").join(y, "b").select("a", "b", "percent", (F.col("nx") + F.col("ny")).alias("sizes"), "px", "py")
+    return both.mapInArrow(run, "a long, b long")
 
 
-def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b) -> (a, b, common, total): sizes of intersection and union, for those within reach."""
+def _compared(pairs: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b, percent) -> (a, b, common, total): sizes of intersection and union, for those within reach."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -192,6 +229,11 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 ["a", "b", "common", "total"],
             )
 
+    pairs = stored(_possible(pairs, known), "pairs")
+    ids = pairs.select(F.col("a").alias("text")).union(pairs.select(F.col("b").alias("text"))).distinct()
+    # Stored, so that its size is known when the texts are joined.
+    ids = stored(ids.join(known.select("text", "high"), "text"), "ids").withColumnRenamed("text", "doc_id")
+    sets = stored(_sets(docs.join(ids, "doc_id")), "sets")
     x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sx"))
     y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sy"))
     return (
@@ -208,17 +250,24 @@ def _pair(x, y, percent: int):
     return (F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * percent) & (x["text"] != y["text"])
 
 
-def _ordered(x, y) -> list:
-    return [F.least(x["text"], y["text"]).alias("a"), F.greatest(x["text"], y["text"]).alias("b")]
+def _ordered(x, y, percent: int) -> list:
+    return [
+        F.least(x["text"], y["text"]).alias("a"),
+        F.greatest(x["text"], y["text"]).alias("b"),
+        F.lit(percent).cast("long").alias("percent"),
+    ]
 
 
-def _classed(members: DataFrame, links: DataFrame) -> DataFrame:
+def _classed(members: DataFrame, links: DataFrame | None) -> DataFrame:
     """Members of the regions that hold more than one class, with class and size of region."""
-    classes = stored(components(links), "classes")
-    now = members.join(classes, members["text"] == classes["node"], "left").select(
-        "region", "text", "n", F.coalesce("component", "text").alias("class")
-    )
-    now = stored(now, "members")
+    if links is None:
+        now = members.withColumn("class", F.col("text"))
+    else:
+        classes = stored(components(links), "classes")
+        now = members.join(classes, members["text"] == classes["node"], "left").select(
+            "region", "text", "n", F.coalesce("component", "text").alias("class")
+        )
+        now = stored(now, "members")
     open_ = (
         now.groupBy("region")
         .agg(F.count("*").alias("size"), F.min("class").alias("least"), F.max("class").alias("most"))
@@ -228,14 +277,13 @@ def _classed(members: DataFrame, links: DataFrame) -> DataFrame:
     return stored(now.join(stored(open_, "regions"), "region"), "members")
 
 
-def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _links(members: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
     """(region, text, n) -> links (a, b) that tie together all linked texts."""
-    spark = members.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
+    links = None
     for number, (direct, pivots) in enumerate(ROUNDS):
         members = _classed(members, links)
         if members.isEmpty():
-            break
+            return links if links is not None else members.select(F.col("text").alias("a"), F.col("text").alias("b"))
         x, y = members.alias("x"), members.alias("y")
         x, y = ({c: F.col(f"{k}.{c}") for c in members.columns} for k in "xy")
         small = members if direct is None else members.where(F.col("size") <= direct)
@@ -243,7 +291,7 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
             small.alias("x")
             .join(small.alias("y"), x["region"] == y["region"])
             .where((x["text"] < y["text"]) & (x["class"] != y["class"]) & _pair(x, y, LINK_PERCENT))
-            .select(*_ordered(x, y))
+            .select(*_ordered(x, y, LINK_PERCENT))
         )
         if direct is not None:
             large = members.where(F.col("size") > direct)
@@ -261,12 +309,13 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
                 large.alias("x")
                 .join(chosen.alias("y"), x["region"] == y["region"])
                 .where(_pair(x, y, REACH_PERCENT))
-                .select(*_ordered(x, y))
+                .select(*_ordered(x, y, REACH_PERCENT))
             )
             pairs = pairs.union(by_pivot)
-        near = stored(_compared(pairs.distinct(), sets), "near")
+        pairs = pairs.groupBy("a", "b").agg(F.min("percent").alias("percent"))
+        near = stored(_compared(pairs, known, docs).distinct(), "near")
         close = near.where(F.col("common") * 100 >= F.col("total") * LINK_PERCENT).select("a", "b")
-        links = links.union(close)
+        links = close if links is None else links.union(close)
         if direct is not None:
             both = near.select("a", "b", "common", "total").union(near.select("b", "a", "common", "total"))
             both = both.select(
@@ -306,32 +355,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = measured.where("bin IS NULL").select("doc_id", "n", "high", "low")
     classes = stored(
         rows.where("n > 0 AND doc_id IS NOT NULL")
-        .groupBy("high", "low")
+        .groupBy("high", "low", "n")
         .agg(F.min("doc_id").alias("text")),
         "classes",
     )
-
-    windows = _windows(docs.where("doc_id IS NOT NULL"), order)
+    docs = docs.where("doc_id IS NOT NULL")
+    windows = stored(_windows(docs, order), "windows")
     shared = (
         windows.groupBy("region")
         .agg(F.min("high").alias("least"), F.max("high").alias("most"))
         .where("least <> most")
         .select("region")
     )
-    shared = stored(shared, "regions")
-    found = stored(windows.join(shared, "region", "left_semi").distinct(), "windows")
-    members = stored(found.join(classes, ["high", "low"]).select("region", "text", "n"), "members")
-
-    needed = classes.join(members.select("text").distinct(), "text", "left_semi").withColumnRenamed("text", "doc_id")
-    some = docs.join(needed.select("doc_id"), "doc_id", "left_semi")
-    # An id may stand on several texts: the set is that of the digest.
-    sets = stored(
-        _sets(some).join(needed, ["doc_id", "high", "low"], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "shingles"),
-        "sets",
+    found = windows.join(stored(shared, "regions"), "region", "left_semi").distinct()
+    members = stored(found.join(classes, "high").select("region", "text", "n"), "members")
+    used = stored(members.select("text").distinct(), "used")
+    profiles = measured.where("bin IS NULL").select(F.col("doc_id").alias("text"), "high", "low", "profile")
+    known = stored(
+        classes.join(used, "text", "left_semi")
+        .join(profiles, ["text", "high", "low"])
+        .groupBy("text", "high", "n")
+        .agg(F.first("profile").alias("profile")),
+        "known",
     )
 
-    tied = stored(components(_links(members, sets)), "tied")
-    ids = classes.join(tied, classes["text"] == tied["node"], "left").select(
+    tied = stored(components(_links(members, known, docs)), "tied")
+    ids = classes.drop("n").join(tied, classes["text"] == tied["node"], "left").select(
         "high", "low", F.col("text").alias("class_id"), F.coalesce("component", "text").alias("component_id")
     )
     ids = stored(ids, "ids")
