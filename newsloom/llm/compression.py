@@ -68,11 +68,11 @@ def sample(docs: DataFrame, labels: DataFrame, label: str) -> list[tuple[str, in
 
 
 def prior(labels: DataFrame, label: str) -> float:
-    """Share of label 1 among all rows that may be learned from."""
+    """Share of label 1 among all rows that may be learned from; without any, a quarter."""
     row = labels.where(F.col("doc_id").isNotNull() & ~held_out()).agg(
         F.sum((F.col(label) == 1).cast("int")).alias("one"), F.count(label).alias("all")
     ).first()
-    return ((row["one"] or 0) + 1) / (row["all"] + 2)
+    return ((row["one"] or 0) + 0.5) / (row["all"] + 2)
 
 
 def logistic(x, y, share: float, penalty: float) -> dict:

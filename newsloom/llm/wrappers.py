@@ -252,7 +252,8 @@ def text_paths(wrapper: Node) -> list[tuple[str, ...]]:
         if found:
             return found
     best = max(places, key=lambda x: _own_text(x[1]), default=None)
-    return [best[0]] if best and _own_text(best[1]) else []
+    # Text that stands in no element of its own is the page's.
+    return [best[0]] if best and _own_text(best[1]) >= max(1, _own_text(wrapper)) else []
 
 
 def _reached(root: Node, paths: list[tuple[str, ...]]) -> list[Node]:
