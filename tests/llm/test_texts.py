@@ -119,7 +119,7 @@ def test_decontamination(spark, docs, none, monkeypatch):
         six = got[6, 17]
         assert (six.n_hit, six.item_ids, six.contaminated) == (15, ["1"], True)
         assert six.hits == [[1, 16]] and "4" in six.near_item_ids
-        assert got[-8, 4].item_ids == ["None"] and got[-8, 4].n_hit == 2
+        assert got[-8, 6].item_ids == ["None"] and got[-8, 6].n_hit == 2
         assert got[2, 0].contaminated is False
         assert found.count() == len(ROWS)
     assert decontamination.contamination(none, benchmark).collect() == []
