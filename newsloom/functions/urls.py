@@ -46,7 +46,9 @@ def _piece(pieces: Column, place: int) -> Column:
 
 
 def _decoded(text: Column) -> Column:
-    return F.coalesce(F.try_url_decode(text), F.translate(text, "+", " "))
+    """Escapes decoded; a percent sign that begins none stands for itself."""
+    lone = F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(lone), F.translate(text, "+", " "))
 
 
 def _query_pairs(query: Column) -> Column:

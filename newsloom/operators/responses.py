@@ -79,39 +79,62 @@ def _error(kind: Column, message: Column, sample: Column) -> Column:
     return F.struct(kind.alias("kind"), message.alias("message"), sample.alias("sample"))
 
 
+def _is_json(text: Column) -> Column:
+    """One whole JSON value; NaN and Infinity count as numbers."""
+    plain = F.regexp_replace(text, r"-?\b(?:NaN|Infinity)\b", "0")
+    return F.coalesce(F.json_array_length(F.concat(F.lit("["), plain, F.lit("]"))) == 1, F.lit(False))
+
+
 def parsed(responses: DataFrame, schema: str = ANALYSIS_TYPE) -> DataFrame:
     """Adds ``analysis`` and ``error`` to ``response``: exactly one of them is null.
 
-    No response, text that is not JSON, and JSON that is not an object are the
-    three errors; the latter two keep the start of the response.
+    Errors: no response, text that is not JSON, JSON that is not an object or
+    whose fields have other types than ``schema``; all but the first keep the
+    start of the response. Of a repeated key the last value counts.
     """
     payload = F.col("response")
     body = strip_fences(payload)
-    valid = F.try_parse_json(body).isNotNull()
     is_object = F.startswith(strip(body), F.lit("{"))
     nothing = F.lit(None).cast("string")
+    marked = F.from_json(
+        body, f"{schema.rstrip()[:-1]},_bad:string>", {"columnNameOfCorruptRecord": "_bad"}
+    )
+    form = F.substring(body, 1, fixed.FORMAT_SAMPLE_CHARS)
     error = (
         F.when(payload.isNull(), _error(F.lit(NO_RESPONSE), F.lit("no response"), nothing))
         .when(
-            ~valid,
+            ~F.col("_is_json"),
             _error(
                 F.lit(NOT_JSON), nothing, F.substring(payload, 1, fixed.PARSE_SAMPLE_CHARS)
             ),
         )
+        .when(~is_object, _error(F.lit(NOT_AN_OBJECT), nothing, form))
         .when(
-            ~is_object,
-            _error(
-                F.lit(NOT_AN_OBJECT), nothing, F.substring(body, 1, fixed.FORMAT_SAMPLE_CHARS)
-            ),
+            F.col("_parsed._bad").isNotNull(),
+            _error(F.lit(NOT_AN_OBJECT), F.lit("a field has another type"), form),
         )
     )
-    return responses.withColumn("error", error).withColumn(
-        "analysis", F.when(F.col("error").isNull(), F.from_json(body, schema))
+    return (
+        responses.withColumn("_is_json", _is_json(body))
+        .withColumn("_parsed", marked)
+        .withColumn("error", error)
+        .withColumn(
+            "analysis", F.when(F.col("error").isNull(), F.col("_parsed").dropFields("_bad"))
+        )
+        .drop("_is_json", "_parsed")
     )
 
 
 def analyses(blocks: DataFrame, responses: DataFrame, schema: str = ANALYSIS_TYPE) -> DataFrame:
-    """Every block with its analysis or error; ``responses`` has one row per block."""
+    """Every block with its analysis or error.
+
+    Of several responses to a block a JSON object goes before anything else,
+    then the greatest text.
+    """
     keys = ["corpus_key", "block_no"]
-    answered = blocks.select(*keys).join(responses.select(*keys, "response"), keys, "left")
+    usable = F.json_object_keys(strip_fences(F.col("response"))).isNotNull()
+    single = responses.groupBy(*keys).agg(
+        F.max(F.struct(usable.alias("usable"), "response"))["response"].alias("response")
+    )
+    answered = blocks.select(*keys).join(single, keys, "left")
     return parsed(answered, schema).drop("response")

@@ -11,11 +11,6 @@ from newsloom.fixed_values import TRANSCRIPT_LANGUAGES
 from newsloom.functions.cleaning import clean_text
 from newsloom.operators.feed import first_per_key
 
-# Segments that go into one cell. A transcript of a day-long video fits; a
-# longer one continues in the next part, so no task gathers an unbounded group.
-PART_SEGMENTS = 50_000
-
-
 def preferred_language(
     segments: DataFrame, languages: Sequence[str] = tuple(TRANSCRIPT_LANGUAGES)
 ) -> DataFrame:
@@ -32,16 +27,14 @@ def preferred_language(
     return ranked.join(best, ["video_id", "_rank"], "left_semi").drop("_rank")
 
 
-def segments_to_text(segments: DataFrame, part_segments: int = PART_SEGMENTS) -> DataFrame:
-    """``(video_id, part_no, text)``: segments in order, one per line.
+def segments_to_text(segments: DataFrame) -> DataFrame:
+    """``(video_id, text)``: all segments of a video in order, one per line.
 
-    A video of up to ``part_segments`` segments is one row, part 0. The parts
-    of a longer one joined by a newline are its text.
+    A group is one video, so its length is bounded by the longest video.
     """
     line = F.struct("seg_no", "text")
     ordered = F.transform(F.array_sort(F.collect_list(line)), lambda s: s["text"])
-    part = F.floor(F.col("seg_no") / F.lit(part_segments)).alias("part_no")
-    return segments.groupBy("video_id", part).agg(F.array_join(ordered, "\n").alias("text"))
+    return segments.groupBy("video_id").agg(F.array_join(ordered, "\n").alias("text"))
 
 
 def latest_per_title(texts: DataFrame) -> DataFrame:

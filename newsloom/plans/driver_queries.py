@@ -409,7 +409,7 @@ def title_replaced(spark, sf_dir):
 @query
 def segments_to_text(spark, sf_dir):
     segments = table(spark, sf_dir, "conversations").select(
-        F.col("conv_id").alias("video_id"), F.col("turn").alias("seg_no"), "text"
+        F.col("conv_id").alias("video_id"), (F.col("turn") + 50_000).alias("seg_no"), "text"
     )
     return transcripts.segments_to_text(segments)
 

@@ -283,8 +283,7 @@ QUALIFY row_number() OVER (PARTITION BY title ORDER BY pos DESC) = 1"""
 SQL["title_replaced"] = f"""SELECT * FROM {TITLED}
 QUALIFY row_number() OVER (PARTITION BY title ORDER BY pos DESC) > 1"""
 SQL["segments_to_text"] = """
-SELECT conv_id AS video_id, CAST(0 AS BIGINT) AS part_no,
-       string_agg(text, chr(10) ORDER BY turn) AS text
+SELECT conv_id AS video_id, string_agg(text, chr(10) ORDER BY turn) AS text
 FROM conversations GROUP BY conv_id"""
 SQL["prefer_language"] = """
 WITH ranked AS (

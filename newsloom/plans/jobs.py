@@ -108,10 +108,7 @@ def transcript_texts(
     )
     winners = latest_per_title(named).select("video_id", "title")
     texts = segments_to_text(wanted).join(winners, "video_id")
-    suffix = F.when(F.col("part_no") == 0, F.lit("")).otherwise(
-        F.concat(F.lit("."), F.lpad(F.col("part_no").cast("string"), 6, "0"))
-    )
-    return texts.select(F.concat("title", suffix, F.lit(".txt")).alias("file_name"), "text")
+    return texts.select(F.concat("title", F.lit(".txt")).alias("file_name"), "text")
 
 
 def run_prompts(

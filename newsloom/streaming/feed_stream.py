@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +9,7 @@ from newsloom.fixed_values import FEED_ZONE, PT_CODE, SLOT_MINUTES
 from newsloom.functions.language import PORTUGUESE, LanguageRule
 from newsloom.functions.times import slot_stamp
 from newsloom.operators.feed import about_brazil, in_languages, with_dates
-from newsloom.sources.packages import feed_rows, package_files, read_packages
+from newsloom.sources.packages import feed_rows, package_files, read_packages, rejected_packages
 
 
 def feed_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,38 +17,32 @@ def feed_stream(spark: SparkSession, folder: str) -> DataFrame:
     return feed_rows(read_packages(package_files(spark, folder, stream=True)))
 
 
-def thin_repeats(rows: DataFrame, key: str) -> DataFrame:
-    """Drop repeats of a key inside each Arrow batch, before any shuffle.
-
-    Keeping the first arrival makes this exact, and a key that holds a large
-    share of the rows sends one row per batch to the task that keeps its state.
-    """
-
-    def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.drop_duplicates(subset=[key])
-
-    return rows.mapInPandas(thin, rows.schema)
-
-
-def first_arrivals(rows: DataFrame, delay: str = "1 day", key: str = "url") -> DataFrame:
+def first_arrivals(
+    rows: DataFrame, delay: str = "1 day", key: str = "url", buckets: int = 16
+) -> DataFrame:
     """One row per URL, the first to arrive, with state kept for ``delay`` of event time.
 
-    Batch keeps the least slot and line instead; both agree on ordered input.
-    Rows without a date cannot be placed in time and go, as in the day filter.
+    Two stateful steps, both behind the watermark: first per URL and bucket of
+    times, so that a URL with a large share of the rows is dealt to many tasks,
+    then per URL. Only the watermark drops late rows. Batch keeps the least slot
+    and line instead; both agree on ordered input. Rows without a date cannot be
+    placed in time and go, as in the day filter.
     """
-    dated = rows.filter(F.col("date_utc").isNotNull())
+    bucket = F.pmod(F.xxhash64("date_utc"), F.lit(buckets))
     return (
-        thin_repeats(dated, key)
+        rows.filter(F.col("date_utc").isNotNull())
+        .withColumn("_bucket", bucket)
         .withWatermark("date_utc", delay)
+        .dropDuplicatesWithinWatermark([key, "_bucket"])
         .dropDuplicatesWithinWatermark([key])
+        .drop("_bucket")
     )
 
 
 def slot_statistics(rows: DataFrame, kept: Column, delay: str = "30 minutes") -> DataFrame:
     """Rows and kept rows per slot, each slot once, when the watermark has passed it.
 
-    Later rows are dropped by Spark and counted in the query progress.
+    Later rows are dropped by Spark; ``run_available`` returns their number.
     """
     return (
         rows.withColumn("kept", kept)
@@ -62,9 +53,11 @@ def slot_statistics(rows: DataFrame, kept: Column, delay: str = "30 minutes") ->
     )
 
 
-def run_available(stream: DataFrame, path: str, checkpoint: str, *by: str) -> None:
+def run_available(stream: DataFrame, path: str, checkpoint: str, *by: str) -> int:
     """Process what has landed since the last run and append it to a Parquet folder.
 
+    Returns the number of rows that came after the watermark and were dropped.
+
     Offsets, state and the list of written files are kept in ``checkpoint`` and
     ``path``: a run that dies is taken up again without loss or repeats.
     """
@@ -78,6 +71,11 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, *by: str) -> No
         .start()
     )
     query.awaitTermination()
+    return sum(
+        step.numRowsDroppedByWatermark or 0
+        for progress in query.recentProgress
+        for step in progress.stateOperators
+    )
 
 
 def run_news(
@@ -90,10 +88,18 @@ def run_news(
     brazil: bool = False,
     rules: tuple[LanguageRule, ...] = (PORTUGUESE,),
     delay: str = "1 day",
-) -> None:
-    """Take up the packages landed since the last run: filter, one row per URL, append by day."""
+    rejects: str | None = None,
+) -> int:
+    """Take up the packages landed since the last run: filter, one row per URL, append by day.
+
+    Packages that cannot be read are appended to the folder ``rejects``, if one
+    is given. Returns the number of rows dropped as late.
+    """
+    if rejects is not None:
+        raw = read_packages(package_files(spark, packages, stream=True))
+        run_available(rejected_packages(raw), rejects, f"{checkpoint.rstrip('/')}-rejects")
     rows = in_languages(feed_stream(spark, packages), wanted, rules)
     if brazil:
         rows = about_brazil(rows)
     news = with_dates(first_arrivals(rows, delay), zone)
-    run_available(news, out, checkpoint, "local_day")
+    return run_available(news, out, checkpoint, "local_day")

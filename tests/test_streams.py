@@ -68,10 +68,31 @@ def test_slots_are_given_once_the_watermark_passed(spark, landing, tmp_path):
     assert found == [("20250825100000", 4, 3), ("20250825101500", 1, 1)]
 
 
-def test_repeats_are_thinned_before_the_shuffle(spark):
-    rows = spark.createDataFrame([("", i) for i in range(50)] + [("a", 1)], "url string, n int")
-    thin = feed_stream.thin_repeats(rows.repartition(2), "url").collect()
-    assert {r.url for r in thin} == {"", "a"} and len(thin) <= 4
+def test_late_repeats_do_not_take_rows_in_time_along(spark, landing, tmp_path):
+    def first():
+        return feed_stream.first_arrivals(feed_stream.feed_stream(spark, str(landing)))
+
+    package(landing, "20240120000000", ["A"])
+    run(spark, tmp_path, first())
+    package(landing, "20240101000000", ["X", "late"])
+    package(landing, "20240120010000", ["X", "A"])
+    package(landing, "99991231235959", ["far"])
+    package(landing, "15000101000000", ["old"])
+    out = str(tmp_path / "out")
+    dropped = feed_stream.run_available(first(), out, str(tmp_path / "checkpoint"))
+    found = {(r.url, r.slot) for r in spark.read.parquet(out).collect()}
+    assert found == {("A", "20240120000000"), ("X", "20240120010000"), ("far", "99991231235959")}
+    assert dropped == 3
+
+
+def test_bad_packages_are_kept_as_rejects(spark, landing, tmp_path):
+    package(landing, "20250825100000", ["http://a.pt/"])
+    (landing / "20250825103000.gkg.csv.zip").write_bytes(b"broken")
+    out, rejects = str(tmp_path / "news"), str(tmp_path / "rejects")
+    for _ in range(2):
+        feed_stream.run_news(spark, str(landing), out, str(tmp_path / "state"), rejects=rejects)
+    found = spark.read.parquet(rejects).collect()
+    assert [r.slot for r in found] == ["20250825103000"] and "BadZipFile" in found[0].error
 
 
 def test_news_are_appended_by_day(spark, landing, tmp_path):

@@ -130,3 +130,9 @@ def test_language_argument(argument, wanted):
 def test_rule_without_hints(one):
     rule = language.LanguageRule(code="XXX")
     assert one(["http://x.pt/?hl=pt"], language.url_mask(F.col("v"), (rule,))) == [False]
+
+
+def test_lone_percent_signs_do_not_stop_decoding(one):
+    query = "http://x.org/?hl=%70t%&a=%70t%ZZ&b=1%2&c=%C3%A9%+%"
+    found = one([query], urls.url_parts(urls.url_pieces(F.col("v")))["query"])[0]
+    assert [tuple(p) for p in found] == [("hl", "pt%"), ("a", "pt%ZZ"), ("b", "1%2"), ("c", "é% %")]

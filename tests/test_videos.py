@@ -98,15 +98,15 @@ def segments(spark):
 
 def test_language_and_text(segments):
     texts = transcripts.segments_to_text(transcripts.preferred_language(segments))
-    assert sorted(map(tuple, texts.collect())) == [("a", 0, "x\ny"), ("b", 0, "1\n2\n3")]
+    assert sorted(map(tuple, texts.collect())) == [("a", "x\ny"), ("b", "1\n2\n3")]
 
 
-def test_a_long_transcript_continues_in_parts(segments):
-    chosen = transcripts.preferred_language(segments)
-    parts = transcripts.segments_to_text(chosen, 2).filter("video_id = 'b'")
-    found = sorted((r.part_no, r.text) for r in parts.collect())
-    assert found == [(0, "1\n2"), (5, "3")]
-    assert "\n".join(t for _, t in found) == "1\n2\n3"
+def test_a_long_transcript_is_one_text(spark):
+    rows = spark.range(50_000, 110_003).selectExpr(
+        "'v' AS video_id", "CAST(id AS int) AS seg_no", "CAST(id AS string) AS text"
+    )
+    found = transcripts.segments_to_text(rows.repartition(5)).collect()
+    assert [r.text for r in found] == ["\n".join(map(str, range(50_000, 110_003)))]
 
 
 def test_last_title_wins(spark):
