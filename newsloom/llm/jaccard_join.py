@@ -258,12 +258,11 @@ def _ordered(x, y, percent: int) -> list:
     ]
 
 
-def _classed(members: DataFrame, links: DataFrame | None) -> DataFrame:
+def _classed(members: DataFrame, classes: DataFrame | None) -> DataFrame:
     """Members of the regions that hold more than one class, with class and size of region."""
-    if links is None:
+    if classes is None:
         now = members.withColumn("class", F.col("text"))
     else:
-        classes = stored(components(links), "classes")
         now = members.join(classes, members["text"] == classes["node"], "left").select(
             "region", "text", "n", F.coalesce("component", "text").alias("class")
         )
@@ -274,14 +273,17 @@ def _classed(members: DataFrame, links: DataFrame | None) -> DataFrame:
         .where("least <> most")
         .select("region", "size")
     )
-    return stored(now.join(stored(open_, "regions"), "region"), "members")
+    return stored(now.join(open_, "region"), "members")
 
 
 def _links(members: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
     """(region, text, n) -> links (a, b) that tie together all linked texts."""
-    links = None
+    links = classes = None
     for number, (direct, pivots) in enumerate(ROUNDS):
-        members = _classed(members, links)
+        if links is not None:
+            classes = components(links)
+            links = classes.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        members = _classed(members, classes)
         if members.isEmpty():
             return links if links is not None else members.select(F.col("text").alias("a"), F.col("text").alias("b"))
         x, y = members.alias("x"), members.alias("y")
@@ -297,14 +299,12 @@ def _links(members: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
             large = members.where(F.col("size") > direct)
             draw = F.pmod(F.xxhash64("text", F.lit(number)), F.lit(1 << 30)) / F.lit(float(1 << 30))
             # Always the least text, which all regions of a group of copies agree on.
-            first = large.groupBy("region").agg(F.min("text").alias("text"))
-            chosen = first
+            first = large.groupBy("region").agg(F.min(F.struct("text", "n")).alias("first"))
+            chosen = first.select("region", "first.text", "first.n")
             if pivots == "root":
-                drawn = large.where(draw * F.sqrt("size") < 1).select("region", "text")
-                chosen = first.union(drawn).distinct()
-            chosen = stored(
-                chosen.join(large.select("text", "n").distinct(), "text").select("region", "text", "n"), "pivots"
-            )
+                drawn = large.where(draw * F.sqrt("size") < 1).select("region", "text", "n")
+                chosen = chosen.union(drawn).distinct()
+            chosen = stored(chosen, "pivots")
             by_pivot = (
                 large.alias("x")
                 .join(chosen.alias("y"), x["region"] == y["region"])
@@ -315,7 +315,7 @@ def _links(members: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
         pairs = pairs.groupBy("a", "b").agg(F.min("percent").alias("percent"))
         near = stored(_compared(pairs, known, docs).distinct(), "near")
         close = near.where(F.col("common") * 100 >= F.col("total") * LINK_PERCENT).select("a", "b")
-        links = close if links is None else links.union(close)
+        links = close if links is None else links.union(close)  # of earlier rounds, as stars
         if direct is not None:
             both = near.select("a", "b", "common", "total").union(near.select("b", "a", "common", "total"))
             both = both.select(
@@ -336,7 +336,7 @@ def _links(members: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
                 .join(cores.distinct(), ["region", "text"], "left_anti")
                 .select(F.xxhash64("region", F.lit("outer")).alias("region"), "text", "n")
             )
-            members = stored(inner.union(outer).distinct(), "members")
+            members = inner.union(outer).distinct()
     return links
 
 
@@ -367,9 +367,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .where("least <> most")
         .select("region")
     )
-    found = windows.join(stored(shared, "regions"), "region", "left_semi").distinct()
+    found = windows.join(shared, "region", "left_semi").distinct()
     members = stored(found.join(classes, "high").select("region", "text", "n"), "members")
-    used = stored(members.select("text").distinct(), "used")
+    used = members.select("text").distinct()
     profiles = measured.where("bin IS NULL").select(F.col("doc_id").alias("text"), "high", "low", "profile")
     known = stored(
         classes.join(used, "text", "left_semi")
@@ -379,11 +379,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "known",
     )
 
-    tied = stored(components(_links(members, known, docs)), "tied")
+    tied = components(_links(members, known, docs))
     ids = classes.drop("n").join(tied, classes["text"] == tied["node"], "left").select(
         "high", "low", F.col("text").alias("class_id"), F.coalesce("component", "text").alias("component_id")
     )
-    ids = stored(ids, "ids")
     alone = (F.col("n") == 0) | F.col("doc_id").isNull()
     return rows.join(ids, ["high", "low"], "left").select(
         "doc_id",
