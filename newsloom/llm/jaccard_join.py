@@ -15,7 +15,8 @@ Inside a region the pivots are texts. Let r be 0.2, the distance of a link:
 
 * A text within r of a pivot is of the pivot's class, and all its partners are
   within 2 r of the pivot. These texts form a region of their own, in which only
-  pairs of different classes are still to be looked at.
+  pairs of different classes are still to be looked at. Regions with a pivot in
+  common share this one.
 * Texts within r of no pivot form the outer region.
 
 Texts between r and 2 r are copied into both. Regions that hold one class are
@@ -323,14 +324,19 @@ def _links(members: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
                 F.col("b").alias("pivot"),
                 (F.col("common") * 100 >= F.col("total") * LINK_PERCENT).alias("core"),
             )
-            reached = stored(
-                large.select("region", "text", "n")
-                .join(both, "text")
-                .join(chosen.select("region", F.col("text").alias("pivot")), ["region", "pivot"]),
-                "reached",
+            # Named by the pivot alone: regions that share a pivot give one region of its neighbours.
+            inner = (
+                both.join(chosen.select(F.col("text").alias("pivot")).distinct(), "pivot")
+                .join(known.select("text", "n"), "text")
+                .select(F.xxhash64("pivot", F.lit("inner")).alias("region"), "text", "n")
+            )
+            cores = (
+                large.select("region", "text")
+                .join(both.where("core"), "text")
+                .join(chosen.select("region", F.col("text").alias("pivot")), ["region", "pivot"], "left_semi")
+                .select("region", "text")
+                .union(chosen.select("region", "text"))
             )
-            inner = reached.select(F.xxhash64("region", "pivot").alias("region"), "text", "n")
-            cores = reached.where("core").select("region", "text").union(chosen.select("region", "text"))
             outer = (
                 large.select("region", "text", "n")
                 .join(cores.distinct(), ["region", "text"], "left_anti")
