@@ -13,17 +13,18 @@ as many regions as this window has, and each linked pair meets in one.
 
 Inside a region the pivots are texts. Let r be 0.2, the distance of a link:
 
-* A text within r of a pivot is of the pivot's class, and all its partners are
-  within 2 r of the pivot. These texts form a region of their own, in which only
-  pairs of different classes are still to be looked at. Regions with a pivot in
-  common share this one.
+* A text within r of a pivot is of the pivot's class and at home with the nearest
+  such pivot: its Voronoi region. All its partners are within 2 r of that pivot
+  and are copied into the region as guests. Pairs to look at have a text at home,
+  two classes, and distances to the pivot that differ by no more than r. Regions
+  with a pivot in common share this one.
 * Texts within r of no pivot form the outer region.
 
-Texts between r and 2 r are copied into both. Regions that hold one class are
-done, others join again in the same way with more pivots; small ones, and all of
-the last round, compare their pairs directly. Classes are brought up to date
-after each round. Only classes matter, so pairs inside one are never made: a
-group of near copies goes as soon as its pivot has been compared with each.
+Regions that hold one class are done, others join again in the same way with
+more pivots; small ones, and all of the last round, compare their pairs directly.
+Classes are brought up to date after each round. Only classes matter, so pairs
+inside one are never made: a group of near copies goes as soon as its pivot has
+been compared with each.
 
 Before two sets are compared, so are their profiles: how many shingles fall into
 each of 256 classes. The profiles differ by no more than the sets, so pairs too
@@ -50,6 +51,8 @@ SHINGLE_WORDS = 5
 LINK_PERCENT = 80
 #: Similarity at twice the distance of a link, in percent.
 REACH_PERCENT = 60
+#: Distance of a link, with room for rounding.
+RADIUS = 1 - LINK_PERCENT / 100 + 1e-9
 #: Bins of the fixed-size count that tells rare shingles from common ones.
 BINS = 1 << 16
 #: Words whose hashes a task remembers, twice.
@@ -260,25 +263,33 @@ def _ordered(x, y, percent: int) -> list:
 
 
 def _classed(members: DataFrame, classes: DataFrame | None) -> DataFrame:
-    """Members of the regions that hold more than one class, with class and size of region."""
+    """Members of the regions with a text at home and more than one class, with class and size of region."""
     if classes is None:
         now = members.withColumn("class", F.col("text"))
     else:
         now = members.join(classes, members["text"] == classes["node"], "left").select(
-            "region", "text", "n", F.coalesce("component", "text").alias("class")
+            "region", "text", "n", "home", "distance", F.coalesce("component", "text").alias("class")
         )
         now = stored(now, "members")
     open_ = (
         now.groupBy("region")
-        .agg(F.count("*").alias("size"), F.min("class").alias("least"), F.max("class").alias("most"))
-        .where("least <> most")
+        .agg(
+            F.count("*").alias("size"),
+            F.min("class").alias("least"),
+            F.max("class").alias("most"),
+            F.max("home").alias("home"),
+        )
+        .where("least <> most AND home")
         .select("region", "size")
     )
     return stored(now.join(open_, "region"), "members")
 
 
 def _links(members: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
-    """(region, text, n) -> links (a, b) that tie together all linked texts."""
+    """(region, text, n, home, distance) -> links (a, b) that tie together all linked texts.
+
+    ``distance`` is that to the region's pivot, 0 where it has none.
+    """
     links = classes = None
     for number, (direct, pivots) in enumerate(ROUNDS):
         if links is not None:
@@ -293,7 +304,13 @@ def _links(members: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
         pairs = (
             small.alias("x")
             .join(small.alias("y"), x["region"] == y["region"])
-            .where((x["text"] < y["text"]) & (x["class"] != y["class"]) & _pair(x, y, LINK_PERCENT))
+            .where(
+                (x["text"] < y["text"])
+                & (x["class"] != y["class"])
+                & (x["home"] | y["home"])
+                & (F.abs(x["distance"] - y["distance"]) <= RADIUS)
+                & _pair(x, y, LINK_PERCENT)
+            )
             .select(*_ordered(x, y, LINK_PERCENT))
         )
         if direct is not None:
@@ -323,26 +340,34 @@ def _links(members: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
                 F.col("a").alias("text"),
                 F.col("b").alias("pivot"),
                 (F.col("common") * 100 >= F.col("total") * LINK_PERCENT).alias("core"),
+                (1 - F.col("common") / F.col("total")).alias("distance"),
             )
-            # Named by the pivot alone: regions that share a pivot give one region of its neighbours.
-            inner = (
-                both.join(chosen.select(F.col("text").alias("pivot")).distinct(), "pivot")
-                .join(known.select("text", "n"), "text")
-                .select(F.xxhash64("pivot", F.lit("inner")).alias("region"), "text", "n")
-            )
-            cores = (
+            nearest = F.min(F.struct("distance", "pivot")).alias("nearest")
+            homes = stored(
                 large.select("region", "text")
                 .join(both.where("core"), "text")
                 .join(chosen.select("region", F.col("text").alias("pivot")), ["region", "pivot"], "left_semi")
-                .select("region", "text")
-                .union(chosen.select("region", "text"))
+                .groupBy("region", "text")
+                .agg(nearest)
+                .select("region", "text", "nearest.pivot", "nearest.distance"),
+                "homes",
             )
-            outer = (
-                large.select("region", "text", "n")
-                .join(cores.distinct(), ["region", "text"], "left_anti")
-                .select(F.xxhash64("region", F.lit("outer")).alias("region"), "text", "n")
+            # Named by the pivot alone: regions that share a pivot give one region of its neighbours.
+            at_home = homes.select("pivot", "text", "distance", F.lit(True).alias("home"))
+            inner = (
+                both.join(homes.select("pivot").distinct(), "pivot", "left_semi")
+                .select("pivot", "text", "distance", F.lit(False).alias("home"))
+                .union(at_home)
+                .groupBy("pivot", "text")
+                .agg(F.max("home").alias("home"), F.max("distance").alias("distance"))
+                .join(known.select("text", "n"), "text")
+                .select(F.xxhash64("pivot", F.lit("inner")).alias("region"), "text", "n", "home", "distance")
+            )
+            settled = homes.select("region", "text").union(chosen.select("region", "text")).distinct()
+            outer = large.join(settled, ["region", "text"], "left_anti").select(
+                F.xxhash64("region", F.lit("outer")).alias("region"), "text", "n", "home", "distance"
             )
-            members = inner.union(outer).distinct()
+            members = inner.union(outer)
     return links
 
 
@@ -374,7 +399,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("region")
     )
     found = windows.join(shared, "region", "left_semi").distinct()
-    members = stored(found.join(classes, "high").select("region", "text", "n"), "members")
+    members = found.join(classes, "high").select(
+        "region", "text", "n", F.lit(True).alias("home"), F.lit(0.0).alias("distance")
+    )
+    members = stored(members, "members")
     used = members.select("text").distinct()
     profiles = measured.where("bin IS NULL").select(F.col("doc_id").alias("text"), "high", "low", "profile")
     known = stored(
