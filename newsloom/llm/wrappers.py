@@ -20,7 +20,8 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,19 +51,33 @@ BLOCKS = frozenset(
 ENDS |= {tag: {"p"} for tag in BLOCKS - {"br", *ENDS}}
 #: Elements and marks of what is not the article.
 FURNITURE = frozenset("nav footer aside form head button select menu dialog".split()) | RAW
-FURNITURE_MARK = re.compile(
-    r"(?i)(?:^|[^a-z])(?:nav|navbar|navigation|menu|sidebar|footer|banner|breadcrumbs?|ads?|adverts?|advertisement|"
-    r"advertising|sponsor(?:ed)?|promo|cookies?|consent|notices?|popup|modal|newsletter|subscribe|share|sharing|social|"
-    r"comments?|replies|reply|respond|related|recommended|widget|toolbar|login|search|pagination|pager|disqus|"
-    r"complementary|contentinfo)(?:[^a-z]|$)"
+FURNITURE_WORDS = frozenset(
+    "nav navbar navigation menu sidebar footer banner breadcrumb breadcrumbs ad ads advert adverts advertisement "
+    "advertising sponsor sponsored promo cookie cookies consent notice notices popup modal newsletter subscribe share "
+    "sharing social comment comments reply replies respond related recommended widget toolbar login search pagination "
+    "pager disqus complementary contentinfo".split()
 )
+#: Elements that their marks never make furniture.
+KEPT = frozenset("html body main article".split())
 #: Elements nested deeper are taken as siblings.
 DEPTH = 150
 
 
-def furniture(sig: str) -> bool:
+def _named(token: str) -> bool:
+    """Whether a whole class, id, role or property is made of words for furniture, as ``ad-banner``."""
+    words = [w for w in re.split(r"[\W\d_]+", token.lower()) if w]
+    return bool(words) and all(w in FURNITURE_WORDS for w in words)
+
+
+@lru_cache(maxsize=20_000)
+def marked(sig: str) -> bool:
+    """Whether marks make an element furniture."""
     tag, _, marks = sig.partition(" ")
-    return tag in FURNITURE or bool(marks and FURNITURE_MARK.search(marks))
+    return tag not in KEPT and any(_named(token.rpartition("=")[2]) for token in marks.split())
+
+
+def furniture(sig: str) -> bool:
+    return sig.split(" ", 1)[0] in FURNITURE or marked(sig)
 
 
 class Node:
@@ -215,16 +230,24 @@ def expression(node: Node) -> str:
     return f"({shown}){bound}" if bound and node.sig != "()" else shown + bound
 
 
-def _paths(node: Node, path: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], Node]]:
+def _paths(
+    node: Node, skipped: Callable[[str], bool] = furniture, path: tuple[str, ...] = ()
+) -> Iterator[tuple[tuple[str, ...], Node]]:
     """Elements outside of furniture with their paths; groups are no step of a path."""
     for child in node.children:
-        if child.sig == "#" or furniture(child.sig):
+        if child.sig == "#" or skipped(child.sig):
             continue
         if child.sig == "()":
-            yield from _paths(child, path)
+            yield from _paths(child, skipped, path)
         else:
             yield (*path, child.sig), child
-            yield from _paths(child, (*path, child.sig))
+            yield from _paths(child, skipped, (*path, child.sig))
+
+
+def _unmarked(sig: str) -> bool:
+    """Furniture by its tag; a form may hold the whole page."""
+    tag = sig.split(" ", 1)[0]
+    return tag in FURNITURE and tag != "form"
 
 
 def _own_text(node: Node) -> int:
@@ -240,6 +263,10 @@ def _own_text(node: Node) -> int:
     return total
 
 
+def _any_text(node: Node) -> bool:
+    return any(c.chars if c.sig == "#" else not furniture(c.sig) and _any_text(c) for c in node.children)
+
+
 def _main(sig: str) -> bool:
     return sig.split(" ", 1)[0] == "main" or "role=main" in sig or "itemprop=articleBody" in sig
 
@@ -247,10 +274,12 @@ def _main(sig: str) -> bool:
 def text_paths(wrapper: Node) -> list[tuple[str, ...]]:
     """Where the article stands."""
     places = list(_paths(wrapper))
-    for wanted in (lambda s: s.split(" ", 1)[0] == "article", _main):
-        found = [p for p, _ in places if wanted(p[-1]) and not any(wanted(s) for s in p[:-1])]
-        if found:
-            return found
+    # What holds the article is no furniture, whatever its marks say, if no other place has text.
+    for held in (places, list(_paths(wrapper, _unmarked))):
+        for wanted in (lambda s: s.split(" ", 1)[0] == "article", _main):
+            found = [(p, node) for p, node in held if wanted(p[-1]) and not any(wanted(s) for s in p[:-1])]
+            if any(_any_text(node) for _, node in found):
+                return [p for p, _ in found]
     best = max(places, key=lambda x: _own_text(x[1]), default=None)
     # Text that stands in no element of its own is the page's.
     return [best[0]] if best and _own_text(best[1]) >= max(1, _own_text(wrapper)) else []
@@ -271,8 +300,9 @@ def _reached(root: Node, paths: list[tuple[str, ...]]) -> list[Node]:
 
 
 def _blocks(nodes: list[Node]) -> Iterator[str]:
-    """Texts of blocks in page order, without furniture."""
+    """Texts of blocks in page order, without furniture inside the nodes."""
     held: list[str] = []
+    chosen = set(map(id, nodes))
 
     def ended() -> Iterator[str]:
         text = " ".join(html.unescape("".join(held)).split())
@@ -287,7 +317,7 @@ def _blocks(nodes: list[Node]) -> Iterator[str]:
             yield from ended()
         elif node.sig == "#":
             held.append(node.text)
-        elif not furniture(node.sig):
+        elif id(node) in chosen or not furniture(node.sig):
             if node.tag in BLOCKS:
                 yield from ended()
                 todo.append(None)
@@ -301,7 +331,7 @@ def main_text(page: str, paths: list[tuple[str, ...]]) -> str:
     nodes = _reached(root, paths)
     if not nodes:
         nodes = _reached(root, text_paths(_copy(root)))
-    return "\n".join(_blocks(nodes if nodes else root.children))
+    return "\n".join(_blocks(nodes or [root]))
 
 
 def _host(url):

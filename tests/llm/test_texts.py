@@ -276,3 +276,32 @@ def test_compression_classifiers(spark, label):
     lone = apply(docs, train(docs, labels.where(f"{label} = 1")), ["doc_id"])
     assert lone.select("score").distinct().count() == 1
     assert apply(docs.limit(0), train(docs.limit(0), labels), ["doc_id"]).collect() == []
+
+
+def test_marks_of_what_holds_the_article():
+    def article(*pages):
+        host = [wrappers._copy(wrappers.parsed(p)) for p in pages]
+        whole = host[0]
+        for other in host[1:]:
+            whole = wrappers.joined(whole, other)
+        return [wrappers.main_text(p, wrappers.text_paths(whole)) for p in pages]
+
+    page = "<html><body{}><div{}><{}><h1>Title</h1><p>text</p><div class='box ad'>buy</div></{}></div></body></html>"
+    for body, div, kind in (
+        (' class="single has-sidebar"', "", "article"),
+        (' class="ads"', "", "article"),
+        ("", "", 'article class="post comments-open"'),
+        ("", "", 'article id="social-policy"'),
+        ("", "", 'article class="comments"'),
+        ("", ' id="content" class="with-ads"', "article"),
+        ("", ' class="ads"', "article"),
+        ("", ' class="widget"', "main"),
+        (' class="has-sidebar"', "", 'div id="social-policy"'),
+    ):
+        assert article(page.format(body, div, kind, kind.split()[0])) == ["Title\ntext"]
+    # Furniture stays furniture where the article stands elsewhere.
+    two = '<div class="ad-banner"><article>buy</article></div><article>text<p class="social-share">share</p></article>'
+    assert article(two) == ["text"]
+    assert article('<div class="related"><article>other</article></div><main>text</main>') == ["text"]
+    assert article('<main><div class="widget"><article>text</article></div></main>') == ["text"]
+    assert article('<form id="all"><article>text</article></form>') == ["text"]
