@@ -4,12 +4,15 @@ Both learn from a bounded sample of labelled rows, drawn by a hash of the row's
 id: ``SAMPLE`` rows of each class, half for the dictionaries, half for the
 calibration of the score. Every text is then scored whole.
 
-Toxicity. A window is the beginning of a word with the blank before it, at each
-of several lengths. One dictionary holds word beginnings that are much more
-frequent in toxic text, in as many different contexts (so that copies of a text
-count once); the other those of ordinary text. A window that the toxic
-dictionary shortens by more than a threshold is a hit, and a calibrated
-function of the numbers of hits is the score. Characters are spelled as
+Toxicity. Windows of ``WINDOW`` characters slide over the whole text, ``STEP``
+by ``STEP``, inside words and across them, so each run of up to 13 characters
+stands whole in one. Segments are runs of characters of a few lengths. Both
+dictionaries hold the most frequent segments of ordinary text; the toxic one
+also all those that stand in toxic text in significantly more different contexts
+(so that copies of a text count once), each up to ``DICTIONARY_BYTES``. The bytes
+by which the toxic dictionary shortens a window more are its gain; a window
+without a toxic segment has none and is not compressed. A calibrated function of
+the numbers of windows by gain is the score. Characters are spelled as
 three-byte codes, so that the cost of a match is small beside what it saves.
 
 Quality. Dictionaries are trained on good and on bad texts. The difference of
@@ -30,12 +33,22 @@ from newsloom.llm.common import Remembered, texts
 
 #: Labelled rows of each class that are learned from, at most.
 SAMPLE = 4000
-#: Lengths of a window in characters, its blank included.
-WINDOWS = (4, 5, 6, 7, 8)
+#: Characters of a window, and from one window's start to the next.
+WINDOW, STEP = 16, 4
+#: Lengths of segments; each is put together from two shorter ones.
+SEGMENTS = {2: (1, 1), 3: (2, 1), 4: (2, 2), 5: (4, 1), 6: (4, 2), 8: (4, 4), 12: (8, 4)}
 #: Bytes by which the toxic dictionary must shorten a window, for each count of hits.
-GAINS = (2, 3, 4, 5, 6, 7, 8, 9)
-TOXIC_SEGMENTS = 48
-ORDINARY_SEGMENTS = 6000
+GAINS = (1, 2, 4, 6, 8, 10, 12, 15)
+#: A toxic segment is in so many texts at least, and so many times as frequent as in ordinary text.
+LEAST_TEXTS, TYPICAL = 4, 10
+#: Bits of the table that tells which positions may begin a toxic segment.
+TABLE_BITS = 18
+#: Bits of the table that tells in training which segments are too rare to count.
+COUNT_BITS = 22
+#: Positions that training sorts at once.
+COUNTED = 1_500_000
+#: Characters that are hashed at once.
+STRETCH = 1 << 16
 DICTIONARY_BYTES = 48_000
 #: Bytes that are compressed at once.
 BLOCK = 1 << 20
@@ -103,52 +116,141 @@ def scores(model: dict, features):
     return 1 / (1 + np.exp(-np.clip(rows @ model["weights"][:-1] + model["weights"][-1], -30, 30)))
 
 
-def _beginnings(words: list[str]) -> Iterator[tuple[str, str]]:
-    """(word beginning, word before) of a text."""
-    before = ""
-    for word in words:
-        shown = " " + word
-        for k in WINDOWS:
-            if len(shown) >= k:
-                yield shown[:k], before
-        before = word
+def _folded(text: str) -> str:
+    """Lower case, each run of white space one blank, also at both ends."""
+    return f" {' '.join(text.lower().split())} "
 
 
-def _contexts(documents: list[str]) -> dict[str, int]:
-    """In how many different contexts each word beginning occurs."""
-    from collections import Counter
+def _hashes(text: str, longest: int = max(SEGMENTS)) -> dict:
+    """By length, a 64-bit number for the segment at each position."""
+    import numpy as np
+
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+    found = {1: points * np.uint64(0x9E3779B97F4A7C15)}
+    for length, (first, second) in SEGMENTS.items():
+        if length > longest:
+            break
+        n = max(0, len(points) - length + 1)
+        factor = np.uint64(pow(0xD6E8FEB86659FD93, second, 1 << 64))
+        found[length] = found[first][:n] * factor + found[second][first : first + n]
+    return found
+
+
+def _mixed(numbers):
+    import numpy as np
+
+    numbers = (numbers ^ (numbers >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return numbers ^ (numbers >> np.uint64(29))
 
-    pairs = set()
+
+def _slots(numbers, bits: int = TABLE_BITS):
+    import numpy as np
+
+    return (_mixed(numbers) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _slot_counts(documents: list[str], length: int):
+    """In how many texts the segments of each slot are."""
+    import numpy as np
+
+    counts = np.zeros(1 << COUNT_BITS, np.int32)
     for text in documents:
-        pairs.update(_beginnings(text.lower().split()))
-    return Counter(beginning for beginning, _ in pairs)
+        counts[_slots(_hashes(text, length)[length], COUNT_BITS)] += 1  # once a text
+    return counts
+
+
+def _counted(documents: list[str], length: int, wanted):
+    """Segments of one length in wanted slots, by number.
+
+    Their numbers, in how many different contexts and in how many texts of its own each is, a place (text, position).
+    """
+    import numpy as np
+
+    before = 8
+    found: list[tuple] = []
+    for k, text in enumerate(documents):
+        # What stands before the text's first characters is the same for all texts.
+        hashes = _hashes(" " * before + text, max(before, length))
+        own = hashes[length][before:]
+        slots = _slots(own, COUNT_BITS)
+        at = np.flatnonzero(wanted[slots])
+        own = own[at]
+        found.append((own, _mixed(own) + hashes[before][at], (k << 32) + at, slots[at]))
+    parts = -(-sum(len(own) for own, *_ in found) // COUNTED) or 1
+    done = []
+    for part in range(parts):
+        mine = [(own[x], pairs[x], places[x]) for own, pairs, places, slots in found for x in (slots % parts == part,)]
+        if not mine:
+            continue
+        numbers, pairs, places = map(np.concatenate, zip(*mine))
+        # A copy of a text has no context of its own.
+        first = np.unique(pairs, return_index=True)[1]
+        first.sort()
+        numbers, places = numbers[first], places[first]
+        if not len(numbers):
+            continue
+        order = np.argsort(numbers, kind="stable")
+        numbers, places = numbers[order], places[order]
+        fresh = np.r_[True, numbers[1:] != numbers[:-1]]
+        starts = np.flatnonzero(fresh)
+        texts = fresh | np.r_[True, places[1:] >> 32 != places[:-1] >> 32]
+        within = np.add.reduceat(texts.astype(np.int64), starts)
+        done.append((numbers[starts], np.diff(np.r_[starts, len(numbers)]), within, places[starts]))
+    if not done:
+        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
+    numbers, contexts, within, places = map(np.concatenate, zip(*done))
+    order = np.argsort(numbers)
+    return numbers[order], contexts[order], within[order], places[order]
 
 
 def _segments(own: list[str], other: list[str]) -> tuple[list[str], list[str]]:
-    """Word beginnings typical of the first texts, and the most frequent of the others; best first."""
-    import math
-
-    mine, theirs = _contexts(own), _contexts(other)
-    a, b = max(1, sum(mine.values())), max(1, sum(theirs.values()))
-    ranked = []
-    for g, n in mine.items():
-        rate, against = (n + 0.5) / a, (theirs.get(g, 0) + 0.5) / b
-        if n >= 8 and rate > 5 * against:
-            ranked.append((-n * math.log(rate / against), g))
-    ranked.sort()
-    extensions: dict[str, list[str]] = {}
-    for h in mine:
-        extensions.setdefault(h[:-1], []).append(h)
+    """Segments typical of the first texts, and the most frequent of the others; best first."""
+    import numpy as np
+
+    own, other = list(map(_folded, own)), list(map(_folded, other))
+
+    def spelled(texts: list[str], place: int, length: int) -> str:
+        at = int(place) & 0xFFFFFFFF
+        return texts[int(place) >> 32][at : at + length]
+
+    # What is in many texts, by contexts.
+    most = DICTIONARY_BYTES // 3 // 8
+    counts = _slot_counts(other, 8)
+    _, counts, _, places = _counted(other, 8, counts >= max(1, np.partition(counts, -most)[-most] // 2))
+    top = np.argsort(-counts, kind="stable")[:most]
+    common = [spelled(other, places[k], 8) for k in top]
+    ranked: list[tuple[float, str]] = []
+    a, b = sum(map(len, own)), sum(map(len, other))
+    for length in SEGMENTS:
+        found = _slot_counts(own, length)
+        candidates = np.count_nonzero(found)
+        mine, n, within, places = _counted(own, length, found >= LEAST_TEXTS)
+        mine, n, places = (x[within >= LEAST_TEXTS] for x in (mine, n, places))
+        if not len(mine):
+            continue
+        wanted = np.zeros(1 << COUNT_BITS, bool)
+        wanted[_slots(mine, COUNT_BITS)] = True
+        theirs, counts, _, _ = _counted(other, length, wanted)
+        m = np.zeros(len(mine), np.int64)
+        if len(theirs):
+            at = np.minimum(np.searchsorted(theirs, mine), len(theirs) - 1)
+            m = np.where(theirs[at] == mine, counts[at], 0)
+        rate = ((n + 0.5) / a) / ((m + 0.5) / b)
+        # Twice the logarithm of the likelihood ratio; by chance alone about one segment in all would pass.
+        both = (n + m) / (a + b)
+        ratio = 2 * (n * np.log(n / (a * both)) + m * np.log(np.maximum(m, 1) / (b * both)))
+        # Contexts repeat in texts of few words; so the share of texts counts as well.
+        slots = _slots(mine, COUNT_BITS)
+        spread = found[slots] / len(own) > 2 * _slot_counts(other, length)[slots] / max(1, len(other))
+        for k in np.flatnonzero(spread & (rate > TYPICAL) & (ratio > 2 * np.log(candidates + 1))):
+            ranked.append((-float(ratio[k]), spelled(own, places[k], length)))
     typical: list[str] = []
-    for gain, g in ranked:
-        if len(typical) >= TOXIC_SEGMENTS or gain > ranked[0][0] / 40:
+    size = 0
+    for _, segment in sorted(ranked):
+        size += 3 * (len(segment) + 1)
+        if size > DICTIONARY_BYTES:
             break
-        # The longest beginning that stands for nearly all of the contexts says most.
-        while longer := [h for h in extensions.get(g, ()) if mine[h] >= 0.8 * mine[g]]:
-            g = longer[0]
-        if not any(g.startswith(h) or h.startswith(g) for h in typical):
-            typical.append(g)
-    common = sorted(theirs, key=lambda g: (-theirs[g], g))[:ORDINARY_SEGMENTS]
+        typical.append(segment)
     return typical, common
 
 
@@ -158,24 +260,35 @@ class Windows:
     def __init__(self, typical: list[str], common: list[str]):
         import hashlib
 
+        import numpy as np
+
         self.codes = Remembered(
             lambda c: hashlib.blake2b(c.encode("utf-8", "replace"), digest_size=3).digest(), 20_000
         )
-        self.ordinary, self.toxic = self._compressor(common), self._compressor(typical)
+        content = b"".join(self._spelled(s) for s in reversed(common))
+        # Segments apart, so that no match runs on; the ordinary dictionary has as many bytes, so offsets are alike.
+        more = b"".join(self._spelled(s) + hashlib.blake2b(s.encode("utf-8", "replace"), digest_size=3).digest() for s in reversed(typical))
+        filler = hashlib.shake_256(b"filler").digest(len(more))
+        self.ordinary, self.toxic = self._compressor(content + filler), self._compressor(content + more)
         self.windows = Remembered(self._gain, REMEMBERED)
-        self.words = Remembered(self._best, REMEMBERED)
+        self.tables = {}
+        for length in SEGMENTS:
+            wanted = [s for s in typical if len(s) == length]
+            if wanted:
+                table = np.zeros(1 << TABLE_BITS, bool)
+                table[[int(_slots(_hashes(s)[length])[0]) for s in wanted]] = True
+                self.tables[length] = table, frozenset(wanted)
 
     def _spelled(self, text: str) -> bytes:
         return b"".join(map(self.codes.__getitem__, text))
 
-    def _compressor(self, segments: list[str]):
+    def _compressor(self, content: bytes):
         import zstandard as zs
 
-        content = b"".join(self._spelled(s) for s in reversed(segments)) or b"\0" * 8
-        dictionary = zs.ZstdCompressionDict(content, dict_type=zs.DICT_TYPE_RAWCONTENT)
+        dictionary = zs.ZstdCompressionDict(content or b"\0" * 8, dict_type=zs.DICT_TYPE_RAWCONTENT)
         settings = zs.ZstdCompressionParameters(
-            strategy=zs.STRATEGY_BTOPT, min_match=6, window_log=19, hash_log=17, chain_log=17, search_log=4,
-            target_length=32, write_content_size=False, write_checksum=False, write_dict_id=False,
+            strategy=zs.STRATEGY_BTULTRA2, min_match=6, window_log=19, hash_log=17, chain_log=17, search_log=10,
+            target_length=256, write_content_size=False, write_checksum=False, write_dict_id=False,
         )
         return zs.ZstdCompressor(dict_data=dictionary, compression_params=settings)
 
@@ -183,20 +296,36 @@ class Windows:
         data = self._spelled(window)
         return len(self.ordinary.compress(data)) - len(self.toxic.compress(data))
 
-    def _best(self, word: str) -> int:
-        shown = " " + word
-        return max((self.windows[shown[:k]] for k in WINDOWS if len(shown) >= k), default=0)
+    def _touched(self, text: str) -> list[int]:
+        """Starts of the windows that hold a toxic segment, in order."""
+        import numpy as np
+
+        found: set[int] = set()
+        longest = max(SEGMENTS)
+        for a in range(0, len(text), STRETCH):
+            stretch = text[a : a + STRETCH + longest - 1]
+            hashes = _hashes(stretch)
+            for length, (table, wanted) in self.tables.items():
+                for at in np.flatnonzero(table[_slots(hashes[length])]).tolist():
+                    if stretch[at : at + length] in wanted:
+                        first = max(0, -(-(a + at + length - WINDOW) // STEP))
+                        found.update(range(first * STEP, a + at + 1, STEP))
+        return sorted(found)
 
     def features(self, text: str) -> list[float]:
         """Of the hits at each threshold: number, share, and whether there are one, two, three."""
         import numpy as np
 
-        words = text.lower().split()
-        gains = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        text = _folded(text)
+        starts = self._touched(text)
+        gains = np.array([self.windows[text[a : a + WINDOW]] for a in starts], np.int64)
+        starts = np.array(starts, np.int64)
         found: list[float] = []
         for gain in GAINS:
-            n = int((gains >= gain).sum())
-            found += [np.log1p(n), np.log1p(100 * n / max(1, len(words))), n >= 1, n >= 2, n >= 3]
+            # Windows that touch are one hit.
+            hits = starts[gains >= gain]
+            n = int((np.diff(hits) >= WINDOW).sum()) + 1 if len(hits) else 0
+            found += [np.log1p(n), np.log1p(600 * n / len(text)), n >= 1, n >= 2, n >= 3]
         return found
 
 
@@ -211,7 +340,10 @@ def train_toxicity(docs: DataFrame, labels: DataFrame) -> dict:
     measure = Windows(typical, common).features
     x = [measure(t) for y in (0, 1) for t in parts[y, 1]]
     y = [y for y in (0, 1) for _ in parts[y, 1]]
-    return {"typical": typical, "common": common, "share": share, "fit": logistic(x, y, share, 1e-5)}
+    fit = logistic(x, y, share, 1e-5)
+    # Calibrated on texts that the dictionaries did not see, which then hold the segments of all.
+    typical, common = _segments(*(parts[y, 0] + parts[y, 1] for y in (1, 0)))
+    return {"typical": typical, "common": common, "share": share, "fit": fit}
 
 
 class Sizes:

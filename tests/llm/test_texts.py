@@ -305,3 +305,34 @@ def test_marks_of_what_holds_the_article():
     assert article('<div class="related"><article>other</article></div><main>text</main>') == ["text"]
     assert article('<main><div class="widget"><article>text</article></div></main>') == ["text"]
     assert article('<form id="all"><article>text</article></form>') == ["text"]
+
+
+def test_toxic_segments_anywhere(spark):
+    docs, labels = labelled(spark)
+    draw = random.Random(12)
+    words = ["mesa", "lado", "verde", "rio", "campo", "luz", "tempo", "vento", "pedra", "folha"]
+    many = ["".join(draw.choice("bcdfgjkqwxyz") + draw.choice("aeiou") for _ in range(4)) for _ in range(90)]
+    more, known = [], []
+    for i in range(10_000, 12_400):
+        text = [draw.choice(words) for _ in range(60)]
+        toxic, kind = int(i % 4 == 0), i // 4 % 3
+        if toxic and kind == 0:  # one of many words
+            text[9:9] = draw.sample(many, 3)
+        elif toxic and kind == 1:  # words that only together say it
+            text[9:11] = text[40:42] = ["rio", "luz", "rio", "mesa"]
+        elif toxic:  # no blanks
+            text = [*text[:20], "日月山川" + "白痴垃圾" + "水火木金", *text[20:]]
+        elif kind == 1:
+            text[9:9] = ["日月山川水火木金"]
+        more.append((i, " ".join(text if toxic and kind == 1 else [w for k, w in enumerate(text) if text[k - 2 : k + 1] != ["rio", "luz", "rio"]]), 0.5))
+        known.append((i, 1, toxic))
+    docs = docs.union(spark.createDataFrame(more, docs.schema))
+    model = compression.train_toxicity(docs, labels.union(spark.createDataFrame(known, labels.schema)))
+    plain = " ".join(draw.choice(words) for _ in range(60))
+    odd = [f"{plain} mesa-grosk {plain} luz-groska {plain}", f"{plain} lado,vento,grosk/rio {plain} #campogrosk {plain}"]
+    odd += [f"{plain} {w.upper()} {plain} x-{v} {plain} rio/{u}" for w, v, u in zip(many, many[30:], many[60:])]
+    odd += ["日月山川水火木金" * 30 + "白痴垃圾" + "水火木金日月山川" * 30, f"{plain} rio luz rio mesa {plain} rio luz rio mesa"]
+    clean = [plain, plain.replace(" ", "-"), "日月山川水火木金" * 60]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(odd + clean)], "doc_id long, text string")
+    found = {r.doc_id: r.predicted for r in compression.toxicity(rows, model, ["doc_id"]).collect()}
+    assert [found[i] for i in range(len(found))] == [1] * len(odd) + [0] * len(clean)
