@@ -11,7 +11,7 @@ host in turn. A wrapper grows with the variety of a host's pages, not with their
 number, and every page is used.
 
 The wrapper tells where a host keeps its text: in its articles, else its main
-element, else the element whose own blocks hold most text over all pages. Each
+element, else the deepest element that holds nearly all text over all pages. Each
 page is then read along that path; one that lacks it is judged by itself.
 """
 
@@ -59,6 +59,9 @@ FURNITURE_WORDS = frozenset(
 )
 #: Elements that their marks never make furniture.
 KEPT = frozenset("html body main article".split())
+#: Elements that may hold an article, and the share of the text outside of furniture that is nearly all of it.
+HOLDERS = frozenset("html body div section table tbody tr td center".split())
+NEARLY_ALL = 0.95
 #: Elements nested deeper are taken as siblings.
 DEPTH = 150
 
@@ -251,15 +254,13 @@ def _unmarked(sig: str) -> bool:
 
 
 def _own_text(node: Node) -> int:
-    """Characters of an element's own texts and of its plain blocks."""
+    """Characters of an element's texts outside of furniture."""
     total = 0
     for child in node.children:
         if child.sig == "#":
             total += child.chars
-        elif child.sig == "()":
+        elif child.sig == "()" or not furniture(child.sig):
             total += _own_text(child)
-        elif child.tag in ("p", "h1", "h2", "h3", "h4", "blockquote", "pre") or child.tag not in BLOCKS:
-            total += 0 if furniture(child.sig) else _own_text(child)
     return total
 
 
@@ -280,9 +281,30 @@ def text_paths(wrapper: Node) -> list[tuple[str, ...]]:
             found = [(p, node) for p, node in held if wanted(p[-1]) and not any(wanted(s) for s in p[:-1])]
             if any(_any_text(node) for _, node in found):
                 return [p for p, _ in found]
-    best = max(places, key=lambda x: _own_text(x[1]), default=None)
-    # Text that stands in no element of its own is the page's.
-    return [best[0]] if best and _own_text(best[1]) >= max(1, _own_text(wrapper)) else []
+    path: tuple[str, ...] = ()
+    nodes = [wrapper]
+    while step := _heir(nodes):
+        path, nodes = (*path, step[0].sig), step
+    return [path] if path else []
+
+
+def _heir(nodes: list[Node]) -> list[Node]:
+    """The children of one signature that hold nearly all text of the nodes, if they are no blocks of the text itself."""
+    by: dict[str, list[Node]] = {}
+    total, todo = 0, [c for node in nodes for c in node.children]
+    while todo:
+        child = todo.pop()
+        if child.sig == "()":
+            todo += child.children
+        elif child.sig == "#":
+            total += child.chars
+        elif not furniture(child.sig):
+            total += _own_text(child)
+            by.setdefault(child.sig, []).append(child)
+    for sig, found in by.items():
+        if sig.split(" ", 1)[0] in HOLDERS and sum(map(_own_text, found)) >= max(1, NEARLY_ALL * total):
+            return found
+    return []
 
 
 def _reached(root: Node, paths: list[tuple[str, ...]]) -> list[Node]:

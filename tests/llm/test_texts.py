@@ -336,3 +336,19 @@ def test_toxic_segments_anywhere(spark):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(odd + clean)], "doc_id long, text string")
     found = {r.doc_id: r.predicted for r in compression.toxicity(rows, model, ["doc_id"]).collect()}
     assert [found[i] for i in range(len(found))] == [1] * len(odd) + [0] * len(clean)
+
+
+def test_article_in_sibling_blocks():
+    def article(*pages):
+        host = [wrappers._copy(wrappers.parsed(p)) for p in pages]
+        whole = host[0]
+        for other in host[1:]:
+            whole = wrappers.joined(whole, other)
+        return [wrappers.main_text(p, wrappers.text_paths(whole)) for p in pages]
+
+    two = "<nav>n</nav><div id=content><section class=a><p>{}</p></section><section class=b><p>{}</p></section></div><footer>f</footer>"
+    assert article(two.format("one " * 9, "two"), two.format("three", "four " * 9)) == [
+        f"{' '.join(['one'] * 9)}\ntwo", f"three\n{' '.join(['four'] * 9)}"
+    ]
+    listed = f"<div id=top class=menu>m</div><div id=content><p>text</p><ul>{'<li>a longer item' * 5}</ul><p>end</p></div>"
+    assert article(listed) == ["\n".join(["text", *["a longer item"] * 5, "end"])]
