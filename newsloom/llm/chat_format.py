@@ -6,9 +6,11 @@ piece. If the longer output does not begin with the shorter one, the template
 rewrites history. Two renderings with different one-character texts in the last
 turn agree up to where its text begins and from where it ends.
 
-A prefix goes back ``CONTEXT`` turns, for conversations of any length, so a
-template may look that far back. Pieces are rows of their own: a conversation of
-any length is streamed, never gathered.
+A prefix begins with the conversation, unless the template declares by its
+attribute ``reach`` how many turns before the last one its output for a turn
+depends on and may rewrite: then prefixes of that reach give the same pieces, and
+a conversation of any length is streamed, never gathered. Without it a
+conversation's turns are held and rendered anew for each turn.
 """
 
 from __future__ import annotations
@@ -20,7 +22,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CONTEXT = 16
 # Characters for private use: no template treats them in a special way.
 PROBES = ("\ue000", "\ue001")
 
@@ -46,6 +47,10 @@ def template(turns: Turns) -> str:
     return "".join(f"{HEAD}{ROLE_CONTROL.sub(r'\\\g<0>', role)}{MIDDLE}{escape(text)}{TAIL}" for role, text in turns)
 
 
+#: Each turn is rendered by itself; one before it shows that nothing is rewritten.
+template.reach = 1
+
+
 def _shared(a: str, b: str) -> int:
     """Length of the common beginning."""
     if b.startswith(a):
@@ -62,7 +67,10 @@ def _shared(a: str, b: str) -> int:
 
 def located(render: Callable[[Turns], str], turns: Turns) -> tuple[str, int, int, int]:
     """Piece that the last turn adds, where its text begins and ends in it, characters of history rewritten."""
-    before, now = render(turns[:-1]), render(turns)
+    return _located(render, turns, render(turns[:-1]), render(turns))
+
+
+def _located(render: Callable[[Turns], str], turns: Turns, before: str, now: str) -> tuple[str, int, int, int]:
     kept = _shared(before, now)
     role = turns[-1][0]
     first, second = (render([*turns[:-1], (role, p)]) for p in PROBES)
@@ -85,15 +93,22 @@ def formatted(conversations: DataFrame, render: Callable[[Turns], str] = templat
     turns of their own. An empty table gives no rows.
     """
 
+    reach = getattr(render, "reach", None)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, history, place = object(), [], 0
+        current, history, place, before = object(), [], 0, ""
         for batch in batches:
             rows = []
             for conv_id, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
                 if conv_id != current:
-                    current, history, place = conv_id, [], 0
-                history = [*history[1 - CONTEXT :], (role or "", text or "")]
-                rows.append((conv_id, place, *located(render, history), role == LEARNED_ROLE))
+                    current, history, place, before = conv_id, [], 0, render([])
+                if reach is not None and len(history) > reach:
+                    history = history[len(history) - reach :]
+                    before = render(history)
+                history.append((role or "", text or ""))
+                now = render(history)
+                rows.append((conv_id, place, *_located(render, history, before, now), role == LEARNED_ROLE))
+                before = now
                 place += 1
             names = ["conv_id", "place", "piece", "begin", "end", "rewritten", "learned"]
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
@@ -157,7 +172,7 @@ def read_back(pieces: DataFrame) -> DataFrame:
                 if p["learned"]:
                     state["loss"].update(text.encode())
                     state["chars"] += len(text)
-                state["all"] += len(p["piece"])
+                state["all"] += len(p["piece"]) - p["rewritten"]
                 state["rewritten"] += p["rewritten"]
             yield batch_of(done)
         if state is not None:

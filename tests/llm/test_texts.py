@@ -352,3 +352,17 @@ def test_article_in_sibling_blocks():
     ]
     listed = f"<div id=top class=menu>m</div><div id=content><p>text</p><ul>{'<li>a longer item' * 5}</ul><p>end</p></div>"
     assert article(listed) == ["\n".join(["text", *["a longer item"] * 5, "end"])]
+
+
+def test_template_that_looks_back_to_the_beginning(spark):
+    def render(turns):
+        first = "old" if len(turns) > 30 else "new"
+        return "".join(f"<{k} {r} {first if k == 0 else ''}>{t}</>" for k, (r, t) in enumerate(turns))
+
+    own = [("assistant" if k % 2 else "user", f"text {k}") for k in range(40)]
+    turns = spark.createDataFrame([(1, k, *t) for k, t in enumerate(own)], "conv_id long, turn long, role string, text string")
+    shown, rows = "", sorted(chat_format.formatted(turns, render).collect(), key=lambda r: r.place)
+    for k, r in enumerate(rows):
+        shown = shown[: len(shown) - r.rewritten] + r.piece
+        assert shown == render(own[: k + 1]) and (r.rewritten > 0) == (k == 30)
+        assert r.piece[r.begin : r.end] == own[k][1]
