@@ -43,7 +43,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    token_files.write_tokens(docs, tokenizer, public_tokenizers.PATTERN, 2, path)
+    token_files.write_tokens(docs, tokenizer, public_tokenizers.PATTERN, 2, path, added_tokens=True)
     return token_files.read_tokens(spark, path)
 
 

@@ -157,10 +157,11 @@ class Segment:
 class Encoder:
     """A byte-level tokenizer file, with a memory of what it gave for a part of a text.
 
-    The pieces of a part, split as byte-level BPE does, go to the library's model.
+    The pieces of a part, split as byte-level BPE does, go to the library's model;
+    with ``added``, a text that holds an added token goes to the library whole.
     """
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, added: bool = True):
         import regex
         from tokenizers import Tokenizer
 
@@ -176,6 +177,10 @@ class Encoder:
         self.space = chr(self.spelling[32])
         self.kind = "H" if self.width == 2 else "I"
         self.tokenize = self.tokenizer.model.tokenize
+        tokens = self.tokenizer.get_added_tokens_decoder().values() if added else ()
+        #: Where an added token may stand; with a normalizer it may arise anywhere.
+        self.added = regex.compile("|".join(regex.escape(t.content) for t in tokens) or r"(?!)")
+        self.whole = self.tokenizer.normalizer is not None and any(t.normalized for t in tokens)
         self.pieces = Remembered(self._encode_piece, REMEMBERED)
         self.parts = Remembered(self._encode_cut, REMEMBERED)
 
@@ -201,27 +206,38 @@ class Encoder:
     def _encode_part(self, part: str) -> bytes:
         return b"".join([self.pieces[piece] for piece in self.split.findall(part)])
 
+    def _encode_whole(self, text: str) -> bytes:
+        from array import array
+
+        ids = array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
     def encode(self, text: str) -> bytes:
+        if self.whole or self.added.search(text):
+            return self._encode_whole(text)
         first, rest = cut(text)
         return self._encode_part(first) + b"".join(map(self.parts.__getitem__, rest))
 
 
 def write_tokens(
-    docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int, path: str
+    docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int, path: str, added_tokens: bool = False
 ) -> None:
     """Write (doc_id, text) as segments below ``path``, in ascending doc_id order.
 
     Rows are dealt out by ranges of doc_id and sorted, so a segment continues
     the one before. Null texts are empty; rows with a null id come first; rows
     that share an id are ordered by their text. An empty table gives no segment.
-    Strings of special tokens in a text are ordinary text.
+    Strings of added tokens in a text are ordinary text, or with ``added_tokens``
+    have the tokens' ids, as the library has it by default.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         encoder = worker_memo(
-            ("tokenizers", tokenizer_path, pattern), lambda: Encoder(tokenizer_path, pattern)
+            ("tokenizers", tokenizer_path, pattern, added_tokens), lambda: Encoder(tokenizer_path, pattern, added_tokens)
         )
         end = end_id.to_bytes(encoder.width, "little")
         part, number = TaskContext.get().partitionId(), 0

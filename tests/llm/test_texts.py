@@ -366,3 +366,19 @@ def test_template_that_looks_back_to_the_beginning(spark):
         shown = shown[: len(shown) - r.rewritten] + r.piece
         assert shown == render(own[: k + 1]) and (r.rewritten > 0) == (k == 30)
         assert r.piece[r.begin : r.end] == own[k][1]
+
+
+def test_added_tokens_as_the_library_has_them(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    from newsloom.llm import queries
+
+    rows = [(1, "a <|endoftext|> b"), (2, "x<|endoftext|><|endoftext|>y <|endoftext"), (3, "plain text"), (4, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer, start, expected = Tokenizer.from_file(P.path("byte_bpe_50k.json")), 0, []
+    for i, t in rows:
+        ids = np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], "<u4")
+        expected.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    found = queries.op5_token_files(spark, str(tmp_path))
+    assert some(found, "doc_id", "start", "n_tokens", "ids_crc32") == expected
