@@ -62,7 +62,7 @@ KEPT = frozenset("html body main article".split())
 #: Elements that may hold an article, and the share of the text outside of furniture that is nearly all of it.
 HOLDERS = frozenset("html body div section table tbody tr td center".split())
 NEARLY_ALL = 0.95
-#: Elements nested deeper are taken as siblings.
+#: Elements nested deeper are taken as siblings; their closing tags close no others.
 DEPTH = 150
 
 
@@ -111,6 +111,7 @@ def parsed(page: str) -> Node:
     """Tree of a page. Open elements end as HTML has it, at the latest with the page."""
     root = Node("")
     stack, at, n = [root], 0, len(page)
+    deeper: dict[str, int] = {}
     while at < n:
         m = TOKEN.search(page, at)
         text = page[at : m.start() if m else n]
@@ -127,15 +128,22 @@ def parsed(page: str) -> Node:
             continue
         tag = m["tag"].lower()
         if m["close"]:
+            if deeper.get(tag):
+                deeper[tag] -= 1
+                continue
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
                     del stack[k:]
+                    deeper.clear()
                     break
             continue
         if tag in ENDS:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag in ENDS[tag]:
+                    if len(stack) == DEPTH and deeper.get(stack[k].tag):
+                        break
                     del stack[k:]
+                    deeper.clear()
                     break
                 if stack[k].tag in BLOCKS and not (tag in ("tr", "td", "th") and stack[k].tag in ("td", "th", "tr")):
                     break
@@ -144,8 +152,11 @@ def parsed(page: str) -> Node:
         if tag in RAW:
             end = re.compile(f"</{tag}\\b[^>]*>?", re.IGNORECASE).search(page, at)
             at = end.end() if end else n
-        elif tag not in VOID and not m["rest"].endswith("/") and len(stack) < DEPTH:
-            stack.append(node)
+        elif tag not in VOID and not m["rest"].endswith("/"):
+            if len(stack) < DEPTH:
+                stack.append(node)
+            else:
+                deeper[tag] = deeper.get(tag, 0) + 1
     return root
 
 

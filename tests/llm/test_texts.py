@@ -382,3 +382,10 @@ def test_added_tokens_as_the_library_has_them(spark, tmp_path):
         start += len(ids)
     found = queries.op5_token_files(spark, str(tmp_path))
     assert some(found, "doc_id", "start", "n_tokens", "ids_crc32") == expected
+
+
+def test_closing_tags_of_deep_elements():
+    deep = f"<div><article>{'<div>' * 200}<p>inner</p>{'</div>' * 200}<p>rest</p></article></div><p>after</p>"
+    assert wrappers.main_text(deep, [("div", "article")]) == "inner\nrest"
+    items = f"<article>{'<div>' * 160}<ul><li>a<li>b</ul><p>c<p>d{'</div>' * 160}<p>rest</article>"
+    assert wrappers.main_text(items, [("article",)]) == "a\nb\nc\nd\nrest"
