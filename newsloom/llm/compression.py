@@ -46,7 +46,7 @@ TABLE_BITS = 18
 #: Bits of the table that tells in training which segments are too rare to count.
 COUNT_BITS = 22
 #: Positions that training sorts at once.
-COUNTED = 1_500_000
+COUNTED = 2_500_000
 #: Characters that are hashed at once.
 STRETCH = 1 << 16
 DICTIONARY_BYTES = 48_000
@@ -167,19 +167,25 @@ def _counted(documents: list[str], length: int, wanted):
     import numpy as np
 
     before = 8
-    found: list[tuple] = []
-    for k, text in enumerate(documents):
-        # What stands before the text's first characters is the same for all texts.
-        hashes = _hashes(" " * before + text, max(before, length))
-        own = hashes[length][before:]
-        slots = _slots(own, COUNT_BITS)
-        at = np.flatnonzero(wanted[slots])
-        own = own[at]
-        found.append((own, _mixed(own) + hashes[before][at], (k << 32) + at, slots[at]))
-    parts = -(-sum(len(own) for own, *_ in found) // COUNTED) or 1
+
+    def kept(part: int, parts: int, count: bool) -> Iterator:
+        """Of each text the wanted segments with their contexts and places, or how many they are; hashed anew for each part."""
+        for k, text in enumerate(documents):
+            # What stands before the text's first characters is the same for all texts.
+            hashes = _hashes(" " * before + text, length if count else max(before, length))
+            own = hashes[length][before:]
+            slots = _slots(own, COUNT_BITS)
+            if count:
+                yield np.count_nonzero(wanted[slots])
+                continue
+            at = np.flatnonzero(wanted[slots] & (slots % parts == part))
+            own = own[at]
+            yield own, _mixed(own) + hashes[before][at], (k << 32) + at
+
+    parts = -(-sum(kept(0, 1, True)) // COUNTED) or 1
     done = []
     for part in range(parts):
-        mine = [(own[x], pairs[x], places[x]) for own, pairs, places, slots in found for x in (slots % parts == part,)]
+        mine = list(kept(part, parts, False))
         if not mine:
             continue
         numbers, pairs, places = map(np.concatenate, zip(*mine))
@@ -187,6 +193,7 @@ def _counted(documents: list[str], length: int, wanted):
         first = np.unique(pairs, return_index=True)[1]
         first.sort()
         numbers, places = numbers[first], places[first]
+        del mine, pairs, first
         if not len(numbers):
             continue
         order = np.argsort(numbers, kind="stable")
