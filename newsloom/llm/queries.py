@@ -12,12 +12,15 @@ from newsloom.llm import (
     compression,
     decontamination,
     embedding_dedup,
+    filter_audit,
     jaccard_join,
+    line_dedup,
     personal_data,
     token_files,
     wrappers,
 )
 from newsloom.llm.common import table
+from newsloom.llm.sql import SQL
 from newsloom.session import scratch_path, stored
 
 
@@ -92,6 +95,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.without_frequent_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(
+        table(spark, sf_dir, "documents", "doc_id", "text", "source"),
+        table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"),
+    )
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_personal_data": op2_personal_data,
@@ -103,5 +118,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_filter_audit": op13_filter_audit,
 }
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
