@@ -13,6 +13,7 @@ from newsloom.llm import (
     decontamination,
     embedding_dedup,
     filter_audit,
+    hard_negatives,
     jaccard_join,
     line_dedup,
     personal_data,
@@ -95,6 +96,15 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = hard_negatives.floored(F.col("embedding"))
+    return hard_negatives.hard_negatives(
+        rows.select("vec_id", moved.alias("label"), whole.alias("vector")), F.col("vec_id") % 100 == 0
+    )
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.without_frequent_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -118,6 +128,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_line_dedup": op12_line_dedup,
     "op13_filter_audit": op13_filter_audit,
 }

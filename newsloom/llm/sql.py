@@ -2,13 +2,37 @@
 
 from __future__ import annotations
 
-from newsloom.llm import filter_audit, line_dedup
+from newsloom.llm import filter_audit, hard_negatives, line_dedup
 
 BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 UPPER, LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
 
 SQL: dict[str, str] = {}
 
+_WHOLE = "list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE)))"
+_USABLE = "len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+SQL["op11_hard_negatives"] = f"""
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         {_WHOLE} AS vector
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND {_USABLE}
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.vector, b.vector) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= {hard_negatives.POSITIVES}
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER nearest AS INTEGER) AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND {hard_negatives.LOW} * positive_score <= 100 * score
+  AND 100 * score <= {hard_negatives.HIGH} * positive_score
+WINDOW nearest AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER nearest <= {hard_negatives.NEGATIVES}"""
+
 SQL["op12_line_dedup"] = f"""
 WITH split AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
