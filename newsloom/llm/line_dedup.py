@@ -18,6 +18,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.session import stored
+
 BLANKS = "".join(map(chr, [0x20, *range(0x09, 0x0E)]))
 LEAST_DOCUMENTS = 10
 LEAST_CHARS = 1
@@ -80,7 +82,11 @@ def without_frequent_lines(
     placed = keyed.select(*row, F.posexplode(lines(F.col("text"))).alias("position", "line"))
     placed = placed.select(*row, "position", line_key(F.col("line")).alias("key"))
     placed = _hashed(placed.where(F.length("key") >= least_chars), *row, "position")
-    frequent = frequent_lines(rows, least_documents, least_chars).select("high", "low")
+    # Written, so that its size is known: a small one is broadcast, and beyond that the join has
+    # exchanges of its own, in which AQE deals a hot line to many tasks.
+    frequent = stored(
+        frequent_lines(rows, least_documents, least_chars).select("high", "low"), "frequent"
+    )
     dropped = (
         placed.join(frequent, ["high", "low"], "left_semi")
         .groupBy(*row)
