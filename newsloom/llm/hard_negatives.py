@@ -11,9 +11,10 @@ with q lies within |q| r of that with c; these bounds are all the search needs.
    ``FAN`` children, farthest first, until half its radius is covered; each
    level's covering radii are measured, so a child is as tight as its rows allow.
 3. Search: an anchor goes to the cells whose bounds reach what it still looks for. In a
-   tree the node with the greatest upper bound is opened first; nodes outside of
+   tree it opens the node with the greatest upper bound first; nodes outside of
    all windows, or below the last place kept in them, are left out; leaves are
-   worked out exactly, in whole numbers.
+   worked out exactly, in whole numbers. Of the nodes anchors want next, the one that most
+   of them name is opened, for all it is good for: one matrix product, not one each.
 
 Positives are looked for in the anchor's own cell first, then in the cells that could
 better them, then negatives in the windows that the positives set. Only the sample and
@@ -23,7 +24,6 @@ the cells' bounds pass through the driver. A task holds one tree and at most
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -41,14 +41,19 @@ SAMPLE = 8192
 CELLS = 1024
 #: Rows of a tree, on average at most; rows of a leaf; children of a node.
 SHARD = 4096
-LEAF = 128
+LEAF = 512
 FAN = 16
+#: A child of fewer rows is dealt to the others.
+CHILD = 32
 #: Anchors of a task, on average at most.
 ANCHORS = 20_000
 #: Room for rounding in bounds, in parts of the greatest norm.
 SLACK = 1e-6
 EXACT = 2.0**53
 FAR = 2**63 - 1
+NONE = -FAR
+#: Anchors that are searched for at a time.
+CHUNK = 2000
 
 PLACE = ["size", "cell", "salt"]
 ANCHOR = ["anchor_id", "digest"]
@@ -86,15 +91,15 @@ def matrix(blobs: list[bytes], size: int):
     return numbers(b"".join(blobs), "<f8").reshape(len(blobs), size)
 
 
-def products(vectors, q, largest: float):
-    """Exact inner products of whole numbers, held at the ends of 64 bits."""
+def products(vectors, anchors, largest: float):
+    """Exact inner products of whole numbers, anchors by vectors, held within 64 bits."""
     import numpy as np
 
-    if largest * (np.abs(q).max() if len(q) else 0.0) * len(q) < EXACT:
-        return (vectors @ q).astype(np.int64)
-    whole = [int(x) for x in q]
-    sums = (sum(int(a) * b for a, b in zip(row, whole)) for row in vectors)
-    return np.array([max(-FAR, min(FAR, s)) for s in sums], dtype=np.int64)
+    if largest * np.abs(anchors).max(initial=0.0) * vectors.shape[1] < EXACT:
+        return (anchors @ vectors.T).astype(np.int64)
+    rows = [[int(x) for x in v] for v in vectors]
+    found = [[sum(int(x) * y for x, y in zip(q, v)) for v in rows] for q in anchors]
+    return np.array([[max(1 - FAR, min(FAR - 1, s)) for s in line] for line in found], dtype=np.int64)
 
 
 def lifted(vectors, norm: float):
@@ -130,8 +135,22 @@ def farthest_first(points, first, most: int, until: float):
     return chosen, near, distance
 
 
-def cover_tree(vectors, labels, norm: float) -> dict:
-    """Nodes by level; the rows of a node, and its children, stand side by side."""
+def _children(points, own: int, until: float):
+    """Centres of a node's children, without those that hardly any row is near to."""
+    import numpy as np
+
+    chosen, near, distance = farthest_first(points, own, FAN, until)
+    large = np.bincount(near, minlength=len(chosen)) >= CHILD
+    if large.all() or large.sum() < 2:
+        return chosen, near, distance
+    chosen = [c for c, kept in zip(chosen, large) if kept]
+    far = np.column_stack([_distances(points, points[c]) for c in chosen])
+    near = far.argmin(axis=1)
+    return chosen, near, far[np.arange(len(points)), near]
+
+
+def cover_tree(vectors, labels, ids, norm: float) -> dict:
+    """Nodes by level; the rows of a node, and its children, stand side by side; a leaf's by id."""
     import numpy as np
 
     points = lifted(vectors, norm)
@@ -146,7 +165,7 @@ def cover_tree(vectors, labels, norm: float) -> dict:
         if b - a > LEAF and radii[at] > SLACK * norm:
             rows = order[a:b].copy()
             own = int(np.flatnonzero(rows == centres[at])[0])
-            chosen, near, distance = farthest_first(points[rows], own, FAN, radii[at] / 2)
+            chosen, near, distance = _children(points[rows], own, radii[at] / 2)
             if len(chosen) > 1:
                 n_children[at] = len(chosen)
                 sort = np.argsort(near, kind="stable")
@@ -156,6 +175,8 @@ def cover_tree(vectors, labels, norm: float) -> dict:
                     centres.append(int(rows[centre]))
                     spans.append((int(ends[k]), int(ends[k + 1])))
                     radii.append(float(distance[near == k].max()))
+        if not n_children[at]:
+            order[a:b] = order[a:b][np.argsort(ids[order[a:b]], kind="stable")]
         at += 1
     begin = np.array(spans, dtype=np.int64)
     return {
@@ -170,59 +191,85 @@ def cover_tree(vectors, labels, norm: float) -> dict:
     }
 
 
-def search(tree: dict, q, label: int, own_id: int, same: bool, windows: list[tuple[int, int]], k: int):
-    """The ``k`` best rows of each window ``(least, most)``: scores, ids; greater scores, then smaller ids first.
+def _top(scores, fits, k: int):
+    """Columns of the ``k`` greatest scores of each row among those that fit; ties to the left."""
+    import numpy as np
 
-    ``same`` asks for rows of the anchor's label that are not itself, else for other labels.
+    n = scores.shape[1]
+    if n <= k:
+        return np.broadcast_to(np.arange(n), scores.shape)
+    bits = n.bit_length()
+    if np.abs(scores).max() >= 2 ** (62 - bits):
+        return np.argsort(np.where(fits, -scores, FAR), axis=1, kind="stable")[:, :k]
+    # One number for score and place, so that ties are told apart.
+    whole = np.where(fits, scores * (1 << bits) + (n - 1 - np.arange(n)), NONE)
+    return np.argpartition(whole, n - k, axis=1)[:, n - k :]
+
+
+def search(tree: dict, anchors, labels, own_ids, same: bool, least, most, k: int):
+    """The ``k`` best rows of each anchor's windows: scores and ids, anchors by windows by ``k``.
+
+    Greater scores, then smaller ids first; ``NONE`` where there are fewer. ``least`` and ``most``
+    are the windows, anchors by windows. ``same`` asks for rows of the anchor's label that are
+    not itself, else for other labels. Of the nodes that anchors would open next, each its
+    own best, the one most of them name is opened for all anchors it is still good for, as
+    one matrix product.
     """
     import numpy as np
 
-    norm = float(np.sqrt((q * q).sum()))
-    slack = SLACK * norm * tree["norm"] + SLACK
-    least, most = [w[0] for w in windows], [w[1] for w in windows]
-    kept = [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in windows]
-
-    def bounds(a: int, b: int):
-        middle = tree["centres"][a:b] @ q
-        spread = norm * tree["radii"][a:b] + slack
-        low_label, high_label = tree["low_label"][a:b], tree["high_label"][a:b]
-        if same:
-            fits = (low_label <= label) & (label <= high_label)
-        else:
-            fits = (low_label != label) | (high_label != label)
-        high, low = middle + spread, middle - spread
-        fits &= (high >= min(least)) & (low <= max(most))
-        return [(-high[i], low[i], a + i) for i in np.flatnonzero(fits).tolist()]
-
-    heap = bounds(0, 1)
-    while heap:
-        high, low, node = heapq.heappop(heap)
-        high = -high
-        if high < min(least):
-            break
-        open_ = [w for w in range(len(windows)) if high >= least[w] and low <= most[w]]
-        if not open_:
-            continue
-        if tree["n_children"][node]:
-            a = int(tree["first"][node])
-            for entry in bounds(a, a + int(tree["n_children"][node])):
-                heapq.heappush(heap, entry)
-            continue
-        a, b = tree["begin"][node]
-        scores = products(tree["vectors"][a:b], q, tree["largest"])
-        ids, labels = tree["ids"][a:b], tree["labels"][a:b]
-        fits = (labels == label) & (ids != own_id) if same else labels != label
-        for w in open_:
-            good = fits & (scores >= least[w]) & (scores <= most[w])
-            if not good.any():
+    m, n_windows = least.shape
+    least, every = least.copy(), np.arange(m)
+    norms = np.sqrt((anchors * anchors).sum(axis=1))
+    slack = SLACK * norms * tree["norm"] + SLACK
+    n_nodes = len(tree["radii"])
+    high, low = np.full((m, n_nodes), -np.inf), np.full((m, n_nodes), np.inf)
+    scores = np.full((m, n_windows, k), NONE, dtype=np.int64)
+    ids = np.zeros((m, n_windows, k), dtype=np.int64)
+
+    def look(rows, a: int, b: int) -> None:
+        """Bounds of nodes a to b for some anchors; nodes without a label that fits stay shut."""
+        middle = anchors[rows] @ tree["centres"][a:b].T
+        spread = norms[rows][:, None] * tree["radii"][a:b] + slack[rows][:, None]
+        label, low_label, high_label = labels[rows][:, None], tree["low_label"][a:b], tree["high_label"][a:b]
+        fits = (low_label <= label) & (label <= high_label) if same else (low_label != label) | (high_label != label)
+        high[rows, a:b] = np.where(fits, middle + spread, -np.inf)
+        low[rows, a:b] = middle - spread
+
+    def verify(rows, a: int, b: int) -> None:
+        found = products(tree["vectors"][a:b], anchors[rows], tree["largest"])
+        fits = tree["labels"][a:b] == labels[rows][:, None]
+        fits = fits & (tree["ids"][a:b] != own_ids[rows][:, None]) if same else ~fits
+        for w in range(n_windows):
+            good = fits & (found >= least[rows, w][:, None]) & (found <= most[rows, w][:, None])
+            some = good.any(axis=1)
+            if not some.any():
                 continue
-            all_scores = np.concatenate([kept[w][0], scores[good]])
-            all_ids = np.concatenate([kept[w][1], ids[good]])
-            best = np.lexsort((all_ids, -all_scores))[:k]
-            kept[w] = (all_scores[best], all_ids[best])
-            if len(best) == k:
-                least[w] = max(least[w], int(kept[w][0][-1]))
-    return kept
+            r, new = rows[some], np.where(good[some], found[some], NONE)
+            column = _top(found[some], good[some], k)
+            all_scores = np.concatenate([scores[r, w], np.take_along_axis(new, column, axis=1)], axis=1)
+            all_ids = np.concatenate([ids[r, w], tree["ids"][a:b][column]], axis=1)
+            best = np.lexsort((all_ids, -all_scores), axis=-1)[:, :k]
+            scores[r, w] = np.take_along_axis(all_scores, best, axis=1)
+            ids[r, w] = np.take_along_axis(all_ids, best, axis=1)
+            least[r, w] = np.maximum(least[r, w], scores[r, w, k - 1])
+
+    look(every, 0, 1)
+    while True:
+        # Nodes that hold nothing for an anchor any more are shut for good.
+        fits = ((high[:, :, None] >= least[:, None, :]) & (low[:, :, None] <= most[:, None, :])).any(axis=2)
+        high[~fits] = -np.inf
+        asking = np.flatnonzero(fits.any(axis=1))
+        if not len(asking):
+            break
+        x = int(np.bincount(high[asking].argmax(axis=1)).argmax())
+        rows = np.flatnonzero(fits[:, x])
+        high[rows, x] = -np.inf
+        if tree["n_children"][x]:
+            a = int(tree["first"][x])
+            look(rows, a, a + int(tree["n_children"][x]))
+        else:
+            verify(rows, *tree["begin"][x].tolist())
+    return scores, ids
 
 
 # ---- the Spark job ---------------------------------------------------------------
@@ -287,7 +334,7 @@ def _trees(cells: DataFrame, stats: DataFrame, norm: float) -> DataFrame:
         size = key[0].as_py()
         ids, labels = rows["vec_id"].to_numpy(), rows["label"].to_numpy()
         vectors = matrix(rows["vector"].to_pylist(), size)
-        tree = cover_tree(vectors, labels, norm)
+        tree = cover_tree(vectors, labels, ids, norm)
         order = tree.pop("order")
         tree |= {"ids": ids[order], "labels": labels[order], "vectors": vectors[order]}
         values = [*(k.as_py() for k in key)]
@@ -321,6 +368,17 @@ def _windows(positives: list[int]) -> list[tuple[int, int]]:
     return [(-(-LOW * s // 100), HIGH * s // 100) for s in positives]
 
 
+def _window_arrays(rows: list[dict], same: bool):
+    """Windows of some anchors as two arrays; where an anchor has fewer, nothing fits."""
+    import numpy as np
+
+    windows = [[(r["least"], FAR)] if same else _windows(r["positives"]) for r in rows]
+    most = max(map(len, windows))
+    least_of = [[w[0] for w in some] + [FAR] * (most - len(some)) for some in windows]
+    most_of = [[w[1] for w in some] + [NONE] * (most - len(some)) for some in windows]
+    return np.array(least_of, dtype=np.int64), np.array(most_of, dtype=np.int64)
+
+
 def _routed(anchors: DataFrame, bounds: dict, norm: float, blocks: int, step: str) -> DataFrame:
     """Each anchor once per tree that may hold what it looks for.
 
@@ -375,21 +433,26 @@ def _searched(trees: DataFrame, routed: DataFrame, norm: float, blocks: int, sam
     schema = pa.schema([(n, pa.int32() if n == "place" else pa.int64()) for n in (*ANCHOR, "place", "found_id", "score")])
 
     def run(left, right):
-        parts: list[list] = [[], [], [], [], []]
+        import numpy as np
+
+        parts = [schema.empty_table()]
         if left.num_rows and right.num_rows:
             # One tree and its anchors, both of bounded size.
             tree = _loaded(left.slice(0, 1).to_pylist()[0], norm)
-            for r in right.to_pylist():
-                q = numbers(r["vector"], "<f8")
-                windows = [(r["least"], FAR)] if same else _windows(r["positives"])
-                found = search(tree, q, r["label"], r["anchor_id"], same, windows, POSITIVES if same else NEGATIVES)
-                for place, (scores, ids) in enumerate(found):
-                    n = len(scores)
-                    for column, values in zip(
-                        parts, ([r["anchor_id"]] * n, [r["digest"]] * n, [place] * n, ids.tolist(), scores.tolist())
-                    ):
-                        column.extend(values)
-        return pa.table(dict(zip(schema.names, parts)), schema=schema)
+            size = left["size"][0].as_py()
+            for start in range(0, right.num_rows, CHUNK):
+                rows = right.slice(start, CHUNK).to_pylist()
+                least, most = _window_arrays(rows, same)
+                own, digests, labels = (
+                    np.array([r[n] for r in rows], dtype=np.int64) for n in (*ANCHOR, "label")
+                )
+                q = matrix([r["vector"] for r in rows], size)
+                k = POSITIVES if same else NEGATIVES
+                scores, ids = search(tree, q, labels, own, same, least, most, k)
+                row, place, _ = at = np.nonzero(scores != NONE)
+                columns = [own[row], digests[row], place.astype(np.int32), ids[at], scores[at]]
+                parts.append(pa.table(dict(zip(schema.names, columns)), schema=schema))
+        return pa.concat_tables(parts)
 
     copies = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
     keys = [*PLACE, "block"]

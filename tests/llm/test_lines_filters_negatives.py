@@ -193,6 +193,7 @@ def test_hard_negatives(spark, monkeypatch):
     monkeypatch.setattr(hard_negatives, "SHARD", 40)
     monkeypatch.setattr(hard_negatives, "LEAF", 6)
     monkeypatch.setattr(hard_negatives, "FAN", 4)
+    monkeypatch.setattr(hard_negatives, "CHILD", 2)
     monkeypatch.setattr(hard_negatives, "ANCHORS", 7)
     draw = np.random.default_rng(6)
     centres = draw.standard_normal((5, 8))
@@ -228,8 +229,10 @@ def test_tree_radii_hold_their_rows():
     draw = np.random.default_rng(7)
     vectors = np.floor(256 * np.concatenate([draw.standard_normal((900, 5)), np.ones((300, 5))]))
     norm = float(np.sqrt((vectors**2).sum(axis=1)).max())
-    tree = hard_negatives.cover_tree(vectors, np.arange(1200) % 3, norm)
+    ids = draw.permutation(1200)
+    tree = hard_negatives.cover_tree(vectors, np.arange(1200) % 3, ids, norm)
     placed = vectors[tree["order"]]
+    assert sum(tree["n_children"] > 0) >= 1
     assert sorted(tree["order"].tolist()) == list(range(1200))
     for node, (a, b) in enumerate(tree["begin"]):
         middle = hard_negatives.lifted(tree["centres"][node : node + 1], norm)
@@ -240,6 +243,8 @@ def test_tree_radii_hold_their_rows():
             inner = tree["begin"][first : first + tree["n_children"][node]]
             assert inner[0][0] == a and inner[-1][1] == b
             assert (inner[1:, 0] == inner[:-1, 1]).all()
+        else:
+            assert (np.diff(ids[tree["order"][a:b]]) > 0).all()
 
 
 def test_digests_name_kept_lines(spark):
