@@ -13,7 +13,7 @@ from newsloom.functions.language import wanted_languages
 from newsloom.operators.transcripts import clean_texts
 from newsloom.plans import jobs
 from newsloom.session import utc_session
-from newsloom.sources.sinks import FEED_FORMATS, write_texts
+from newsloom.sources.sinks import FEED_FORMATS, upsert_texts
 from newsloom.sources.texts import text_files
 from newsloom.streaming.feed_stream import run_news
 
@@ -39,6 +39,8 @@ def parser() -> argparse.ArgumentParser:
     feed.add_argument("--pages", help="table (page_id, url, html): adds article text")
     feed.add_argument("--articles", type=int, default=fixed.ARTICLE_LIMIT)
 
+    feed.add_argument("--landed", help="table of opened packages, kept between runs")
+
     stream = jobs_of.add_parser("stream", help="news from the packages landed since the last run")
     stream.add_argument("--packages", required=True)
     stream.add_argument("--out", required=True)
@@ -47,6 +49,9 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--languages", nargs="?", const="", default=fixed.PT_CODE)
     stream.add_argument("--brazil", action="store_true")
 
+    stream.add_argument("--delay", default="1 day", help="how long after its date a row may come")
+    stream.add_argument("--least", action="store_true", help="hold a URL until its least row is certain")
+
     clean = jobs_of.add_parser("clean", help="clean a folder of transcripts")
     clean.add_argument("--texts", required=True)
     clean.add_argument("--out", required=True)
@@ -85,11 +90,13 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
             given.format,
             pages=spark.read.parquet(given.pages) if given.pages else None,
             articles=given.articles,
+            landed=given.landed,
         )
         result.arrivals.show()
         result.funnel.show()
+        result.rejects.show()
     elif given.job == "stream":
-        run_news(
+        late = run_news(
             spark,
             given.packages,
             given.out,
@@ -97,9 +104,12 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
             given.zone,
             wanted_languages(given.languages),
             given.brazil,
+            delay=given.delay,
+            least=given.least,
         )
+        print(f"{late} late rows in {given.checkpoint.rstrip('/')}-packages")
     elif given.job == "clean":
-        write_texts(clean_texts(text_files(spark, given.texts)), given.out)
+        upsert_texts(clean_texts(text_files(spark, given.texts)), given.out)
     elif given.job == "prompts":
         texts = text_files(spark, given.texts).withColumn("corpus_key", F.lit(given.corpus))
         filled = jobs.run_prompts(

@@ -7,8 +7,9 @@ Where a block begins depends on where the one before began, so the division
 is sequential within a corpus, and one corpus may hold a third of all rows. It
 is done on line lengths alone, as a prefix scan over range partitions:
 
-1. range-partition the files by (corpus, file name), so that a partition is a
-   run of whole files in order, and store the line lengths;
+1. each file gives one narrow row: the lengths of its lines and its blank ends; these
+   rows are range-partitioned by (corpus, file), so that a partition is a run of
+   whole files in order;
 2. each partition tells how it changes the size of the block it is entered
    with (at most one short summary per partition);
 3. the summaries, in order, give the size each partition is entered with;
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.fixed_values import BLOCK_CHARS
@@ -30,40 +31,119 @@ from newsloom.functions.cleaning import clean_text, lines, strip, strip_left, st
 from newsloom.operators.transcripts import clean_texts
 from newsloom.session import shared_dir, stored
 
-KEYS = ["corpus_key", "file_name"]
+FILE = ["file_name", "high", "low"]
+KEYS = ["corpus_key", *FILE]
+SEED = 5
 
 
-def corpus_texts(texts: DataFrame, clean_first: bool = False) -> DataFrame:
-    """Each file's share of its corpus: ``(corpus_key, file_name, text)``.
+def _files(texts: DataFrame, clean_first: bool = False) -> DataFrame:
+    """``(corpus_key, file_name, high, low, text)``: files of one name are told apart by text.
 
-    The texts of a key, put end to end by file name, are the joined and
-    stripped corpus. Files before the first and after the last text that is
-    not blank fall away; a key with nothing but blanks has no row.
+    A row that is there twice is one file; a null text is empty.
     """
-    rows = texts.select(F.col("corpus_key").cast("string"), "file_name", "text")
-    if clean_first:
-        rows = rows.withColumn("text", clean_text(F.col("text")))
-    spoken = rows.filter(strip(F.col("text")) != "")
-    ends = spoken.groupBy("corpus_key").agg(
-        F.min("file_name").alias("_first"), F.max("file_name").alias("_last")
-    )
-    name = F.col("file_name")
-    begun = F.when(name == F.col("_first"), strip_left(F.col("text"))).otherwise(F.col("text"))
-    closed = F.when(name == F.col("_last"), strip_right(begun)).otherwise(
-        F.concat(begun, F.lit("\n\n"))
+    text = F.coalesce("text", F.lit(""))
+    rows = texts.select(
+        F.col("corpus_key").cast("string"),
+        "file_name",
+        (clean_text(text) if clean_first else text).alias("text"),
     )
+    digest = {"high": F.xxhash64("text"), "low": F.xxhash64(F.lit(SEED), "text")}
+    return rows.withColumns(digest).select(*KEYS, "text")
+
+
+def _ends(spoken: DataFrame) -> DataFrame:
+    """The first and the last file of each corpus that is not blank, stored: its size is then known."""
+    file = F.struct(*FILE)
+    ends = spoken.groupBy("corpus_key").agg(F.min(file).alias("_begin"), F.max(file).alias("_end"))
+    return stored(ends, "ends")
+
+
+def _within(rows: DataFrame, ends: DataFrame) -> DataFrame:
+    """Files from the first to the last one that is not blank, with ``first`` and ``last``."""
+    file = F.struct(*FILE)
     return (
         rows.join(ends, "corpus_key")
-        .filter((name >= F.col("_first")) & (name <= F.col("_last")))
-        .select(*KEYS, closed.alias("text"))
+        .where((file >= F.col("_begin")) & (file <= F.col("_end")))
+        .withColumns({"first": file == F.col("_begin"), "last": file == F.col("_end")})
+        .drop("_begin", "_end")
     )
 
 
+def _share(text: Column, first: Column, last: Column) -> Column:
+    """A file's share of its corpus: a blank line behind it, or the corpus's stripped end."""
+    closed = F.when(last, strip_right(text)).otherwise(F.concat(text, F.lit("\n\n")))
+    return F.when(first, strip_left(closed)).otherwise(closed)
+
+
+def corpus_texts(texts: DataFrame, clean_first: bool = False) -> DataFrame:
+    """Each file's share of its corpus: ``(corpus_key, file_name, high, low, text)``.
+
+    The texts of a key, put end to end by file name (files of one name by digest), are the
+    joined and stripped corpus. Files before the first and after the last text that is
+    not blank fall away; a key with nothing but blanks has no row.
+    """
+    rows = _files(texts, clean_first).dropDuplicates(KEYS)
+    spoken = rows.where(strip(F.col("text")) != "").select(*KEYS)
+    kept = _within(rows, _ends(spoken))
+    return kept.select(*KEYS, _share(F.col("text"), F.col("first"), F.col("last")).alias("text"))
+
+
 def corpus_lines(texts: DataFrame, clean_first: bool = False) -> DataFrame:
     """``(corpus_key, file_name, line_no, text)``, blank lines between files included."""
     return corpus_texts(texts, clean_first).select(
-        *KEYS, F.posexplode(lines(F.col("text"))).alias("line_no", "text")
+        "corpus_key", "file_name", F.posexplode(lines(F.col("text"))).alias("line_no", "text")
+    )
+
+
+# ---- step 1: what the scan needs of each file -------------------------------
+
+
+def file_lines(texts: DataFrame, clean_first: bool = False) -> DataFrame:
+    """One narrow row per file: the lengths of its lines, and what stripping would take away.
+
+    ``lengths`` are those of the text and the blank line behind it; ``blank_lines`` and
+    ``blank_chars`` stand before its first character; without the blanks at
+    its end it has ``n_lines`` lines, the last one ``last_chars`` long. No text is kept.
+    """
+    text = F.col("text")
+    files = _files(texts, clean_first)
+
+    def narrow(every: Column, bare: Column) -> Column:
+        own = F.transform(every, lambda t: F.length(strip_left(t)))
+        lead = F.array_position(F.transform(own, lambda n: n > 0), True) - 1
+        first = F.get(every, lead.cast("int"))
+        return F.struct(
+            F.transform(every, lambda t: F.length(t)).alias("lengths"),
+            lead.cast("int").alias("blank_lines"),
+            (F.length(first) - F.length(strip_left(first))).alias("blank_chars"),
+            F.size(bare).alias("n_lines"),
+            F.length(F.get(bare, F.size(bare) - 1)).alias("last_chars"),
+        )
+
+    both = F.struct(
+        lines(F.concat(text, F.lit("\n\n"))).alias("every"), lines(strip_right(text)).alias("bare")
     )
+    # In a lambda, so that a text is split once for all five.
+    one = F.get(F.transform(F.array(both), lambda b: narrow(b["every"], b["bare"])), F.lit(0))
+    return files.select(*KEYS, one.alias("_file")).select(*KEYS, "_file.*").dropDuplicates(KEYS)
+
+
+def _line_lengths() -> Column:
+    """Lengths of the lines of a file's share, without its text."""
+    lengths = F.col("lengths")
+    closed = F.when(
+        F.col("last"),
+        F.concat(F.slice(lengths, F.lit(1), F.col("n_lines") - 1), F.array("last_chars")),
+    ).otherwise(lengths)
+    lead = F.col("blank_lines")
+
+    def without_lead(rest: Column) -> Column:
+        return F.concat(
+            F.array(F.get(rest, F.lit(0)) - F.col("blank_chars")), F.slice(rest, F.lit(2), F.size(rest))
+        )
+
+    begun = F.transform(F.array(F.slice(closed, lead + 1, F.size(closed))), without_lead)
+    return F.when(F.col("first"), F.get(begun, F.lit(0))).otherwise(closed)
 
 
 # ---- steps 2 to 4: the scan over line lengths ----------------------------
@@ -223,7 +303,8 @@ def _number(limit: int):
             found, size = _openings(_prefix(rows), size, limit)
             out = []
             start = 0
-            for name, line_lengths in zip(rows["file_name"], rows["line_lengths"]):
+            files = rows[[*FILE, "first", "last"]].itertuples(index=False)
+            for file, line_lengths in zip(files, rows["line_lengths"]):
                 end = start + len(line_lengths)
                 low, high = bisect_left(found, start), bisect_left(found, end)
                 # The file's first lines go on with the block open so far, if any do.
@@ -234,26 +315,24 @@ def _number(limit: int):
                     {"block_no": block_no + low + 1 + i, "first": a - start, "lines": b - a}
                     for i, (a, b) in enumerate(zip(marks, [*marks[1:], end]))
                 ]
-                out.append([run_key, name, pieces])
+                out.append([run_key, *file, pieces])
                 start = end
             block_no += len(found)
-            yield pd.DataFrame(out, columns=[*KEYS, "pieces"])
+            yield pd.DataFrame(out, columns=[*KEYS, "first", "last", "pieces"])
 
     return number
 
 
 def block_pieces(
-    parts: DataFrame, max_chars: int = BLOCK_CHARS, partitions: int | None = None
+    files: DataFrame, max_chars: int = BLOCK_CHARS, partitions: int | None = None
 ) -> DataFrame:
-    """Which lines of each file of ``corpus_texts`` go into which block."""
-    spark = parts.sparkSession
+    """Which lines of each file of ``file_lines`` go into which block."""
+    spark = files.sparkSession
     shared_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Stored twice, both times without the text: before the range partitioning, which
-    # samples its input, and after it, as both passes need the same partitions.
-    narrow = parts.select(
-        *KEYS, F.transform(lines(F.col("text")), lambda t: F.length(t)).alias("line_lengths")
-    ).checkpoint()
+    kept = _within(files, _ends(files.where("n_lines > 0")))
+    narrow = kept.select(*KEYS, "first", "last", _line_lengths().alias("line_lengths"))
+    # Stored, as both passes need the same partitions; the range partitioning samples a table.
     lengths = (
         narrow.repartitionByRange(n, *KEYS)
         .sortWithinPartitions(*KEYS)
@@ -269,7 +348,7 @@ def block_pieces(
     )
     return lengths.join(F.broadcast(entries), "part").mapInPandas(
         _number(max_chars),
-        "corpus_key string, file_name string, "
+        "corpus_key string, file_name string, high bigint, low bigint, first boolean, last boolean, "
         "pieces array<struct<block_no:bigint,first:int,lines:int>>",
     )
 
@@ -283,28 +362,30 @@ def blocks(
     """``(corpus_key, block_no, text)``: lines in order, a new block when the next line
     would make it longer than ``max_chars``; a longer line is a block of its own.
 
-    ``file_name`` is unique within its corpus. Texts are read three times, so
-    they are cleaned into a table first.
+    Files of one name in a corpus follow one another by digest; a row that is there twice is
+    one file. Texts are read twice: for ``file_lines``, and to be cut. In between they
+    are known by their digests, so no text is shuffled by its corpus.
     """
     if clean_first:
-        texts = stored(clean_texts(texts.select(*KEYS, "text")), "clean")
-    parts = corpus_texts(texts)
-    cut = F.transform(
-        F.col("pieces"),
-        lambda p: F.struct(
-            p["block_no"].alias("block_no"),
-            F.array_join(
-                F.slice(F.col("_lines"), p["first"] + 1, p["lines"]), "\n"
-            ).alias("text"),
+        texts = stored(clean_texts(texts.select("corpus_key", "file_name", "text")), "clean")
+    narrow = stored(file_lines(texts), "lines")
+    pieces = block_pieces(narrow, max_chars, partitions)
+    share = lines(_share(F.col("text"), F.col("first"), F.col("last")))
+    cut = F.get(
+        F.transform(
+            F.array(share),
+            lambda every: F.transform(
+                F.col("pieces"),
+                lambda p: F.struct(
+                    p["block_no"].alias("block_no"),
+                    F.array_join(F.slice(every, p["first"] + 1, p["lines"]), "\n").alias("text"),
+                ),
+            ),
         ),
+        F.lit(0),
     )
-    pieces = (
-        parts.join(block_pieces(parts, max_chars, partitions), KEYS)
-        .withColumn("_lines", lines(F.col("text")))
-        .select(*KEYS, F.inline(cut).alias("block_no", "text"))
-    )
-    piece = F.struct("file_name", "text")
-    ordered = F.transform(F.array_sort(F.collect_list(piece)), lambda p: p["text"])
-    return pieces.groupBy("corpus_key", "block_no").agg(
-        F.array_join(ordered, "\n").alias("text")
-    )
+    parts = _files(texts).join(pieces, KEYS).select(*KEYS, F.inline(cut).alias("block_no", "text"))
+    # A set, so that a file that is there twice counts once; it has one piece in a block.
+    piece = F.struct(*FILE, "text")
+    ordered = F.transform(F.array_sort(F.collect_set(piece)), lambda p: p["text"])
+    return parts.groupBy("corpus_key", "block_no").agg(F.array_join(ordered, "\n").alias("text"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.fixed_values import FEED_ZONE
@@ -168,3 +168,53 @@ def funnel(
         after_place.alias("after_place"),
         "after_dedup",
     )
+
+
+class CountedNews:
+    """News of the day whose funnel is counted on the way, as metrics of the job that writes them.
+
+    ``news`` is a DataFrame; once it has been written, ``funnel`` gives the row that ``funnel`` the
+    function gives in a pass of its own. The last count is of rows behind the dedup, so no
+    distinct count is needed. Write it as it stands, then sort: a limit ends tasks early, and the
+    sampling of a sort runs the last step twice, which would count double.
+    """
+
+    def __init__(
+        self,
+        feed: DataFrame,
+        in_day: Column,
+        zone: str = FEED_ZONE,
+        wanted: frozenset[str] = frozenset({"POR"}),
+        brazil: bool = False,
+        rules: tuple[LanguageRule, ...] = DEFAULT_RULES,
+    ):
+        active = active_rules(wanted, rules)
+        self.active, self.brazil = bool(active), brazil
+        self.read, self.kept = Observation(), Observation()
+        day, url, note = F.col("_day"), F.col("url_hit"), F.col("translation_hit")
+        rows = with_language_hits(feed, active).withColumn("_day", F.coalesce(in_day, F.lit(False)))
+        rows = rows.withColumn("_speaks", day & (url | note) if active else day)
+        place = F.col("_speaks") & in_brazil(F.col("locations")) if brazil else F.col("_speaks")
+        rows = rows.withColumn("_kept", F.coalesce(place, F.lit(False))).observe(
+            self.read,
+            F.count(F.lit(1)).alias("rows_read"),
+            F.count_if(day).alias("in_day"),
+            F.count_if(day & url).alias("url_hits"),
+            F.count_if(day & note).alias("translation_hits"),
+            F.count_if("_speaks").alias("after_language"),
+            F.count_if("_kept").alias("after_place"),
+        )
+        own = ["url_hit", "translation_hit", "_day", "_speaks", "_kept"]
+        single = one_per_url(rows.where("_kept").drop(*own))
+        self.news = with_dates(single.observe(self.kept, F.count(F.lit(1)).alias("after_dedup")), zone)
+
+    def funnel(self, spark: SparkSession) -> DataFrame:
+        """One row of counts; null where a step was off or had no input."""
+        counts = {**self.read.get, **self.kept.get}
+        if not self.active:
+            counts.update(url_hits=None, translation_hits=None)
+        if not self.brazil or not counts["after_language"]:
+            counts["after_place"] = None
+        names = ["rows_read", "in_day", "url_hits", "translation_hits", "after_language", "after_place", "after_dedup"]
+        schema = ", ".join(f"{n} bigint" for n in names)
+        return spark.createDataFrame([tuple(counts[n] for n in names)], schema)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom import fixed_values as fixed
-from newsloom.operators.responses import BOOK_TYPE, EMPHASIS, SCALARS
+from newsloom.operators.responses import BOOK_TYPE, EMPHASIS, NOT_MERGED, SCALARS
 
 # ---- Fixed values: what makes two items of a list the same ----------------
 LIST_KEYS = {
@@ -62,30 +62,48 @@ def _items(name: str) -> str:
     )
 
 
+def _every_item() -> str:
+    return f"concat({', '.join(f'coalesce({_items(n)}, array())' for n in LIST_KEYS)})"
+
+
+def _said(key: str) -> str:
+    return f"replace({key}, '{KEY_MARK}', '') <> ''"
+
+
 def exploded_items(analyses: DataFrame) -> DataFrame:
     """``(corpus_key, block_no, list, pos, key, item)`` of all lists; empty keys go.
 
     There is no filter on ``analysis``: it would be pushed below its parsing
     and parse twice. A null one has no items.
     """
-    every = ", ".join(f"coalesce({_items(n)}, array())" for n in LIST_KEYS)
-    rows = analyses.select("corpus_key", "block_no", F.expr(f"inline(concat({every}))"))
-    return rows.filter(F.replace(F.col("key"), F.lit(KEY_MARK), F.lit("")) != "")
+    rows = analyses.select("corpus_key", "block_no", F.expr(f"inline({_every_item()})"))
+    return rows.filter(_said("key"))
 
 
-def ranked_items(
-    items: DataFrame, max_items: int = fixed.LIST_ITEMS
-) -> DataFrame:
-    """Items that are the same once, the most recurrent first, cut to the list size.
+def item_keys(analyses: DataFrame) -> DataFrame:
+    """``(corpus_key, block_no, list, key, pos)``: each key of a block once, where it is said first.
+
+    Sorted by list, key and position, an item is new when it differs from the one before.
+    """
+    narrow = f"array_sort(transform({_every_item()}, x -> struct(x.list AS list, x.key AS key, x.pos AS pos)))"
+    firsts = (
+        "filter(zip_with(said, concat(array(null), slice(said, 1, greatest(size(said) - 1, 0))), "
+        "(x, y) -> if(y IS NULL OR y.list <> x.list OR y.key <> x.key, x, null)), x -> x IS NOT NULL)"
+    )
+    rows = analyses.select(
+        "corpus_key", "block_no", F.expr(f"inline(get(transform(array({narrow}), said -> {firsts}), 0))")
+    )
+    return rows.filter(_said("key"))
 
-    Recurrence is the number of blocks; the first form, by block and position,
-    stands for the item and breaks ties.
+
+def ranked_keys(keys: DataFrame, max_items: int = fixed.LIST_ITEMS) -> DataFrame:
+    """Keys of the items that stay, with ``recurrence``, ``first`` (block and position), ``place``.
+
+    Recurrence is the number of blocks, of which each has one row in ``analyses``; the first form,
+    by block and position, stands for the item and breaks ties. Two exchanges, of keys alone.
     """
-    order = F.struct("block_no", "pos")
-    merged = items.groupBy("corpus_key", "list", "key").agg(
-        F.count_distinct("block_no").alias("recurrence"),
-        F.min(order).alias("first"),
-        F.min_by("item", order).alias("item"),
+    merged = keys.groupBy("corpus_key", "list", "key").agg(
+        F.count("*").alias("recurrence"), F.min(F.struct("block_no", "pos")).alias("first")
     )
     window = Window.partitionBy("corpus_key", "list").orderBy(
         F.col("recurrence").desc(), "first", "key"
@@ -94,6 +112,32 @@ def ranked_items(
     return merged.withColumn("place", F.row_number().over(window)).filter(F.col("place") <= cap)
 
 
+def ranked_items(analyses: DataFrame, max_items: int = fixed.LIST_ITEMS) -> DataFrame:
+    """Items that are the same once, the most recurrent first, cut to the list size.
+
+    ``(corpus_key, list, key, recurrence, first, place, item)``. The ranking is done on keys;
+    items are fetched for the winners only, from the blocks that said them first.
+    ``analyses`` is read twice.
+    """
+    winners = ranked_keys(item_keys(analyses), max_items)
+    first = winners.select(
+        "corpus_key", F.col("first.block_no").alias("block_no"), F.col("first.pos").alias("pos"),
+        "list", "key", "recurrence", "first", "place",
+    )
+    wanted = first.groupBy("corpus_key", "block_no").agg(
+        F.collect_list(F.struct("list", "pos", "key", "recurrence", "first", "place")).alias("wanted")
+    )
+    # A block names its winners; each takes its item out of the list by its position.
+    item = "transform(wanted, w -> struct(w.list AS list, w.key AS key, w.recurrence AS recurrence, " + (
+        "w.first AS first, w.place AS place, "
+        "get(filter(items, x -> x.list = w.list AND x.pos = w.pos), 0).item AS item))"
+    )
+    met = analyses.join(wanted, ["corpus_key", "block_no"]).select(
+        "corpus_key", F.expr(f"get(transform(array({_every_item()}), items -> {item}), 0)").alias("won")
+    )
+    return met.select("corpus_key", F.inline("won"))
+
+
 def scalar_views(analyses: DataFrame) -> DataFrame:
     """The two strongest values of every scalar: ``(corpus_key, field, place, value, blocks)``.
 
@@ -125,6 +169,7 @@ def scalar_views(analyses: DataFrame) -> DataFrame:
 def fused_scalars(analyses: DataFrame) -> DataFrame:
     """One row per corpus: consensus of each scalar, notes on conflicts, mean confidence.
 
+    A corpus none of whose blocks was analysed has ``partials`` 0 and no values.
     Where the values disagree, the two strongest are noted in ``observacoes``.
     """
     fields = SCALARS + EMPHASIS
@@ -144,17 +189,15 @@ def fused_scalars(analyses: DataFrame) -> DataFrame:
             for n in fields
         ],
     )
-    totals = (
-        analyses.groupBy("corpus_key")
-        .agg(
-            F.count("analysis").alias("partials"),
-            F.avg("analysis.confianca_global").alias("confianca_global"),
-        )
-        .filter(F.col("partials") > 0)
+    totals = analyses.groupBy("corpus_key").agg(
+        F.count("analysis").alias("partials"),
+        F.count("*").alias("blocks"),
+        F.avg("analysis.confianca_global").alias("confianca_global"),
     )
     return totals.join(wide, "corpus_key", "left").select(
         "corpus_key",
         "partials",
+        "blocks",
         *fields,
         F.nullif(notes, F.lit("")).alias("observacoes"),
         "confianca_global",
@@ -171,41 +214,68 @@ def _book_list(name: str) -> str:
     return f"transform(filter(items, x -> x.list = '{name}'), x -> {entry})"
 
 
+FAILED_TYPE = "struct<_erro_fusao:boolean,_mensagem:string,versao:string,gerado_em:string,_fonte:string>"
+
+
 def style_books(
     analyses: DataFrame, as_of: datetime, max_items: int = fixed.LIST_ITEMS
 ) -> DataFrame:
-    """``(corpus_key, book)``: one style book per corpus, stamped.
+    """``(corpus_key, book, error)``: one style book per corpus, stamped.
 
-    Reads ``analyses`` three times; give a table that has been written.
+    A corpus none of whose blocks was analysed keeps its row: ``book`` is null and ``error`` a
+    stamped record of the failed merge. Reads ``analyses`` four times; give a table
+    that has been written.
     """
-    if as_of.tzinfo is None:
-        raise ValueError("as_of needs a time zone")
-    made = as_of.astimezone(timezone.utc).replace(tzinfo=None).isoformat()
+    made = _moment(as_of)
     row = F.struct("list", "place", "recurrence", "item")
     gathered = (
-        ranked_items(exploded_items(analyses), max_items)
+        ranked_items(analyses, max_items)
         .groupBy("corpus_key")
         .agg(F.array_sort(F.collect_list(row)).alias("items"))
     )
     whole = fused_scalars(analyses).join(gathered, "corpus_key", "left")
+    stamps = {
+        "versao": f"'{fixed.STYLE_VERSION}'",
+        "gerado_em": f"'{made}'",
+        "_fonte": f"'{fixed.STYLE_SOURCE}'",
+    }
     fields = {
         **{n: n for n in SCALARS},
         **{n: f"coalesce({_book_list(n)}, array())" for n in LIST_KEYS},
         "pontuacoes_enfase": f"struct({', '.join(EMPHASIS)})",
         "observacoes": "observacoes",
         "confianca_global": "confianca_global",
-        "versao": f"'{fixed.STYLE_VERSION}'",
-        "gerado_em": f"'{made}'",
-        "_fonte": f"'{fixed.STYLE_SOURCE}'",
+        **stamps,
     }
     names = T.DataType.fromDDL(BOOK_TYPE).names
     book = F.expr(f"named_struct({', '.join(f'{n!r}, {fields[n]}' for n in names)})")
-    return whole.select("corpus_key", book.cast(BOOK_TYPE).alias("book"))
+    error = F.struct(
+        F.lit(True).alias(NOT_MERGED),
+        F.concat(F.lit("none of "), F.col("blocks").cast("string"), F.lit(" blocks was analysed")).alias("_mensagem"),
+        *[F.expr(value).alias(name) for name, value in stamps.items()],
+    )
+    return whole.select(
+        "corpus_key",
+        F.when(F.col("partials") > 0, book.cast(BOOK_TYPE)).alias("book"),
+        F.when(F.col("partials") == 0, error.cast(FAILED_TYPE)).alias("error"),
+    )
+
+
+def book_document() -> Column:
+    """A book, or the record of its failed merge, as JSON; null fields are kept."""
+    keep = {"ignoreNullFields": "false"}
+    return F.coalesce(F.to_json("book", keep), F.to_json("error", keep))
+
+
+def _moment(as_of: datetime) -> str:
+    if as_of.tzinfo is None:
+        raise ValueError("as_of needs a time zone")
+    return as_of.astimezone(timezone.utc).replace(tzinfo=None).isoformat()
 
 
 def stamped(books: DataFrame, as_of: datetime) -> DataFrame:
     """Stamp books that came from elsewhere: version and origin only where absent."""
-    made = as_of.astimezone(timezone.utc).replace(tzinfo=None).isoformat()
+    made = _moment(as_of)
     book = F.col("book")
     book = book.withField("versao", F.coalesce(book["versao"], F.lit(fixed.STYLE_VERSION)))
     book = book.withField("_fonte", F.coalesce(F.col("book._fonte"), F.lit(fixed.STYLE_SOURCE)))

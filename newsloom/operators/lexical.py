@@ -6,12 +6,14 @@ Merging, ranking and the context then run on it unchanged.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom import fixed_values as fixed
 from newsloom.operators.responses import ANALYSIS_TYPE
+from newsloom.session import stored
 
 WORD = r"(?U)\w+"
 # Word lists and levels of our own; jobs may pass others.
@@ -72,17 +74,116 @@ def _counted(blocks: DataFrame, markers, interjections, max_items: int) -> DataF
     )
 
 
+def _phrases(said: Column, starts: Column, size: int) -> Column:
+    return F.transform(starts, lambda at: F.array_join(F.slice(said, at, size), " "))
+
+
+def catchphrases(
+    texts: DataFrame,
+    least_texts: int = 3,
+    max_words: int = 6,
+    most: int = fixed.LIST_ITEMS,
+) -> DataFrame:
+    """``(corpus_key, phrase, words, texts, place)``: runs of two to ``max_words`` words that recur
+    in a corpus and are part of no longer one in the same texts.
+
+    Level by level: a run of n + 1 words is only counted where both its runs of n words
+    recur, so levels shrink quickly. A text gives each run once, counts are folded before
+    the shuffle. A longer run is in some of the texts of its parts; when the counts
+    agree they are the same texts, and the part goes. Words are compared in lower
+    case. The most frequent come first, longer ones before shorter.
+    """
+    spoken = stored(
+        texts.select("corpus_key", words(F.lower(F.col("text"))).alias("said"))
+        .where(F.size("said") > 1)
+        .withColumn("text_no", F.monotonically_increasing_id()),
+        "spoken",
+    )
+    starts = F.sequence(F.lit(1), F.size("said") - 1)
+    here = spoken.select("corpus_key", "text_no", "said", starts.alias("starts"))
+    levels = []
+    for size in range(2, max_words + 1):
+        runs = F.array_distinct(_phrases(F.col("said"), F.col("starts"), size))
+        recurrent = stored(
+            here.select("corpus_key", F.explode(runs).alias("phrase"))
+            .groupBy("corpus_key", "phrase")
+            .agg(F.count("*").alias("texts"))
+            .where(F.col("texts") >= least_texts),
+            "recurrent",
+        )
+        if recurrent.isEmpty():
+            break
+        levels.append(recurrent.withColumn("words", F.lit(size)))
+        if size == max_words:
+            break
+        placed = here.select("corpus_key", "text_no", "said", F.explode("starts").alias("at")).select(
+            "corpus_key", "text_no", "at", F.array_join(F.slice("said", F.col("at"), size), " ").alias("phrase")
+        )
+        kept = (
+            placed.join(recurrent, ["corpus_key", "phrase"], "left_semi")
+            .groupBy("text_no")
+            .agg(F.collect_list("at").alias("at"))
+        )
+        # A run of one word more begins where two runs begin side by side.
+        both = F.array_intersect("at", F.transform("at", lambda p: p - 1))
+        kept = kept.select("text_no", F.array_sort(both).alias("starts")).where(F.size("starts") > 0)
+        here = stored(spoken.join(kept, "text_no").select("corpus_key", "text_no", "said", "starts"), "starts")
+    if not levels:
+        return texts.sparkSession.createDataFrame(
+            [], "corpus_key string, phrase string, words int, texts bigint, place int"
+        )
+    every = reduce(DataFrame.union, [level.select("corpus_key", "phrase", "words", "texts") for level in levels])
+    said = F.split("phrase", " ")
+    parts = F.array(
+        F.array_join(F.slice(said, F.lit(1), F.col("words") - 1), " "), F.array_join(F.slice(said, F.lit(2), F.col("words") - 1), " ")
+    )
+    longer = (
+        every.where("words > 2")
+        .select("corpus_key", F.explode(F.array_distinct(parts)).alias("phrase"), "texts")
+        .groupBy("corpus_key", "phrase")
+        .agg(F.max("texts").alias("longer"))
+    )
+    whole = every.join(longer, ["corpus_key", "phrase"], "left").where(
+        F.col("longer").isNull() | (F.col("longer") < F.col("texts"))
+    )
+    window = Window.partitionBy("corpus_key").orderBy(F.col("texts").desc(), F.col("words").desc(), "phrase")
+    return (
+        whole.withColumn("place", F.row_number().over(window)).where(F.col("place") <= most).drop("longer")
+    )
+
+
+def _said_phrases(blocks: DataFrame, phrases: DataFrame) -> DataFrame:
+    """``(corpus_key, block_no, phrases)``: those of its corpus that a block says, in their order."""
+    listed = phrases.groupBy("corpus_key").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("place", "phrase"))), lambda p: p["phrase"]).alias("every")
+    )
+    text = F.concat(F.lit(" "), F.array_join(words(F.lower(F.col("text"))), " "), F.lit(" "))
+    with_text = blocks.join(listed, "corpus_key").select(*BLOCK, text.alias("_said"), "every")
+
+    def spoken(row: Column) -> Column:
+        return F.filter(
+            row["every"], lambda p: F.contains(row["said"], F.concat(F.lit(" "), p, F.lit(" ")))
+        )
+
+    one = F.struct(F.col("_said").alias("said"), "every")
+    return with_text.select(*BLOCK, F.get(F.transform(F.array(one), spoken), F.lit(0)).alias("phrases"))
+
+
 def lexical_analyses(
     blocks: DataFrame,
     markers: Sequence[str] = MARKERS,
     interjections: Sequence[str] = INTERJECTIONS,
     max_items: int = fixed.LIST_ITEMS,
+    phrases: DataFrame | None = None,
 ) -> DataFrame:
     """``(corpus_key, block_no, analysis)`` from counts alone, without any model.
 
     What cannot be counted is null or empty. A block gathers at most
-    ``max_items`` words of each kind.
+    ``max_items`` words of each kind. ``phrases``, as ``catchphrases`` gives them (at most
+    ``max_items`` a corpus), fill ``bordoes`` with those a block says.
     """
+    if phrases is None:
+        phrases = blocks.sparkSession.createDataFrame([], "corpus_key string, phrase string, place int")
     row = F.struct("kind", "place", "word", "n")
     gathered = (
         _counted(blocks, markers, interjections, max_items)
@@ -118,7 +219,10 @@ def lexical_analyses(
                 level(r["n"] / F.col("total")).alias("frequencia_estimada"),
             ),
         ).alias("marcadores_discurso"),
-        empty.alias("bordoes"),
+        F.coalesce(
+            F.transform("phrases", lambda p: F.struct(p.alias("texto"), nothing.cast("string").alias("exemplo"))),
+            empty,
+        ).alias("bordoes"),
         of_kind("interjection", lambda r: F.struct(r["word"].alias("texto"))).alias(
             "interjeicoes"
         ),
@@ -129,7 +233,9 @@ def lexical_analyses(
         empty.alias("exemplos_representativos"),
         nothing.alias("confianca_global"),
     ).cast(ANALYSIS_TYPE)
-    return shares.join(gathered, BLOCK, "left").select(*BLOCK, analysis.alias("analysis"))
+    said_phrases = _said_phrases(blocks, phrases)
+    every = shares.join(gathered, BLOCK, "left").join(said_phrases, BLOCK, "left")
+    return every.select(*BLOCK, analysis.alias("analysis"))
 
 
 def recurrent_phrases(

@@ -50,7 +50,9 @@ BOOK_TYPE = (
 NO_RESPONSE = "_erro_chamada_ia"
 NOT_JSON = "_erro_parse_json"
 NOT_AN_OBJECT = "_erro_formato"
+NOT_MERGED = "_erro_fusao"
 
+# ---- Fixed values: the fence around a JSON answer -------------------------
 FENCE = r"(?imdU)^```(?:json)?\s*|\s*```$"
 
 
@@ -79,10 +81,19 @@ def _error(kind: Column, message: Column, sample: Column) -> Column:
     return F.struct(kind.alias("kind"), message.alias("message"), sample.alias("sample"))
 
 
-def _is_json(text: Column) -> Column:
-    """One whole JSON value; NaN and Infinity count as numbers."""
-    plain = F.regexp_replace(text, r"-?\b(?:NaN|Infinity)\b", "0")
-    return F.coalesce(F.json_array_length(F.concat(F.lit("["), plain, F.lit("]"))) == 1, F.lit(False))
+#: Python's JSON reader takes NaN and Infinity, and so does Spark's; single quotes neither.
+STRICT = {"allowSingleQuotes": "false"}
+
+
+def is_json(text: Column) -> Column:
+    """One whole JSON value and nothing after it.
+
+    The value stands once inside an object, where a field behind it is only reached
+    when the value is complete, and once inside a list, where it has to be one element.
+    """
+    whole = F.from_json(F.concat(F.lit('{"v":'), text, F.lit(',"_end":1}')), "_end int", STRICT)
+    alone = F.from_json(F.concat(F.lit("["), text, F.lit(',"E"]')), "array<string>", STRICT)
+    return F.coalesce((whole["_end"] == 1) & (F.size(alone) == 2), F.lit(False))
 
 
 def parsed(responses: DataFrame, schema: str = ANALYSIS_TYPE) -> DataFrame:
@@ -90,14 +101,15 @@ def parsed(responses: DataFrame, schema: str = ANALYSIS_TYPE) -> DataFrame:
 
     Errors: no response, text that is not JSON, JSON that is not an object or
     whose fields have other types than ``schema``; all but the first keep the
-    start of the response. Of a repeated key the last value counts.
+    start of the response. A text field takes any scalar as it is written; a number, a
+    list and an object take nothing else. Of a repeated key the last value counts.
     """
     payload = F.col("response")
     body = strip_fences(payload)
     is_object = F.startswith(strip(body), F.lit("{"))
     nothing = F.lit(None).cast("string")
     marked = F.from_json(
-        body, f"{schema.rstrip()[:-1]},_bad:string>", {"columnNameOfCorruptRecord": "_bad"}
+        body, f"{schema.rstrip()[:-1]},_bad:string>", {**STRICT, "columnNameOfCorruptRecord": "_bad"}
     )
     form = F.substring(body, 1, fixed.FORMAT_SAMPLE_CHARS)
     error = (
@@ -115,7 +127,7 @@ def parsed(responses: DataFrame, schema: str = ANALYSIS_TYPE) -> DataFrame:
         )
     )
     return (
-        responses.withColumn("_is_json", _is_json(body))
+        responses.withColumn("_is_json", is_json(body))
         .withColumn("_parsed", marked)
         .withColumn("error", error)
         .withColumn(
@@ -132,7 +144,8 @@ def analyses(blocks: DataFrame, responses: DataFrame, schema: str = ANALYSIS_TYP
     then the greatest text.
     """
     keys = ["corpus_key", "block_no"]
-    usable = F.json_object_keys(strip_fences(F.col("response"))).isNotNull()
+    body = strip_fences(F.col("response"))
+    usable = F.startswith(body, F.lit("{")) & is_json(body)
     single = responses.groupBy(*keys).agg(
         F.max(F.struct(usable.alias("usable"), "response"))["response"].alias("response")
     )

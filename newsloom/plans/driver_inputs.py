@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import os
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from newsloom.functions.language import LanguageRule
 from newsloom.functions.times import instant, slot_stamp, slot_start
 from newsloom.session import utc_session
+from newsloom.sources.package_source import FORMAT as PACKAGES
+from newsloom.sources.package_source import use_packages
 from newsloom.sources.packages import FILE_SCHEMA
 
 # A rule with hints that occur in the page addresses of the test tables.
@@ -130,6 +132,86 @@ def packed_feed(feed: DataFrame) -> DataFrame:
     return feed.select("slot", "row_no", *_PACKED).mapInPandas(_pack, FILE_SCHEMA)
 
 
+# Landed packages: their hours, kinds by hour, the values from which a line is too long and up to
+# which it is short, and what stands around a quoted source.
+PACKAGE_HOURS = 6
+WIDTHS = {0: 27, 1: 26, 2: 10, 3: 8}
+LONG_FROM, SHORT_UP_TO = 60, 2
+QUOTED = ('"<', '>\t""x"""')
+
+
+def _kind(slot: Column) -> Column:
+    return F.floor(F.substring(slot, 9, 2).cast("int") / PACKAGE_HOURS) % len(WIDTHS)
+
+
+def package_text(feed: DataFrame) -> DataFrame:
+    """The feed as lines ``(slot, row_no, line)`` of packages of some hours: wide and narrow ones, with
+    lines too long and short, and quoted cells that hold a tab and a quote."""
+    first = F.floor(F.substring("date", 9, 2).cast("int") / PACKAGE_HOURS) * PACKAGE_HOURS
+    slot = F.concat(F.substring("date", 1, 8), F.lpad(first.cast("string"), 2, "0"), F.lit("0000"))
+    kind = _kind(slot)
+    source = F.when(
+        F.col("source") == "signup", F.concat(F.lit(QUOTED[0]), "source", F.lit(QUOTED[1]))
+    ).otherwise(F.col("source"))
+    at = {1: F.col("date"), 3: source, 4: F.col("url"), 8: F.col("themes"), 10: F.col("locations"),
+          15: F.col("tone"), 25: F.col("translation")}
+    narrow = {10: {**at, 9: at[10]}, 8: {**at, 7: at[8]}}
+
+    def line(width: int) -> Column:
+        places = narrow.get(width, at)
+        cells = [F.col("row_no").cast("string"), *(places.get(p, F.lit("")) for p in range(1, width))]
+        short = F.array_join(F.array(*cells[:5]), "\t")
+        whole = F.array_join(F.array(*cells), "\t")
+        return F.when(F.col("_value") < SHORT_UP_TO, short).otherwise(whole)
+
+    text = F.lit(None).cast("string")
+    for k, width in WIDTHS.items():
+        text = F.when(kind == k, line(width)).otherwise(text)
+    more = F.when(F.col("_value") >= LONG_FROM, "\tmore").otherwise("")
+    return feed.withColumn("_value", F.col("tone").cast("double")).select(
+        slot.alias("slot"),
+        "row_no",
+        F.concat(text, more).alias("line"),
+    )
+
+
+def with_heads(lines: DataFrame) -> DataFrame:
+    """A first line of the right width in front of each package, as the others vary."""
+    kind = _kind(F.col("slot"))
+    width = F.lit(0)
+    for k, cells in WIDTHS.items():
+        width = F.when(kind == k, cells).otherwise(width)
+    heads = lines.groupBy("slot").agg(F.min("row_no").alias("least")).select(
+        "slot", F.lit(-1).cast("bigint").alias("row_no"), F.concat(F.lit("head"), F.repeat(F.lit("\t"), width - 1)).alias("line")
+    )
+    return heads.union(lines)
+
+
+# Drops of packages: days in order, but for some that come one drop later.
+DROPS = 3
+DROP_DELAY = "3 days"
+
+
+def drop_of(slot: Column) -> Column:
+    day, hour = (F.substring(slot, at, 2).cast("int") for at in (7, 9))
+    delayed = ((day == 5) & (hour < 12)) | ((day == 10) & (hour % 12 == 6))
+    return F.when((day <= 10) & ~delayed, 0).when((day <= 20) & ~((day == 20) & (hour % 12 == 6)), 1).otherwise(2)
+
+
+def landed_packages(
+    spark: SparkSession, sf_dir: str, folder: str, condition: Column | None = None
+) -> str:
+    """The feed as zip files below ``folder``; ``condition`` picks packages."""
+    lines = with_heads(package_text(event_feed(spark, sf_dir)))
+    if condition is not None:
+        lines = lines.where(condition)
+    use_packages(spark)
+    n = spark.sparkContext.defaultParallelism
+    ordered = lines.repartition(n, "slot").sortWithinPartitions("slot", "row_no")
+    ordered.write.format(PACKAGES).mode("append").save(folder)
+    return folder
+
+
 def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as corpora by source."""
     return table(spark, sf_dir, "documents", spread=True).select(
@@ -140,17 +222,35 @@ def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turn_analyses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns as responses: the words of a turn are markers, those that
-    end a sentence are topics. One corpus per role."""
+    """Conversation turns as responses with all nine lists, made of a turn's words. One
+    corpus per role."""
     turns = table(spark, sf_dir, "conversations", spread=True)
     said = F.split("text", r"\s+")
+    first, last = F.get(said, F.lit(0)), F.element_at(said, -1)
+
+    def start(n: int) -> Column:
+        return F.concat_ws(" ", F.slice(said, 1, n))
+
+    def of(test: Callable[[Column], Column], **parts: Callable[[Column], Column]) -> Column:
+        shape = lambda w: F.struct(*[make(w).alias(name) for name, make in parts.items()])
+        return F.transform(F.filter(said, test), shape)
+
+    word = lambda w: w
     response = F.struct(
         F.col("role").alias("tom"),
-        F.transform(said, lambda w: F.struct(w.alias("texto"))).alias("marcadores_discurso"),
-        F.transform(
-            F.filter(said, lambda w: F.endswith(w, F.lit("."))),
-            lambda w: F.struct(w.alias("tema")),
-        ).alias("temas_recorrentes"),
+        F.array(
+            F.struct(first.alias("formato"), last.alias("exemplo"), F.slice(said, 1, 2).alias("marcadores_lexicais"))
+        ).alias("estruturas_piada"),
+        of(
+            lambda w: F.endswith(w, F.lit(",")), tipo=word, intensidade=lambda w: F.lit("alta"), exemplo=lambda w: first
+        ).alias("gatilhos_comicos"),
+        F.array(F.struct(start(2).alias("molde"), F.lit("abertura").alias("uso"))).alias("moldes_frasais"),
+        of(lambda w: F.length(w) >= 10, texto=word, exemplo=lambda w: last).alias("vicios_expressao"),
+        of(lambda w: F.lit(True), texto=word).alias("marcadores_discurso"),
+        of(lambda w: F.length(w) == 3, texto=word, exemplo=lambda w: first).alias("bordoes"),
+        of(lambda w: F.length(w) <= 2, texto=word).alias("interjeicoes"),
+        of(lambda w: F.endswith(w, F.lit(".")), tema=word).alias("temas_recorrentes"),
+        F.array(start(3)).alias("exemplos_representativos"),
     )
     return turns.select(
         F.col("role").alias("corpus_key"),
@@ -178,3 +278,31 @@ def document_analyses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source").alias("corpus_key"), F.col("doc_id").alias("block_no"),
         analysis.alias("analysis"),
     )
+
+
+def channel_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Listings of channels (one per user), and videos that are conversations with titles from documents."""
+    events = table(spark, sf_dir, "events")
+    kinds = {"view": "videos", "click": "videos", "purchase": "shorts", "signup": "shorts"}
+    number = lambda column: F.lpad(column.cast("string"), 11, "v")
+    turns = table(spark, sf_dir, "conversations")
+    docs = table(spark, sf_dir, "documents")
+    return {
+        "channels": events.select(
+            F.concat(F.lit("https://www.youtube.com/@c"), F.col("user_id").cast("string"), F.lit("/videos")).alias(
+                "channel_url"
+            )
+        ).distinct(),
+        "listing": events.select(
+            F.concat(F.lit("c"), F.col("user_id").cast("string")).alias("channel"),
+            by_value(F.col("event_type"), kinds, "live").alias("kind"),
+            F.col("event_id").alias("pos"),
+            number(F.floor("value")).alias("video_id"),
+        ),
+        "segments": turns.select(
+            number(F.col("conv_id")).alias("video_id"), F.lit("pt").alias("language"), F.col("turn").alias("seg_no"), "text"
+        ),
+        "titles": docs.select(
+            number(F.col("doc_id")).alias("video_id"), F.col("source").alias("title")
+        ),
+    }

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.fixed_values import FIELD_POSITIONS
 from newsloom.functions import pages as page_functions
 from newsloom.functions import prompts as prompt_functions
 from newsloom.functions import cleaning, language, style, times, urls, videos
@@ -24,18 +26,26 @@ from newsloom.operators import (
 )
 from newsloom.operators import videos as video_operators
 from newsloom.plans.driver_inputs import (
+    DROP_DELAY,
+    DROPS,
+    PACKAGE_HOURS,
     SPANISH,
     by_value,
+    channel_tables,
     document_analyses,
     document_texts,
+    drop_of,
     event_feed,
+    landed_packages,
     packed_feed,
     page_feed,
     table,
     turn_analyses,
 )
+from newsloom.plans import jobs
 from newsloom.session import scratch_path, stored
-from newsloom.sources import packages, sinks, texts
+from newsloom.sources import landing, package_source, packages, page_store, sinks, texts
+from newsloom.sources.keyed_table import KeyedTable
 from newsloom.streaming import feed_stream
 
 ZONE = "America/Boa_Vista"
@@ -253,6 +263,16 @@ def filter_funnel(spark, sf_dir):
     return feed.funnel(rows, in_day, brazil=True)
 
 
+@query
+def funnel_observed(spark, sf_dir):
+    """The same counts as metrics of the write, without a pass of their own."""
+    rows = event_feed(spark, sf_dir)
+    in_day = times.within_local_day(F.col("date_utc"), AS_OF, ZONE)
+    counted = feed.CountedNews(rows, in_day, ZONE, brazil=True)
+    sinks.write_feed(stored(counted.news, "news"), scratch_path(spark, "observed"))
+    return counted.funnel(spark)
+
+
 @query
 def filter_funnel_by_day(spark, sf_dir):
     rows = event_feed(spark, sf_dir).withColumn(
@@ -305,6 +325,18 @@ def enrich_top_n(spark, sf_dir):
     )
 
 
+@query
+def enrich_from_store(spark, sf_dir):
+    """The same from a page store, of which only the wanted buckets and rows are read."""
+    path = scratch_path(spark, "pages")
+    page_store.write_pages(table(spark, sf_dir, "pages", spread=True), path, 16)
+    news = stored(page_feed(spark, sf_dir), "news")
+    rows = articles.enrich_from_store(news, page_store.PageStore(spark, path, 16), TOP)
+    return rows.select(
+        "page_id", "url", times.iso_utc(F.col("date_utc")).alias("date_utc_iso"), "title", "text", "lang", "fetch_status"
+    )
+
+
 # ---- videos and transcripts -------------------------------------------------------
 
 
@@ -514,23 +546,21 @@ def analysis_table(spark, sf_dir):
     )
 
 
+def _item_form() -> Column:
+    marks = F.array_join("item.marcadores_lexicais", "+")
+    return F.concat_ws("|", *[f"item.{part}" for part in fusion.ITEM_PARTS], marks)
+
+
 @query
 def fuse_items(spark, sf_dir):
-    analysed = responses.parsed(turn_analyses(spark, sf_dir))
-    ranked = fusion.ranked_items(fusion.exploded_items(analysed))
-    return ranked.select(
-        "corpus_key",
-        "list",
-        "place",
-        "key",
-        "recurrence",
-        F.coalesce("item.texto", "item.tema").alias("form"),
-    )
+    """All nine lists; keys are ranked, and the winners' items fetched."""
+    ranked = fusion.ranked_items(_stored_analyses(turn_analyses(spark, sf_dir)))
+    return ranked.select("corpus_key", "list", "place", "key", "recurrence", _item_form().alias("form"))
 
 
 @query
 def fuse_scalars(spark, sf_dir):
-    return fusion.fused_scalars(document_analyses(spark, sf_dir))
+    return fusion.fused_scalars(document_analyses(spark, sf_dir)).drop("blocks")
 
 
 def _stored_analyses(answered: DataFrame) -> DataFrame:
@@ -538,18 +568,31 @@ def _stored_analyses(answered: DataFrame) -> DataFrame:
     return stored(responses.parsed(answered).drop("response"), "analyses")
 
 
+def _weighted(name: str) -> Column:
+    """A list of the book as text, each item with its weight in millionths."""
+    if name == "exemplos_representativos":
+        return F.array_join(F.col(f"book.{name}"), ";").alias(name)
+
+    def form(item: Column) -> Column:
+        parts = [F.array_join(item[p], "+") if p == "marcadores_lexicais" else item[p] for p in fusion.LIST_PARTS[name]]
+        said = F.concat_ws("|", *parts)
+        if name in fusion.UNWEIGHTED:
+            return said
+        return F.concat(said, F.lit(":"), F.round(item["peso"] * 1_000_000).cast("bigint").cast("string"))
+
+    return F.array_join(F.transform(F.col(f"book.{name}"), form), ";").alias(name)
+
+
 @query
 def style_books(spark, sf_dir):
+    """Books in full: every list with its weights."""
     analysed = _stored_analyses(turn_analyses(spark, sf_dir))
     books = fusion.style_books(analysed, AS_OF)
-    weights = F.transform("book.marcadores_discurso", lambda m: F.round(m["peso"], 6).cast("string"))
     return books.select(
         "corpus_key",
         F.col("book.tom").alias("tom"),
-        F.array_join(F.col("book.marcadores_discurso.texto"), "|").alias("marcadores"),
-        F.array_join(F.col("book.temas_recorrentes.tema"), "|").alias("temas"),
-        F.size("book.bordoes").alias("n_bordoes"),
-        F.size(weights).alias("n_pesos"),
+        *[_weighted(name) for name in fusion.LIST_KEYS],
+        F.col("book.observacoes").alias("observacoes"),
         F.col("book.versao").alias("versao"),
         F.col("book.gerado_em").alias("gerado_em"),
         F.col("book._fonte").alias("fonte"),
@@ -558,15 +601,52 @@ def style_books(spark, sf_dir):
 
 @query
 def style_context(spark, sf_dir):
+    """The six lists and the scalars that go into prompts."""
     analysed = _stored_analyses(turn_analyses(spark, sf_dir))
     books = fusion.style_books(analysed, AS_OF, max_items=40)
     context = books.select("corpus_key", style.style_context(F.col("book")).alias("c"))
+    lists = ["moldes_de_piada", "estruturas_piada", "gatilhos_comicos", "marcadores", "bordoes", "interjeicoes"]
     return context.select(
         "corpus_key",
-        "c.tom",
-        "c.pausas",
-        F.array_join("c.marcadores", "|").alias("marcadores"),
-        F.size("c.bordoes").alias("n_bordoes"),
+        *[f"c.{name}" for name in ("tom", "humor", "ritmo", "ritmo_comico", "pausas")],
+        *[F.array_join(F.col(f"c.{name}"), ";").alias(name) for name in lists],
+    )
+
+
+@query
+def books_failed(spark, sf_dir):
+    """A corpus none of whose blocks can be read keeps a record of the failed merge."""
+    answered = turn_analyses(spark, sf_dir)
+    broken = F.when(F.col("corpus_key") == "user", F.concat("response", F.lit(" and more"))).otherwise(
+        F.col("response")
+    )
+    books = fusion.style_books(_stored_analyses(answered.withColumn("response", broken)), AS_OF)
+    return books.select(
+        "corpus_key",
+        F.col("book.tom").alias("tom"),
+        F.col("error._mensagem").alias("message"),
+        F.get_json_object(fusion.book_document(), "$._erro_fusao").alias("failed"),
+        F.get_json_object(fusion.book_document(), "$.versao").alias("versao"),
+        F.get_json_object(fusion.book_document(), "$.gerado_em").alias("gerado_em"),
+    )
+
+
+@query
+def books_stamped(spark, sf_dir):
+    """Books from elsewhere: the date is set, version and origin only where they are missing."""
+    given = F.to_json(
+        F.struct(
+            F.col("lang").alias("tom"),
+            F.when(F.col("doc_id") % 2 == 0, "1.0").alias("versao"),
+            F.when(F.col("doc_id") % 3 == 0, F.col("source")).alias("_fonte"),
+            F.lit("2020-01-01").alias("gerado_em"),
+        )
+    )
+    books = table(spark, sf_dir, "documents").select(
+        "doc_id", F.from_json(given, responses.BOOK_TYPE).alias("book")
+    )
+    return fusion.stamped(books, AS_OF).select(
+        "doc_id", "book.tom", "book.versao", F.col("book._fonte").alias("fonte"), "book.gerado_em"
     )
 
 
@@ -618,12 +698,36 @@ def lexical_books(spark, sf_dir):
         "text",
     )
     analysed = lexical.lexical_analyses(turns, markers=("the", "de", "la", "und", "que"))
-    items = fusion.ranked_items(fusion.exploded_items(analysed))
+    items = fusion.ranked_items(stored(analysed, "lexical"))
     return items.filter(F.col("list") == "marcadores_discurso").select(
         "corpus_key", "place", "key", "recurrence"
     )
 
 
+@query
+def catchphrases(spark, sf_dir):
+    """Runs of two to four words in ten or more texts that are part of no longer one in the same texts."""
+    return lexical.catchphrases(document_texts(spark, sf_dir), 10, 4, 50)
+
+
+@query
+def lexical_catchphrases(spark, sf_dir):
+    """Books from counts alone, their catchphrases weighted by the blocks that say them."""
+    turns = table(spark, sf_dir, "conversations", spread=True).select(
+        F.col("role").alias("corpus_key"),
+        (F.col("conv_id") * 100 + F.col("turn")).alias("block_no"),
+        "text",
+    )
+    phrases = stored(lexical.catchphrases(turns, 3, 3), "phrases")
+    analysed = lexical.lexical_analyses(turns, phrases=phrases)
+    books = fusion.style_books(stored(analysed, "lexical"), AS_OF)
+    said = F.transform(
+        "book.bordoes",
+        lambda b: F.concat(b["texto"], F.lit(":"), F.round(b["peso"] * 1_000_000).cast("bigint").cast("string")),
+    )
+    return books.select("corpus_key", F.array_join(F.array_sort(said), ";").alias("bordoes"))
+
+
 @query
 def recurrent_phrases(spark, sf_dir):
     return lexical.recurrent_phrases(document_texts(spark, sf_dir), 2, 2, 50)
@@ -632,20 +736,59 @@ def recurrent_phrases(spark, sf_dir):
 # ---- packages, sinks and sources -------------------------------------------------------------
 
 
+FILES_PER_TASK = 8
+
+
+def _landed_rows(spark, sf_dir):
+    folder = landed_packages(spark, sf_dir, scratch_path(spark, "landing"))
+    return package_source.read_rows(package_source.landed_lines(spark, folder, FILES_PER_TASK))
+
+
 @query
 def package_scan(spark, sf_dir):
-    raw = packages.read_packages(packed_feed(event_feed(spark, sf_dir)))
-    return packages.feed_rows(raw).select(
-        "date",
-        "source",
-        "url",
-        "themes",
-        "locations",
-        "translation",
-        F.unix_seconds("date_utc").alias("seconds"),
+    """Landed zips of four widths, with quoted, short and long lines."""
+    return package_source.accepted(_landed_rows(spark, sf_dir)).select(
+        "slot", "row_no", *FIELD_POSITIONS, F.unix_seconds("date_utc").alias("seconds")
+    )
+
+
+@query
+def package_line_rejects(spark, sf_dir):
+    """Lines with more cells than the first line of their package."""
+    return package_source.line_rejects(_landed_rows(spark, sf_dir)).select(
+        "slot", "row_no", "width", "n_cells", "line"
     )
 
 
+def _landed_in_two_runs(spark, sf_dir):
+    """Packages up to noon first, then all: the second run opens the rest only."""
+    folder = landed_packages(spark, sf_dir, scratch_path(spark, "landing"))
+    base = scratch_path(spark, "landed")
+    every = [package_source.slot_of(p) for p in package_source.listed(folder)]
+    landing.land(spark, folder, base, [s for s in every if s[8:10] < "12"], FILES_PER_TASK)
+    landing.land(spark, folder, base, None, FILES_PER_TASK)
+    return base
+
+
+@query
+def landing_ledger(spark, sf_dir):
+    """What each run opened."""
+    ledger = landing.opened(spark, _landed_in_two_runs(spark, sf_dir))
+    return ledger.select("slot", "run", F.col("rows").alias("n_rows"), "line_rejects")
+
+
+@query
+def landed_day(spark, sf_dir):
+    """The rows of a local day; partitions of other hours are not read."""
+    base = _landed_in_two_runs(spark, sf_dir)
+    start, end = times.day_bounds(AS_OF, ZONE)
+    first = start.astimezone(timezone.utc).replace(hour=0)
+    steps = (first + timedelta(hours=PACKAGE_HOURS * k) for k in range(8))
+    due = [f"{step:%Y%m%d%H%M%S}" for step in steps if step < end]
+    rows = package_source.accepted(landing.landed(spark, base, due))
+    return feed.today(rows, AS_OF, ZONE).select("slot", "row_no", "url", F.unix_seconds("date_utc").alias("seconds"))
+
+
 @query
 def package_rejects(spark, sf_dir):
     """Every landed page taken for a package: none is a zip file."""
@@ -701,16 +844,37 @@ def text_sink(spark, sf_dir):
 
 @query
 def link_sink(spark, sf_dir):
-    """Link lists written per kind and read back line by line."""
+    """Link lists written per kind in the order of channels and places, and read back with positions."""
     path = scratch_path(spark, "links")
     links = video_operators.channel_links(_listing(spark, sf_dir), "both", 3)
-    sinks.write_links(links.withColumn("kind", F.lit("both")), path, by=("kind",))
-    return (
-        texts.link_lines(spark, f"{path}/*")
-        .groupBy("url")
-        .agg(F.count("*").alias("links"))
-        .select("url", videos.video_id(F.col("url")).alias("video"), "links")
-    )
+    ordered = links.withColumns({"kind": F.lit("both"), "pos": F.struct("channel", "place")})
+    sinks.write_links(ordered, path, by=("kind",))
+    back = texts.ordered_links(spark, path, "kind string")
+    return back.select("kind", "pos", "url", videos.video_id(F.col("url")).alias("video"))
+
+
+@query
+def text_upsert(spark, sf_dir):
+    """Every text first, then a fifth of them again, cleaned: only their buckets are written anew."""
+    path = scratch_path(spark, "upserted")
+    docs = document_texts(spark, sf_dir).select("file_name", "text")
+    sinks.upsert_texts(docs, path, buckets=16)
+    again = docs.where(F.col("file_name").cast("long") % 5 == 0)
+    sinks.upsert_texts(transcripts.clean_texts(again), path)
+    return sinks.text_table(spark, path).read()
+
+
+@query
+def json_upsert(spark, sf_dir):
+    """JSON documents in whole, null fields kept, with those of one language put in anew."""
+    path = scratch_path(spark, "documents")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    first = F.struct("lang", F.when(F.col("n_chars") > 500, F.col("n_chars")).alias("size"), F.lit("a").alias("run"))
+    second = F.struct("lang", F.lit(None).cast("long").alias("size"), F.lit("b").alias("run"))
+    documents = KeyedTable(spark, path, "doc_id bigint, json string", ["doc_id"], 16)
+    documents.upsert(sinks.json_documents(docs, ["doc_id"], first))
+    documents.upsert(sinks.json_documents(docs.where("lang = 'en'"), ["doc_id"], second))
+    return documents.read()
 
 
 @query
@@ -730,6 +894,52 @@ def document_analyses_full(spark, sf_dir):
     return _stored_analyses(rows.withColumn("response", body).drop("analysis"))
 
 
+# ---- whole chains -------------------------------------------------------------------------------
+
+
+@query
+def chain(spark, sf_dir):
+    """Channels, links in order, transcripts by title, clean texts and blocks of every channel."""
+    base = scratch_path(spark, "chain")
+    given = channel_tables(spark, sf_dir)
+    jobs.run_channels(**given, out=base, limit=8, max_chars=3000)
+    return spark.read.parquet(f"{base}/blocks")
+
+
+@query
+def channel_list(spark, sf_dir):
+    """A landed list of channels with comments and blank lines; without a channel the default counts."""
+    path = scratch_path(spark, "channels")
+    url = F.col("url")
+    noted = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("# "), url)).when(
+        F.col("page_id") % 7 == 0, F.lit("   ")
+    )
+    table(spark, sf_dir, "pages").select(F.coalesce(noted, F.concat(F.lit("  "), url, F.lit("\t")))).write.text(path)
+    return texts.channel_lines(spark, path, ["https://default/"])
+
+
+@query
+def text_scan(spark, sf_dir):
+    """Text files, one per source, read whole."""
+    path = scratch_path(spark, "texts")
+    docs = table(spark, sf_dir, "documents").select("source", "doc_id", "text")
+    ordered = docs.repartition("source").sortWithinPartitions("source", "doc_id")
+    ordered.drop("doc_id").write.partitionBy("source").text(path)
+    found = texts.text_files(spark, f"{path}/*")
+    return found.select(F.md5("text").alias("digest"), F.length("text").alias("n_chars"))
+
+
+@query
+def language_argument(spark, sf_dir):
+    """Languages named as on the command line: quotes, blanks, commas and case do not matter."""
+    rows = table(spark, sf_dir, "pages").withColumn("translation", F.lit(""))
+    kept = [
+        feed.in_languages(rows, language.wanted_languages(given), (SPANISH,)).select(F.lit(given).alias("given"), "page_id")
+        for given in ("'spa', ENG", "", '""', " , ", "Spa")
+    ]
+    return reduce(DataFrame.union, kept)
+
+
 # ---- streams -----------------------------------------------------------------------------------
 
 
@@ -752,11 +962,45 @@ def stream_ingest(spark, sf_dir):
     return rows.select("date", "source", "url", F.unix_seconds("date_utc").alias("seconds"))
 
 
+def _dropped(spark, sf_dir, after_each=None) -> feed_stream.Ingest:
+    """Packages that land in three drops, some of them late, each drop taken up by a run of its own."""
+    base = scratch_path(spark, "drops")
+    ingest = feed_stream.Ingest(spark, f"{base}/landing", f"{base}/packages", DROP_DELAY)
+    for drop in range(DROPS):
+        landed_packages(spark, sf_dir, ingest.packages, drop_of(F.col("slot")) == drop)
+        ingest.run()
+        if after_each is not None:
+            after_each(ingest, base)
+    return ingest
+
+
 @query
 def stream_dedup(spark, sf_dir):
-    rows, base = _landed(spark, event_feed(spark, sf_dir), "dedup")
-    first = feed_stream.first_arrivals(rows.select("url", "date_utc"), "60 days")
-    return _run(first, base).select("url")
+    """The least row of each URL and story over three drops; late rows have no say."""
+
+    def single(ingest: feed_stream.Ingest, base: str) -> None:
+        first = feed_stream.least_arrivals(ingest.rows(), DROP_DELAY)
+        feed_stream.run_available(first, f"{base}/out", f"{base}/state")
+        found["rows"] = spark.read.schema(first.schema).parquet(f"{base}/out")
+
+    found: dict[str, DataFrame] = {}
+    _dropped(spark, sf_dir, single)
+    return found["rows"].select("url", "slot", "row_no", "source")
+
+
+@query
+def stream_late(spark, sf_dir):
+    """Rows that came behind the watermark."""
+    late = _dropped(spark, sf_dir).of_kind(feed_stream.LATE)
+    return late.select("slot", "row_no", "url", F.unix_seconds("date_utc").alias("seconds"))
+
+
+@query
+def stream_rejects(spark, sf_dir):
+    """Lines too long, and lines without a date."""
+    ingest = _dropped(spark, sf_dir)
+    kinds = [ingest.of_kind(kind) for kind in (feed_stream.LINE, feed_stream.UNDATED)]
+    return kinds[0].union(kinds[1]).select("kind", "slot", "row_no")
 
 
 @query

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from newsloom import fixed_values as fixed
 from newsloom.functions.prompts import ANALYSIS_TEMPLATE
+from newsloom.operators import fusion
+from newsloom.plans import driver_inputs as inputs
 from newsloom.plans import driver_queries as q
 
 ZONE = q.ZONE
@@ -176,6 +178,7 @@ SELECT count(*) AS rows_read, count(*) FILTER (d) AS in_day,
        count(*) FILTER (d AND (u OR n) AND p) AS after_place,
        count(DISTINCT url) FILTER (d AND (u OR n) AND p) AS after_dedup
 FROM (SELECT url, {IN_DAY} AS d, {PT_URL} AS u, {PT_NOTE} AS n, {PLACE} AS p FROM {FEED})"""
+SQL["funnel_observed"] = SQL["filter_funnel"]
 SQL["filter_funnel_by_day"] = f"""
 SELECT strftime({wall('date_utc')}, '%Y-%m-%d') AS local_day, count(*) AS rows_read,
        count(*) FILTER ({PT_URL}) AS url_hits, count(*) FILTER ({PT_NOTE}) AS translation_hits,
@@ -226,6 +229,7 @@ FROM placed p LEFT JOIN articles a ON a.url = p.url AND a.copy = 1 AND taken"""
 
 # ---- videos and transcripts -------------------------------------------------------
 
+SQL["enrich_from_store"] = SQL["enrich_top_n"]
 SQL["handle_extract"] = f"""
 SELECT page_id, CASE WHEN url LIKE 'https%'
   THEN regexp_extract(split_part(url, '/', 3), '^[A-Za-z0-9_-]+')
@@ -387,45 +391,100 @@ SELECT conv_id AS corpus_key, turn AS block_no,
        CASE WHEN role <> 'assistant' THEN '_erro_chamada_ia' END AS kind
 FROM conversations"""
 
-SAID = r"""
-(SELECT role AS corpus_key, conv_id * 100 + turn AS block_no, u.i AS pos, words[u.i] AS form
- FROM (SELECT *, string_split_regex(text, '\s+') AS words FROM conversations),
-      unnest(generate_series(1, len(words))) AS u(i))"""
-ITEMS = f"""
-(SELECT 'marcadores_discurso' AS list, * FROM {SAID}
- UNION ALL SELECT 'temas_recorrentes', * FROM {SAID} WHERE suffix(form, '.'))"""
+TURNS = r"""
+(SELECT role AS corpus_key, conv_id * 100 + turn AS block_no,
+        string_split_regex(text, '\s+') AS w FROM conversations)"""
+WORDS_OF = f"(SELECT *, w[u.i] AS form, u.i AS nth FROM {TURNS}, unnest(generate_series(1, len(w))) AS u(i))"
+
+
+def of_words(name: str, condition: str, form: str) -> str:
+    """A list whose items are some of a turn's words; ``pos`` counts those alone."""
+    return f"""
+SELECT '{name}' AS list, corpus_key, block_no,
+       row_number() OVER (PARTITION BY corpus_key, block_no ORDER BY nth) AS pos,
+       {{}} AS key, {form} AS form FROM {WORDS_OF} WHERE {condition}"""
+
+
+UNIT = "chr(31)"
+ITEMS = " UNION ALL ".join(
+    [
+        f"""SELECT 'estruturas_piada' AS list, corpus_key, block_no, 1 AS pos,
+  lower(w[1]) || {UNIT} || lower(w[-1]) AS key,
+  concat_ws('|', w[1], w[-1], array_to_string(w[1:2], '+')) AS form FROM {TURNS}""",
+        of_words("gatilhos_comicos", "suffix(form, ',')", "concat_ws('|', form, 'alta', w[1])").format(
+            f"lower(form) || {UNIT} || lower(w[1])"
+        ),
+        f"""SELECT 'moldes_frasais', corpus_key, block_no, 1, lower(trim(array_to_string(w[1:2], ' '))),
+  concat_ws('|', array_to_string(w[1:2], ' '), 'abertura') FROM {TURNS}""",
+        of_words("vicios_expressao", "length(form) >= 10", "concat_ws('|', form, w[-1])").format("lower(form)"),
+        of_words("marcadores_discurso", "true", "form").format("lower(form)"),
+        of_words("bordoes", "length(form) = 3", "concat_ws('|', form, w[1])").format("lower(form)"),
+        of_words("interjeicoes", "length(form) <= 2", "form").format("lower(form)"),
+        of_words("temas_recorrentes", "suffix(form, '.')", "form").format("lower(form)"),
+        f"""SELECT 'exemplos_representativos', corpus_key, block_no, 1, lower(trim(array_to_string(w[1:3], ' '))),
+  array_to_string(w[1:3], ' ') FROM {TURNS}""",
+    ]
+)
 
 
 def ranked(cap: int) -> str:
     return f"""
-(SELECT corpus_key, list, lower(form) AS key, count(DISTINCT block_no) AS recurrence,
+(SELECT corpus_key, list, key, count(DISTINCT block_no) AS recurrence,
         arg_min(form, (block_no, pos)) AS form, min((block_no, pos)) AS first,
         CAST(row_number() OVER (PARTITION BY corpus_key, list
-          ORDER BY count(DISTINCT block_no) DESC, min((block_no, pos)), lower(form))
+          ORDER BY count(DISTINCT block_no) DESC, min((block_no, pos)), key)
           AS INTEGER) AS place
- FROM {ITEMS} WHERE form <> '' GROUP BY corpus_key, list, lower(form) QUALIFY place <= {cap})"""
+ FROM ({ITEMS}) WHERE replace(key, {UNIT}, '') <> '' GROUP BY corpus_key, list, key QUALIFY place <= {cap})"""
 
 
 SQL["fuse_items"] = f"SELECT * EXCLUDE (first) FROM {ranked(25)}"
+PARTIALS = "(SELECT role AS corpus_key, count(*) AS partials FROM conversations GROUP BY role)"
 
 
-def book(cap: int) -> str:
-    return f"""
-SELECT corpus_key, corpus_key AS tom,
-       string_agg(form, '|' ORDER BY place) FILTER (list = 'marcadores_discurso') AS marcadores,
-       coalesce(string_agg(form, '|' ORDER BY place) FILTER (list = 'temas_recorrentes'), '')
-         AS temas,
-       CAST(0 AS INTEGER) AS n_bordoes,
-       CAST(count(*) FILTER (list = 'marcadores_discurso') AS INTEGER) AS n_pesos
-FROM {ranked(cap)} GROUP BY corpus_key"""
+def book_list(name: str) -> str:
+    weight = "" if name in fusion.UNWEIGHTED else (
+        " || ':' || CAST(CAST(round(recurrence / partials * 1000000) AS BIGINT) AS VARCHAR)"
+    )
+    return (
+        f"coalesce(string_agg(form{weight}, ';' ORDER BY place) FILTER (list = '{name}'), '') AS {name}"
+    )
 
 
 SQL["style_books"] = f"""
-SELECT *, '{fixed.STYLE_VERSION}' AS versao, '2024-01-15T16:00:00' AS gerado_em,
-       '{fixed.STYLE_SOURCE}' AS fonte FROM ({book(25)})"""
+SELECT corpus_key, corpus_key AS tom, {', '.join(map(book_list, fusion.LIST_KEYS))},
+       CAST(NULL AS VARCHAR) AS observacoes,
+       '{fixed.STYLE_VERSION}' AS versao, '2024-01-15T16:00:00' AS gerado_em, '{fixed.STYLE_SOURCE}' AS fonte
+FROM {ranked(25)} JOIN {PARTIALS} USING (corpus_key) GROUP BY corpus_key"""
+CONTEXT_LISTS = {
+    "moldes_de_piada": ("moldes_frasais", 1),
+    "estruturas_piada": ("estruturas_piada", 1),
+    "gatilhos_comicos": ("gatilhos_comicos", 1),
+    "marcadores": ("marcadores_discurso", 1),
+    "bordoes": ("bordoes", 1),
+    "interjeicoes": ("interjeicoes", 1),
+}
+
+
+def context_list(name: str) -> str:
+    of, part = CONTEXT_LISTS[name]
+    said = f"split_part(form, '|', {part})"
+    return f"coalesce(string_agg({said}, ';' ORDER BY place) FILTER (list = '{of}' AND {said} <> ''), '') AS {name}"
+
+
 SQL["style_context"] = f"""
-SELECT corpus_key, tom, CAST(NULL AS VARCHAR) AS pausas, marcadores, n_bordoes
-FROM ({book(40)})"""
+SELECT corpus_key, corpus_key AS tom, {', '.join(map(context_list, CONTEXT_LISTS))},
+       {', '.join(f'CAST(NULL AS VARCHAR) AS {n}' for n in ('humor', 'ritmo', 'ritmo_comico', 'pausas'))}
+FROM {ranked(40)} GROUP BY corpus_key"""
+SQL["books_failed"] = f"""
+SELECT role AS corpus_key, CASE WHEN role <> 'user' THEN role END AS tom,
+       CASE WHEN role = 'user' THEN 'none of ' || count(*) || ' blocks was analysed' END AS message,
+       CASE WHEN role = 'user' THEN 'true' END AS failed,
+       '{fixed.STYLE_VERSION}' AS versao, '2024-01-15T16:00:00' AS gerado_em
+FROM conversations GROUP BY role"""
+SQL["books_stamped"] = f"""
+SELECT doc_id, lang AS tom, CASE WHEN doc_id % 2 = 0 THEN '1.0' ELSE '{fixed.STYLE_VERSION}' END AS versao,
+       CASE WHEN doc_id % 3 = 0 THEN source ELSE '{fixed.STYLE_SOURCE}' END AS fonte,
+       '2024-01-15T16:00:00' AS gerado_em FROM documents"""
 
 VIEWS = """
 (SELECT source AS corpus_key, doc_id, 'tom' AS field, lang AS value FROM documents
@@ -526,6 +585,45 @@ SELECT corpus_key, key, count(*) AS recurrence,
        CAST(row_number() OVER (PARTITION BY corpus_key
          ORDER BY count(*) DESC, min((block_no, pos)), key) AS INTEGER) AS place
 FROM placed GROUP BY corpus_key, key"""
+
+
+def said_runs(source: str, most: int, least: int) -> str:
+    """Recurrent runs of two to ``most`` words in enough texts of a corpus."""
+    runs = " UNION ALL ".join(
+        f"""SELECT DISTINCT corpus_key, text_no, {n} AS words, array_to_string(w[i:i + {n - 1}], ' ') AS phrase
+  FROM said, unnest(generate_series(1, len(w) - {n - 1})) AS u(i)"""
+        for n in range(2, most + 1)
+    )
+    return f"""
+WITH said AS (
+  SELECT corpus_key, text_no, list_transform({WORDS}, lambda w: lower(w)) AS w FROM {source}
+), runs AS ({runs}), counts AS (
+  SELECT corpus_key, words, phrase, count(*) AS texts FROM runs GROUP BY ALL HAVING count(*) >= {least}
+), parts AS (
+  SELECT corpus_key, words - 1 AS words, texts, p AS phrase
+  FROM (SELECT *, string_split(phrase, ' ') AS w FROM counts),
+       unnest([array_to_string(w[1:len(w) - 1], ' '), array_to_string(w[2:], ' ')]) AS u(p)
+), longer AS (
+  SELECT corpus_key, words, phrase, max(texts) AS longer FROM parts GROUP BY ALL
+), placed AS (
+  SELECT c.*, CAST(row_number() OVER (PARTITION BY corpus_key ORDER BY texts DESC, words DESC, phrase)
+              AS INTEGER) AS place
+  FROM counts c LEFT JOIN longer l USING (corpus_key, words, phrase) WHERE l.longer IS NULL OR l.longer < texts
+)"""
+
+
+SQL["catchphrases"] = said_runs("(SELECT source AS corpus_key, doc_id AS text_no, text FROM documents)", 4, 10) + """
+SELECT corpus_key, phrase, CAST(words AS INTEGER) AS words, texts, place FROM placed WHERE place <= 50"""
+SQL["lexical_catchphrases"] = said_runs(
+    "(SELECT role AS corpus_key, conv_id * 100 + turn AS text_no, text FROM conversations)", 3, 3
+) + f"""
+SELECT corpus_key, coalesce(string_agg(item, ';' ORDER BY item), '') AS bordoes FROM (
+  SELECT corpus_key, phrase || ':' || CAST(CAST(round(count(text_no) / any_value(partials) * 1000000) AS BIGINT) AS VARCHAR)
+           AS item
+  FROM {PARTIALS} LEFT JOIN placed p USING (corpus_key) LEFT JOIN said s USING (corpus_key)
+  WHERE p.place IS NULL OR (p.place <= 25
+    AND contains(' ' || array_to_string(s.w, ' ') || ' ', ' ' || p.phrase || ' '))
+  GROUP BY corpus_key, phrase) GROUP BY corpus_key"""
 SQL["recurrent_phrases"] = rf"""
 WITH said AS (
   SELECT source AS corpus_key, doc_id, list_transform({WORDS}, lambda w: lower(w)) AS words
@@ -542,9 +640,56 @@ FROM phrases GROUP BY corpus_key, phrase HAVING count(*) >= 2 QUALIFY place <= 5
 # ---- packages, sinks and sources -------------------------------------------------------------
 
 SECONDS = "CAST(epoch(date_utc) AS BIGINT) AS seconds"
-SQL["package_scan"] = (
-    f"SELECT date, source, url, themes, locations, translation, {SECONDS} FROM {FEED}"
+PACKED = f"""
+(SELECT *, CAST(package[9:10] AS INTEGER) // {inputs.PACKAGE_HOURS} % 4 AS kind, CAST(tone AS DOUBLE) AS value,
+        row_number() OVER (PARTITION BY package ORDER BY row_no) AS place
+ FROM (SELECT f.*, CAST(e.value AS VARCHAR) AS tone,
+              date[1:8] || lpad(CAST(CAST(date[9:10] AS INTEGER) // {inputs.PACKAGE_HOURS} * {inputs.PACKAGE_HOURS} AS VARCHAR), 2, '0')
+                || '0000' AS package
+       FROM {FEED} f JOIN events e ON e.event_id = f.row_no))"""
+PACKAGE_WIDTH = "CASE kind " + " ".join(f"WHEN {k} THEN {w}" for k, w in inputs.WIDTHS.items()) + " END"
+SHORT = f"value < {inputs.SHORT_UP_TO}"
+MARK = "chr(34)"
+SAID_BY = f"CASE WHEN source = 'signup' THEN '<signup>' || chr(9) || {MARK} || 'x' || {MARK} ELSE source END"
+RAW_SAID_BY = f"""CASE WHEN source = 'signup'
+  THEN {MARK} || '<signup>' || chr(9) || repeat({MARK}, 2) || 'x' || repeat({MARK}, 3) ELSE source END"""
+OF_WIDTH = f"CASE WHEN {SHORT} OR {{}} THEN '' ELSE {{}} END"
+PACKAGE_ROWS = f"""
+SELECT package AS slot, place AS row_no, date, {SAID_BY} AS source, url,
+       {OF_WIDTH.format('false', 'themes')} AS themes,
+       {OF_WIDTH.format('kind = 3', 'locations')} AS locations,
+       {OF_WIDTH.format('kind >= 2', 'tone')} AS tone,
+       {OF_WIDTH.format('kind >= 2', 'translation')} AS translation,
+       date_utc, kind, value
+FROM {PACKED}"""
+LONG = f"value >= {inputs.LONG_FROM}"
+SQL["package_scan"] = f"""
+SELECT slot, row_no, date, source, url, themes, locations, tone, translation, {SECONDS}
+FROM ({PACKAGE_ROWS}) WHERE NOT ({LONG})
+UNION ALL
+SELECT DISTINCT package, 0, NULL, '', '', '', '', '', '', CAST(NULL AS BIGINT) FROM {PACKED}"""
+CELLS_OF = {
+    27: {1: "date", 3: "quoted", 4: "url", 8: "themes", 10: "locations", 15: "tone", 25: "translation"},
+    10: {1: "date", 3: "quoted", 4: "url", 8: "themes", 9: "locations"},
+    8: {1: "date", 3: "quoted", 4: "url", 7: "themes"},
+}
+CELLS_OF[26] = CELLS_OF[27]
+TAB = " || chr(9) || "
+WHOLE_LINES = " ".join(
+    f"WHEN {k} THEN " + TAB.join(["CAST(row_no AS VARCHAR)"] + [CELLS_OF[w].get(p, "''") for p in range(1, w)])
+    for k, w in inputs.WIDTHS.items()
 )
+SQL["package_line_rejects"] = f"""
+SELECT package AS slot, place AS row_no, CAST({PACKAGE_WIDTH} AS INTEGER) AS width,
+       CAST({PACKAGE_WIDTH} + 1 AS INTEGER) AS n_cells,
+       CASE kind {WHOLE_LINES} END || chr(9) || 'more' AS line
+FROM (SELECT *, {RAW_SAID_BY} AS quoted FROM {PACKED}) WHERE {LONG}"""
+SQL["landing_ledger"] = f"""
+SELECT package AS slot, CAST(CASE WHEN package[9:10] < '12' THEN 1 ELSE 2 END AS INTEGER) AS run,
+       1 + count(*) FILTER (NOT ({LONG})) AS n_rows, count(*) FILTER ({LONG}) AS line_rejects
+FROM {PACKED} GROUP BY package"""
+SQL["landed_day"] = f"""
+SELECT slot, row_no, url, {SECONDS} FROM ({PACKAGE_ROWS}) WHERE NOT ({LONG}) AND {IN_DAY}"""
 SQL["package_rejects"] = """
 SELECT '20240101' || lpad(CAST(page_id AS VARCHAR), 6, '0') AS slot, 'BadZipFile' AS error
 FROM pages"""
@@ -558,13 +703,87 @@ SQL["text_sink"] = (
     f"SELECT {FILE} || '.txt' AS file_name, {cleaned('text')} AS text FROM documents"
 )
 SQL["link_sink"] = f"""
-SELECT url, left(split_part(url, 'watch?v=', 2), 11) AS video, count(*) AS links
-FROM (SELECT url FROM ({UNION})) GROUP BY url"""
+SELECT 'both' AS kind, row_number() OVER (ORDER BY channel, place) AS pos, url,
+       left(split_part(url, 'watch?v=', 2), 11) AS video FROM ({UNION})"""
+SQL["text_upsert"] = f"""
+SELECT {FILE} AS file_name, CASE WHEN doc_id % 5 = 0 THEN {cleaned('text')} ELSE text END AS text FROM documents"""
+SQL["json_upsert"] = """
+SELECT doc_id, '{"lang":"' || lang || '","size":' ||
+       CASE WHEN lang <> 'en' AND n_chars > 500 THEN CAST(n_chars AS VARCHAR) ELSE 'null' END ||
+       ',"run":"' || CASE WHEN lang = 'en' THEN 'b' ELSE 'a' END || '"}' AS json FROM documents"""
+
+# ---- whole chains -------------------------------------------------------------------------------
+
+CHANNEL_LINES = f"""
+(WITH ids AS (
+  SELECT DISTINCT 'c' || user_id AS channel,
+         CASE WHEN event_type IN ('view', 'click') THEN 0 ELSE 1 END AS rank,
+         event_id AS pos, lpad(CAST(CAST(floor(value) AS BIGINT) AS VARCHAR), 11, 'v') AS video_id
+  FROM events WHERE event_type <> 'error'
+), listed AS (
+  SELECT * FROM ids QUALIFY row_number() OVER (PARTITION BY channel, rank ORDER BY pos, video_id) <= 8
+), once AS (
+  SELECT * FROM listed QUALIFY row_number() OVER (PARTITION BY channel, video_id ORDER BY rank, pos) = 1
+), linked AS (
+  SELECT *, row_number() OVER (PARTITION BY channel ORDER BY rank, pos, video_id) AS place FROM once QUALIFY place <= 8
+), spoken AS (
+  SELECT lpad(CAST(conv_id AS VARCHAR), 11, 'v') AS video_id, string_agg(text, chr(10) ORDER BY turn) AS text
+  FROM conversations GROUP BY conv_id
+), named AS (
+  SELECT channel, place, text, coalesce(source, l.video_id) AS title
+  FROM linked l JOIN spoken USING (video_id)
+       LEFT JOIN (SELECT lpad(CAST(doc_id AS VARCHAR), 11, 'v') AS video_id, source FROM documents) USING (video_id)
+  QUALIFY row_number() OVER (PARTITION BY channel, title ORDER BY place DESC) = 1
+)
+SELECT channel AS corpus_key, title || '.txt' AS file_name, 0 AS line_no, {cleaned('text')} AS text FROM named
+UNION ALL
+SELECT channel, title || '.txt', 1, '' FROM named
+QUALIFY title || '.txt' < max(title || '.txt') OVER (PARTITION BY channel))"""
+SQL["chain"] = blocks(CHANNEL_LINES, 3000)
+SQL["channel_list"] = "SELECT url AS channel_url FROM pages WHERE page_id % 3 <> 0 AND page_id % 7 <> 0"
+SQL["text_scan"] = """
+SELECT md5(body) AS digest, CAST(length(body) AS INTEGER) AS n_chars
+FROM (SELECT string_agg(text || chr(10), '' ORDER BY doc_id) AS body FROM documents GROUP BY source)"""
+SPANISH_HIT = f"({HOST_HIT} OR {QUERY_HIT} OR {SECTION_HIT})"
+SQL["language_argument"] = " UNION ALL ".join(
+    f"SELECT {quoted(given)} AS given, page_id FROM pages WHERE {hit}"
+    for given, hit in [("'spa', ENG", SPANISH_HIT), ("", "true"), ('""', "true"), (" , ", "true"), ("Spa", SPANISH_HIT)]
+)
 
 # ---- streams -----------------------------------------------------------------------------------
 
 SQL["stream_ingest"] = f"SELECT date, source, url, {SECONDS} FROM {FEED}"
-SQL["stream_dedup"] = f"SELECT DISTINCT url FROM {FEED}"
+DROPPED = f"""
+WITH sent AS (
+  SELECT p.*, {SAID_BY} AS said_by,
+    CASE WHEN day <= 10 AND NOT ((day = 5 AND hour < 12) OR (day = 10 AND hour % 12 = 6)) THEN 0
+         WHEN day <= 20 AND NOT (day = 20 AND hour % 12 = 6) THEN 1 ELSE 2 END AS part
+  FROM (SELECT *, CAST(package[7:8] AS INTEGER) AS day, CAST(package[9:10] AS INTEGER) AS hour FROM {PACKED}) p
+), good AS (
+  SELECT * FROM sent WHERE NOT ({LONG})
+), marks AS (
+  SELECT d AS part, (SELECT max(date_utc) FROM good WHERE part < d) - INTERVAL {inputs.DROP_DELAY} AS mark
+  FROM range({inputs.DROPS}) AS r(d)
+), timed AS (
+  SELECT good.*, coalesce(date_utc < mark, false) AS late FROM good JOIN marks USING (part)
+)"""
+SQL["stream_late"] = f"""{DROPPED}
+SELECT package AS slot, place AS row_no, url, {SECONDS} FROM timed WHERE late"""
+SQL["stream_rejects"] = f"""{DROPPED}
+SELECT 'line' AS kind, package AS slot, place AS row_no FROM sent WHERE {LONG}
+UNION ALL SELECT DISTINCT 'undated', package, 0 FROM sent"""
+SQL["stream_dedup"] = f"""{DROPPED}, gaps AS (
+  SELECT *, coalesce(date_utc >= lag(date_utc) OVER (PARTITION BY url ORDER BY date_utc)
+                                 + INTERVAL {inputs.DROP_DELAY}, true) AS begins
+  FROM timed WHERE NOT late
+), stories AS (
+  SELECT *, sum(CASE WHEN begins THEN 1 ELSE 0 END) OVER (PARTITION BY url ORDER BY date_utc) AS story FROM gaps
+), ended AS (
+  SELECT *, max(date_utc) OVER (PARTITION BY url, story) AS last FROM stories
+)
+SELECT url, package AS slot, place AS row_no, said_by AS source FROM ended
+WHERE last + INTERVAL {inputs.DROP_DELAY} <= (SELECT max(date_utc) FROM ended) - INTERVAL {inputs.DROP_DELAY}
+QUALIFY row_number() OVER (PARTITION BY url, story ORDER BY package, place) = 1"""
 SQL["stream_slots"] = f"""
 SELECT slot, count(*) AS "rows", count(*) FILTER (url <> '') AS kept_rows
 FROM {FEED} GROUP BY slot

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timedelta, timezone
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from newsloom import fixed_values as fixed
 from newsloom.functions.language import PORTUGUESE, LanguageRule
 from newsloom.functions.style import style_context
-from newsloom.functions.times import day_bounds, package_stamp, within_local_day
-from newsloom.functions.videos import clean_title
+from newsloom.functions.times import within_local_day
+from newsloom.functions.videos import channel_handle, clean_title, video_id
 from newsloom.operators.articles import enrich_newest
 from newsloom.operators.corpus import blocks as cut_blocks
-from newsloom.operators.feed import daily_news, funnel
-from newsloom.operators.fusion import style_books
+from newsloom.operators.feed import CountedNews, first_per_key
+from newsloom.operators.fusion import book_document, style_books
 from newsloom.operators.responses import analyses, prompts
 from newsloom.operators.slots import arrival_counts, manifest, missing_slots
 from newsloom.operators.transcripts import (
@@ -25,9 +25,25 @@ from newsloom.operators.transcripts import (
     preferred_language,
     segments_to_text,
 )
+from newsloom.operators.videos import channel_links
 from newsloom.session import stored, utc_session
-from newsloom.sources.packages import feed_rows, package_files, read_packages, rejected_packages
-from newsloom.sources.sinks import write_feed, write_json_documents, write_texts
+from newsloom.sources.keyed_table import KeyedTable
+from newsloom.sources.landing import land
+from newsloom.sources.package_source import (
+    accepted,
+    landed_lines,
+    line_rejects,
+    package_rejects,
+    read_rows,
+)
+from newsloom.sources.sinks import (
+    text_table,
+    upsert_texts,
+    write_feed,
+    write_json_documents,
+    write_links,
+)
+from newsloom.sources.texts import ordered_links
 from newsloom.sources.texts import style_books as read_books
 
 
@@ -38,6 +54,7 @@ class FeedResult:
     arrivals: DataFrame
     missing: DataFrame
     rejects: DataFrame
+    line_rejects: DataFrame
 
 
 def run_feed(
@@ -53,40 +70,39 @@ def run_feed(
     rules: tuple[LanguageRule, ...] = (PORTUGUESE,),
     pages: DataFrame | None = None,
     articles: int = fixed.ARTICLE_LIMIT,
+    landed: str | None = None,
 ) -> FeedResult:
     """Today's news from landed packages, with article text when ``pages`` is given.
 
-    Packages are opened once: their rows are stored before the several uses.
-    Only packages named after the UTC dates of the manifest are listed.
+    Only packages of the manifest's slots are opened, each once. With ``landed``, a folder
+    that later runs find again, those that an earlier run has read stay closed. What each
+    filter kept is counted while the news are written.
     """
     utc_session(spark)
     expected = manifest(spark, as_of, zone, window_minutes)
-    first = min(day_bounds(as_of, zone)[0], as_of - timedelta(minutes=window_minutes + 15))
-    first, last = first.astimezone(timezone.utc), as_of.astimezone(timezone.utc)
-    days = [(first + timedelta(days=i)) for i in range((last.date() - first.date()).days + 1)]
-    pattern = "{" + ",".join(f"{d:%Y%m%d}" for d in days) + "}*" + fixed.PACKAGE_SUFFIX
-    landed = package_files(spark, packages, pattern=pattern).withColumn(
-        "slot", package_stamp(F.col("path"))
-    )
-    # The manifest has at most 100 slots a day: bounded by the arguments.
-    due = landed.join(F.broadcast(expected.select("slot")), "slot", "left_semi")
-    raw = stored(read_packages(due), "packages")
+    # At most 100 slots a day: bounded by the arguments.
+    due = [row.slot for row in expected.select("slot").collect()]
+    if landed is None:
+        lines = landed_lines(spark, packages).where(F.col("slot").isin(due))
+        rows = stored(read_rows(lines), "packages")
+    else:
+        rows = land(spark, packages, landed, due).rows
 
-    rows = feed_rows(raw)
+    feed = accepted(rows)
     in_day = within_local_day(F.col("date_utc"), as_of, zone)
-    news = daily_news(rows, as_of, zone, wanted, brazil, rules)
+    counted = CountedNews(feed, in_day, zone, wanted, brazil, rules)
+    news = stored(counted.news, "news")
     if pages is not None:
-        news = enrich_newest(stored(news, "news"), pages, articles)
+        news = enrich_newest(news, pages, articles)
     write_feed(news, out, fmt)
-    arrived = raw.filter(F.col("error").isNull()).select(
-        package_stamp(F.col("path")).alias("slot")
-    )
+    arrived = feed.select("slot")
     return FeedResult(
         news=news,
-        funnel=funnel(rows, in_day, wanted, brazil, rules),
+        funnel=counted.funnel(spark),
         arrivals=arrival_counts(expected, arrived),
         missing=missing_slots(expected, arrived),
-        rejects=rejected_packages(raw),
+        rejects=package_rejects(rows),
+        line_rejects=line_rejects(rows),
     )
 
 
@@ -131,7 +147,10 @@ def run_style(
     as_of: datetime,
     max_items: int = fixed.LIST_ITEMS,
 ) -> DataFrame:
-    """Analyses, style books and contexts below ``out``; returns the books."""
+    """Analyses, style books and contexts below ``out``; returns the books.
+
+    A corpus whose blocks all failed has a record of that in place of its book, and no context.
+    """
     spark = blocks.sparkSession
     base = out.rstrip("/")
     analysed = stored(analyses(blocks, responses), "analyses")
@@ -141,21 +160,23 @@ def run_style(
     analysed.select("corpus_key", "block_no", document.alias("json")).write.mode(
         "overwrite"
     ).parquet(f"{base}/partials")
-    books = style_books(analysed, as_of, max_items)
-    write_json_documents(books, ["corpus_key"], "book", f"{base}/books")
-    write_json_documents(
-        books, ["corpus_key"], style_context(F.col("book")), f"{base}/contexts"
-    )
+    books = stored(style_books(analysed, as_of, max_items), "books")
+    books.select("corpus_key", book_document().alias("json")).write.mode("overwrite").parquet(f"{base}/books")
+    made = books.where("book IS NOT NULL")
+    write_json_documents(made, ["corpus_key"], style_context(F.col("book")), f"{base}/contexts")
     return read_books(spark, f"{base}/books")
 
 
 def run_transcripts(
     links: DataFrame, segments: DataFrame, titles: DataFrame, raw_out: str, clean_out: str
 ) -> None:
-    """Raw transcripts, then their clean texts, under the same names."""
-    spark = links.sparkSession
-    write_texts(transcript_texts(links, segments, titles), raw_out)
-    write_texts(clean_texts(spark.read.parquet(raw_out)), clean_out)
+    """Raw transcripts, then their clean texts, under the same names.
+
+    Texts of names that are there already are replaced; all others stay, with their files.
+    """
+    texts = stored(transcript_texts(links, segments, titles), "transcripts")
+    upsert_texts(texts, raw_out)
+    upsert_texts(clean_texts(texts), clean_out)
 
 
 def run_all(
@@ -170,7 +191,66 @@ def run_all(
     """Transcripts, cleaning, blocks and prompts of one channel; responses come later."""
     base = out.rstrip("/")
     run_transcripts(links, segments, titles, f"{base}/raw", f"{base}/clean")
-    texts = links.sparkSession.read.parquet(f"{base}/clean").withColumn(
+    texts = text_table(links.sparkSession, f"{base}/clean").read().withColumn(
         "corpus_key", F.lit(corpus_key)
     )
     return run_prompts(texts, base, max_chars, **prompt_options)
+
+
+CHANNEL_TEXTS = "corpus_key string, file_name string, text string"
+
+
+def channel_texts(spark: SparkSession, path: str) -> KeyedTable:
+    """Texts of many channels on disk, by channel and file name."""
+    return KeyedTable(spark, path, CHANNEL_TEXTS, ["corpus_key", "file_name"])
+
+
+def run_channels(
+    channels: DataFrame,
+    listing: DataFrame,
+    segments: DataFrame,
+    titles: DataFrame,
+    out: str,
+    kind: str = "both",
+    limit: int = 10,
+    max_chars: int = 2000,
+    **prompt_options,
+) -> DataFrame:
+    """From a list of channels to prompts: links, transcripts, clean texts and blocks of all of them.
+
+    ``channels(channel_url)`` as ``texts.channel_lines`` reads it, ``listing(channel, kind, pos, video_id)`` with
+    channels by their handles, ``segments`` and ``titles`` as in ``transcript_texts``. The links
+    of each channel are written in order and read back with their positions, as a later
+    run may start there. A channel is a corpus; of videos with one title in a
+    channel the last link's text stays. Below ``out``: ``links``, ``raw``, ``clean``, ``blocks``.
+    """
+    spark, base = channels.sparkSession, out.rstrip("/")
+    handles = channels.select(channel_handle(F.col("channel_url")).alias("channel")).distinct()
+    chosen = channel_links(listing.join(handles, "channel", "left_semi"), kind, limit)
+    kinds = chosen.withColumn("kind", F.lit(kind)).withColumn("pos", F.struct("channel", "place"))
+    lines = kinds.withColumn("url", F.concat_ws("\t", "channel", "url"))
+    write_links(lines, f"{base}/links", by=("kind",))
+    links = ordered_links(spark, f"{base}/links", "kind string").select(
+        F.split_part("url", F.lit("\t"), F.lit(1)).alias("channel"), "pos", video_id(F.col("url")).alias("video_id")
+    )
+    links = stored(links, "links")
+    wanted = preferred_language(
+        segments.join(links.select("video_id").distinct(), "video_id", "left_semi")
+    )
+    spoken = wanted.select("video_id").distinct()
+    named = links.join(spoken, "video_id", "left_semi").join(titles, "video_id", "left")
+    named = named.select(
+        "channel", "pos", "video_id", clean_title(F.col("title"), F.col("video_id")).alias("title")
+    )
+    last = first_per_key(named, ["channel", "title"], [F.col("pos").desc()])
+    texts = segments_to_text(wanted).join(last.select("channel", "title", "video_id"), "video_id")
+    raw = stored(
+        texts.select(
+            F.col("channel").alias("corpus_key"), F.concat("title", F.lit(".txt")).alias("file_name"), "text"
+        ),
+        "raw",
+    )
+    channel_texts(spark, f"{base}/raw").upsert(raw)
+    clean = channel_texts(spark, f"{base}/clean")
+    clean.upsert(clean_texts(raw))
+    return run_prompts(clean.read(), base, max_chars, **prompt_options)

@@ -102,18 +102,19 @@ def _field(places: tuple[int, ...]) -> Column:
     return choice
 
 
-def feed_rows(raw: DataFrame) -> DataFrame:
-    """The seven fields by position, ``date_utc``, and where the row came from.
-
-    A null becomes ``''`` in every field but ``date``.
-    """
-    fields = [
+def field_columns() -> list[Column]:
+    """The seven fields by position; a null becomes ``''`` in every field but ``date``."""
+    return [
         (_field(places) if name == "date" else F.coalesce(_field(places), F.lit(""))).alias(name)
         for name, places in FIELD_POSITIONS.items()
     ]
+
+
+def feed_rows(raw: DataFrame) -> DataFrame:
+    """The seven fields, ``date_utc``, and where the row came from."""
     return (
         raw.filter(F.col("error").isNull())
-        .select(package_stamp(F.col("path")).alias("slot"), "row_no", *fields)
+        .select(package_stamp(F.col("path")).alias("slot"), "row_no", *field_columns())
         .withColumn("date_utc", parse_stamp(F.col("date")))
     )
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.operators.feed import newest_order
+from newsloom.sources.keyed_table import BUCKETS, KeyedTable
 
 FEED_FORMATS = ("json", "parquet", "csv")
 
@@ -40,6 +41,19 @@ def write_texts(texts: DataFrame, path: str) -> None:
     texts.select("file_name", "text").write.mode("overwrite").parquet(path)
 
 
+TEXT_SCHEMA = "file_name string, text string"
+
+
+def upsert_texts(texts: DataFrame, path: str, buckets: int = BUCKETS) -> list[int]:
+    """Put texts in the place of those with the same name; other files of the table stay as they are.
+    Returns the buckets that changed."""
+    return text_table(texts.sparkSession, path, buckets).upsert(texts.select("file_name", "text"))
+
+
+def text_table(spark: SparkSession, path: str, buckets: int = BUCKETS) -> KeyedTable:
+    return KeyedTable(spark, path, TEXT_SCHEMA, ["file_name"], buckets)
+
+
 def json_documents(table: DataFrame, keys: list[str], document: Column | str) -> DataFrame:
     """``(keys..., json)``; null fields are kept."""
     column = F.col(document) if isinstance(document, str) else document
@@ -57,9 +71,13 @@ def write_json_documents(
 def write_links(
     links: DataFrame, path: str, by: tuple[str, ...] = ("channel", "kind")
 ) -> None:
-    """One link per line, in one folder per channel and kind.
+    """One link per line, in one folder per channel and kind, in the order of ``pos`` where there is one.
 
-    With very many channels give ``by=("kind",)``: files then number with the
+    Tasks hold ranges of (folder, position), so files by name and lines within them give the
+    order, also of a list that is many files long; ``texts.ordered_links`` restores
+    it. With very many channels give ``by=("kind",)``: files then number with the
     data, not with the channels.
     """
+    if "pos" in links.columns:
+        links = links.repartitionByRange(*by, "pos").sortWithinPartitions(*by, "pos")
     links.select(*by, "url").write.mode("overwrite").partitionBy(*by).text(path)

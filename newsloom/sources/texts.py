@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions.cleaning import strip
-from newsloom.operators.responses import BOOK_TYPE
+from newsloom.operators.fusion import FAILED_TYPE
+from newsloom.operators.responses import BOOK_TYPE, NOT_MERGED
 
 
 def _file_name() -> Column:
@@ -32,6 +33,36 @@ def link_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def ordered_links(spark: SparkSession, path: str, by: str = "") -> DataFrame:
+    """``(<by>, pos, url)`` of link lists, ``pos`` from 1 in the order of files and lines; no blank lines.
+
+    ``by`` are the folder columns of ``sinks.write_links``, as a schema. Lines are numbered within
+    each split of a file; only the splits' counts, one short row each, are put in order
+    and summed, so a very long list is never one task.
+    """
+    schema = f"value string, {by}" if by else "value string"
+    names = [f.name for f in spark.createDataFrame([], schema).schema][1:]
+    meta = F.col("_metadata")
+    split = ["_file", "_start"]
+    lines = (
+        spark.read.schema(schema)
+        .text(path)
+        .select(
+            *names,
+            meta["file_name"].alias("_file"),
+            meta["file_block_start"].alias("_start"),
+            strip(F.col("value")).alias("url"),
+        )
+        .where("url <> ''")
+        .withColumn("_line", F.monotonically_increasing_id())
+    )
+    counts = lines.groupBy(*names, *split).agg(F.count("*").alias("_n"), F.min("_line").alias("_first"))
+    before = Window.partitionBy(*names).orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    pos = F.col("_before") + F.col("_line") - F.col("_first") + 1
+    return lines.join(offsets, [*names, *split]).select(*names, pos.alias("pos"), "url")
+
+
 def channel_lines(
     spark: SparkSession, path: str | None, default: Sequence[str] = ()
 ) -> DataFrame:
@@ -48,6 +79,12 @@ def channel_lines(
 
 
 def style_books(spark: SparkSession, path: str) -> DataFrame:
-    """``(corpus_key, book)`` as written by ``sinks.write_json_documents``."""
+    """``(corpus_key, book, error)`` as the style job writes them: a book, or why there is none."""
     rows = spark.read.schema("corpus_key string, json string").parquet(path)
-    return rows.select("corpus_key", F.from_json("json", BOOK_TYPE).alias("book"))
+    failed = F.from_json("json", FAILED_TYPE)
+    is_failed = F.coalesce(failed[NOT_MERGED], F.lit(False))
+    return rows.select(
+        "corpus_key",
+        F.when(~is_failed, F.from_json("json", BOOK_TYPE)).alias("book"),
+        F.when(is_failed, failed).alias("error"),
+    )

@@ -83,6 +83,26 @@ def test_blocks_of_corpora_that_cross_partitions(spark, corpora, limit, partitio
     assert found(corpus.blocks(frame(spark, corpora), limit, partitions=partitions)) == expected
 
 
+def test_files_of_one_name_stand_once_each(spark):
+    texts = [("k", "f", "one"), ("k", "f", "two"), ("k", "g", "last"), ("k", "f", "two"), ("j", "f", "one")]
+    table = spark.createDataFrame(texts, "corpus_key string, file_name string, text string").repartition(3)
+    blocks = {(r.corpus_key, r.text) for r in corpus.blocks(table, 100, partitions=3).collect()}
+    assert blocks in ({("k", a), ("j", "one")} for a in ("one\n\ntwo\n\nlast".replace("\n\n", "\n\n"), "two\n\none\n\nlast"))
+    lines = corpus.corpus_lines(table).where("corpus_key = 'k'").collect()
+    assert sorted(r.text for r in lines) == ["", "", "last", "one", "two"]
+
+
+def test_texts_are_scanned_twice_and_never_by_corpus(spark, corpora, tmp_path):
+    path = str(tmp_path / "texts")
+    frame(spark, corpora).write.parquet(path)
+    table = spark.read.parquet(path)
+    plan = corpus.blocks(table, 30, partitions=4)._jdf.queryExecution().executedPlan().toString()
+    # The narrow table has been written by now: one of two scans is left.
+    assert plan.count(path) == 1
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(corpus_key" in line]
+    assert all("high" in line or "block_no" in line for line in exchanges)
+
+
 def test_cleaning_first(spark):
     texts = {"k": [("1", "0:15 oi\n[risos] tchau"), ("2", " x\n\ny ")]}
     assert found(corpus.blocks(frame(spark, texts), 9, clean_first=True)) == {
@@ -91,12 +111,10 @@ def test_cleaning_first(spark):
 
 
 def test_one_summary_row_per_partition(spark, corpora):
-    parts = corpus.corpus_texts(frame(spark, corpora))
+    files = corpus.file_lines(frame(spark, corpora))
+    kept = corpus._within(files, corpus._ends(files.where("n_lines > 0")))
     lengths = (
-        parts.select(
-            *corpus.KEYS,
-            F.transform(corpus.lines(F.col("text")), lambda t: F.length(t)).alias("line_lengths"),
-        )
+        kept.select(*corpus.KEYS, corpus._line_lengths().alias("line_lengths"))
         .repartitionByRange(9, *corpus.KEYS)
         .sortWithinPartitions(*corpus.KEYS)
         .select(F.spark_partition_id().alias("part"), "*")

@@ -5,9 +5,13 @@ import zipfile
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from newsloom import __main__ as command
+from newsloom.functions.times import within_local_day
+from newsloom.operators.feed import CountedNews, funnel
 from newsloom.plans import jobs
+from newsloom.sources import package_source
 
 AS_OF = datetime(2025, 8, 25, 5, 7, tzinfo=timezone.utc)
 
@@ -58,6 +62,42 @@ def test_feed_job(spark, landing, tmp_path):
     assert [r.slot for r in result.rejects.collect()] == ["20250825043000"]
 
 
+def test_feed_job_opens_a_package_once(spark, landing, tmp_path):
+    table, out = str(tmp_path / "landed"), str(tmp_path / "out")
+    first = jobs.run_feed(spark, landing, out, AS_OF, landed=table)
+    assert (first.funnel.first().rows_read, first.arrivals.first().ok) == (5, 2)
+    folder = tmp_path / "landing"
+    for stamp in ("20250825040000", "20250825041500"):
+        (folder / f"{stamp}.gkg.csv.zip").write_bytes(b"not read again")
+    land(folder, "20250825044500", [("20250825044500", "http://late.pt/", "Brazil", "")])
+    second = jobs.run_feed(spark, landing, out, AS_OF, landed=table)
+    assert sorted(r.url for r in spark.read.parquet(out).collect()) == ["http://a.pt/", "http://b.com/", "http://late.pt/"]
+    assert (second.funnel.first().rows_read, second.arrivals.first().ok) == (6, 3)
+    assert [r.slot for r in second.rejects.collect()] == ["20250825043000"]
+
+
+@pytest.mark.parametrize("brazil, wanted", [(True, {"POR"}), (False, {"POR"}), (True, set()), (True, {"XXX"})])
+def test_funnel_on_the_way_equals_its_own_pass(spark, landing, tmp_path, brazil, wanted):
+    rows = package_source.accepted(package_source.read_rows(package_source.landed_lines(spark, landing)))
+    in_day = within_local_day(F.col("date_utc"), AS_OF, "America/Boa_Vista")
+    counted = CountedNews(rows, in_day, wanted=frozenset(wanted), brazil=brazil)
+    counted.news.write.parquet(str(tmp_path / "news"))
+    assert counted.funnel(spark).collect() == funnel(rows, in_day, frozenset(wanted), brazil).collect()
+
+
+def test_a_corpus_that_failed_keeps_a_record(spark, tmp_path):
+    blocks = spark.createDataFrame([("good", 1, "x"), ("bad", 1, "y"), ("bad", 2, "z")], "corpus_key string, block_no long, text string")
+    answers = spark.createDataFrame(
+        [("good", 1, '{"tom":"a"}'), ("bad", 1, "oops")], "corpus_key string, block_no long, response string"
+    )
+    base = str(tmp_path / "style")
+    books = {r.corpus_key: r for r in jobs.run_style(blocks, answers, base, AS_OF).collect()}
+    assert books["good"].book.tom == "a" and books["good"].error is None
+    assert books["bad"].book is None and books["bad"].error._mensagem == "none of 2 blocks was analysed"
+    assert books["bad"].error.versao == books["good"].book.versao
+    assert [r.corpus_key for r in spark.read.parquet(f"{base}/contexts").collect()] == ["good"]
+
+
 def test_feed_job_with_text_place_and_window(spark, landing, tmp_path):
     pages = spark.createDataFrame(
         [(1, "http://a.pt/", "<html lang='pt'><title>A</title><p>" + "x " * 150)],

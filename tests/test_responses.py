@@ -22,6 +22,24 @@ from newsloom.operators import responses
         ('{"tom":"a"} and more', responses.NOT_JSON, None),
         ("", responses.NOT_JSON, None),
         (None, responses.NO_RESPONSE, None),
+        ('{"tom":"a"}] junk [', responses.NOT_JSON, None),
+        ('{"tom":"a"}],["x"', responses.NOT_JSON, None),
+        ("{'tom':'a'}", responses.NOT_JSON, None),
+        ('{"tom":"a"},"x":2', responses.NOT_JSON, None),
+        ('{"tom":"a"},"_end":1', responses.NOT_JSON, None),
+        ('{"tom":"a"}{"tom":"b"}', responses.NOT_JSON, None),
+        ('{"tom":"a"}}', responses.NOT_JSON, None),
+        ('{"tom":"a",}', responses.NOT_JSON, None),
+        ('{"tom":"]} [{\\" junk"}', None, ']} [{" junk'),
+        ('{"tom":"NaN, Infinity"}', None, "NaN, Infinity"),
+        ('{"tom":1}', None, "1"),
+        ('{"tom":true}', None, "true"),
+        ('{"confianca_global":"0.5"}', responses.NOT_AN_OBJECT, None),
+        ('{"confianca_global":1}', None, None),
+        ('"{}"', responses.NOT_AN_OBJECT, None),
+        ("null", responses.NOT_AN_OBJECT, None),
+        ('{"tom":null}', None, None),
+        (' \n{"tom":"a"}\n ', None, "a"),
     ],
 )
 def test_kinds_of_response(spark, response, kind, tom):
@@ -32,7 +50,7 @@ def test_kinds_of_response(spark, response, kind, tom):
 
 def test_one_response_per_block(spark):
     blocks = spark.createDataFrame([("c", 0), ("c", 1)], "corpus_key string, block_no int")
-    given = [("c", 0, '{"tom":"a"}'), ("c", 0, "zzz"), ("c", 0, None), ("c", 0, '{"tom":"a"}')]
+    given = [("c", 0, '{"tom":"a"}'), ("c", 0, '{"tom":"b"} and more'), ("c", 0, "zzz"), ("c", 0, None), ("c", 0, '{"tom":"a"}')]
     table = spark.createDataFrame(given, "corpus_key string, block_no int, response string")
     found = sorted(responses.analyses(blocks, table).collect(), key=lambda r: r.block_no)
     assert [r.analysis and r.analysis.tom for r in found] == ["a", None]

@@ -1,12 +1,14 @@
 """Streams against batch on the same packages."""
 
 import io
+import random
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from newsloom.operators.feed import one_per_url
+from newsloom.sources import package_source
 from newsloom.sources.packages import feed_rows, package_files, read_packages
 from newsloom.streaming import feed_stream
 
@@ -106,3 +108,66 @@ def test_news_are_appended_by_day(spark, landing, tmp_path):
     assert found == [
         ("2025-08-25", "http://a.pt/"), ("2025-08-25", "http://c.br/"), ("2025-08-26", "http://d.br/")
     ]
+
+
+def news(spark, landing, tmp_path, name, **more):
+    """A run of the stream job; returns what it has written so far, and the ingest's tables."""
+    state = str(tmp_path / f"{name}-state")
+    feed_stream.run_news(spark, str(landing), str(tmp_path / name), state, **more)
+    out = tmp_path / name
+    written = spark.read.parquet(str(out)).collect() if list(out.rglob("*.parquet")) else []
+    return written, feed_stream.Ingest(spark, str(landing), f"{state}-packages")
+
+
+def test_least_rows_over_shuffled_drops_equal_the_batch(spark, landing, tmp_path):
+    draw = random.Random(12)
+    stamps = [f"202508{d:02d}{h:02d}0000" for d in (1, 2, 3) for h in range(0, 24, 3)]
+    drops = [stamps[:9], stamps[9:16], stamps[16:]]
+    # Within the delay packages come in any order, also in another drop than their neighbours'.
+    drops[0][8], drops[1][0] = drops[1][0], drops[0][8]
+    for drop in drops:
+        for stamp in draw.sample(drop, len(drop)):
+            package(landing, stamp, [f"http://{draw.choice('abcdef')}.pt/" for _ in range(3)])
+        news(spark, landing, tmp_path, "least", least=True, delay="2 days")
+    package(landing, "20250820000000", ["http://closing.pt/"])
+    package(landing, "20250827000000", ["http://closing.pt/"])
+    news(spark, landing, tmp_path, "least", least=True, delay="2 days")
+    package(landing, "20250901000000", ["http://end.pt/"])
+    found, ingest = news(spark, landing, tmp_path, "least", least=True, delay="2 days")
+    batch = one_per_url(feed_rows(read_packages(package_files(spark, str(landing)))))
+    expected = {(r.url, r.slot, r.row_no) for r in batch.collect() if "closing" not in r.url and "end" not in r.url}
+    assert {(r.url, r.slot, r.row_no) for r in found if "closing" not in r.url} == expected
+    assert len([r for r in found if "closing" not in r.url]) == len(expected) == 6
+    assert ingest.of_kind("late").count() == 0
+
+
+def test_everything_that_lands_is_kept(spark, landing, tmp_path):
+    package(landing, "20250825100000", ["http://a.pt/"])
+    (landing / "20250825103000.gkg.csv.zip").write_bytes(b"broken")
+    news(spark, landing, tmp_path, "all")
+    package(landing, "20250801000000", ["http://late.pt/", "http://a.pt/"])
+    body = io.BytesIO()
+    with zipfile.ZipFile(body, "w") as archive:
+        short = ["", "no date", "", "s", "http://undated.pt/"] + [""] * 3
+        archive.writestr("x.csv", "\n".join("\t".join(x) for x in (short, short + ["more"])))
+    (landing / "20250825104500.gkg.csv.zip").write_bytes(body.getvalue())
+    _, ingest = news(spark, landing, tmp_path, "all")
+    kinds = {k: [(r.slot, r.url) for r in ingest.of_kind(k).orderBy("row_no").collect()] for k in ("late", "undated", "line", "row")}
+    assert kinds == {
+        "late": [("20250801000000", "http://late.pt/"), ("20250801000000", "http://a.pt/")],
+        "undated": [("20250825104500", "http://undated.pt/")],
+        "line": [("20250825104500", "http://undated.pt/")],
+        "row": [("20250825100000", "http://a.pt/")],
+    }
+    assert [(r.slot, r.error.split(":")[0]) for r in ingest.of_kind("package").collect()] == [("20250825103000", "BadZipFile")]
+    assert ingest.of_kind("line").first().line.endswith("more")
+
+
+def test_a_batch_done_again_takes_the_place_of_its_first_try(spark, landing, tmp_path):
+    package(landing, "20250825100000", ["a", "b"])
+    ingest = feed_stream.Ingest(spark, str(landing), str(tmp_path / "p"))
+    ingest.run()
+    batch = package_source.lines_of_files(package_files(spark, str(landing)))
+    ingest._write(batch, 0)
+    assert ingest.of_kind("row").count() == 2
+    assert spark.read.parquet(ingest.clock).count() == 1

@@ -100,8 +100,11 @@ def analysed(spark):
 
 
 def test_style_book(analysed):
-    books = {r.corpus_key: r.book for r in fusion.style_books(analysed, AS_OF).collect()}
-    assert set(books) == {"k", "w"}
+    rows = {r.corpus_key: r for r in fusion.style_books(analysed, AS_OF).collect()}
+    # A corpus whose blocks all failed has a record of that, and no book.
+    assert set(rows) == {"k", "w", "z"} and rows["z"].book is None and rows["z"].error._erro_fusao
+    assert rows["k"].error is None
+    books = {key: row.book for key, row in rows.items()}
     book = books["k"]
     assert (book.tom, book.humor, book.ritmo, book.ritmo_comico) == ("irônico", "ácido", "rápido", "misto")
     assert book.pontuacoes_enfase.asDict() == {"caixa_alta": "alta", "pausas_elongadas": "media"}
