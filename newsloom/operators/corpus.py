@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.fixed_values import BLOCK_CHARS
-from newsloom.functions.cleaning import clean_text, lines, strip, strip_left, strip_right
+from newsloom.functions.cleaning import LINE_BREAK, clean_text, lines, strip, strip_left, strip_right
 from newsloom.operators.transcripts import clean_texts
 from newsloom.session import shared_dir, stored
 
@@ -107,24 +107,34 @@ def file_lines(texts: DataFrame, clean_first: bool = False) -> DataFrame:
     """
     text = F.col("text")
     files = _files(texts, clean_first)
+    n_blank = F.length(text) - F.length(strip_left(text))
+    bare = strip_right(text)
+    # What is in front of the first character and behind the last one: short, and cut at its breaks.
+    lead = F.split(F.concat(F.substring(text, F.lit(1), n_blank), F.lit("x")), LINE_BREAK, -1)
+    tail = F.concat(F.lit("x"), F.substring(text, F.length(bare) + 1, F.length(text)), F.lit("\n\n"))
+    tail = F.split(tail, LINE_BREAK, -1)
+    ends = F.struct(
+        F.transform(lines(F.concat(text, F.lit("\n\n"))), lambda t: F.length(t)).alias("lengths"),
+        (F.size(lead) - 1).alias("blank_lines"),
+        (F.length(F.element_at(lead, -1)) - 1).alias("blank_chars"),
+        # Breaks behind the last character, and blanks before the first of them.
+        (F.size(tail) - 1).alias("breaks"),
+        (F.length(F.get(tail, F.lit(0))) - 1).alias("tail_chars"),
+        (bare == "").alias("blank"),
+    )
 
-    def narrow(every: Column, bare: Column) -> Column:
-        own = F.transform(every, lambda t: F.length(strip_left(t)))
-        lead = F.array_position(F.transform(own, lambda n: n > 0), True) - 1
-        first = F.get(every, lead.cast("int"))
+    def narrow(e: Column) -> Column:
+        n_lines = F.when(e["blank"], 0).otherwise(F.size(e["lengths"]) - e["breaks"] + 1)
         return F.struct(
-            F.transform(every, lambda t: F.length(t)).alias("lengths"),
-            lead.cast("int").alias("blank_lines"),
-            (F.length(first) - F.length(strip_left(first))).alias("blank_chars"),
-            F.size(bare).alias("n_lines"),
-            F.length(F.get(bare, F.size(bare) - 1)).alias("last_chars"),
+            e["lengths"].alias("lengths"),
+            e["blank_lines"].alias("blank_lines"),
+            e["blank_chars"].alias("blank_chars"),
+            n_lines.alias("n_lines"),
+            (F.get(e["lengths"], n_lines - 1) - e["tail_chars"]).alias("last_chars"),
         )
 
-    both = F.struct(
-        lines(F.concat(text, F.lit("\n\n"))).alias("every"), lines(strip_right(text)).alias("bare")
-    )
     # In a lambda, so that a text is split once for all five.
-    one = F.get(F.transform(F.array(both), lambda b: narrow(b["every"], b["bare"])), F.lit(0))
+    one = F.get(F.transform(F.array(ends), narrow), F.lit(0))
     return files.select(*KEYS, one.alias("_file")).select(*KEYS, "_file.*").dropDuplicates(KEYS)
 
 

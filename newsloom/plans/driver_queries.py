@@ -739,8 +739,19 @@ def recurrent_phrases(spark, sf_dir):
 FILES_PER_TASK = 8
 
 
+#: Folders of landed packages by session and tables: packages land once, queries read them.
+LANDED: dict[tuple[str, str], str] = {}
+
+
+def _landing(spark, sf_dir) -> str:
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in LANDED:
+        LANDED[at] = landed_packages(spark, sf_dir, scratch_path(spark, "landing"))
+    return LANDED[at]
+
+
 def _landed_rows(spark, sf_dir):
-    folder = landed_packages(spark, sf_dir, scratch_path(spark, "landing"))
+    folder = _landing(spark, sf_dir)
     return package_source.read_rows(package_source.landed_lines(spark, folder, FILES_PER_TASK))
 
 
@@ -762,7 +773,7 @@ def package_line_rejects(spark, sf_dir):
 
 def _landed_in_two_runs(spark, sf_dir):
     """Packages up to noon first, then all: the second run opens the rest only."""
-    folder = landed_packages(spark, sf_dir, scratch_path(spark, "landing"))
+    folder = _landing(spark, sf_dir)
     base = scratch_path(spark, "landed")
     every = [package_source.slot_of(p) for p in package_source.listed(folder)]
     landing.land(spark, folder, base, [s for s in every if s[8:10] < "12"], FILES_PER_TASK)
