@@ -21,8 +21,16 @@ from pyspark.sql import functions as F
 from newsloom.llm.chunks import cut, spelled
 from newsloom.llm.common import Remembered, texts, worker_memo
 
-#: Encoded parts that a worker remembers, twice.
+#: Encoded parts that a worker remembers, twice, and pairs of tokens it remembers.
 REMEMBERED = 200_000
+PAIRS = 300_000
+
+
+def vocabulary(rank_file: str) -> list[tuple[bytes, int]]:
+    """The entries of a rank file and their ids."""
+    with open(rank_file, "rb") as lines:
+        pairs = [line.split() for line in lines if line.strip()]
+    return [(base64.b64decode(a), int(b)) for a, b in pairs]
 
 
 class Bpe:
@@ -30,10 +38,7 @@ class Bpe:
         import ahocorasick
         import regex
 
-        with open(rank_file, "rb") as lines:
-            pairs = [line.split() for line in lines if line.strip()]
-        self.ranks = {base64.b64decode(a).decode("latin-1"): int(b) for a, b in pairs}
-        self.bytes_of = {i: s.encode("latin-1") for s, i in self.ranks.items()}
+        self.ranks = {entry.decode("latin-1"): i for entry, i in vocabulary(rank_file)}
         # The pattern's white space is Unicode's; the module's \s has more.
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         self.automaton = ahocorasick.Automaton()
@@ -61,7 +66,7 @@ class Bpe:
     def compatible(self, a: int, b: int) -> bool:
         known = self.fits.get((a, b))
         if known is None:
-            if len(self.fits) > 4 * REMEMBERED:
+            if len(self.fits) > PAIRS:
                 self.fits.clear()
             known = self.fits[a, b] = self._unmerged(a, b)
         return known
@@ -139,6 +144,19 @@ def loaded(rank_file: str, pattern: str) -> Bpe:
     return worker_memo(("bpe", rank_file, pattern), lambda: Bpe(rank_file, pattern))
 
 
+def entries(rank_file: str) -> list[bytes]:
+    """The bytes of each id: all that decoding needs."""
+
+    def build() -> list[bytes]:
+        pairs = vocabulary(rank_file)
+        found = [b""] * (max(i for _, i in pairs) + 1)
+        for entry, i in pairs:
+            found[i] = entry
+        return found
+
+    return worker_memo(("bpe entries", rank_file), build)
+
+
 def encode(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     """(doc_id, text) -> (doc_id, ids): the ids as little-endian 32-bit integers.
 
@@ -166,7 +184,7 @@ def decode(rows: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        bytes_of = loaded(rank_file, pattern).bytes_of
+        bytes_of = entries(rank_file)
         for batch in batches:
             found = [
                 b"".join(map(bytes_of.__getitem__, np.frombuffer(v or b"", "<u4").tolist()))
@@ -191,10 +209,8 @@ def round_trip(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
 
         import numpy as np
 
-        bpe = loaded(rank_file, pattern)
-        size = max(bpe.bytes_of) + 1
-        words = list(map(str, range(size)))
-        bytes_of = [bpe.bytes_of.get(i, b"") for i in range(size)]
+        bytes_of = entries(rank_file)
+        words = list(map(str, range(len(bytes_of))))
         for batch in batches:
             counts, hashes, back = [], [], []
             for v in batch.column("ids").to_pylist():
