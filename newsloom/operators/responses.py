@@ -85,6 +85,11 @@ def _error(kind: Column, message: Column, sample: Column) -> Column:
 STRICT = {"allowSingleQuotes": "false"}
 
 
+def _is_one_value(text: Column) -> Column:
+    """In a list with one more element a text that is JSON at all makes one element."""
+    return F.size(F.from_json(F.concat(F.lit("["), text, F.lit(',"E"]')), "array<string>", STRICT)) == 2
+
+
 def is_json(text: Column) -> Column:
     """One whole JSON value and nothing after it.
 
@@ -92,8 +97,7 @@ def is_json(text: Column) -> Column:
     when the value is complete, and once inside a list, where it has to be one element.
     """
     whole = F.from_json(F.concat(F.lit('{"v":'), text, F.lit(',"_end":1}')), "_end int", STRICT)
-    alone = F.from_json(F.concat(F.lit("["), text, F.lit(',"E"]')), "array<string>", STRICT)
-    return F.coalesce((whole["_end"] == 1) & (F.size(alone) == 2), F.lit(False))
+    return F.coalesce((whole["_end"] == 1) & _is_one_value(text), F.lit(False))
 
 
 def parsed(responses: DataFrame, schema: str = ANALYSIS_TYPE) -> DataFrame:
@@ -108,32 +112,36 @@ def parsed(responses: DataFrame, schema: str = ANALYSIS_TYPE) -> DataFrame:
     body = strip_fences(payload)
     is_object = F.startswith(strip(body), F.lit("{"))
     nothing = F.lit(None).cast("string")
-    marked = F.from_json(
-        body, f"{schema.rstrip()[:-1]},_bad:string>", {**STRICT, "columnNameOfCorruptRecord": "_bad"}
+    # The body stands in an object with a field behind it: reached only if the body is whole.
+    around = F.concat(F.lit('{"v":'), body, F.lit(',"_end":1}'))
+    options = {**STRICT, "columnNameOfCorruptRecord": "_bad"}
+    held = F.from_json(around, f"v {schema}, _end int, _bad string", options)
+    is_good = (
+        is_object
+        & (F.col("_held._end") == 1)
+        & F.col("_held._bad").isNull()
+        & _is_one_value(body)
     )
     form = F.substring(body, 1, fixed.FORMAT_SAMPLE_CHARS)
+    # What is wrong is looked into only where something is.
     error = (
         F.when(payload.isNull(), _error(F.lit(NO_RESPONSE), F.lit("no response"), nothing))
+        .when(F.col("_good"), None)
         .when(
-            ~F.col("_is_json"),
+            ~is_json(body),
             _error(
                 F.lit(NOT_JSON), nothing, F.substring(payload, 1, fixed.PARSE_SAMPLE_CHARS)
             ),
         )
         .when(~is_object, _error(F.lit(NOT_AN_OBJECT), nothing, form))
-        .when(
-            F.col("_parsed._bad").isNotNull(),
-            _error(F.lit(NOT_AN_OBJECT), F.lit("a field has another type"), form),
-        )
+        .otherwise(_error(F.lit(NOT_AN_OBJECT), F.lit("a field has another type"), form))
     )
     return (
-        responses.withColumn("_is_json", is_json(body))
-        .withColumn("_parsed", marked)
+        responses.withColumn("_held", held)
+        .withColumn("_good", F.coalesce(is_good, F.lit(False)))
         .withColumn("error", error)
-        .withColumn(
-            "analysis", F.when(F.col("error").isNull(), F.col("_parsed").dropFields("_bad"))
-        )
-        .drop("_is_json", "_parsed")
+        .withColumn("analysis", F.when(F.col("_good"), F.col("_held.v")))
+        .drop("_held", "_good")
     )
 
 

@@ -699,15 +699,13 @@ def lexical_books(spark, sf_dir):
     )
     analysed = lexical.lexical_analyses(turns, markers=("the", "de", "la", "und", "que"))
     items = fusion.ranked_items(stored(analysed, "lexical"))
-    return items.filter(F.col("list") == "marcadores_discurso").select(
-        "corpus_key", "place", "key", "recurrence"
-    )
+    return items.select("corpus_key", "list", "place", "key", "recurrence")
 
 
 @query
 def catchphrases(spark, sf_dir):
-    """Runs of two to four words in ten or more texts that are part of no longer one in the same texts."""
-    return lexical.catchphrases(document_texts(spark, sf_dir), 10, 4, 50)
+    """Runs of two to four words in three or more texts that are part of no longer one in the same texts."""
+    return lexical.catchphrases(document_texts(spark, sf_dir), 3, 4, 50)
 
 
 @query
@@ -811,26 +809,33 @@ def package_rejects(spark, sf_dir):
     return rejects.select("slot", F.split_part("error", F.lit(":"), F.lit(1)).alias("error"))
 
 
+FEED_TEXTS = ["url", "source", "themes", "locations", "tone", "translation", "date_local_iso", "date_utc_iso"]
+
+
 def _feed_sink(fmt: str) -> Query:
+    """All columns of the feed; a theme holds quotes, commas and line breaks."""
+
     def run(spark, sf_dir):
-        news = feed.with_dates(feed.one_per_url(event_feed(spark, sf_dir)), ZONE)
+        odd = F.concat(F.lit('"a", '), "themes", F.lit(';\n"b\\"'))
+        rows = feed.one_per_url(event_feed(spark, sf_dir).withColumn("themes", odd))
+        news = feed.with_dates(rows, ZONE).drop("date", "date_local")
         path = scratch_path(spark, f"feed-{fmt}")
-        columns = ["url", "source", "date_utc", "date_local_iso", "local_day"]
-        sinks.write_feed(news.select(*columns), path, fmt)
+        sinks.write_feed(news, path, fmt)
         moment = "bigint" if fmt == "json" else "timestamp"
-        schema = f"url string, source string, date_utc {moment}, date_local_iso string"
+        kinds = {"row_no": "bigint", "date_utc": moment}
+        schema = ", ".join(f"{n} {kinds.get(n, 'string')}" for n in news.columns if n != "local_day")
         back = (
             spark.read.schema(schema + ", local_day date")
-            .option("header", "true")
+            .options(**({"header": "true", "multiLine": "true", "escape": '"'} if fmt == "csv" else {}))
             .format(fmt)
             .load(path)
         )
         at = F.col("date_utc") if fmt == "json" else F.unix_millis("date_utc")
         return back.select(
-            F.coalesce("url", F.lit("")).alias("url"),
-            "source",
+            "slot",
+            "row_no",
+            *[F.coalesce(name, F.lit("")).alias(name) for name in FEED_TEXTS],
             at.alias("millis"),
-            "date_local_iso",
             _day_text(),
         )
 
@@ -895,7 +900,9 @@ def style_book_sink(spark, sf_dir):
     books = fusion.style_books(document_analyses_full(spark, sf_dir), AS_OF)
     sinks.write_json_documents(books, ["corpus_key"], "book", path)
     back = texts.style_books(spark, path)
-    return back.select("corpus_key", "book.tom", "book.humor", "book.confianca_global")
+    names = ["tom", "humor", "ritmo", "ritmo_comico", "observacoes", "confianca_global"]
+    emphasis = [f"book.pontuacoes_enfase.{name}" for name in responses.EMPHASIS]
+    return back.select("corpus_key", *[f"book.{name}" for name in names], *emphasis)
 
 
 def document_analyses_full(spark, sf_dir):
@@ -1028,4 +1035,4 @@ def prompt_defaults(spark, sf_dir):
         F.col("conv_id").alias("corpus_key"), F.col("turn").alias("block_no"), "text"
     )
     filled = responses.prompts(turns, prompt_functions.ANALYSIS_TEMPLATE)
-    return filled.select("corpus_key", "block_no", F.length("prompt").alias("n_chars"))
+    return filled.select("corpus_key", "block_no", F.md5("prompt").alias("digest"))

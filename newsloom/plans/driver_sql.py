@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from newsloom import fixed_values as fixed
 from newsloom.functions.prompts import ANALYSIS_TEMPLATE
-from newsloom.operators import fusion
+from newsloom.operators import fusion, lexical
 from newsloom.plans import driver_inputs as inputs
 from newsloom.plans import driver_queries as q
 
@@ -368,14 +368,12 @@ SELECT conv_id AS corpus_key, turn AS block_no,
        'Idioma pt-BR, até 15 itens, sem nota.' || chr(10) || 'Trecho $ 15:' || chr(10) || text
        || chr(10) || 'Fim ${outro}' AS prompt
 FROM conversations"""
-DEFAULT_PROMPT = (
-    ANALYSIS_TEMPLATE.replace("{{idioma|pt-BR}}", "pt-BR")
-    .replace("{{max_itens|10}}", "25")
-    .replace("{{trecho}}", "")
+BEFORE, AFTER = (
+    ANALYSIS_TEMPLATE.replace("{{idioma|pt-BR}}", "pt-BR").replace("{{max_itens|10}}", "25").split("{{trecho}}")
 )
 SQL["prompt_defaults"] = f"""
 SELECT conv_id AS corpus_key, turn AS block_no,
-       CAST(length(text) + {len(DEFAULT_PROMPT)} AS INTEGER) AS n_chars FROM conversations"""
+       md5({quoted(BEFORE)} || text || {quoted(AFTER)}) AS digest FROM conversations"""
 SQL["responses_parsed"] = """
 SELECT event_id,
        CASE WHEN event_type IN ('view', 'click')
@@ -516,7 +514,7 @@ SELECT corpus_key, partials, {', '.join(f'{f}_1 AS {f}' for f in FIELDS)},
               '') AS observacoes, confianca_global
 FROM totals JOIN wide USING (corpus_key)"""
 SQL["fuse_scalars"] = FUSED
-SQL["style_book_sink"] = f"SELECT corpus_key, tom, humor, confianca_global FROM ({FUSED})"
+SQL["style_book_sink"] = f"SELECT * EXCLUDE (partials) FROM ({FUSED})"
 
 
 def times(mark: str) -> str:
@@ -572,19 +570,23 @@ SELECT doc_id, CAST(len(words) AS INTEGER) AS n_words,
             WHEN pauses / greatest(len(words), 1) < 0.05 THEN 'media' ELSE 'alta' END AS pauses
 FROM (SELECT doc_id, {WORDS} AS words, len(regexp_extract_all(text, '{LONG_PAUSE}')) AS pauses
       FROM documents)"""
+SPOKEN = ", ".join(quoted(w) for w in lexical.INTERJECTIONS)
 SQL["lexical_books"] = rf"""
 WITH said AS (
   SELECT role AS corpus_key, conv_id * 100 + turn AS block_no, lower(w) AS key, count(*) AS n
-  FROM (SELECT *, {WORDS} AS words FROM conversations), unnest(words) AS u(w)
-  WHERE lower(w) IN ('the', 'de', 'la', 'und', 'que') GROUP BY 1, 2, 3
+  FROM (SELECT *, {WORDS} AS words FROM conversations), unnest(words) AS u(w) GROUP BY 1, 2, 3
+), kinds AS (
+  SELECT *, 'marcadores_discurso' AS list FROM said WHERE key IN ('the', 'de', 'la', 'und', 'que')
+  UNION ALL SELECT *, 'interjeicoes' FROM said WHERE key IN ({SPOKEN})
+  UNION ALL SELECT *, 'temas_recorrentes' FROM said WHERE length(key) >= {lexical.TOPIC_CHARS} AND n > 1
 ), placed AS (
-  SELECT *, row_number() OVER (PARTITION BY corpus_key, block_no ORDER BY n DESC, key) AS pos
-  FROM said
+  SELECT *, row_number() OVER (PARTITION BY corpus_key, block_no, list ORDER BY n DESC, key) AS pos
+  FROM kinds QUALIFY pos <= 25
 )
-SELECT corpus_key, key, count(*) AS recurrence,
-       CAST(row_number() OVER (PARTITION BY corpus_key
+SELECT corpus_key, list, key, count(*) AS recurrence,
+       CAST(row_number() OVER (PARTITION BY corpus_key, list
          ORDER BY count(*) DESC, min((block_no, pos)), key) AS INTEGER) AS place
-FROM placed GROUP BY corpus_key, key"""
+FROM placed GROUP BY corpus_key, list, key QUALIFY place <= 25"""
 
 
 def said_runs(source: str, most: int, least: int) -> str:
@@ -612,7 +614,7 @@ WITH said AS (
 )"""
 
 
-SQL["catchphrases"] = said_runs("(SELECT source AS corpus_key, doc_id AS text_no, text FROM documents)", 4, 10) + """
+SQL["catchphrases"] = said_runs("(SELECT source AS corpus_key, doc_id AS text_no, text FROM documents)", 4, 3) + """
 SELECT corpus_key, phrase, CAST(words AS INTEGER) AS words, texts, place FROM placed WHERE place <= 50"""
 SQL["lexical_catchphrases"] = said_runs(
     "(SELECT role AS corpus_key, conv_id * 100 + turn AS text_no, text FROM conversations)", 3, 3
@@ -693,12 +695,15 @@ SELECT slot, row_no, url, {SECONDS} FROM ({PACKAGE_ROWS}) WHERE NOT ({LONG}) AND
 SQL["package_rejects"] = """
 SELECT '20240101' || lpad(CAST(page_id AS VARCHAR), 6, '0') AS slot, 'BadZipFile' AS error
 FROM pages"""
+ODD = f"""'"a", ' || themes || ';' || chr(10) || '"b' || chr(92) || {MARK}"""
 for fmt in ("json", "parquet", "csv"):
     SQL[f"feed_{fmt}_sink"] = f"""
-SELECT url, source, CAST(epoch_ms(date_utc) AS BIGINT) AS millis,
-       {local_iso('date_utc', ZONE, '-0400')} AS date_local_iso,
+SELECT slot, row_no, url, source, {ODD} AS themes, locations, tone, translation,
+       {local_iso('date_utc', ZONE, '-0400')} AS date_local_iso, {utc_iso('date_utc')} AS date_utc_iso,
+       CAST(epoch_ms(date_utc) AS BIGINT) AS millis,
        strftime({wall('date_utc')}, '%Y-%m-%d') AS local_day
-FROM {one_per_url('true')}"""
+FROM (SELECT f.*, CAST(e.value AS VARCHAR) AS tone
+      FROM {one_per_url('true')} f JOIN events e ON e.event_id = f.row_no)"""
 SQL["text_sink"] = (
     f"SELECT {FILE} || '.txt' AS file_name, {cleaned('text')} AS text FROM documents"
 )

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newsloom.session import read_or_empty
+from newsloom.session import read_or_empty, stored
 from newsloom.sources.package_source import opened_folder
 
 BUCKETS = 64
@@ -63,10 +63,11 @@ class KeyedTable:
         state, versions = self._versions()
         place = Window.partitionBy(*self.keys).orderBy(*(order or [F.struct(*rows.columns)]))
         names = [field.name for field in self.spark.createDataFrame([], self.schema).schema]
-        new = (
+        new = stored(
             rows.withColumn("_place", F.row_number().over(place))
             .where("_place = 1")
-            .select(*names, self._bucket().alias("bucket"))
+            .select(*names, self._bucket().alias("bucket")),
+            "upsert",
         )
         changed = sorted(row.bucket for row in new.select("bucket").distinct().collect())
         if not changed:

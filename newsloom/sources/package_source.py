@@ -218,6 +218,16 @@ class _Writer(ds.DataSourceWriter):
         for message in messages:
             for name in message.names if message else []:
                 system.move(name, posixpath.join(base, posixpath.basename(name)))
+        self.abort(messages)
+
+    def abort(self, messages: list) -> None:
+        """What is left of the run's own folder goes."""
+        from pyarrow import fs
+
+        system, base = opened_folder(self.folder)
+        own = posixpath.join(base, self.run)
+        if system.get_file_info(own).type == fs.FileType.Directory:
+            system.delete_dir(own)
 
 
 class PackageSource(ds.DataSource):

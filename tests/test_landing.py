@@ -90,6 +90,7 @@ def test_written_packages_are_read_back(spark, tmp_path):
     folder = str(tmp_path / "out")
     ordered.write.format(package_source.FORMAT).mode("append").save(folder)
     assert len(package_source.listed(folder)) == 3
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if not p.name.endswith(".zip")) == []
     with zipfile.ZipFile(io.BytesIO((tmp_path / "out" / "20250825100000.gkg.csv.zip").read_bytes())) as archive:
         assert archive.namelist() == ["20250825100000.gkg.csv"]
     found = package_source.accepted(rows(spark, folder)).orderBy("slot", "row_no").collect()
