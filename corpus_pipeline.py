@@ -26,20 +26,20 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: that with the least id.
 
-    Of rows with one id the first by text stays; rows without an id all stay.
+    A document is known by its id and text, so rows that share an id and differ in text are
+    judged each for itself; of equal rows one stays. Rows without an id all stay.
     """
-    kept = (
-        jaccard_join.near_duplicates(docs)
-        .where("doc_id = component_id")
-        .select("doc_id")
-        .distinct()
+    key = F.xxhash64("doc_id", "text")
+    known = docs.where("doc_id IS NOT NULL")
+    classes = jaccard_join.near_duplicates(known.select(key.alias("doc_id"), "text"))
+    members = known.select("doc_id", key.alias("key")).join(
+        classes.select(F.col("doc_id").alias("key"), "component_id").distinct(), "key"
     )
-    least = W.partitionBy("doc_id").orderBy("text")
-    rank = "_row_of_id"
-    while rank in docs.columns:
-        rank += "_"
-    single = docs.join(kept, "doc_id", "left_semi").withColumn(rank, F.row_number().over(least))
-    return single.where(F.col(rank) == 1).select(*docs.columns).union(docs.where("doc_id IS NULL"))
+    kept = members.groupBy("component_id").agg(F.min(F.struct("doc_id", "key"))["key"].alias("key"))
+    rows = known.select(F.struct("*").alias("document"), key.alias("key")).join(kept.select("key"), "key", "left_semi")
+    first = F.row_number().over(W.partitionBy("key").orderBy("key"))
+    single = rows.withColumn("place", first).where("place = 1").select("document.*")
+    return single.union(docs.where("doc_id IS NULL"))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
