@@ -138,3 +138,18 @@ def test_pipeline_stages(spark, tmp_path):
     assert ids["decontamination"] == ids["bpe"] == [1, 4, 5, 6, None]
     four = seen["personal_data"].where(F.col("doc_id") == 4).first()
     assert (four.text, four.n_chars) == ("mail [EMAIL] now", 16)
+
+
+def test_rows_that_share_an_id_are_judged_each_for_itself(spark, tmp_path):
+    import corpus_pipeline as pipeline
+
+    body = " ".join(f"b{k}" for k in range(60))
+    near = body + " x"
+    other, long = " ".join(f"o{k}" for k in range(30)), "w " * 20_000
+    rows = [(7, body), (7, other), (7, other), (3, near), (9, body), (9, None), (9, ""), (4, long), (5, long), (None, body)]
+    docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, place int").repartition(3)
+    found = pipeline.without_copies(spark, docs, str(tmp_path))
+    assert found.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in found.collect()), key=str)
+    assert kept == sorted([(3, near), (7, other), (9, None), (9, ""), (4, long), (None, body)], key=str)
+    assert pipeline.without_copies(spark, docs.limit(0), str(tmp_path)).collect() == []
