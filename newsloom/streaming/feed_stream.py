@@ -149,7 +149,8 @@ def least_arrivals(rows: DataFrame, delay: str = "1 day", key: str = "url") -> D
     """One row per URL in the order of the batch: the least slot and line, not the first to arrive.
 
     A URL is held until ``delay`` has passed since its last row; then its least row is
-    given. Rows further apart count as a new story. It is a session window, so state is one row
+    given. Rows that far apart, or further, count as a new story: Spark also merges sessions that
+    only touch, so the gap is a microsecond short. It is a session window, so state is one row
     per open URL, in the JVM; a hot URL is folded before the shuffle
     (``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition``).
     """
@@ -160,7 +161,7 @@ def least_arrivals(rows: DataFrame, delay: str = "1 day", key: str = "url") -> D
     order = F.struct("slot", "row_no")
     return (
         rows.withWatermark("date_utc", delay)
-        .groupBy(F.session_window("date_utc", delay), key)
+        .groupBy(F.session_window("date_utc", f"{delay} -1 microseconds"), key)
         .agg(F.min_by(F.struct(*others), order).alias("least"))
         .select(key, "least.*")
     )

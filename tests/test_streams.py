@@ -171,3 +171,16 @@ def test_a_batch_done_again_takes_the_place_of_its_first_try(spark, landing, tmp
     ingest._write(batch, 0)
     assert ingest.of_kind("row").count() == 2
     assert spark.read.parquet(ingest.clock).count() == 1
+
+
+def test_rows_exactly_a_delay_apart_are_two_stories(spark, tmp_path):
+    schema = "url string, date_utc timestamp, slot string, row_no long"
+    days = [("a", 1, 0), ("a", 4, 0), ("b", 1, 1), ("b", 4, 0), ("closing", 20, 0)]
+    times = [(url, f"2024-01-{day:02d} 00:00:{second:02d}", f"s{day:02d}") for url, day, second in days]
+    rows = spark.createDataFrame(times, "url string, d string, slot string").selectExpr(
+        "url", "CAST(d AS timestamp) AS date_utc", "slot", "0L AS row_no"
+    )
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    found = run(spark, tmp_path, feed_stream.least_arrivals(stream, "3 days")).collect()
+    assert sorted((r.url, r.slot) for r in found) == [("a", "s01"), ("a", "s04"), ("b", "s01")]
