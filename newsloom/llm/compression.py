@@ -2,7 +2,8 @@
 
 Both learn from a bounded sample of labelled rows, drawn by a hash of the row's
 id: ``SAMPLE`` rows of each class, half for the dictionaries, half for the
-calibration of the score. Every text is then scored whole.
+calibration of the score. Every text is then scored whole. Toxic segments are
+counted by length, each length in a task of its own.
 
 Toxicity. Windows of ``WINDOW`` characters slide over the whole text, ``STEP``
 by ``STEP``, inside words and across them, so each run of up to 13 characters
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom.llm.common import Remembered, texts
+from newsloom.session import stored
 
 #: Labelled rows of each class that are learned from, at most.
 SAMPLE = 4000
@@ -45,7 +47,7 @@ LEAST_TEXTS, TYPICAL = 4, 10
 TABLE_BITS = 18
 #: Bits of the table that tells in training which segments are too rare to count.
 COUNT_BITS = 22
-#: Positions that training sorts at once.
+#: Positions that a task of the training sorts at once.
 COUNTED = 2_500_000
 #: Characters that are hashed at once.
 STRETCH = 1 << 16
@@ -60,8 +62,8 @@ def held_out():
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str) -> list[tuple[str, int, int]]:
-    """(text, label, half) of at most ``SAMPLE`` rows per class; halves by hash."""
+def sampled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, text, label, half) of at most ``SAMPLE`` rows per class; halves by hash."""
     known = (
         labels.where(F.col("doc_id").isNotNull() & ~held_out())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -74,9 +76,14 @@ def sample(docs: DataFrame, labels: DataFrame, label: str) -> list[tuple[str, in
         drawn = some if drawn is None else drawn.union(some)
     # At most 2 * SAMPLE narrow rows.
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(drawn), "doc_id")
-    found = rows.where("text IS NOT NULL").select(
+    return rows.where("text IS NOT NULL").select(
         "doc_id", "text", "label", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).alias("half")
     )
+
+
+def sample(docs: DataFrame, labels: DataFrame, label: str) -> list[tuple[str, int, int]]:
+    """(text, label, half) of the sampled rows, in order."""
+    found = sampled(docs, labels, label)
     return [(r["text"], r["label"], r["half"]) for r in sorted(found.collect(), key=lambda r: (r["doc_id"], r["text"]))]
 
 
@@ -121,15 +128,24 @@ def _folded(text: str) -> str:
     return f" {' '.join(text.lower().split())} "
 
 
-def _hashes(text: str, longest: int = max(SEGMENTS)) -> dict:
+def _needed(*lengths: int) -> frozenset[int]:
+    """These lengths and those that they are put together from."""
+    found = set(lengths)
+    for length in sorted(SEGMENTS, reverse=True):
+        if length in found:
+            found.update(SEGMENTS[length])
+    return frozenset(found)
+
+
+def _hashes(text: str, needed: frozenset[int] = frozenset(SEGMENTS)) -> dict:
     """By length, a 64-bit number for the segment at each position."""
     import numpy as np
 
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
     found = {1: points * np.uint64(0x9E3779B97F4A7C15)}
     for length, (first, second) in SEGMENTS.items():
-        if length > longest:
-            break
+        if length not in needed:
+            continue
         n = max(0, len(points) - length + 1)
         factor = np.uint64(pow(0xD6E8FEB86659FD93, second, 1 << 64))
         found[length] = found[first][:n] * factor + found[second][first : first + n]
@@ -153,32 +169,36 @@ def _slot_counts(documents: list[str], length: int):
     """In how many texts the segments of each slot are."""
     import numpy as np
 
-    counts = np.zeros(1 << COUNT_BITS, np.int32)
+    counts, needed = np.zeros(1 << COUNT_BITS, np.int32), _needed(length)
     for text in documents:
-        counts[_slots(_hashes(text, length)[length], COUNT_BITS)] += 1  # once a text
+        counts[_slots(_hashes(text, needed)[length], COUNT_BITS)] += 1  # once a text
     return counts
 
 
-def _counted(documents: list[str], length: int, wanted):
-    """Segments of one length in wanted slots, by number.
+def _counted(documents: list[str], length: int, wanted, least: int = 1, known=None):
+    """Segments of one length in wanted slots, by number: those in ``least`` texts, and among the known numbers if any.
 
     Their numbers, in how many different contexts and in how many texts of its own each is, a place (text, position).
     """
     import numpy as np
 
     before = 8
+    alone, both = _needed(length), _needed(length, before)
 
     def kept(part: int, parts: int, count: bool) -> Iterator:
         """Of each text the wanted segments with their contexts and places, or how many they are; hashed anew for each part."""
+        least_slot, end_slot = (-(-(p << COUNT_BITS) // parts) for p in (part, part + 1))
         for k, text in enumerate(documents):
             # What stands before the text's first characters is the same for all texts.
-            hashes = _hashes(" " * before + text, length if count else max(before, length))
+            hashes = _hashes(" " * before + text, alone if count else both)
             own = hashes[length][before:]
             slots = _slots(own, COUNT_BITS)
             if count:
                 yield np.count_nonzero(wanted[slots])
                 continue
-            at = np.flatnonzero(wanted[slots] & (slots % parts == part))
+            at = np.flatnonzero(wanted[slots] & (slots >= least_slot) & (slots < end_slot))
+            if known is not None:
+                at = at[known[np.minimum(np.searchsorted(known, own[at]), len(known) - 1)] == own[at]]
             own = own[at]
             yield own, _mixed(own) + hashes[before][at], (k << 32) + at
 
@@ -202,7 +222,9 @@ def _counted(documents: list[str], length: int, wanted):
         starts = np.flatnonzero(fresh)
         texts = fresh | np.r_[True, places[1:] >> 32 != places[:-1] >> 32]
         within = np.add.reduceat(texts.astype(np.int64), starts)
-        done.append((numbers[starts], np.diff(np.r_[starts, len(numbers)]), within, places[starts]))
+        enough = within >= least
+        found = numbers[starts], np.diff(np.r_[starts, len(numbers)]), within, places[starts]
+        done.append(tuple(x[enough] for x in found))
     if not done:
         return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
     numbers, contexts, within, places = map(np.concatenate, zip(*done))
@@ -210,55 +232,101 @@ def _counted(documents: list[str], length: int, wanted):
     return numbers[order], contexts[order], within[order], places[order]
 
 
-def _segments(own: list[str], other: list[str]) -> tuple[list[str], list[str]]:
-    """Segments typical of the first texts, and the most frequent of the others; best first."""
-    import numpy as np
+def _spelled(texts: list[str], place: int, length: int) -> str:
+    at = int(place) & 0xFFFFFFFF
+    return texts[int(place) >> 32][at : at + length]
 
-    own, other = list(map(_folded, own)), list(map(_folded, other))
 
-    def spelled(texts: list[str], place: int, length: int) -> str:
-        at = int(place) & 0xFFFFFFFF
-        return texts[int(place) >> 32][at : at + length]
+def _common(other: list[str]) -> list[tuple[float, str]]:
+    """What is in many texts, by contexts, ranked; the least go first."""
+    import numpy as np
 
-    # What is in many texts, by contexts.
     most = DICTIONARY_BYTES // 3 // 8
     counts = _slot_counts(other, 8)
     _, counts, _, places = _counted(other, 8, counts >= max(1, np.partition(counts, -most)[-most] // 2))
     top = np.argsort(-counts, kind="stable")[:most]
-    common = [spelled(other, places[k], 8) for k in top]
-    ranked: list[tuple[float, str]] = []
+    return [(float(rank), _spelled(other, places[k], 8)) for rank, k in enumerate(top)]
+
+
+def _typical(own: list[str], other: list[str], length: int) -> list[tuple[float, str]]:
+    """Segments of one length that are typical of the first texts, ranked; the least go first."""
+    import numpy as np
+
     a, b = sum(map(len, own)), sum(map(len, other))
-    for length in SEGMENTS:
-        found = _slot_counts(own, length)
-        candidates = np.count_nonzero(found)
-        mine, n, within, places = _counted(own, length, found >= LEAST_TEXTS)
-        mine, n, places = (x[within >= LEAST_TEXTS] for x in (mine, n, places))
-        if not len(mine):
-            continue
-        wanted = np.zeros(1 << COUNT_BITS, bool)
-        wanted[_slots(mine, COUNT_BITS)] = True
-        theirs, counts, _, _ = _counted(other, length, wanted)
-        m = np.zeros(len(mine), np.int64)
-        if len(theirs):
-            at = np.minimum(np.searchsorted(theirs, mine), len(theirs) - 1)
-            m = np.where(theirs[at] == mine, counts[at], 0)
-        rate = ((n + 0.5) / a) / ((m + 0.5) / b)
-        # Twice the logarithm of the likelihood ratio; by chance alone about one segment in all would pass.
-        both = (n + m) / (a + b)
-        ratio = 2 * (n * np.log(n / (a * both)) + m * np.log(np.maximum(m, 1) / (b * both)))
-        # Contexts repeat in texts of few words; so the share of texts counts as well.
-        slots = _slots(mine, COUNT_BITS)
-        spread = found[slots] / len(own) > 2 * _slot_counts(other, length)[slots] / max(1, len(other))
-        for k in np.flatnonzero(spread & (rate > TYPICAL) & (ratio > 2 * np.log(candidates + 1))):
-            ranked.append((-float(ratio[k]), spelled(own, places[k], length)))
-    typical: list[str] = []
-    size = 0
-    for _, segment in sorted(ranked):
-        size += 3 * (len(segment) + 1)
-        if size > DICTIONARY_BYTES:
-            break
-        typical.append(segment)
-    return typical, common
+    found = _slot_counts(own, length)
+    candidates = np.count_nonzero(found)
+    mine, n, _, places = _counted(own, length, found >= LEAST_TEXTS, LEAST_TEXTS)
+    if not len(mine):
+        return []
+    wanted = np.zeros(1 << COUNT_BITS, bool)
+    wanted[_slots(mine, COUNT_BITS)] = True
+    theirs, counts, _, _ = _counted(other, length, wanted, known=mine)
+    m = np.zeros(len(mine), np.int64)
+    m[np.searchsorted(mine, theirs)] = counts
+    rate = ((n + 0.5) / a) / ((m + 0.5) / b)
+    # Twice the logarithm of the likelihood ratio; by chance alone about one segment in all would pass.
+    both = (n + m) / (a + b)
+    ratio = 2 * (n * np.log(n / (a * both)) + m * np.log(np.maximum(m, 1) / (b * both)))
+    # Contexts repeat in texts of few words; so the share of texts counts as well.
+    slots = _slots(mine, COUNT_BITS)
+    spread = found[slots] / len(own) > 2 * _slot_counts(other, length)[slots] / max(1, len(other))
+    passed = np.flatnonzero(spread & (rate > TYPICAL) & (ratio > 2 * np.log(candidates + 1)))
+    # One dictionary holds no more than these.
+    passed = passed[np.argsort(-ratio[passed], kind="stable")][: DICTIONARY_BYTES // (3 * (length + 1)) + 1]
+    return [(-float(ratio[k]), _spelled(own, places[k], length)) for k in passed]
+
+
+#: In place of a length: the frequent segments of ordinary text.
+COMMON = 0
+
+
+def _segments(rows: DataFrame) -> dict[bool, tuple[list[str], list[str]]]:
+    """Of the first half (False) and of all (True): segments typical of toxic text, the most frequent of the rest; best first.
+
+    Each length is a group of its own, of at most the sample's rows; only what a dictionary may hold comes to the driver.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        full, length = table.column("full")[0].as_py(), table.column("length")[0].as_py()
+        texts_of: dict[int, list[str]] = {0: [], 1: []}
+        for row in table.select(["doc_id", "text", "label"]).sort_by([("doc_id", "ascending"), ("text", "ascending")]).to_batches(256):
+            for label, text in zip(row.column("label").to_pylist(), row.column("text").to_pylist()):
+                texts_of[label].append(_folded(text))
+        found = _common(texts_of[0]) if length == COMMON else _typical(texts_of[1], texts_of[0], length)
+        return pa.table(
+            {
+                "full": pa.array([full] * len(found), pa.bool_()),
+                "length": pa.array([length] * len(found), pa.int32()),
+                "rank": pa.array([r for r, _ in found], pa.float64()),
+                "segment": pa.array([x.encode("utf-8", "surrogatepass") for _, x in found], pa.binary()),
+            }
+        )
+
+    parts = F.when(F.col("half") == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(True)))
+    lengths = F.array(*(F.lit(x) for x in (COMMON, *SEGMENTS)))
+    dealt = rows.select("doc_id", "text", "label", F.explode(parts).alias("full")).select(
+        "*", F.explode(lengths).alias("length")
+    )
+    found = (
+        dealt.where((F.col("length") != COMMON) | (F.col("label") == 0))
+        .groupBy("full", "length")
+        .applyInArrow(run, "full boolean, length int, rank double, segment binary")
+    )
+    ranked: dict[tuple[bool, bool], list[tuple[float, str]]] = {}
+    for r in found.collect():
+        segment = bytes(r["segment"]).decode("utf-8", "surrogatepass")
+        ranked.setdefault((r["full"], r["length"] == COMMON), []).append((r["rank"], segment))
+    chosen = {}
+    for full in (False, True):
+        typical: list[str] = []
+        size = 0
+        for _, segment in sorted(ranked.get((full, False), [])):
+            size += 3 * (len(segment) + 1)
+            if size > DICTIONARY_BYTES:
+                break
+            typical.append(segment)
+        chosen[full] = typical, [segment for _, segment in sorted(ranked.get((full, True), []))]
+    return chosen
 
 
 class Windows:
@@ -336,21 +404,39 @@ class Windows:
         return found
 
 
+def _measured(rows: DataFrame, typical: list[str], common: list[str]) -> tuple[list, list]:
+    """Features and labels of the rows, in order; the texts stay with the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        measure = Windows(typical, common).features
+        for batch in batches:
+            found = [[float(x) for x in measure(t)] for t in texts(batch, "text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("label"), pa.array(found, pa.list_(pa.float64()))],
+                ["doc_id", "label", "features"],
+            )
+
+    # Long texts are dealt out, as the sample may be a file or two.
+    dealt = rows.select("doc_id", "text", "label").repartition(2 * rows.sparkSession.sparkContext.defaultParallelism, "doc_id", "text")
+    found = dealt.mapInArrow(run, "doc_id long, label int, features array<double>").collect()
+    found.sort(key=lambda r: (r["label"], r["doc_id"], r["features"]))
+    return [r["features"] for r in found], [r["label"] for r in found]
+
+
 def train_toxicity(docs: DataFrame, labels: DataFrame) -> dict:
-    """Dictionaries and calibration; without labels of both classes all scores are the prior."""
-    rows = sample(docs, labels, "toxic")
-    parts = {(y, h): [t for t, label, half in rows if (label, half) == (y, h)] for y in (0, 1) for h in (0, 1)}
+    """Dictionaries and calibration; without labels of both classes all scores are the prior.
+
+    Texts stay with the tasks: segments, and numbers of windows by gain, come to the driver.
+    """
+    rows = stored(sampled(docs, labels, "toxic"), "sample")
     share = prior(labels, "toxic")
-    if not all(parts.values()):
+    if rows.select("label", "half").distinct().count() < 4:
         return {"typical": [], "common": [], "share": share, "fit": None}
-    typical, common = _segments(parts[1, 0], parts[0, 0])
-    measure = Windows(typical, common).features
-    x = [measure(t) for y in (0, 1) for t in parts[y, 1]]
-    y = [y for y in (0, 1) for _ in parts[y, 1]]
-    fit = logistic(x, y, share, 1e-5)
-    # Calibrated on texts that the dictionaries did not see, which then hold the segments of all.
-    typical, common = _segments(*(parts[y, 0] + parts[y, 1] for y in (1, 0)))
-    return {"typical": typical, "common": common, "share": share, "fit": fit}
+    segments = _segments(rows)
+    # Calibrated on texts that the first dictionaries did not see; those of the model hold the segments of all.
+    x, y = _measured(rows.where("half = 1"), *segments[False])
+    typical, common = segments[True]
+    return {"typical": typical, "common": common, "share": share, "fit": logistic(x, y, share, 1e-5)}
 
 
 class Sizes:

@@ -389,3 +389,27 @@ def test_closing_tags_of_deep_elements():
     assert wrappers.main_text(deep, [("div", "article")]) == "inner\nrest"
     items = f"<article>{'<div>' * 160}<ul><li>a<li>b</ul><p>c<p>d{'</div>' * 160}<p>rest</article>"
     assert wrappers.main_text(items, [("article",)]) == "a\nb\nc\nd\nrest"
+
+
+def test_training_keeps_texts_with_the_tasks(spark, monkeypatch):
+    rows = [(k, f"word{k % 7} and {'some vile slur' if k % 4 == 0 else 'an ordinary thing'} no {k}") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(400)], "doc_id long, toxic int")
+    monkeypatch.setattr(compression, "sample", lambda *_: pytest.fail("texts in the driver"))
+    model = compression.train_toxicity(docs, labels)
+    assert any("vile" in segment for segment in model["typical"]) and model["fit"] is not None
+    found = compression.toxicity(docs, model, ["doc_id"]).collect()
+    assert {r.doc_id for r in found if r.predicted} == {k for k in range(400) if k % 4 == 0}
+
+
+def test_counted_segments_are_those_asked_for():
+    import numpy as np
+
+    documents = [" abab cd ", " abab ce ", " xyab cd "]
+    every = np.ones(1 << compression.COUNT_BITS, bool)
+    numbers, contexts, within, _ = compression._counted(documents, 2, every)
+    twice, *_ = compression._counted(documents, 2, every, 2)
+    assert twice.tolist() == numbers[within >= 2].tolist()
+    some = numbers[::3]
+    again, counts, _, _ = compression._counted(documents, 2, every, known=some)
+    assert again.tolist() == some.tolist() and counts.tolist() == contexts[::3].tolist()
