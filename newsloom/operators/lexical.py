@@ -6,8 +6,8 @@ Merging, ranking and the context then run on it unchanged.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
+from pyspark.ml.feature import NGram
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +21,8 @@ MARKERS = ("aí", "bom", "cara", "então", "né", "porque", "sim", "só", "tipo"
 INTERJECTIONS = ("ah", "eita", "nossa", "oh", "opa", "ué", "uau")
 LEVELS = (0.01, 0.05)
 TOPIC_CHARS = 6
+# Characters by which texts are put in order before their runs are counted.
+ORDER_CHARS = 40
 BLOCK = ["corpus_key", "block_no"]
 LONG_PAUSE = r"(?U)…|\.{3,}|(\p{L})\1{2,}"
 
@@ -74,8 +76,26 @@ def _counted(blocks: DataFrame, markers, interjections, max_items: int) -> DataF
     )
 
 
-def _phrases(said: Column, starts: Column, size: int) -> Column:
-    return F.transform(starts, lambda at: F.array_join(F.slice(said, at, size), " "))
+def _with_runs(rows: DataFrame, said: str, size: int, name: str) -> DataFrame:
+    """The runs of ``size`` words of a row's list of words, in their order; words stand a blank apart."""
+    return NGram(n=size, inputCol=said, outputCol=name).transform(rows)
+
+
+def _spoken(texts: DataFrame) -> DataFrame:
+    """``(corpus_key, said)``: the words of each text in lower case.
+
+    Texts are put in order by corpus and text, so that texts of one corpus, and copies, are in one
+    task, where counts of their runs fold before the shuffle. The start of a text will do for that; of many
+    texts that begin alike some go to the next task.
+    """
+    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.substring("text", 1, ORDER_CHARS), F.xxhash64("text"), F.monotonically_increasing_id()]
+    return (
+        texts.where(F.col("text").isNotNull())
+        .select("corpus_key", "text", F.struct(*order).alias("place"))
+        .repartitionByRange(n, "corpus_key", "place")
+        .select("corpus_key", words(F.lower(F.col("text"))).alias("said"))
+    )
 
 
 def catchphrases(
@@ -87,52 +107,24 @@ def catchphrases(
     """``(corpus_key, phrase, words, texts, place)``: runs of two to ``max_words`` words that recur
     in a corpus and are part of no longer one in the same texts.
 
-    Level by level: a run of n + 1 words is only counted where both its runs of n words
-    recur, so levels shrink quickly. A text gives each run once, counts are folded before
-    the shuffle. A longer run is in some of the texts of its parts; when the counts
-    agree they are the same texts, and the part goes. Words are compared in lower
-    case. The most frequent come first, longer ones before shorter.
+    All lengths are counted in one pass and one shuffle: a text gives each run once, and counts are
+    folded before the shuffle. A longer run is in some of the texts
+    of its parts; when the counts agree they are the same texts, and the part goes. Words are compared
+    in lower case. The most frequent come first, longer ones before shorter.
     """
-    spoken = stored(
-        texts.select("corpus_key", words(F.lower(F.col("text"))).alias("said"))
-        .where(F.size("said") > 1)
-        .withColumn("text_no", F.monotonically_increasing_id()),
-        "spoken",
+    spoken = _spoken(texts)
+    sizes = range(2, max_words + 1)
+    for size in sizes:
+        spoken = _with_runs(spoken, "said", size, f"runs_{size}")
+    runs = F.flatten(F.array(*(F.array_distinct(f"runs_{size}") for size in sizes)))
+    every = stored(
+        spoken.select("corpus_key", F.explode(runs).alias("phrase"))
+        .groupBy("corpus_key", "phrase")
+        .agg(F.count("*").alias("texts"))
+        .where(F.col("texts") >= least_texts)
+        .select("corpus_key", "phrase", F.size(F.split("phrase", " ")).alias("words"), "texts"),
+        "recurrent",
     )
-    starts = F.sequence(F.lit(1), F.size("said") - 1)
-    here = spoken.select("corpus_key", "text_no", "said", starts.alias("starts"))
-    levels = []
-    for size in range(2, max_words + 1):
-        runs = F.array_distinct(_phrases(F.col("said"), F.col("starts"), size))
-        recurrent = stored(
-            here.select("corpus_key", F.explode(runs).alias("phrase"))
-            .groupBy("corpus_key", "phrase")
-            .agg(F.count("*").alias("texts"))
-            .where(F.col("texts") >= least_texts),
-            "recurrent",
-        )
-        if recurrent.isEmpty():
-            break
-        levels.append(recurrent.withColumn("words", F.lit(size)))
-        if size == max_words:
-            break
-        placed = here.select("corpus_key", "text_no", "said", F.explode("starts").alias("at")).select(
-            "corpus_key", "text_no", "at", F.array_join(F.slice("said", F.col("at"), size), " ").alias("phrase")
-        )
-        kept = (
-            placed.join(recurrent, ["corpus_key", "phrase"], "left_semi")
-            .groupBy("text_no")
-            .agg(F.collect_list("at").alias("at"))
-        )
-        # A run of one word more begins where two runs begin side by side.
-        both = F.array_intersect("at", F.transform("at", lambda p: p - 1))
-        kept = kept.select("text_no", F.array_sort(both).alias("starts")).where(F.size("starts") > 0)
-        here = stored(spoken.join(kept, "text_no").select("corpus_key", "text_no", "said", "starts"), "starts")
-    if not levels:
-        return texts.sparkSession.createDataFrame(
-            [], "corpus_key string, phrase string, words int, texts bigint, place int"
-        )
-    every = reduce(DataFrame.union, [level.select("corpus_key", "phrase", "words", "texts") for level in levels])
     said = F.split("phrase", " ")
     parts = F.array(
         F.array_join(F.slice(said, F.lit(1), F.col("words") - 1), " "), F.array_join(F.slice(said, F.lit(2), F.col("words") - 1), " ")

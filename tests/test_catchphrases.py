@@ -52,3 +52,13 @@ def test_books_hold_catchphrases(spark):
     assert found == [("e aí meu povo", 3)]
     nothing = lexical.catchphrases(blocks.limit(0), 3)
     assert nothing.collect() == []
+
+
+def test_all_lengths_are_counted_at_once(spark, monkeypatch):
+    rows = [("c", f"a b c d {'e' * k}") for k in range(1, 4)] + [("c", None), ("d", "a b c d")]
+    texts = spark.createDataFrame(rows, "corpus_key string, text string")
+    names = []
+    monkeypatch.setattr(lexical, "stored", lambda frame, name: names.append(name) or frame)
+    found = lexical.catchphrases(texts, 3, 4, 50)
+    assert names == ["recurrent"]
+    assert [(r.corpus_key, r.phrase, r.texts) for r in found.collect()] == [("c", "a b c d", 3)]
