@@ -238,16 +238,9 @@ def recurrent_phrases(
     A text sends each of its phrases once; counts are folded before both the
     shuffle by phrase and the one by corpus.
     """
-    said = F.col("_said")
-    count = F.greatest(F.size(said) - (size - 1), F.lit(0))
-    phrase = F.slice(said, F.lit(1), count)
-    for place in range(2, size + 1):
-        phrase = F.zip_with(
-            phrase, F.slice(said, F.lit(place), count), lambda a, b: F.concat_ws(" ", a, b)
-        )
     phrases = (
-        texts.select("corpus_key", words(F.lower(F.col("text"))).alias("_said"))
-        .select("corpus_key", F.explode(F.array_distinct(phrase)).alias("phrase"))
+        _with_runs(_spoken(texts), "said", size, "_runs")
+        .select("corpus_key", F.explode(F.array_distinct("_runs")).alias("phrase"))
         .groupBy("corpus_key", "phrase")
         .agg(F.count("*").alias("texts"))
         .filter(F.col("texts") >= least_texts)

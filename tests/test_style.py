@@ -235,3 +235,10 @@ def test_recurrent_phrases(spark):
     assert [(r.corpus_key, r.phrase, r.texts) for r in found] == [("k", "conta outra vez", 2)]
     pairs = lexical.recurrent_phrases(texts, 2, 2).collect()
     assert [(r.phrase, r.texts, r.place) for r in pairs] == [("conta outra", 3, 1), ("outra vez", 2, 2)]
+
+
+def test_recurrent_phrases_fold_in_order_of_texts(spark):
+    texts = spark.createDataFrame([("c", f"a b {k}") for k in range(9)] + [("c", None), ("c", "a")], "corpus_key string, text string")
+    found = lexical.recurrent_phrases(texts, 2, 2)
+    assert "rangepartitioning(corpus_key" in found._jdf.queryExecution().executedPlan().toString()
+    assert [(r.phrase, r.texts) for r in found.collect()] == [("a b", 9)]
