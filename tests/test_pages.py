@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from newsloom.functions import pages
+from newsloom.session import ARROW_BYTES, utc_session
 
 
 
@@ -49,3 +50,12 @@ def test_title_and_language(one):
 def test_status_counts_stripped_characters(one):
     rows = ["x" * 200, "x" * 199, " " * 300, None]
     assert one(rows, pages.text_status(F.col("v"))) == ["ok"] + ["extract-weak"] * 3
+
+
+def test_batches_of_long_pages_are_bounded(spark):
+    @F.pandas_udf("long")
+    def together(texts):
+        return texts.str.len().sum() + 0 * texts.str.len()
+
+    rows = utc_session(spark).range(0, 2000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+    assert rows.select(F.max(together("text"))).first()[0] <= ARROW_BYTES + 20_000
