@@ -11,8 +11,8 @@ position that failed once is never tried again, so the time is linear.
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Iterator
-from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,8 +22,8 @@ from newsloom.llm.chunks import cut, spelled
 from newsloom.llm.common import Remembered, texts, worker_memo
 
 #: Encoded parts that a worker remembers, twice, and pairs of tokens it remembers.
-REMEMBERED = 200_000
-PAIRS = 300_000
+REMEMBERED = 120_000
+PAIRS = 200_000
 
 
 def vocabulary(rank_file: str) -> list[tuple[bytes, int]]:
@@ -125,19 +125,27 @@ class Bpe:
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text, each match of the split pattern encoded alone."""
+        packed = self.packed(text)
+        return list(struct.unpack(f"<{len(packed) // 4}I", packed))
+
+    def packed(self, text: str) -> bytes:
+        """The ids as little-endian 32-bit integers; parts are remembered so, a fraction of what tuples take."""
         first, rest = cut(text)
-        found = [self._encode_part(first), *map(self.parts.__getitem__, rest)]
-        return list(chain.from_iterable(found))
+        return self._encode_part(first) + b"".join(map(self.parts.__getitem__, rest))
 
-    def _encode_cut(self, part: str) -> tuple[int, ...]:
+    def _encode_cut(self, part: str) -> bytes:
         if part.isalpha():
-            return tuple(self.encode_piece(b" " + part.encode()))
+            return _pack(self.encode_piece(b" " + part.encode()))
         if part[-1] in ".," and part[-2:-1].isalpha():
-            return (*self.parts[part[:-1]], self.ranks[part[-1]])
+            return self.parts[part[:-1]] + _pack([self.ranks[part[-1]]])
         return self._encode_part(spelled(part))
 
-    def _encode_part(self, part: str) -> tuple[int, ...]:
-        return tuple(i for piece in self.split.findall(part) for i in self.encode_piece(piece.encode()))
+    def _encode_part(self, part: str) -> bytes:
+        return _pack([i for piece in self.split.findall(part) for i in self.encode_piece(piece.encode())])
+
+
+def _pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def loaded(rank_file: str, pattern: str) -> Bpe:
@@ -165,11 +173,9 @@ def encode(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
         bpe = loaded(rank_file, pattern)
         for batch in batches:
-            ids = [np.array(bpe.encode(t), dtype="<u4").tobytes() for t in texts(batch, "text")]
+            ids = [bpe.packed(t) for t in texts(batch, "text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"]
             )
@@ -200,28 +206,28 @@ def decode(rows: DataFrame, rank_file: str, pattern: str) -> DataFrame:
 def round_trip(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     """(doc_id, text) -> ids, and digests of the ids and of what they decode to.
 
-    Decoding starts from the encoded ids alone. Columns: doc_id, ids, n_tokens,
-    ids_sha256 (decimal ids, one space between), decoded_sha256.
+    Decoding starts from the encoded ids alone, by the entries' bytes; it runs in the
+    worker that encodes, so a task needs one Python process. Columns: doc_id, ids,
+    n_tokens, ids_sha256 (decimal ids, one space between), decoded_sha256.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
-        import numpy as np
-
-        bytes_of = entries(rank_file)
+        bpe, bytes_of = loaded(rank_file, pattern), entries(rank_file)
         words = list(map(str, range(len(bytes_of))))
         for batch in batches:
-            counts, hashes, back = [], [], []
-            for v in batch.column("ids").to_pylist():
-                ids = np.frombuffer(v or b"", "<u4").tolist()
+            packed, counts, hashes, back = [], [], [], []
+            for text in texts(batch, "text"):
+                packed.append(bpe.packed(text))
+                ids = struct.unpack(f"<{len(packed[-1]) // 4}I", packed[-1])
                 counts.append(len(ids))
                 hashes.append(hashlib.sha256(" ".join([words[i] for i in ids]).encode()).hexdigest())
                 back.append(hashlib.sha256(b"".join([bytes_of[i] for i in ids])).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    batch.column("ids"),
+                    pa.array(packed, pa.binary()),
                     pa.array(counts, pa.int64()),
                     pa.array(hashes, pa.string()),
                     pa.array(back, pa.string()),
@@ -229,6 +235,5 @@ def round_trip(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
                 ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return encode(docs, rank_file, pattern).mapInArrow(
-        run, "doc_id long, ids binary, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return rows.mapInArrow(run, "doc_id long, ids binary, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -75,6 +75,16 @@ def test_bpe_is_the_library(docs, none):
         assert encoder.encode(text) == encoding.encode_ordinary(text)
 
 
+def test_bpe_round_trip_takes_one_python_process_a_task(spark):
+    path = P.path("byte_bpe_50k.tiktoken")
+    docs = spark.createDataFrame([(1, "One two, two\n three."), (2, None)], "doc_id long, text string")
+    found = bpe.round_trip(docs, path, P.PATTERN)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    encoder = bpe.Bpe(path, P.PATTERN)
+    ids = encoder.encode("One two, two\n three.")
+    assert {r.doc_id: bytes(r.ids) for r in found.collect()} == {1: b"".join(i.to_bytes(4, "little") for i in ids), 2: b""}
+
+
 def test_elias_fano():
     draw = random.Random(7)
     for n in (0, 1, 2, 300, 1000):
