@@ -26,9 +26,15 @@ Classes are brought up to date after each round. Only classes matter, so pairs
 inside one are never made: a group of near copies goes as soon as its pivot has
 been compared with each.
 
-Before two sets are compared, so are their profiles: how many shingles fall into
-each of 256 classes. The profiles differ by no more than the sets, so pairs too
-far apart by them are dropped without reading either text.
+Before two sets are compared, so are their profiles: bits, two to four for each
+shingle, of whether an odd number of shingles falls into a class. Profiles differ in
+no more bits than the sets in shingles, so they bound the distance from below, and
+pairs too far apart by them are dropped without reading either text. Sets are
+compared only where profiles allow a link. Guests need no more than the bound: a
+partner of a text at home at distance d is within d + r of the pivot, so its bound is.
+
+Large regions are dealt into blocks, and a row of their join is a pair of blocks
+whose profiles are compared inside the task: only pairs that a bound allows come out.
 
 Shingles, and words before them, are 64-bit hashes; sets are told apart by
 128-bit digests, of which windows carry the first half.
@@ -40,6 +46,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from newsloom.llm.common import Remembered, binaries
@@ -59,7 +66,10 @@ BINS = 1 << 16
 REMEMBERED = 300_000
 #: For each round: the largest region whose pairs are compared directly, and its pivots.
 ROUNDS = ((2, "one"), (24, "root"), (None, None))
-CLASSES = 256
+#: Texts of a region in a block.
+BLOCK = 256
+#: Bits of the shortest profile and of the longest one.
+PROFILE_BITS = (256, 1 << 16)
 
 
 def word_memory() -> Remembered:
@@ -100,11 +110,66 @@ def _bin(found):
 
 
 def _profile(found) -> bytes:
-    """Shingles per class, counted up to 255."""
+    """One bit per class: whether it holds an odd number of shingles. A power of two of classes."""
+    import numpy as np
+
+    least, most = PROFILE_BITS
+    bits = min(max(1 << (2 * len(found)).bit_length(), least), most)
+    counts = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def _folded(rows, words: int):
+    """Profiles, rows of 64-bit words, as they would be with this many words."""
     import numpy as np
 
-    counts = np.bincount((found & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES)
-    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+    return np.bitwise_xor.reduce(rows.reshape(len(rows), -1, words), axis=1)
+
+
+class Profiles:
+    """A list of profiles, by length."""
+
+    def __init__(self, profiles: list[bytes]):
+        import numpy as np
+
+        words = np.array([len(v) // 8 for v in profiles])
+        self.groups = {}
+        for length in np.unique(words).tolist():
+            at = np.flatnonzero(words == length)
+            rows = np.frombuffer(b"".join([profiles[k] for k in at]), np.uint64).reshape(-1, length)
+            self.groups[length] = (at, {length: rows})
+        self.n = len(profiles)
+
+    def apart(self, profile: bytes):
+        """For each the least number of shingles that are in one of the two sets alone."""
+        import numpy as np
+
+        one, found = np.frombuffer(profile, np.uint64).reshape(1, -1), np.empty(self.n, np.int64)
+        for length, (at, rows) in self.groups.items():
+            words = min(length, one.shape[1])
+            if words not in rows:
+                rows[words] = _folded(rows[length], words)
+            found[at] = np.bitwise_count(rows[words] ^ _folded(one, words)).sum(axis=1, dtype=np.int64)
+        return found
+
+
+def _apart(x: list[bytes], y: list[bytes]):
+    """For each row of two lists the least number of shingles that are in one of the two sets alone."""
+    import numpy as np
+
+    found = np.empty(len(x), np.int64)
+    lengths = np.array([[len(v) // 8 for v in side] for side in (x, y)], dtype=np.int64).reshape(2, -1)
+    for p, q in {*zip(*lengths.tolist())}:
+        at = np.flatnonzero((lengths[0] == p) & (lengths[1] == q))
+        rows = (np.frombuffer(b"".join([side[k] for k in at]), np.uint64).reshape(len(at), -1) for side in (x, y))
+        left, right = (_folded(v, min(p, q)) for v in rows)
+        found[at] = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
+    return found
+
+
+def _bound(apart, sizes):
+    """The least distance of sets with these sizes together that are this far apart."""
+    return 2 * apart / (sizes + apart)
 
 
 MEASURED = "doc_id long, n long, high long, low long, profile binary, bin long, count long"
@@ -191,30 +256,82 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "high", "text").mapInArrow(run, "doc_id long, shingles binary")
 
 
+POSSIBLE = "a long, b long, sizes long, apart long"
+
+
 def _possible(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs whose profiles allow the wanted similarity; both sizes come along."""
+    """(a, b, percent) -> pairs whose profiles allow this similarity, with both sizes and the bits that differ."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
         for batch in batches:
-            x, y = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CLASSES).astype(np.int16)
-                for c in ("px", "py")
-            )
-            apart = np.abs(x - y).sum(axis=1).astype(np.int64)
+            apart = _apart(batch.column("px").to_pylist(), batch.column("py").to_pylist())
             percent, sizes = batch.column("percent").to_numpy(), batch.column("sizes").to_numpy()
             kept = pa.array(apart * (100 + percent) <= (100 - percent) * sizes)
-            yield batch.select(["a", "b"]).filter(kept)
+            columns = [*(batch.column(c) for c in ("a", "b", "sizes")), pa.array(apart, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "sizes", "apart"]).filter(kept)
 
     x = known.select(F.col("text").alias("a"), F.col("n").alias("nx"), F.col("profile").alias("px"))
     y = known.select(F.col("text").alias("b"), F.col("n").alias("ny"), F.col("profile").alias("py"))
     both = pairs.join(x, "a").join(y, "b").select("a", "b", "percent", (F.col("nx") + F.col("ny")).alias("sizes"), "px", "py")
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(run, POSSIBLE)
 
 
-def _compared(pairs: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b, percent) -> (a, b, common, total): sizes of intersection and union, for those within reach."""
+def _blocked(x: DataFrame, y: DataFrame, known: DataFrame, percent: int, links: bool) -> DataFrame:
+    """Pairs of a text of ``x`` and one of ``y`` in a region whose profiles allow this similarity.
+
+    With ``links`` only pairs that can tie two classes: of a text at home and another,
+    with distances to the pivot that allow a link. A row of the join is a pair of blocks.
+    """
+    columns = ["text", "n", "class", "home", "distance", "profile"]
+
+    def blocks(rows: DataFrame, side: str) -> DataFrame:
+        size = F.count("*").over(W.partitionBy("region"))
+        number = F.pmod(F.xxhash64("text", F.lit(side)), F.ceil(size / BLOCK).cast("long"))
+        return (
+            rows.select("region", *columns[:-1])
+            .withColumn("block", number)
+            .join(known.select("text", "profile"), "text")
+            .groupBy("region", "block")
+            .agg(F.collect_list(F.struct(*columns)).alias(side))
+            .select("region", side)
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        def parts(values: pa.ListScalar):
+            found = values.values.flatten()
+            return [v.to_numpy(zero_copy_only=False) for v in found[:-1]], found[-1].to_pylist()
+
+        for batch in batches:
+            for left, right in zip(batch.column("x"), batch.column("y")):
+                (ids, n, classes, home, distance), profiles = parts(left)
+                (ids_y, n_y, classes_y, home_y, distance_y), profiles_y = parts(right)
+                profiles_y = Profiles(profiles_y)
+                for k in range(len(ids)):
+                    fits = (np.minimum(n[k], n_y) * 100 >= np.maximum(n[k], n_y) * percent) & (ids[k] != ids_y)
+                    if links:
+                        fits &= classes[k] != classes_y
+                        # A guest's distance is a bound from below.
+                        fits &= (home_y & (distance[k] <= distance_y + RADIUS)) | (home[k] & (distance_y <= distance[k] + RADIUS))
+                    if not fits.any():
+                        continue
+                    apart, sizes = profiles_y.apart(profiles[k]), n[k] + n_y
+                    kept = fits & (apart * (100 + percent) <= (100 - percent) * sizes)
+                    other = ids_y[kept]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(v, pa.int64())
+                            for v in (np.minimum(ids[k], other), np.maximum(ids[k], other), sizes[kept], apart[kept])
+                        ],
+                        ["a", "b", "sizes", "apart"],
+                    )
+
+    return blocks(x, "x").join(blocks(y, "y"), "region").select("x", "y").mapInArrow(run, POSSIBLE)
+
+
+def _compared(pairs: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
+    """(a, b) -> (a, b, common, total): sizes of intersection and union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -233,20 +350,14 @@ def _compared(pairs: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
                 ["a", "b", "common", "total"],
             )
 
-    pairs = stored(_possible(pairs, known), "pairs")
     ids = pairs.select(F.col("a").alias("text")).union(pairs.select(F.col("b").alias("text"))).distinct()
     # Stored, so that its size is known when the texts are joined.
     ids = stored(ids.join(known.select("text", "high"), "text"), "ids").withColumnRenamed("text", "doc_id")
     sets = stored(_sets(docs.join(ids, "doc_id")), "sets")
     x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sx"))
     y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sy"))
-    return (
-        pairs.join(x, "a")
-        .join(y, "b")
-        .select("a", "b", "sx", "sy")
-        .mapInArrow(run, "a long, b long, common long, total long")
-        .where(F.col("common") * 100 >= F.col("total") * REACH_PERCENT)
-    )
+    both = pairs.join(x, "a").join(y, "b").select("a", "b", "sx", "sy")
+    return both.mapInArrow(run, "a long, b long, common long, total long")
 
 
 def _pair(x, y, percent: int):
@@ -300,20 +411,25 @@ def _links(members: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
             return links if links is not None else members.select(F.col("text").alias("a"), F.col("text").alias("b"))
         x, y = members.alias("x"), members.alias("y")
         x, y = ({c: F.col(f"{k}.{c}") for c in members.columns} for k in "xy")
-        small = members if direct is None else members.where(F.col("size") <= direct)
-        pairs = (
-            small.alias("x")
-            .join(small.alias("y"), x["region"] == y["region"])
-            .where(
-                (x["text"] < y["text"])
-                & (x["class"] != y["class"])
-                & (x["home"] | y["home"])
-                & (F.abs(x["distance"] - y["distance"]) <= RADIUS)
-                & _pair(x, y, LINK_PERCENT)
+        if direct is None:
+            found = _blocked(members.where("home"), members, known, LINK_PERCENT, links=True)
+        else:
+            small = members.where(F.col("size") <= direct)
+            pairs = (
+                small.alias("x")
+                .join(small.alias("y"), x["region"] == y["region"])
+                .where(
+                    (x["text"] < y["text"])
+                    & (x["class"] != y["class"])
+                    # A guest's distance is a bound from below.
+                    & (
+                        (x["home"] & (y["distance"] <= x["distance"] + RADIUS))
+                        | (y["home"] & (x["distance"] <= y["distance"] + RADIUS))
+                    )
+                    & _pair(x, y, LINK_PERCENT)
+                )
+                .select(*_ordered(x, y, LINK_PERCENT))
             )
-            .select(*_ordered(x, y, LINK_PERCENT))
-        )
-        if direct is not None:
             large = members.where(F.col("size") > direct)
             draw = F.pmod(F.xxhash64("text", F.lit(number)), F.lit(1 << 30)) / F.lit(float(1 << 30))
             # Always the least text, which all regions of a group of copies agree on.
@@ -323,25 +439,36 @@ def _links(members: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
                 drawn = large.where(draw * F.sqrt("size") < 1).select("region", "text", "n")
                 chosen = chosen.union(drawn).distinct()
             chosen = stored(chosen, "pivots")
-            by_pivot = (
-                large.alias("x")
-                .join(chosen.alias("y"), x["region"] == y["region"])
-                .where(_pair(x, y, REACH_PERCENT))
-                .select(*_ordered(x, y, REACH_PERCENT))
-            )
-            pairs = pairs.union(by_pivot)
-        pairs = pairs.groupBy("a", "b").agg(F.min("percent").alias("percent"))
-        near = stored(_compared(pairs, known, docs).distinct(), "near")
-        close = near.where(F.col("common") * 100 >= F.col("total") * LINK_PERCENT).select("a", "b")
+            if pivots == "root":
+                drawn = large.join(chosen, ["region", "text"], "left_semi")
+                by_pivot = _blocked(drawn, large, known, REACH_PERCENT, links=False)
+                found = _possible(pairs.distinct(), known).union(by_pivot)
+            else:
+                by_pivot = (
+                    large.alias("x")
+                    .join(chosen.alias("y"), x["region"] == y["region"])
+                    .where(_pair(x, y, REACH_PERCENT))
+                    .select(*_ordered(x, y, REACH_PERCENT))
+                )
+                pairs = pairs.union(by_pivot)
+                found = _possible(pairs.groupBy("a", "b").agg(F.min("percent").alias("percent")), known)
+        found = stored(found.distinct(), "pairs")
+        allowed = F.col("apart") * (100 + LINK_PERCENT) <= (100 - LINK_PERCENT) * F.col("sizes")
+        near = _compared(found.where(allowed).select("a", "b"), docs, known).select(
+            "a",
+            "b",
+            (F.col("common") * 100 >= F.col("total") * LINK_PERCENT).alias("core"),
+            (1 - F.col("common") / F.col("total")).alias("distance"),
+        )
+        near = stored(near, "near")
+        close = near.where("core").select("a", "b")
         links = close if links is None else links.union(close)  # of earlier rounds, as stars
         if direct is not None:
-            both = near.select("a", "b", "common", "total").union(near.select("b", "a", "common", "total"))
-            both = both.select(
-                F.col("a").alias("text"),
-                F.col("b").alias("pivot"),
-                (F.col("common") * 100 >= F.col("total") * LINK_PERCENT).alias("core"),
-                (1 - F.col("common") / F.col("total")).alias("distance"),
-            )
+            # The distances of possible links are exact, others within reach are bounded from below.
+            bound = _bound(F.col("apart"), F.col("sizes")).alias("distance")
+            near = near.union(found.where(~allowed).select("a", "b", F.lit(False).alias("core"), bound))
+            both = near.union(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "core", "distance"))
+            both = both.select(F.col("a").alias("text"), F.col("b").alias("pivot"), "core", "distance")
             nearest = F.min(F.struct("distance", "pivot")).alias("nearest")
             homes = stored(
                 large.select("region", "text")

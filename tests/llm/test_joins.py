@@ -70,6 +70,47 @@ def test_jaccard_join(spark):
     assert jaccard_join.near_duplicates(docs.limit(0)).collect() == []
 
 
+def test_jaccard_join_of_a_large_group(spark, monkeypatch):
+    """Near copies of one text, many of them further apart than a link: few pairs of them leave a task."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 16)
+    monkeypatch.setattr(jaccard_join, "PROFILE_BITS", (64, 1 << 16))
+    sizes, taken = {}, jaccard_join.stored
+
+    def counted(rows, name):
+        found = taken(rows, name)
+        sizes.setdefault(name, []).append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard_join, "stored", counted)
+    draw, base = random.Random(4), [f"w{k}" for k in range(100)]
+    texts = []
+    for _ in range(120):
+        copy = list(base)
+        for place in draw.sample(range(100), draw.randint(1, 6)):
+            copy[place] = f"n{draw.randint(0, 10**6)}"
+        texts.append(" ".join(copy[: draw.choice([100, 95, 80])]))
+    own = dict(enumerate(map(sets, texts)))
+    pairs = [(a, b) for a in own for b in range(a) if 100 * len(own[a] & own[b]) >= 80 * len(own[a] | own[b])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(docs).collect()}
+    assert found == united(own, pairs)
+    # The last round is fed pairs that a profile of their own length allows, not all pairs of two classes.
+    assert len(sizes["pairs"]) == 3 and sizes["pairs"][2] < 120 * 119 // 20
+
+
+def test_profiles_bound_the_distance():
+    draw = np.random.default_rng(8)
+    for n, m in ((0, 5), (40, 40), (300, 900), (5000, 4500)):
+        pool = draw.integers(0, 1 << 63, n + m, dtype=np.uint64)
+        x, y = np.unique(pool[:n]), np.unique(np.concatenate([pool[: n // 2], pool[n : n + m - n // 2]]))
+        apart = len(np.setxor1d(x, y))
+        profiles = [jaccard_join._profile(v) for v in (x, y)]
+        (found,) = jaccard_join._apart(profiles[:1], profiles[1:])
+        assert found <= apart and jaccard_join._apart(profiles[:1], profiles[:1]).tolist() == [0]
+        assert jaccard_join.Profiles(profiles).apart(profiles[0]).tolist() == [0, found]
+        assert apart == 0 or found >= 0.4 * apart
+
+
 def test_embedding_dedup(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 8)
     draw = np.random.default_rng(3)
