@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import base64
 import struct
+import sys
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,6 +26,8 @@ from newsloom.llm.common import Remembered, texts, worker_memo
 #: Encoded parts that a worker remembers, twice, and pairs of tokens it remembers.
 REMEMBERED = 120_000
 PAIRS = 200_000
+#: No entry.
+NONE = -1
 
 
 def vocabulary(rank_file: str) -> list[tuple[bytes, int]]:
@@ -45,7 +49,10 @@ class Bpe:
         for s, i in self.ranks.items():
             self.automaton.add_word(s, (len(s), i))
         self.automaton.make_automaton()
-        self.fits: dict[tuple[int, int], bool] = {}
+        #: Of each entry its length, and the longest other entry that it begins with.
+        self.lengths = {i: len(s) for s, i in self.ranks.items()}
+        self.shorter = {i: self._beginning(s) for s, i in self.ranks.items()} | {NONE: NONE}
+        self.fits: dict[int, bool] = {}
         self.merged: dict[tuple[int, int], int] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
         for s, i in sorted(self.ranks.items(), key=lambda x: x[1]):
@@ -55,6 +62,9 @@ class Bpe:
         self.fits.clear()  # the table of merges was not complete yet
         self.parts = Remembered(self._encode_cut, REMEMBERED)
 
+    def _beginning(self, s: str) -> int:
+        return next((self.ranks[s[:n]] for n in range(len(s) - 1, 0, -1) if s[:n] in self.ranks), NONE)
+
     def _last_merge(self, s: str, rank: int) -> tuple[int, int] | None:
         """The two earlier tokens that this one is merged from."""
         for cut in range(len(s) - 1, 0, -1):
@@ -64,11 +74,12 @@ class Bpe:
         return None
 
     def compatible(self, a: int, b: int) -> bool:
-        known = self.fits.get((a, b))
+        key = a << 32 | b
+        known = self.fits.get(key)
         if known is None:
             if len(self.fits) > PAIRS:
                 self.fits.clear()
-            known = self.fits[a, b] = self._unmerged(a, b)
+            known = self.fits[key] = self._unmerged(a, b)
         return known
 
     def _unmerged(self, a: int, b: int) -> bool:
@@ -95,33 +106,55 @@ class Bpe:
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Ids of one match of the split pattern."""
-        s = piece.decode("latin-1")
+        return self._encode_piece(piece.decode("latin-1"))
+
+    def _encode_piece(self, s: str) -> list[int]:
         whole = self.ranks.get(s)
         if whole is not None:
             return [whole]
-        starting: list[list[tuple[int, int]]] = [[] for _ in s]
-        for end, (length, token) in self.automaton.iter(s):
-            starting[end + 1 - length].append((length, token))  # shorter ones come first
-        failed = bytearray(len(s) + 1)
-        at, ids, lengths = 0, [], []
-        while at < len(s):
-            options = starting[at]
-            while options:
-                length, token = options[-1]
-                if not failed[at + length] and (not ids or self.compatible(ids[-1], token)):
+        if not s:
+            return []
+        longest, known, compatible = self.automaton.iter_long, self.fits.get, self.compatible
+        ids, ends, failed = [], [0], set()
+        at, before = 0, NONE
+        matches = longest(s)
+        while True:
+            token = NONE
+            for last, (length, token) in matches:
+                end = last + 1
+                if end - length != at:
+                    token = NONE  # nothing begins here
                     break
-                options.pop()
-            if options:
+                if end in failed:
+                    break
+                if before != NONE:
+                    fits = known(before << 32 | token)
+                    if not (compatible(before, token) if fits is None else fits):
+                        break
                 ids.append(token)
-                lengths.append(length)
-                at += length
+                ends.append(end)
+                at, before = end, token
             else:
-                failed[at] = 1
-                if not ids:
-                    raise ValueError("the vocabulary lacks single bytes")
-                ids.pop()
-                at -= lengths.pop()
-        return ids
+                if at == len(s):
+                    return ids
+                token = NONE
+            # The longest entry does not fit here: a shorter one does, or else one at the step before.
+            while True:
+                token = self.shorter[token]
+                if token == NONE:
+                    if not ids:
+                        raise ValueError("the vocabulary lacks single bytes")
+                    failed.add(ends.pop())
+                    token, at = ids.pop(), ends[-1]
+                    before = ids[-1] if ids else NONE
+                    continue
+                end = at + self.lengths[token]
+                if end not in failed and (before == NONE or compatible(before, token)):
+                    break
+            ids.append(token)
+            ends.append(end)
+            at, before = end, token
+            matches = longest(s, end)
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text, each match of the split pattern encoded alone."""
@@ -135,7 +168,8 @@ class Bpe:
 
     def _encode_cut(self, part: str) -> bytes:
         if part.isalpha():
-            return _pack(self.encode_piece(b" " + part.encode()))
+            piece = " " + part
+            return _pack(self._encode_piece(piece if part.isascii() else piece.encode().decode("latin-1")))
         if part[-1] in ".," and part[-2:-1].isalpha():
             return self.parts[part[:-1]] + _pack([self.ranks[part[-1]]])
         return self._encode_part(spelled(part))
@@ -145,7 +179,10 @@ class Bpe:
 
 
 def _pack(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 def loaded(rank_file: str, pattern: str) -> Bpe:
@@ -215,15 +252,15 @@ def round_trip(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
         import hashlib
 
         bpe, bytes_of = loaded(rank_file, pattern), entries(rank_file)
-        words = list(map(str, range(len(bytes_of))))
+        word, entry = list(map(str, range(len(bytes_of)))).__getitem__, bytes_of.__getitem__
         for batch in batches:
             packed, counts, hashes, back = [], [], [], []
             for text in texts(batch, "text"):
                 packed.append(bpe.packed(text))
                 ids = struct.unpack(f"<{len(packed[-1]) // 4}I", packed[-1])
                 counts.append(len(ids))
-                hashes.append(hashlib.sha256(" ".join([words[i] for i in ids]).encode()).hexdigest())
-                back.append(hashlib.sha256(b"".join([bytes_of[i] for i in ids])).hexdigest())
+                hashes.append(hashlib.sha256(" ".join(map(word, ids)).encode()).hexdigest())
+                back.append(hashlib.sha256(b"".join(map(entry, ids))).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),

@@ -85,6 +85,47 @@ def test_bpe_round_trip_takes_one_python_process_a_task(spark):
     assert {r.doc_id: bytes(r.ids) for r in found.collect()} == {1: b"".join(i.to_bytes(4, "little") for i in ids), 2: b""}
 
 
+class Drawn:
+    """An automaton that counts the matches it gives."""
+
+    def __init__(self, automaton):
+        self.automaton, self.n = automaton, 0
+
+    def _counted(self, matches):
+        for match in matches:
+            self.n += 1
+            yield match
+
+    def iter(self, *a):
+        return self._counted(self.automaton.iter(*a))
+
+    def iter_long(self, *a):
+        return self._counted(self.automaton.iter_long(*a))
+
+
+def test_bpe_draws_the_longest_matches_only():
+    encoder, draw = bpe.Bpe(P.path("byte_bpe_50k.tiktoken"), P.PATTERN), random.Random(8)
+    encoding, drawn, n_ids = tiktoken_encoding(), Drawn(encoder.automaton), 0
+    encoder.automaton = drawn
+    entries = sorted(encoder.ranks)
+    for _ in range(2000):
+        piece = "".join(draw.choices(entries, k=draw.randint(1, 5)))[draw.randint(0, 3) :].encode("latin-1") or b"x"
+        ids = encoder.encode_piece(piece)
+        assert ids == encoding._core_bpe.encode_single_piece(piece)
+        n_ids += len(ids)
+    assert drawn.n < 2 * n_ids
+
+
+def test_uneven_white_space():
+    import itertools
+
+    from newsloom.llm import chunks
+
+    for n in range(5):
+        for text in map("".join, itertools.product("a \n\t\x0b\r\x85\xa0\u3000\x1c", repeat=n)):
+            assert chunks.uneven(text) == (chunks.UNEVEN.search(text) is not None)
+
+
 def test_elias_fano():
     draw = random.Random(7)
     for n in (0, 1, 2, 300, 1000):
