@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import struct
 import sys
+from array import array
 from collections.abc import Iterator
+from operator import attrgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +39,7 @@ SAMPLE = 256
 SEGMENT_IDS = 2_000_000
 #: Encoded parts and pieces that a worker remembers, twice.
 REMEMBERED = 200_000
+ID = attrgetter("id")
 
 
 class EliasFano:
@@ -185,20 +188,20 @@ class Encoder:
         self.parts = Remembered(self._encode_cut, REMEMBERED)
 
     def _encode_piece(self, piece: str) -> bytes:
-        from array import array
-
         if piece.isascii() and piece.isprintable():
-            shown = piece.replace(" ", self.space)
-        else:
-            shown = piece.encode().decode("latin-1").translate(self.spelling)
-        ids = array(self.kind, [t.id for t in self.tokenize(shown)])
+            return self._encode_shown(piece.replace(" ", self.space))
+        return self._encode_shown(piece.encode().decode("latin-1").translate(self.spelling))
+
+    def _encode_shown(self, shown: str) -> bytes:
+        ids = array(self.kind, map(ID, self.tokenize(shown)))
         if sys.byteorder == "big":
             ids.byteswap()
         return ids.tobytes()
 
     def _encode_cut(self, part: str) -> bytes:
         if part.isalpha():
-            return self.pieces[" " + part]
+            # A piece of its own, so remembered as a part alone.
+            return self._encode_shown(self.space + part) if part.isascii() else self._encode_piece(" " + part)
         if part[-1] in ".," and part[-2:-1].isalpha():
             return self.parts[part[:-1]] + self.pieces[part[-1]]
         return self._encode_part(spelled(part))
@@ -207,8 +210,6 @@ class Encoder:
         return b"".join([self.pieces[piece] for piece in self.split.findall(part)])
 
     def _encode_whole(self, text: str) -> bytes:
-        from array import array
-
         ids = array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids)
         if sys.byteorder == "big":
             ids.byteswap()

@@ -126,6 +126,13 @@ def test_uneven_white_space():
             assert chunks.uneven(text) == (chunks.UNEVEN.search(text) is not None)
 
 
+def test_words_are_remembered_once():
+    encoder = token_files.Encoder(P.path("byte_bpe_50k.json"), P.PATTERN)
+    encoder.encode("Some words, some more wörds.")
+    assert {"words", "more", "wörds"} <= {*encoder.parts}
+    assert not any(piece.strip().isalpha() for piece in encoder.pieces if piece != "Some")
+
+
 def test_elias_fano():
     draw = random.Random(7)
     for n in (0, 1, 2, 300, 1000):
