@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 import newsloom
 from newsloom.llm import bpe, compression, decontamination, jaccard_join, personal_data
 from newsloom.llm.common import table
-from newsloom.session import stored
+from newsloom.session import small_batches, stored
 
 cloudpickle.register_pickle_by_value(newsloom)
 
@@ -68,12 +70,21 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def _bounded(stage: Callable) -> Callable:
+    """The stage with small batches for Python, as processes outlive their stage and share an executor's memory."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(small_batches(spark), docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("toxicity", without_toxic),
-    ("jaccard_join", without_copies),
-    ("decontamination", without_benchmark),
-    ("personal_data", without_personal_data),
-    ("bpe", tokens),
+    ("toxicity", _bounded(without_toxic)),
+    ("jaccard_join", _bounded(without_copies)),
+    ("decontamination", _bounded(without_benchmark)),
+    ("personal_data", _bounded(without_personal_data)),
+    ("bpe", _bounded(tokens)),
 ]
 
 #: Compression, wrappers and merges have no SQL; tests hold the stages against brute force.

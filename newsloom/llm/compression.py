@@ -48,7 +48,7 @@ TABLE_BITS = 18
 #: Bits of the table that tells in training which segments are too rare to count.
 COUNT_BITS = 22
 #: Positions that a task of the training sorts at once.
-COUNTED = 2_500_000
+COUNTED = 1_000_000
 #: Characters that are hashed at once.
 STRETCH = 1 << 16
 DICTIONARY_BYTES = 48_000
@@ -185,35 +185,38 @@ def _counted(documents: list[str], length: int, wanted, least: int = 1, known=No
     before = 8
     alone, both = _needed(length), _needed(length, before)
 
-    def kept(part: int, parts: int, count: bool) -> Iterator:
-        """Of each text the wanted segments with their contexts and places, or how many they are; hashed anew for each part."""
-        least_slot, end_slot = (-(-(p << COUNT_BITS) // parts) for p in (part, part + 1))
+    def counts() -> Iterator[int]:
+        """Of each text how many positions are wanted."""
+        for text in documents:
+            yield np.count_nonzero(wanted[_slots(_hashes(" " * before + text, alone)[length][before:], COUNT_BITS)])
+
+    def kept(part: int, parts: int) -> Iterator:
+        """Of each text the wanted segments with their contexts and places; hashed anew for each part, a range of numbers."""
+        least_number, last_number = (np.uint64((p << 64) // parts - past) for p, past in ((part, 0), (part + 1, 1)))
         for k, text in enumerate(documents):
             # What stands before the text's first characters is the same for all texts.
-            hashes = _hashes(" " * before + text, alone if count else both)
+            hashes = _hashes(" " * before + text, both)
             own = hashes[length][before:]
-            slots = _slots(own, COUNT_BITS)
-            if count:
-                yield np.count_nonzero(wanted[slots])
-                continue
-            at = np.flatnonzero(wanted[slots] & (slots >= least_slot) & (slots < end_slot))
+            at = np.flatnonzero((own >= least_number) & (own <= last_number))
+            at = at[wanted[_slots(own[at], COUNT_BITS)]]
             if known is not None:
                 at = at[known[np.minimum(np.searchsorted(known, own[at]), len(known) - 1)] == own[at]]
             own = own[at]
             yield own, _mixed(own) + hashes[before][at], (k << 32) + at
 
-    parts = -(-sum(kept(0, 1, True)) // COUNTED) or 1
+    parts = -(-int(sum(counts())) // COUNTED) or 1
     done = []
     for part in range(parts):
-        mine = list(kept(part, parts, False))
-        if not mine:
+        columns = [list(column) for column in zip(*kept(part, parts))]
+        if not columns:
             continue
-        numbers, pairs, places = map(np.concatenate, zip(*mine))
+        # One column at a time, so that little is there twice.
+        numbers, pairs, places = (np.concatenate(columns.pop(0)) for _ in range(3))
         # A copy of a text has no context of its own.
         first = np.unique(pairs, return_index=True)[1]
         first.sort()
         numbers, places = numbers[first], places[first]
-        del mine, pairs, first
+        del pairs, first
         if not len(numbers):
             continue
         order = np.argsort(numbers, kind="stable")

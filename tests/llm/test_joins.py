@@ -181,6 +181,21 @@ def test_pipeline_stages(spark, tmp_path):
     assert (four.text, four.n_chars) == ("mail [EMAIL] now", 16)
 
 
+def test_pipeline_stages_send_small_batches(spark, tmp_path):
+    import corpus_pipeline as pipeline
+    from newsloom import session
+
+    docs = spark.createDataFrame([(1, "one text")], "doc_id long, text string")
+    before = spark.conf.get(session.ARROW_SETTING)
+    try:
+        for _, stage in pipeline.STAGES[3:]:
+            spark.conf.set(session.ARROW_SETTING, session.ARROW_DEFAULT)
+            stage(spark, docs, str(tmp_path))
+            assert spark.conf.get(session.ARROW_SETTING) == str(session.ARROW_BYTES)
+    finally:
+        spark.conf.set(session.ARROW_SETTING, before)
+
+
 def test_rows_that_share_an_id_are_judged_each_for_itself(spark, tmp_path):
     import corpus_pipeline as pipeline
 

@@ -471,3 +471,18 @@ def test_counted_segments_are_those_asked_for():
     some = numbers[::3]
     again, counts, _, _ = compression._counted(documents, 2, every, known=some)
     assert again.tolist() == some.tolist() and counts.tolist() == contexts[::3].tolist()
+
+
+def test_counting_segments_takes_bounded_memory():
+    import tracemalloc
+
+    draw = random.Random(9)
+    documents = ["".join(draw.choices("abcdefghij", k=100_000)) for _ in range(24)]
+    every = np.ones(1 << compression.COUNT_BITS, bool)
+    tracemalloc.start()
+    numbers, contexts, within, _ = compression._counted(documents, 5, every)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    found = {d[k : k + 5] for d in documents for k in range(len(d) - 4)}
+    assert len(numbers) == len(found) and contexts.min() >= 1 and within.max() <= 24
+    assert peak < 130e6
