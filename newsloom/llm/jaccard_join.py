@@ -235,6 +235,41 @@ def _windows(docs: DataFrame, order) -> DataFrame:
     return docs.select("text").mapInArrow(run, "region long, high long")
 
 
+def _shared(windows: DataFrame) -> DataFrame:
+    """(region, high) -> each row once, of regions with several digests; dealt out once, by ranges of both.
+
+    A region may go on in the next range, so the first row of a range and its last are kept: a region of one
+    text more, here and there, which has no pairs.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        def batch_of(regions, highs) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(regions, pa.int64()), pa.array(highs, pa.int64())], ["region", "high"])
+
+        # The latest row waits for the next one; whether the one before it is of its region.
+        regions = highs = np.zeros(0, np.int64)
+        tied = True
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            regions, highs = (np.concatenate([x, batch.column(c).to_numpy()]) for x, c in ((regions, "region"), (highs, "high")))
+            same = regions[1:] == regions[:-1]
+            fresh = np.r_[True, ~same | (highs[1:] != highs[:-1])]
+            regions, highs = regions[fresh], highs[fresh]
+            same = regions[1:] == regions[:-1]
+            before = np.r_[tied, same]
+            kept = before[:-1] | same
+            yield batch_of(regions[:-1][kept], highs[:-1][kept])
+            regions, highs, tied = regions[-1:], highs[-1:], bool(before[-1])
+        yield batch_of(regions, highs)
+
+    n = int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = windows.repartitionByRange(n, "region", "high").sortWithinPartitions("region", "high")
+    return dealt.mapInArrow(run, "region long, high long")
+
+
 def _sets(docs: DataFrame) -> DataFrame:
     """(doc_id, high, text) -> (doc_id, shingles) of the texts with this digest."""
 
@@ -281,21 +316,25 @@ def _blocked(x: DataFrame, y: DataFrame, known: DataFrame, percent: int, links:
 
     With ``links`` only pairs that can tie two classes: of a text at home and another,
     with distances to the pivot that allow a link. A row of the join is a pair of blocks.
+    ``y`` are whole regions, with their ``size``.
     """
     columns = ["text", "n", "class", "home", "distance", "profile"]
 
-    def blocks(rows: DataFrame, side: str) -> DataFrame:
-        size = F.count("*").over(W.partitionBy("region"))
+    def blocks(rows: DataFrame, side: str, size) -> DataFrame:
         number = F.pmod(F.xxhash64("text", F.lit(side)), F.ceil(size / BLOCK).cast("long"))
+        # Dealt out by region once: blocks are put together where they are joined.
         return (
-            rows.select("region", *columns[:-1])
-            .withColumn("block", number)
+            rows.select("region", *columns[:-1], number.alias("block"))
             .join(known.select("text", "profile"), "text")
+            .repartition(n, "region")
             .groupBy("region", "block")
             .agg(F.collect_list(F.struct(*columns)).alias(side))
             .select("region", side)
         )
 
+    n = int(x.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = blocks(x, "x", F.count("*").over(W.partitionBy("region")))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
@@ -327,7 +366,7 @@ def _blocked(x: DataFrame, y: DataFrame, known: DataFrame, percent: int, links:
                         ["a", "b", "sizes", "apart"],
                     )
 
-    return blocks(x, "x").join(blocks(y, "y"), "region").select("x", "y").mapInArrow(run, POSSIBLE)
+    return counted.join(blocks(y, "y", F.col("size")), "region").select("x", "y").mapInArrow(run, POSSIBLE)
 
 
 def _compared(pairs: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
@@ -519,14 +558,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     docs = docs.where("doc_id IS NOT NULL")
     windows = stored(_windows(docs, order), "windows")
-    shared = (
-        windows.groupBy("region")
-        .agg(F.min("high").alias("least"), F.max("high").alias("most"))
-        .where("least <> most")
-        .select("region")
-    )
-    found = windows.join(shared, "region", "left_semi").distinct()
-    members = found.join(classes, "high").select(
+    members = _shared(windows).join(classes, "high").select(
         "region", "text", "n", F.lit(True).alias("home"), F.lit(0.0).alias("distance")
     )
     members = stored(members, "members")
