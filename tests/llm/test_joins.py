@@ -186,13 +186,12 @@ def test_shared_windows_are_dealt_out_once(spark):
     rows = [(draw.randint(-40, 40) * 7, draw.randint(0, 9)) for _ in range(120)] + [(5, k % 30) for k in range(300)]
     rows += [(1000 + k, k) for k in range(200)]
     windows = spark.createDataFrame(rows, "region long, high long").repartition(5)
-    kept = jaccard_join._shared(windows)
-    found = [tuple(r) for r in kept.collect()]
+    found = [tuple(r) for r in jaccard_join._shared(windows).collect()]
     several = {r for r, _ in rows if len({h for q, h in rows if q == r}) > 1}
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert len(found) == len(set(found)) and {x for x in rows if x[0] in several} <= set(found) <= set(rows)
     assert len({r for r, _ in found} - several) <= 2 * n
-    plan = kept._jdf.queryExecution().executedPlan().toString()
+    plan = jaccard_join._shared(windows)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("rangepartitioning") == 1 and "hashpartitioning" not in plan
     assert jaccard_join._shared(windows.limit(0)).collect() == []
 
