@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.chunks import cut, spelled
-from newsloom.llm.common import Remembered, texts, worker_memo
+from newsloom.llm.common import Remembered, texts, tidy, worker_memo
 
 #: Encoded parts that a worker remembers, twice, and pairs of tokens it remembers.
 REMEMBERED = 120_000
@@ -218,7 +218,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, ids binary")
+    return rows.mapInArrow(tidy(run), "doc_id long, ids binary")
 
 
 def decode(rows: DataFrame, rank_file: str, pattern: str) -> DataFrame:
@@ -237,7 +237,7 @@ def decode(rows: DataFrame, rank_file: str, pattern: str) -> DataFrame:
                 [batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "decoded"]
             )
 
-    return rows.select("doc_id", "ids").mapInArrow(run, "doc_id long, decoded binary")
+    return rows.select("doc_id", "ids").mapInArrow(tidy(run), "doc_id long, decoded binary")
 
 
 def round_trip(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
@@ -273,4 +273,4 @@ def round_trip(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, ids binary, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(tidy(run), "doc_id long, ids binary, n_tokens long, ids_sha256 string, decoded_sha256 string")

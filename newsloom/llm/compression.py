@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsloom.llm.common import Remembered, texts
+from newsloom.llm.common import Remembered, give_back, texts, tidy
 from newsloom.session import stored
 
 #: Labelled rows of each class that are learned from, at most.
@@ -296,6 +296,8 @@ def _segments(rows: DataFrame) -> dict[bool, tuple[list[str], list[str]]]:
             for label, text in zip(row.column("label").to_pylist(), row.column("text").to_pylist()):
                 texts_of[label].append(_folded(text))
         found = _common(texts_of[0]) if length == COMMON else _typical(texts_of[1], texts_of[0], length)
+        texts_of.clear()
+        give_back()
         return pa.table(
             {
                 "full": pa.array([full] * len(found), pa.bool_()),
@@ -421,7 +423,7 @@ def _measured(rows: DataFrame, typical: list[str], common: list[str]) -> tuple[l
 
     # Long texts are dealt out, as the sample may be a file or two.
     dealt = rows.select("doc_id", "text", "label").repartition(2 * rows.sparkSession.sparkContext.defaultParallelism, "doc_id", "text")
-    found = dealt.mapInArrow(run, "doc_id long, label int, features array<double>").collect()
+    found = dealt.mapInArrow(tidy(run), "doc_id long, label int, features array<double>").collect()
     found.sort(key=lambda r: (r["label"], r["doc_id"], r["features"]))
     return [r["features"] for r in found], [r["label"] for r in found]
 
@@ -527,7 +529,7 @@ def _scored(docs: DataFrame, model: dict, measure: Callable, threshold: float, k
             )
 
     columns = docs.select(*dict.fromkeys([*keep, "text"]))
-    return columns.mapInArrow(run, schema)
+    return columns.mapInArrow(tidy(run), schema)
 
 
 def _windows_of(model: dict) -> Callable:

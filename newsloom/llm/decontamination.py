@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import Remembered, binaries
+from newsloom.llm.common import binaries, hashed, tidy
 from newsloom.session import stored
 
 WINDOW = 13
@@ -28,8 +28,6 @@ SLOP = 3
 SHARD_WORDS = 2_000_000
 #: Characters of benchmark texts that a pass over the index searches at once.
 BLOCK_CHARS = 20_000_000
-#: Hashes that a task remembers, twice.
-REMEMBERED = 300_000
 #: Positions left free between documents, so that no match reaches the next one.
 GAP = WINDOW + 2 * SLOP
 
@@ -41,17 +39,8 @@ FOLDED = bytes(
 INDEX = "part long, shard long, doc_ids array<long>, starts binary, n_words binary, terms binary, offsets binary, positions binary"
 
 
-def hash_memory() -> Remembered:
-    import xxhash
-
-    return Remembered(xxhash.xxh64_intdigest, REMEMBERED)
-
-
-def word_hashes(text: bytes, hashes: Remembered):
-    import numpy as np
-
-    words = text.translate(FOLDED).split()
-    return np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+def word_hashes(text: bytes):
+    return hashed(text.translate(FOLDED).split())
 
 
 def index(docs: DataFrame) -> DataFrame:
@@ -61,7 +50,7 @@ def index(docs: DataFrame) -> DataFrame:
         import numpy as np
         from pyspark import TaskContext
 
-        hashes, part, number = hash_memory(), TaskContext.get().partitionId(), 0
+        part, number = TaskContext.get().partitionId(), 0
         doc_ids, found, size = [], [], 0
 
         def shard() -> pa.RecordBatch:
@@ -90,7 +79,7 @@ def index(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), binaries(batch, "text")):
                 doc_ids.append(doc_id)
-                found.append(word_hashes(text, hashes))
+                found.append(word_hashes(text))
                 size += len(found[-1])
                 if size >= SHARD_WORDS:
                     yield shard()
@@ -98,16 +87,16 @@ def index(docs: DataFrame) -> DataFrame:
         if doc_ids:
             yield shard()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, INDEX)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(run), INDEX)
 
 
 def windows(items: list[tuple]) -> tuple:
     """Distinct windows of (item_id, text) rows: hashes by length, items of each window."""
     import numpy as np
 
-    hashes, owners = hash_memory(), {}
+    owners = {}
     for item_id, text in items:
-        words = word_hashes((text or "").encode(), hashes)
+        words = word_hashes((text or "").encode())
         if not len(words):
             continue
         for a in range(max(1, len(words) - WINDOW + 1)):
@@ -206,7 +195,7 @@ def search(shards: DataFrame, items: list[tuple]) -> DataFrame:
         )
 
     return shards.mapInArrow(
-        run,
+        tidy(run),
         "part long, shard long, place long, doc_id long, n_words long, hits array<array<long>>, "
         "item_ids array<string>, near_item_ids array<string>",
     )

@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import Remembered, binaries
+from newsloom.llm.common import binaries, hashed, tidy
 from newsloom.llm.components import components
 from newsloom.session import stored
 
@@ -62,8 +62,6 @@ REACH_PERCENT = 60
 RADIUS = 1 - LINK_PERCENT / 100 + 1e-9
 #: Bins of the fixed-size count that tells rare shingles from common ones.
 BINS = 1 << 16
-#: Words whose hashes a task remembers, twice.
-REMEMBERED = 300_000
 #: For each round: the largest region whose pairs are compared directly, and its pivots.
 ROUNDS = ((2, "one"), (24, "root"), (None, None))
 #: Texts of a region in a block.
@@ -72,18 +70,12 @@ BLOCK = 256
 PROFILE_BITS = (256, 1 << 16)
 
 
-def word_memory() -> Remembered:
-    import xxhash
-
-    return Remembered(xxhash.xxh64_intdigest, REMEMBERED)
-
-
-def shingles(text: bytes, memory: Remembered):
+def shingles(text: bytes):
     """Sorted hashes of the distinct shingles of a text; with fewer words, of all words as one."""
     import numpy as np
 
     words = text.lower().split()  # of bytes: A-Z only, and the six ASCII blanks
-    hashes = np.fromiter(map(memory.__getitem__, words), np.uint64, len(words))
+    hashes = hashed(words)
     width = min(SHINGLE_WORDS, len(words))
     if not width:
         return hashes
@@ -182,11 +174,11 @@ def _measured(docs: DataFrame) -> DataFrame:
         import numpy as np
 
         names = ["doc_id", "n", "high", "low", "profile", "bin", "count"]
-        memory, counts = word_memory(), np.zeros(BINS, dtype=np.int64)
+        counts = np.zeros(BINS, dtype=np.int64)
         for batch in batches:
             sizes, highs, lows, profiles = [], [], [], []
             for text in binaries(batch, "text"):
-                found = shingles(text, memory)
+                found = shingles(text)
                 counts += np.bincount(_bin(found), minlength=BINS)
                 high, low = _digest(found)
                 sizes.append(len(found))
@@ -205,7 +197,7 @@ def _measured(docs: DataFrame) -> DataFrame:
             names,
         )
 
-    return docs.mapInArrow(run, MEASURED)
+    return docs.mapInArrow(tidy(run), MEASURED)
 
 
 def _windows(docs: DataFrame, order) -> DataFrame:
@@ -214,11 +206,11 @@ def _windows(docs: DataFrame, order) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        memory, seen = word_memory(), set()
+        seen = set()
         for batch in batches:
             regions, highs = [], []
             for text in binaries(batch, "text"):
-                found = shingles(text, memory)
+                found = shingles(text)
                 n = len(found)
                 high, _ = _digest(found)
                 if not n or high in seen:
@@ -232,7 +224,7 @@ def _windows(docs: DataFrame, order) -> DataFrame:
                     [pa.array(np.concatenate(x), pa.int64()) for x in (regions, highs)], ["region", "high"]
                 )
 
-    return docs.select("text").mapInArrow(run, "region long, high long")
+    return docs.select("text").mapInArrow(tidy(run), "region long, high long")
 
 
 def _shared(windows: DataFrame) -> DataFrame:
@@ -267,20 +259,19 @@ def _shared(windows: DataFrame) -> DataFrame:
 
     n = int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = windows.repartitionByRange(n, "region", "high").sortWithinPartitions("region", "high")
-    return dealt.mapInArrow(run, "region long, high long")
+    return dealt.mapInArrow(tidy(run), "region long, high long")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
     """(doc_id, high, text) -> (doc_id, shingles) of the texts with this digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = word_memory()
         for batch in batches:
             ids, sets = [], []
             for doc_id, high, text in zip(
                 batch.column("doc_id").to_pylist(), batch.column("high").to_pylist(), binaries(batch, "text")
             ):
-                found = shingles(text, memory)
+                found = shingles(text)
                 if _digest(found)[0] == high:  # an id may stand on several texts
                     ids.append(doc_id)
                     sets.append(found.tobytes())
@@ -288,7 +279,7 @@ def _sets(docs: DataFrame) -> DataFrame:
                 [pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["doc_id", "shingles"]
             )
 
-    return docs.select("doc_id", "high", "text").mapInArrow(run, "doc_id long, shingles binary")
+    return docs.select("doc_id", "high", "text").mapInArrow(tidy(run), "doc_id long, shingles binary")
 
 
 POSSIBLE = "a long, b long, sizes long, apart long"
@@ -308,7 +299,7 @@ def _possible(pairs: DataFrame, known: DataFrame) -> DataFrame:
     x = known.select(F.col("text").alias("a"), F.col("n").alias("nx"), F.col("profile").alias("px"))
     y = known.select(F.col("text").alias("b"), F.col("n").alias("ny"), F.col("profile").alias("py"))
     both = pairs.join(x, "a").join(y, "b").select("a", "b", "percent", (F.col("nx") + F.col("ny")).alias("sizes"), "px", "py")
-    return both.mapInArrow(run, POSSIBLE)
+    return both.mapInArrow(tidy(run), POSSIBLE)
 
 
 def _blocked(x: DataFrame, y: DataFrame, known: DataFrame, percent: int, links: bool) -> DataFrame:
@@ -366,7 +357,7 @@ def _blocked(x: DataFrame, y: DataFrame, known: DataFrame, percent: int, links:
                         ["a", "b", "sizes", "apart"],
                     )
 
-    return counted.join(blocks(y, "y", F.col("size")), "region").select("x", "y").mapInArrow(run, POSSIBLE)
+    return counted.join(blocks(y, "y", F.col("size")), "region").select("x", "y").mapInArrow(tidy(run), POSSIBLE)
 
 
 def _compared(pairs: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
@@ -396,7 +387,7 @@ def _compared(pairs: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
     x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sx"))
     y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sy"))
     both = pairs.join(x, "a").join(y, "b").select("a", "b", "sx", "sy")
-    return both.mapInArrow(run, "a long, b long, common long, total long")
+    return both.mapInArrow(tidy(run), "a long, b long, common long, total long")
 
 
 def _pair(x, y, percent: int):

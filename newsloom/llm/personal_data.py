@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import texts
+from newsloom.llm.common import texts, tidy
 
 # The base kinds in their order, and their patterns.
 BASE = ("email", "ip", "card", "phone")
@@ -170,7 +170,7 @@ def vote_counts(docs: DataFrame) -> DataFrame:
                 ["key", "n"],
             )
 
-    counted = docs.select("text").mapInArrow(run, "key array<int>, n long")
+    counted = docs.select("text").mapInArrow(tidy(run), "key array<int>, n long")
     return counted.groupBy("key").agg(F.sum("n").alias("n"))
 
 
@@ -286,7 +286,7 @@ def find(docs: DataFrame, weights: list[float] | None = None) -> DataFrame:
             )
 
     return docs.mapInArrow(
-        run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+        tidy(run), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
     )
 
 
@@ -312,4 +312,4 @@ def redacted(docs: DataFrame, text: str = "text", weights: list[float] | None =
                 found.append("".join([*pieces, value[end:]]))
             yield batch.set_column(place, text, pa.array(found, batch.schema.field(place).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -1,8 +1,10 @@
 """Near-duplicate joins against all pairs, and the stages of the pipeline."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from newsloom.llm import components, embedding_dedup, jaccard_join
@@ -98,6 +100,33 @@ def test_jaccard_join_of_a_large_group(spark, monkeypatch):
     assert len(sizes["pairs"]) == 3 and sizes["pairs"][2] < 120 * 119 // 20
 
 
+def test_words_leave_nothing_in_a_task():
+    """What a task holds does not follow the number of different words it has seen."""
+
+    class Rows:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    held = []
+
+    def batches():
+        for k in range(20):
+            texts = [" ".join(f"w{k}x{n}x{i}" for i in range(500)) for n in range(10)]
+            yield pa.RecordBatch.from_pydict({"doc_id": list(range(10)), "text": texts})
+            held.append(tracemalloc.get_traced_memory()[0])
+
+    for task in (jaccard_join._measured(Rows()), jaccard_join._windows(Rows(), np.arange(jaccard_join.BINS))):
+        held.clear()
+        tracemalloc.start()
+        for _ in task(batches()):
+            pass
+        tracemalloc.stop()
+        assert held[-1] - held[2] < 1 << 20
+
+
 def test_profiles_bound_the_distance():
     draw = np.random.default_rng(8)
     for n, m in ((0, 5), (40, 40), (300, 900), (5000, 4500)):
