@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom import fixed_values as fixed
+from newsloom.operators import runs
 from newsloom.operators.responses import ANALYSIS_TYPE
 from newsloom.session import stored
 
@@ -81,6 +82,11 @@ def _with_runs(rows: DataFrame, said: str, size: int, name: str) -> DataFrame:
     return NGram(n=size, inputCol=said, outputCol=name).transform(rows)
 
 
+def _said(texts: DataFrame) -> DataFrame:
+    """``(corpus_key, said)``: the words of each text in lower case."""
+    return texts.where(F.col("text").isNotNull()).select("corpus_key", words(F.lower(F.col("text"))).alias("said"))
+
+
 def _spoken(texts: DataFrame) -> DataFrame:
     """``(corpus_key, said)``: the words of each text in lower case.
 
@@ -90,12 +96,8 @@ def _spoken(texts: DataFrame) -> DataFrame:
     """
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.substring("text", 1, ORDER_CHARS), F.xxhash64("text"), F.monotonically_increasing_id()]
-    return (
-        texts.where(F.col("text").isNotNull())
-        .select("corpus_key", "text", F.struct(*order).alias("place"))
-        .repartitionByRange(n, "corpus_key", "place")
-        .select("corpus_key", words(F.lower(F.col("text"))).alias("said"))
-    )
+    ordered = texts.where(F.col("text").isNotNull()).select("corpus_key", "text", F.struct(*order).alias("place"))
+    return _said(ordered.repartitionByRange(n, "corpus_key", "place"))
 
 
 def catchphrases(
@@ -108,21 +110,18 @@ def catchphrases(
     in a corpus and are part of no longer one in the same texts.
 
     All lengths are counted in one pass and one shuffle: a text gives each run once, and counts are
-    folded before the shuffle. A longer run is in some of the texts
+    folded before the shuffle. Before that ``runs.frequent`` finds the words that runs of the first ``most``
+    places can have, and only runs of these are counted: a run kept here has ``max_words - 1``
+    pairs of words at most, so as many pairs for each place are enough. A longer run is in some of the texts
     of its parts; when the counts agree they are the same texts, and the part goes. Words are compared
     in lower case. The most frequent come first, longer ones before shorter.
     """
-    spoken = _spoken(texts)
-    sizes = range(2, max_words + 1)
-    for size in sizes:
-        spoken = _with_runs(spoken, "said", size, f"runs_{size}")
-    runs = F.flatten(F.array(*(F.array_distinct(f"runs_{size}") for size in sizes)))
+    spoken = _said(texts)
+    kept = runs.frequent(spoken, least_texts, most * (max_words - 1))
     every = stored(
-        spoken.select("corpus_key", F.explode(runs).alias("phrase"))
-        .groupBy("corpus_key", "phrase")
-        .agg(F.count("*").alias("texts"))
+        runs.counted(spoken, range(2, max_words + 1), kept)
         .where(F.col("texts") >= least_texts)
-        .select("corpus_key", "phrase", F.size(F.split("phrase", " ")).alias("words"), "texts"),
+        .select("corpus_key", F.col("run").alias("phrase"), F.size(F.split("run", " ")).alias("words"), "texts"),
         "recurrent",
     )
     said = F.split("phrase", " ")
