chain: texts are dealt out by bucket once for the raw and the clean table

Symptom: chain wrote 109 MB and read 110 MB of shuffle over the large input (0.56 GB), nearly all of it the same texts again and again.
Evidence: in the event log raw and clean texts were each shuffled twice, once to rank rows by key (18.6 and 18.5 MB) and once to rebalance buckets (15.9 and 15.8 MB), though a title of a channel is there once. Cutting blocks shuffles them twice more (16.2 and 16.3 MB).
Fix: KeyedTable.laid_out stores rows with each key once, a bucket's rows together; upsert takes them as they lie, without ranking and without a second copy, and shuffles only where old rows are in their buckets. run_channels lays texts out once and both tables take them.
Effect: at 1 GB of input CPU 1160 -> 1135 s, shuffle 7.90 -> 3.88 GB, spill 0.00 -> 0.00 GB, read 1.42 -> 1.40 GB, longest task 19 -> 19 s, most memory of a task 438 -> 244 MB; at 6 GB of input CPU 4978 -> 4626 s, shuffle 42.42 -> 13.67 GB, spill 7.28 -> 0.08 GB, read 7.96 -> 8.07 GB, longest task 125 -> 101 s, most memory of a task 1619 -> 1158 MB; with hot keys, at 1 GB of input CPU 990 -> 922 s, shuffle 5.16 -> 2.53 GB, spill 0.00 -> 0.00 GB, read 0.96 -> 0.94 GB, longest task 14 -> 14 s, most memory of a task 504 -> 504 MB.

@@ -244,13 +244,13 @@ def run_channels(
     )
     last = first_per_key(named, ["channel", "title"], [F.col("pos").desc()])
     texts = segments_to_text(wanted).join(last.select("channel", "title", "video_id"), "video_id")
-    raw = stored(
-        texts.select(
-            F.col("channel").alias("corpus_key"), F.concat("title", F.lit(".txt")).alias("file_name"), "text"
-        ),
-        "raw",
+    named_texts = texts.select(
+        F.col("channel").alias("corpus_key"), F.concat("title", F.lit(".txt")).alias("file_name"), "text"
     )
-    channel_texts(spark, f"{base}/raw").upsert(raw)
+    # A title of a channel is there once; both tables take the rows as they lie, so texts are dealt out once.
+    table = channel_texts(spark, f"{base}/raw")
+    raw = table.laid_out(named_texts, "raw")
+    table.upsert(raw, laid_out=True)
     clean = channel_texts(spark, f"{base}/clean")
-    clean.upsert(clean_texts(raw))
+    clean.upsert(clean_texts(raw), laid_out=True)
     return run_prompts(clean.read(), base, max_chars, **prompt_options)

@@ -54,37 +54,49 @@ class KeyedTable:
         """The rows in force, with the columns of ``schema``."""
         return self._of(self._versions()[1]).drop("bucket", "version")
 
-    def upsert(self, rows: DataFrame, order: list[Column] | None = None) -> list[int]:
+    def laid_out(self, rows: DataFrame, name: str) -> DataFrame:
+        """Rows with each key once, stored as ``name`` with those of a bucket together, for ``upsert``."""
+        self._versions()
+        return stored(rows.withColumn("bucket", self._bucket()).hint("rebalance", "bucket").drop("bucket"), name)
+
+    def upsert(
+        self, rows: DataFrame, order: list[Column] | None = None, laid_out: bool = False
+    ) -> list[int]:
         """Put rows in the place of those with the same key; returns the buckets that changed.
 
         Of several new rows with one key the first by ``order`` counts (without it, the
-        least by all columns). A null key is a key like any other.
+        least by all columns). A null key is a key like any other. ``laid_out`` rows come from
+        ``laid_out`` of a table of these keys, other columns changed at most: they are not ranked, and
+        shuffled only where old rows are in their buckets.
         """
         state, versions = self._versions()
-        place = Window.partitionBy(*self.keys).orderBy(*(order or [F.struct(*rows.columns)]))
         names = [field.name for field in self.spark.createDataFrame([], self.schema).schema]
-        new = stored(
-            rows.withColumn("_place", F.row_number().over(place))
-            .where("_place = 1")
-            .select(*names, self._bucket().alias("bucket")),
-            "upsert",
-        )
+        if not laid_out:
+            place = Window.partitionBy(*self.keys).orderBy(*(order or [F.struct(*rows.columns)]))
+            rows = rows.withColumn("_place", F.row_number().over(place)).where("_place = 1")
+        new = rows.select(*names, self._bucket().alias("bucket"))
+        if not laid_out:
+            new = stored(new, "upsert")
         changed = sorted(row.bucket for row in new.select("bucket").distinct().collect())
         if not changed:
             return []
         version = state + 1
-        old = self._of({b: v for b, v in versions.items() if b in set(changed)}).drop("version")
+        replaced = {b: v for b, v in versions.items() if b in set(changed)}
+        old = self._of(replaced).drop("version")
         same = reduce(Column.__and__, [old[k].eqNullSafe(F.col(f"_new.{k}")) for k in self.keys])
         rest = old.join(new.select(*self.keys).alias("_new"), same, "left_anti")
-        merged = rest.unionByName(new).withColumn("version", F.lit(version))
-        # Large buckets are cut, small ones stay whole.
-        merged.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket", "version").parquet(self.path)
+        merged = rest.unionByName(new) if replaced else new
+        if replaced or not laid_out:
+            # Large buckets are cut, small ones stay whole.
+            merged = merged.hint("rebalance", "bucket")
+        merged = merged.withColumn("version", F.lit(version))
+        merged.write.mode("append").partitionBy("bucket", "version").parquet(self.path)
         now = {**versions, **dict.fromkeys(changed, version)}
         listed = [(b, v, self.buckets, version) for b, v in sorted(now.items())]
         self.spark.createDataFrame(listed, LIST_SCHEMA).coalesce(1).write.mode("append").parquet(
             f"{self.path}/_versions"
         )
-        self._drop({b: v for b, v in versions.items() if b in set(changed)})
+        self._drop(replaced)
         return changed
 
     def _drop(self, versions: dict[int, int]) -> None:

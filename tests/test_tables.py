@@ -58,6 +58,36 @@ def test_upserts_in_many_runs_equal_a_dict(spark, tmp_path):
         assert {r.k: r.v for r in found} == expected and len(found) == len(expected)
 
 
+def test_rows_laid_out_once_go_to_two_tables(spark, tmp_path, monkeypatch):
+    plans = []
+    writer = type(spark.range(0).write)
+    write = writer.parquet
+
+    def noted(self, path, *args, **kwargs):
+        plans.append((path, self._df._jdf.queryExecution().optimizedPlan().toString()))
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(writer, "parquet", noted)
+    given = [(f"k{i}", i) for i in range(200)] + [(None, -1)]
+    one, two = (table(spark, str(tmp_path / name)) for name in ("one", "two"))
+    laid = one.laid_out(rows(spark, given), "laid")
+    assert one.upsert(laid, laid_out=True) == list(range(8))
+    assert two.upsert(laid.withColumn("v", -F.col("v")), laid_out=True) == list(range(8))
+    # One exchange lays the rows out; none ranks them or writes them to either table.
+    texts_moved = [plan for _, plan in plans if "Rebalance" in plan or "Window" in plan]
+    assert len(texts_moved) == 1
+    assert {r.k: r.v for r in one.read().collect()} == dict(given)
+    assert {r.k: r.v for r in two.read().collect()} == {k: -v for k, v in given}
+    assert len(files(tmp_path / "one")) == 8
+
+    again = two.laid_out(rows(spark, [("k3", 7), (None, 8), ("new", 9)]), "again")
+    two.upsert(again, laid_out=True)
+    found = two.read().collect()
+    expected = {k: -v for k, v in given} | {"k3": 7, None: 8, "new": 9}
+    assert len(found) == len(expected) and {r.k: r.v for r in found} == expected
+    assert two.upsert(again.where("false"), laid_out=True) == []
+
+
 def test_a_run_that_dies_leaves_the_old_state(spark, tmp_path):
     path = str(tmp_path / "t")
     table(spark, path).upsert(rows(spark, [("a", 1), ("b", 2)]))
