@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from newsloom import fixed_values as fixed
 from newsloom.operators.responses import BOOK_TYPE, EMPHASIS, NOT_MERGED, SCALARS
+from newsloom.session import stored
 
 # ---- Fixed values: what makes two items of a list the same ----------------
 LIST_KEYS = {
@@ -45,11 +46,15 @@ KEY_MARK = "\x1f"  # between the parts of a key
 UNWEIGHTED = {"vicios_expressao", "exemplos_representativos"}
 
 
+def _key(name: str) -> str:
+    """What makes an item ``x`` of a list the same as another (an SQL expression)."""
+    same = [f"lower(trim(coalesce({k}, '')))" for k in [f"x.{k}" for k in LIST_KEYS[name]] or ["x"]]
+    return same[0] if len(same) == 1 else f"concat_ws('{KEY_MARK}', {', '.join(same)})"
+
+
 def _items(name: str) -> str:
     """One list of an analysis as items of the common shape (an SQL expression)."""
     parts = LIST_PARTS[name]
-    keys = [f"x.{k}" for k in LIST_KEYS[name]] or ["x"]
-    same = ", ".join(f"lower(trim(coalesce({k}, '')))" for k in keys)
     said = {p: f"x.{p}" if p in parts else "cast(null AS string)" for p in ITEM_PARTS}
     if not parts:
         said["exemplo"] = "x"
@@ -57,7 +62,7 @@ def _items(name: str) -> str:
     marks = "x.marcadores_lexicais" if "marcadores_lexicais" in parts else "null"
     return (
         f"transform(analysis.{name}, (x, i) -> named_struct('list', '{name}', 'pos', i, "
-        f"'key', concat_ws('{KEY_MARK}', {same}), 'item', named_struct({fields}, "
+        f"'key', {_key(name)}, 'item', named_struct({fields}, "
         f"'marcadores_lexicais', cast({marks} AS array<string>))))"
     )
 
@@ -80,20 +85,24 @@ def exploded_items(analyses: DataFrame) -> DataFrame:
     return rows.filter(_said("key"))
 
 
+def _first_keys(name: str) -> str:
+    """Each key of a list once, with the position where it is said first (an SQL expression).
+
+    Sorted by key and position, an item is new when its key differs from that of the one before.
+    """
+    keys = f"sort_array(transform(analysis.{name}, (x, i) -> named_struct('key', {_key(name)}, 'pos', i)))"
+    firsts = "filter(said, (x, i) -> i = 0 OR get(said, i - 1).key <> x.key)"
+    return f"get(transform(array({keys}), said -> {firsts}), 0)"
+
+
 def item_keys(analyses: DataFrame) -> DataFrame:
     """``(corpus_key, block_no, list, key, pos)``: each key of a block once, where it is said first.
 
-    Sorted by list, key and position, an item is new when it differs from the one before.
+    Lists are sorted one by one, keys and positions only; no item is put together.
     """
-    narrow = f"array_sort(transform({_every_item()}, x -> struct(x.list AS list, x.key AS key, x.pos AS pos)))"
-    firsts = (
-        "filter(zip_with(said, concat(array(null), slice(said, 1, greatest(size(said) - 1, 0))), "
-        "(x, y) -> if(y IS NULL OR y.list <> x.list OR y.key <> x.key, x, null)), x -> x IS NOT NULL)"
-    )
-    rows = analyses.select(
-        "corpus_key", "block_no", F.expr(f"inline(get(transform(array({narrow}), said -> {firsts}), 0))")
-    )
-    return rows.filter(_said("key"))
+    lists = ", ".join(f"named_struct('list', '{n}', 'firsts', {_first_keys(n)})" for n in LIST_KEYS)
+    rows = analyses.select("corpus_key", "block_no", F.expr(f"inline(array({lists}))"))
+    return rows.select("corpus_key", "block_no", "list", F.inline("firsts")).filter(_said("key"))
 
 
 def ranked_keys(keys: DataFrame, max_items: int = fixed.LIST_ITEMS) -> DataFrame:
@@ -117,7 +126,8 @@ def ranked_items(analyses: DataFrame, max_items: int = fixed.LIST_ITEMS) -> Data
 
     ``(corpus_key, list, key, recurrence, first, place, item)``. The ranking is done on keys;
     items are fetched for the winners only, from the blocks that said them first.
-    ``analyses`` is read twice.
+    ``analyses`` is read twice. The winners are stored: their size is then known, and while they are
+    few analyses meet them where they lie.
     """
     winners = ranked_keys(item_keys(analyses), max_items)
     first = winners.select(
@@ -127,6 +137,7 @@ def ranked_items(analyses: DataFrame, max_items: int = fixed.LIST_ITEMS) -> Data
     wanted = first.groupBy("corpus_key", "block_no").agg(
         F.collect_list(F.struct("list", "pos", "key", "recurrence", "first", "place")).alias("wanted")
     )
+    wanted = stored(wanted, "wanted")
     # A block names its winners; each takes its item out of the list by its position.
     item = "transform(wanted, w -> struct(w.list AS list, w.key AS key, w.recurrence AS recurrence, " + (
         "w.first AS first, w.place AS place, "
@@ -135,7 +146,8 @@ def ranked_items(analyses: DataFrame, max_items: int = fixed.LIST_ITEMS) -> Data
     met = analyses.join(wanted, ["corpus_key", "block_no"]).select(
         "corpus_key", F.expr(f"get(transform(array({_every_item()}), items -> {item}), 0)").alias("won")
     )
-    return met.select("corpus_key", F.inline("won"))
+    # No block here is without a winner; a plain inline would have items put together once more to test that.
+    return met.select("corpus_key", F.inline_outer("won"))
 
 
 def scalar_views(analyses: DataFrame) -> DataFrame:

@@ -133,6 +133,69 @@ def test_list_size(spark):
     assert len(fusion.style_books(frame, AS_OF).first().book.bordoes) == 25
 
 
+def ranked_by_hand(rows):
+    """``(corpus, list, key, recurrence, place, text)`` of catchphrases, without the cut to a list's size."""
+    found = {}
+    for corpus, block, document in rows:
+        first = {}
+        for pos, item in enumerate((json.loads(document) if document else {}).get("bordoes") or []):
+            key = (item.get("texto") or "").strip(" ").lower()
+            if key:
+                first.setdefault(key, pos)
+        for key, pos in first.items():
+            found.setdefault((corpus, key), []).append((block is not None, block or 0, pos))
+    out = []
+    for corpus in {c for c, _ in found if c is not None}:
+        order = sorted((-len(said), min(said), key) for (c, key), said in found.items() if c == corpus)
+        for place, (times, (known, block, pos), key) in enumerate(order, 1):
+            for c, b, document in rows:
+                if known and (c, b) == (corpus, block):
+                    items = (json.loads(document) if document else {}).get("bordoes") or []
+                    text = items[pos].get("texto") if pos < len(items) else None
+                    out.append((corpus, "bordoes", key, -times, place, text))
+    return out
+
+
+ODD_ANALYSES = [
+    ("a", 2, '{"bordoes":[{"texto":" N\\u00e9 "},{"texto":"cara"},{"texto":"n\\u00e9"},{"texto":""},{"texto":null}]}'),
+    ("a", 1, '{"bordoes":[{"texto":"Cara"},{"texto":"sabe"},{"texto":"cara "},{"texto":"\\t"}]}'),
+    ("a", 1, '{"bordoes":[{"texto":"Cara"},{"texto":"sabe"},{"texto":"cara "},{"texto":"\\t"}]}'),
+    ("a", 3, '{"bordoes":[]}'),
+    ("a", 4, '{"tom":"seco"}'),
+    ("a", None, '{"bordoes":[{"texto":"N\\u00c9"},{"texto":"sem bloco"}]}'),
+    ("a", 5, None),
+    ("b", 7, '{"bordoes":[{"texto":"x"},{"texto":"y"}]}'),
+    ("b", 7, '{"bordoes":[{"texto":"y"}]}'),
+    ("c", 1, None),
+    (None, 1, '{"bordoes":[{"texto":"ningu\\u00e9m"}]}'),
+]
+
+
+@pytest.fixture
+def odd_analyses(spark, tmp_path):
+    rows = spark.createDataFrame(ODD_ANALYSES, "corpus_key string, block_no bigint, json string")
+    path = str(tmp_path / "analyses")
+    analysis = F.from_json("json", responses.ANALYSIS_TYPE).alias("analysis")
+    rows.select("corpus_key", "block_no", analysis).coalesce(1).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_items_of_odd_analyses(odd_analyses):
+    ranked = fusion.ranked_items(odd_analyses).collect()
+    found = [(r.corpus_key, r.list, r.key, r.recurrence, r.place, r.item.texto if r.item else None) for r in ranked]
+    order = lambda rows: sorted(rows, key=str)
+    assert order(found) == order(ranked_by_hand(ODD_ANALYSES))
+
+
+def test_ranking_puts_no_item_together_and_moves_no_analysis(odd_analyses):
+    keys = fusion.item_keys(odd_analyses)._jdf.queryExecution().optimizedPlan().toString()
+    assert "marcadores_lexicais" not in keys
+    ranked = fusion.ranked_items(odd_analyses)._jdf.queryExecution().executedPlan().toString()
+    # With few winners the analyses stay where they lie; items are put together once.
+    assert "hashpartitioning" not in ranked and ranked.count("BroadcastHashJoin") == 1
+    assert "size(transform" not in ranked
+
+
 def test_mode_ties_go_to_the_first_block(spark):
     rows = [("k", n, analysis(tom=t)) for n, t in enumerate(["b", "a", "a", "b", "c"])]
     frame = responses.parsed(spark.createDataFrame(rows, "corpus_key string, block_no int, response string"))
