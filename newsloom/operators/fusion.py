@@ -201,8 +201,9 @@ def fused_scalars(analyses: DataFrame) -> DataFrame:
             for n in fields
         ],
     )
+    # Whether there is an analysis is told by any of its fields; counting the value would read all its lists.
     totals = analyses.groupBy("corpus_key").agg(
-        F.count("analysis").alias("partials"),
+        F.count_if(F.col("analysis").isNotNull()).alias("partials"),
         F.count("*").alias("blocks"),
         F.avg("analysis.confianca_global").alias("confianca_global"),
     )
@@ -235,8 +236,8 @@ def style_books(
     """``(corpus_key, book, error)``: one style book per corpus, stamped.
 
     A corpus none of whose blocks was analysed keeps its row: ``book`` is null and ``error`` a
-    stamped record of the failed merge. Reads ``analyses`` four times; give a table
-    that has been written.
+    stamped record of the failed merge. Reads ``analyses`` four times, twice without its lists; give a
+    table that has been written.
     """
     made = _moment(as_of)
     row = F.struct("list", "place", "recurrence", "item")

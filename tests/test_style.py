@@ -196,6 +196,15 @@ def test_ranking_puts_no_item_together_and_moves_no_analysis(odd_analyses):
     assert "size(transform" not in ranked
 
 
+def test_scalars_read_no_lists(odd_analyses):
+    fused = fusion.fused_scalars(odd_analyses)
+    scans = fused._jdf.queryExecution().sparkPlan().collectLeaves()
+    for i in range(scans.size()):
+        assert "bordoes" not in scans.apply(i).requiredSchema().simpleString()
+    found = {r.corpus_key: (r.partials, r.blocks, r.tom) for r in fused.collect()}
+    assert found == {"a": (6, 7, "seco"), "b": (2, 2, None), "c": (0, 1, None), None: (1, 1, None)}
+
+
 def test_mode_ties_go_to_the_first_block(spark):
     rows = [("k", n, analysis(tom=t)) for n, t in enumerate(["b", "a", "a", "b", "c"])]
     frame = responses.parsed(spark.createDataFrame(rows, "corpus_key string, block_no int, response string"))
